@@ -91,7 +91,7 @@ def anchors(hashes: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR) -> t
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        digest, n_words, sha, picked = [], [], [], []
+        digest, n_words, sha, picked, hashed = [], [], [], [], b.column("text_hash").to_pylist()
         for text in utf8_texts(b.column("text")):
             words = text.split()
             joined = b" ".join(words)
@@ -101,7 +101,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             phrases, chosen = anchors(word_hashes(words))
             picked.append(np.unique(phrases[np.unique(chosen)]).view(np.int64))
         lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum([len(x) for x in picked])].astype(np.int32), pa.array(np.concatenate([*picked, np.zeros(0, np.int64)])))
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(digest), pa.array(n_words, pa.int64()), pa.array(sha), lists], names=["doc_id", "digest", "n_words", "sha", "anchors"])
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(digest), pa.array(n_words, pa.int64()), pa.array(sha), lists, pa.array(hashed, pa.int64())], names=["doc_id", "digest", "n_words", "sha", "anchors", "text_hash"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,17 +219,18 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     rows.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", "text")
-    sketches = staged(texts.mapInArrow(_sketches, f"doc_id {id_type}, digest string, n_words long, sha string, anchors array<long>"), "sketches")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    sketches = staged(texts.mapInArrow(_sketches, f"doc_id {id_type}, digest string, n_words long, sha string, anchors array<long>, text_hash long"), "sketches")
     firsts = sketches.groupBy("digest").agg(F.min("doc_id").alias("first_copy"))
     rows = sketches.select("doc_id", "digest", "n_words", "sha").join(firsts, "digest")
 
-    # 1. recurring anchors, each document's own
-    reps = sketches.where(F.size("anchors") > 0).join(firsts, "digest").where("doc_id = first_copy").select("doc_id", "digest", F.explode("anchors").alias("anchor"))
-    recurring = reps.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
-    hot = staged(reps.join(recurring, "anchor").groupBy("doc_id", "digest").agg(F.collect_set("anchor").alias("hot")), "hot_anchors")
-    # texts that equal one word for word differ in spaces alone, so any of them will do
-    candidates = staged(texts.join(hot, "doc_id").withColumn("text", F.coalesce("text", F.lit(""))).dropDuplicates(["doc_id", "digest"]), "candidates")
+    # 1. recurring anchors, each document's own; of rows with equal ids and words any text will do
+    reps = sketches.where(F.size("anchors") > 0).join(firsts, "digest").where("doc_id = first_copy").withColumn("row", F.xxhash64("doc_id", "digest"))
+    recurring = reps.select("doc_id", F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
+    hot = reps.select("row", F.explode("anchors").alias("anchor")).join(recurring, "anchor").groupBy("row").agg(F.collect_set("anchor").alias("hot"))
+    named = reps.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.min("digest").alias("digest"), F.min("text_hash").alias("text_hash"))
+    hot = staged(named.join(hot, "row").drop("row"), "hot_anchors")
+    candidates = staged(texts.join(hot, ["doc_id", "text_hash"]).drop("text_hash"), "candidates")
 
     # 2. confirmed passages of first documents
     windows = candidates.select("doc_id", "text", "hot").mapInArrow(_windows, f"window long, doc_id {id_type}")
@@ -256,6 +257,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     located = ours.groupBy("shard", "copy").cogroup(theirs.groupBy("shard", "copy")).applyInPandas(_locate, f"doc_id {id_type}, lo array<long>, hi array<long>")
     gone = located.groupBy("doc_id").agg(F.flatten(F.collect_list("lo")).alias("lo"), F.flatten(F.collect_list("hi")).alias("hi"))
     changed = candidates.select("doc_id", "digest", "text").join(gone, "doc_id").mapInArrow(_kept, f"doc_id {id_type}, digest string, n_removed long, sha string, kept string")
+    changed = changed.dropDuplicates(["doc_id", "digest"])  # repeated rows
 
     copy = F.col("r.doc_id").isNotNull() & (F.col("r.doc_id") > F.col("first_copy")) & (F.col("n_words") >= WINDOW)
     found = F.col("c.sha").isNotNull()
