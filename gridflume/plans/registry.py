@@ -28,3 +28,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
+
+
+def load() -> None:
+    """Import the modules that register queries."""
+    from . import grid_queries, refresh_queries, stream_queries, temporal_queries  # noqa: F401
+
+
+load()
