@@ -84,15 +84,23 @@ def _normed(rows: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
     return np.where(norm > 0, norm, 1)
 
 
-def kernel(left: list[str], right: list[str]) -> np.ndarray:
-    """Normalised kernel values; 0 for words with fewer than three letters."""
-    dense = []
-    for words in (left, right):
-        rows, codes, weights = subsequences(words)
-        x = np.zeros((len(words), LETTERS**3), np.float32)
-        x[rows, codes] = weights / _normed(rows, weights, len(words))[rows]
-        dense.append(x)
-    return dense[0] @ dense[1].T
+def kernel(left: list[str], right: list[str], block: int = 256) -> np.ndarray:
+    """Normalised kernel values; 0 for words with fewer than three letters. ``right`` are few, ``left`` go in blocks."""
+    rows, codes, weights = subsequences(right)
+    shared, at = np.unique(codes, return_inverse=True)
+    columns = np.zeros((len(shared), len(right)), np.float32)
+    columns[at, rows] = weights / _normed(rows, weights, len(right))[rows]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for k in range(0, len(left), block):
+        part = left[k : k + block]
+        rows, codes, weights = subsequences(part)
+        at = np.searchsorted(shared, codes)
+        met = at < len(shared)
+        met[met] = shared[at[met]] == codes[met]
+        dense = np.zeros((len(part), len(shared)), np.float32)
+        dense[rows[met], at[met]] = (weights / _normed(rows, weights, len(part))[rows])[met]
+        out[k : k + block] = dense @ columns
+    return out
 
 
 @dataclass
