@@ -2,8 +2,9 @@
 
 Forward Viterbi scores of a lattice are exact heuristics for an A-star search from its end, which
 then meets segmentations in order of their scores. No piece of such a model spans the start of a
-word, so a text's lattice is a chain of its words' lattices: each distinct word is searched once and
-remembered, and the N best of a text are the N best sums over its words.
+word, so a text's lattice is a chain of its words' lattices. The forward pass also tells how much a
+word's second best way loses; only the words where it loses least can differ in the N best ways of a
+text, so the search runs in these, and the N best sums over them are the text's.
 """
 
 from __future__ import annotations
@@ -11,10 +12,11 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+import struct
 import zlib
+from bisect import insort
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +24,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
-#: Words that a worker remembers; all are forgotten when full.
-CACHE = 200_000
+#: Words that a worker remembers of late, and of the time before; the older half is forgotten when the newer is full.
+CACHE = 400_000
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}]*")
 
 
@@ -34,60 +36,92 @@ class PieceModel:
         plain = [i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         self.pieces = {sp.id_to_piece(i): (i, sp.get_score(i)) for i in plain}
         self.longest = max(map(len, self.pieces))
+        # pieces and, as None, what only begins one: a reading from any place ends where neither is met
+        self.table: dict[str, tuple[int, float] | None] = {p[:k]: None for p in self.pieces for k in range(1, len(p))} | self.pieces
         self.unknown = min((s for _, s in self.pieces.values()), default=0.0) - 10
         self.bytes = {int(sp.id_to_piece(i)[3:5], 16): i for i in range(sp.get_piece_size()) if sp.is_byte(i)}
-        self.spelled = {i: p.encode() for p, (i, _) in self.pieces.items()} | {i: bytes([b]) for b, i in self.bytes.items()}
+        spelled = {i: p.encode() for p, (i, _) in self.pieces.items()} | {i: bytes([b]) for b, i in self.bytes.items()}
+        self.letters = [spelled.get(i, b"") for i in range(sp.get_piece_size())]
         self.known: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
 
     def _unknown_ids(self, char: str) -> tuple[int, ...]:
         """An unknown character falls back to its bytes, or else to the unknown piece."""
         return tuple(self.bytes[b] for b in char.encode()) if self.bytes else (self.sp.unk_id(),)
 
+    def _edges(self, word: str) -> Iterator[tuple[int, int, float, int]]:
+        """The lattice's edges (start, end, score, piece) by their starts; piece -1 is an unknown character."""
+        n, table = len(word), self.table
+        for i in range(n):
+            alone = True
+            for j in range(i + 1, n + 1):
+                part = word[i:j]
+                if part not in table:
+                    break
+                got = table[part]
+                if got is not None:
+                    alone = alone and j > i + 1
+                    yield i, j, got[1], got[0]
+            if alone:
+                yield i, i + 1, self.unknown, -1
+
+    def viterbi(self, word: str) -> tuple[bytes, float, float]:
+        """Ids and score of the best way through a lattice, and how much worse the second best is."""
+        n = len(word)
+        best, second, back = [0.0] + [-np.inf] * n, [-np.inf] * (n + 1), [(0, -1)] * (n + 1)
+        for i, j, score, piece in self._edges(word):
+            total = best[i] + score
+            if total > best[j]:
+                second[j] = max(best[j], second[i] + score)
+                best[j], back[j] = total, (i, piece)
+            elif total > second[j]:
+                second[j] = total
+        ids, at = [], n
+        while at:
+            start, piece = back[at]
+            ids[:0] = (piece,) if piece >= 0 else self._unknown_ids(word[start])
+            at = start
+        return struct.pack(f"<{len(ids)}I", *ids), best[n], best[n] - second[n]
+
     def search(self, word: str) -> list[tuple[float, tuple[int, ...]]]:
         """The N best (score, ids) of one lattice, best first; ties in the order of discovery."""
-        n, pieces, longest = len(word), self.pieces, self.longest
-        best, into = [0.0] * (n + 1), [None] * (n + 1)
-        for j in range(1, n + 1):
-            edges, top = [], -np.inf
-            for i in range(max(0, j - longest), j):
-                got = pieces.get(word[i:j])
-                if got is not None:
-                    edges.append((i, got[1], got[0]))
-                    if best[i] + got[1] > top:
-                        top = best[i] + got[1]
-            if not edges or edges[-1][0] != j - 1:
-                edges.append((j - 1, self.unknown, -1))
-                top = max(top, best[j - 1] + self.unknown)
-            best[j], into[j] = top, edges
-        found, tick = [], count(1)
+        n = len(word)
+        into: list[list] = [[] for _ in range(n + 1)]
+        best = [0.0] + [-np.inf] * n
+        for i, j, score, piece in self._edges(word):
+            into[j].append((i, score, piece))
+            best[j] = max(best[j], best[i] + score)
+        # each entry stands for a segmentation of its own, the best of those that end like it, so no more are kept than are still asked for
+        found, tick, wanted = [], 0, self.n
         heap = [(-best[n], 0, n, 0.0, None)]
-        while heap and len(found) < self.n:
-            _, _, at, done, path = heapq.heappop(heap)
+        while heap and wanted:
+            _, _, at, done, path = heap.pop(0)
             if at == 0:
                 ids = []
                 while path is not None:
                     start, piece, path = path
                     ids.extend((piece,) if piece >= 0 else self._unknown_ids(word[start]))
                 found.append((done, tuple(ids)))
+                wanted -= 1
                 continue
             for i, score, piece in into[at]:
-                heapq.heappush(heap, (-(done + score + best[i]), next(tick), i, done + score, (i, piece, path)))
+                loss = -(done + score + best[i])
+                if len(heap) < wanted or loss < heap[-1][0]:
+                    tick += 1
+                    insort(heap, (loss, tick, i, done + score, (i, piece, path)))
+                    del heap[wanted:]
         return found
 
     def _remember(self, word: str) -> tuple:
         if len(self.known) >= CACHE:
-            self.known.clear()
-        ways = self.search(word)
-        packed = tuple((s, np.asarray(ids, "<u4").tobytes()) for s, ids in ways)
-        decoded = b"".join(self.spelled.get(i, b"") for i in ways[0][1])
-        gap = ways[0][0] - ways[1][0] if len(ways) > 1 else np.inf
-        self.known[word] = got = (packed[0][1], packed[0][0], gap, packed[1:], decoded)
+            self.older, self.known = self.known, {}
+        self.known[word] = got = self.older.get(word) or self.viterbi(word)
         return got
 
     def nbest(self, text: str) -> tuple[list[tuple[float, bytes]], bytes]:
         """The N best segmentations of a whole text, (score, ids as little-endian unsigned 32-bit), and its decoding."""
-        known, words = self.known, _UNITS.findall(self.sp.normalize(text))
-        parts = [known.get(w) or self._remember(w) for w in words if w]
+        words = [w for w in _UNITS.findall(self.sp.normalize(text)) if w]
+        parts = [self.known.get(w) or self._remember(w) for w in words]
         first = [p[0] for p in parts]
         score = sum([p[1] for p in parts])
         gaps = np.fromiter((p[2] for p in parts), np.float64, len(parts))
@@ -95,7 +129,8 @@ class PieceModel:
         near = np.argsort(gaps, kind="stable")[: self.n - 1].tolist() if len(parts) <= 4 * self.n else self._least(gaps)
         sums = [(0.0, ())]
         for k in near:
-            ways = [(0.0, None)] + [(parts[k][1] - s, ids) for s, ids in parts[k][3]]
+            best, *others = self.search(words[k])
+            ways = [(0.0, None)] + [(best[0] - x, struct.pack(f"<{len(ids)}I", *ids)) for x, ids in others]
             sums = heapq.nsmallest(self.n, ((a + b, c if ids is None else (*c, (k, ids))) for a, c in sums for b, ids in ways), key=lambda x: x[0])
         out = []
         for loss, changes in sums:
@@ -104,16 +139,19 @@ class PieceModel:
                 for k, other in changes:
                     ids[k] = other
                 out.append((score - loss, b"".join(ids)))
-        return out, b"".join([p[4] for p in parts]).replace(SPACE.encode(), b" ")
+        return out, self._spell(out[0][1])
 
     def _least(self, gaps: np.ndarray) -> list[int]:
         bound = np.partition(gaps, self.n - 2)[self.n - 2] if self.n > 1 else -np.inf
         low = np.flatnonzero(gaps <= bound)
         return low[np.argsort(gaps[low], kind="stable")][: self.n - 1].tolist()
 
+    def _spell(self, ids: bytes) -> bytes:
+        return b"".join(map(self.letters.__getitem__, np.frombuffer(ids, "<u4").tolist())).replace(SPACE.encode(), b" ")
+
     def decode(self, ids: list[int]) -> str:
         """The text of ids; the space that encoding puts before a text is taken off."""
-        text = b"".join(self.spelled.get(i, b"") for i in ids).decode("utf-8", "replace").replace(SPACE, " ")
+        text = self._spell(np.asarray(ids, "<u4").tobytes()).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
