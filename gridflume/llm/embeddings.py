@@ -137,11 +137,16 @@ def _graph_of(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": node, "neighbours": [node[g[g >= 0]] for g in graph], "medoid": np.arange(len(node)) == medoid})
 
 
+def _pairs_frame(node: list, found: list) -> pd.DataFrame:
+    """Kinds are stated, since an empty list would become a column of doubles."""
+    return pd.DataFrame({"node": pd.Series(node, dtype="int64"), "found": pd.Series(found, dtype="object")})
+
+
 def _searched(least: float):
     def run(key: tuple, queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         """All searches of one shard; its members carry their united lists, and those of other shards that these name come along."""
         if not len(queries) or not len(members):
-            return pd.DataFrame({"node": [], "found": []})
+            return _pairs_frame([], [])
         members = members.drop_duplicates("node").sort_values("node")
         node, vectors = members.node.to_numpy(), _matrix(members.embedding)
         lists = members.neighbours.tolist()
@@ -167,7 +172,7 @@ def _searched(least: float):
                 if len(near):
                     found_node.append(mine[at + i])
                     found.append(node[near])
-        return pd.DataFrame({"node": found_node, "found": found})
+        return _pairs_frame(found_node, found)
 
     return run
 

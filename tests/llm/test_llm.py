@@ -249,6 +249,11 @@ def test_url_rules_and_walks(spark):
     assert got[1]["host"] == "a.example.com" and got[1]["path"] == "/en/71"
 
 
+def test_embeddings_without_links(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0], 1), (2, [0.0, 1.0], 1), (3, [1.0, 1.0], 2)], "vec_id long, embedding array<float>, label int")
+    assert sorted(embeddings.linked(df).collect()) == [(i, 0, i, True) for i in (1, 2, 3)]
+
+
 def test_embeddings_brute_force(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(40, 16))
