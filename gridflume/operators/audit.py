@@ -59,3 +59,18 @@ def chained(segments: DataFrame, keys: list[str], start: str, end: str) -> DataF
     """Whether each segment starts where the one before it ends; the first one of a key does."""
     before = F.lag(end).over(Window.partitionBy(*keys).orderBy(start))
     return segments.withColumn("chained", before.isNull() | (before == F.col(start)))
+
+
+def dataset_changes(left: DataFrame, right: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """Keys whose rows are not exactly equal, nulls alike: which side lacks the row, or which fields differ."""
+    a = left.select(*keys, F.struct(*fields).alias("_l"))
+    b = right.select(*keys, F.struct(*fields).alias("_r"))
+    differs = F.array_compact(F.array(*[F.when(~F.col(f"_l.{f}").eqNullSafe(F.col(f"_r.{f}")), F.lit(f)) for f in fields]))
+    change = F.when(F.col("_l").isNull(), "added").when(F.col("_r").isNull(), "removed").otherwise(F.array_join(differs, ","))
+    return a.join(b, keys, "full_outer").select(*keys, change.alias("change")).where("change <> ''")
+
+
+def state_inventory(states: DataFrame, by: list[str], value: str, low: Column, high: Column) -> DataFrame:
+    """Per group: values, missing ones, range, mean, negatives, and those out of bounds."""
+    v = F.col(value)
+    return states.groupBy(*by).agg(F.count(v).alias("n"), F.count_if(v.isNull()).alias("missing"), F.min(v).alias("least"), F.max(v).alias("greatest"), F.avg(v).alias("mean"), F.count_if(v < 0).alias("negative"), F.count_if((v < low) | (v > high)).alias("out_of_bounds"))

@@ -61,3 +61,38 @@ def lost_history(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 def merged(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Upsert: rows of ``new`` replace those of ``old`` with equal keys."""
     return new.unionByName(old.join(new.select(*keys), keys, "left_anti"))
+
+
+def fingerprints(inputs: DataFrame, by: list[str], identity: Column) -> DataFrame:
+    """A digest of each group's distinct inputs, whatever their order."""
+    return inputs.groupBy(*by).agg(F.sha2(F.array_join(F.array_sort(F.collect_set(identity)), ";"), 256).alias("fingerprint"))
+
+
+def needing_work(wanted: DataFrame, receipts: DataFrame, by: list[str]) -> DataFrame:
+    """Groups without a receipt of the same fingerprint, and why."""
+    held = receipts.select(*by, F.col("fingerprint").alias("_held"))
+    why = F.when(F.col("_held").isNull(), "new").when(F.col("_held") != F.col("fingerprint"), "changed")
+    return wanted.join(held, by, "left").withColumn("reason", why).where("reason is not null").drop("_held")
+
+
+def revision_of(day: Column, today: Column, stable_after: int = 183) -> Column:
+    """Early within the running month, stable after half a year, provisional between."""
+    return F.when(F.trunc(day, "month") == F.trunc(today, "month"), "early").when(F.date_diff(today, day) >= stable_after, "stable").otherwise("provisional")
+
+
+def accepted_prefix(segments: DataFrame, by: list[str], start: str, end: str, accepted: str) -> DataFrame:
+    """Per key how many segments form the gap-free accepted chain from its first one, and where it ends (null: nowhere)."""
+    w = Window.partitionBy(*by).orderBy(start, end)
+    follows = F.coalesce(F.lag(end).over(w) == F.col(start), F.lag(end).over(w).isNull())
+    marked = segments.withColumn("_links", (follows & F.coalesce(F.col(accepted), F.lit(False))).cast("int"))
+    good = F.min("_links").over(w.rowsBetween(Window.unboundedPreceding, 0)) == 1
+    return marked.withColumn("_good", good).groupBy(*by).agg(F.count_if("_good").alias("segments"), F.max(F.when(F.col("_good"), F.col(end))).alias("resume"))
+
+
+def calendar_eligibility(days: DataFrame, by: list[str], day: str, constrained: str) -> DataFrame:
+    """Whether a day has its constraint and both neighbours, or what blocks it first."""
+    w = Window.partitionBy(*by).orderBy(day)
+    before = F.date_diff(F.col(day), F.lag(day).over(w)) == 1
+    after = F.date_diff(F.lead(day).over(w), F.col(day)) == 1
+    state = F.when(~F.coalesce(F.col(constrained), F.lit(False)), "no_constraint").when(~F.coalesce(before, F.lit(False)), "no_previous_day").when(~F.coalesce(after, F.lit(False)), "no_next_day").otherwise("eligible")
+    return days.withColumn("state", state)

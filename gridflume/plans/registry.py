@@ -32,7 +32,7 @@ def oracle_sql() -> dict[str, str]:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from . import grid_queries, refresh_queries, stream_queries, temporal_queries  # noqa: F401
+    from . import grid_queries, refresh_queries, release_queries, stream_queries, temporal_queries  # noqa: F401
 
 
 load()
