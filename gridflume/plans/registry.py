@@ -14,6 +14,8 @@ def register(name: str, sql: str | None = None):
     """Register a query under ``name``; ``sql`` gives the same rows in DuckDB."""
 
     def put(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        if name in _QUERIES:
+            raise ValueError(f"{name} is registered already")
         _QUERIES[name] = f
         if sql:
             _SQL[name] = sql

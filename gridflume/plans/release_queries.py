@@ -51,15 +51,6 @@ def _(spark, sf_dir):
     return audit.dataset_changes(left, right, ["o_orderkey"], ["o_totalprice", "o_orderstatus"])
 
 
-@register("aud11_realtime_availability", """WITH s AS (SELECT event_type AS product, ts::DATE AS day, count(DISTINCT date_trunc('hour', ts)) AS present FROM events GROUP BY ALL), t AS (SELECT max(ts)::DATE AS today FROM events)
-SELECT product, epoch(day::TIMESTAMP)::BIGINT AS day, 24 - present AS missing, CASE WHEN present = 24 THEN 'complete' WHEN today - day <= 2 THEN 'recent_pending' WHEN today - day <= 6 THEN 'incomplete' ELSE 'at_risk' END AS state FROM s, t""")
-def _(spark, sf_dir):
-    e = b.table(spark, sf_dir, "events").select(c("event_type").alias("product"), F.to_date("ts").alias("day"), F.date_trunc("hour", c("ts").cast("timestamp")).alias("h"))
-    today = F.lit(e.agg(F.max("day")).head()[0])
-    missing = e.groupBy("product", "day").agg((24 - F.count_distinct("h")).alias("missing"))
-    return missing.select("product", b.seconds(c("day").cast("timestamp")).alias("day"), "missing", audit.availability_state(c("missing"), F.date_diff(today, "day")).alias("state"))
-
-
 @register("aud14_state_inventory", "SELECT l_returnflag AS variable, year(l_shipdate) AS year, count(v) AS n, count(*) FILTER (v IS NULL) AS missing, round(min(v) + 3.3e-9, 6) AS least, round(max(v) + 3.3e-9, 6) AS greatest, round(avg(v) + 3.3e-9, 6) AS mean, count(*) FILTER (v < 0) AS negative, count(*) FILTER (v < -10 OR v > 20) AS out_of_bounds FROM (SELECT *, CASE WHEN l_linenumber <> 7 THEN l_quantity - 25 END AS v FROM lineitem) GROUP BY ALL")
 def _(spark, sf_dir):
     s = b.table(spark, sf_dir, "lineitem").select(c("l_returnflag").alias("variable"), F.year("l_shipdate").alias("year"), F.when(c("l_linenumber") != 7, c("l_quantity") - 25).alias("v"))
