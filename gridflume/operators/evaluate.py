@@ -46,3 +46,15 @@ def shrunk_slope(df: DataFrame, observed: str, base: str, anomaly: str, prior: C
     ridge = strength * F.try_divide(F.col("aa"), F.col("n"))
     slope = F.try_divide(F.col("ar") + ridge * prior, F.col("aa") + ridge)
     return sums.withColumn("weight", F.greatest(F.least(slope, F.lit(1.0)), F.lit(0.0))).select(*by, "n", "weight")
+
+
+def override_sweep(samples: DataFrame, by: list[str], qualities: list[float], disagreements: list[float]) -> DataFrame:
+    """Errors per group for every pair of thresholds: where quality is below and the candidates differ by more, ``other`` replaces ``main``.
+
+    Samples are summed once for each pair as they are read, so only groups are shuffled.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(q).alias("q"), F.lit(d).alias("d")) for q in qualities for d in disagreements]))
+    tried = samples.withColumn("_p", pairs).select("*", F.col("_p.q").alias("q"), F.col("_p.d").alias("d"))
+    swap = (F.col("quality") < F.col("q")) & (F.abs(F.col("main") - F.col("other")) > F.col("d"))
+    error = F.when(swap, F.col("other")).otherwise(F.col("main")) - F.col("reference")
+    return tried.groupBy(*by, "q", "d").agg(F.count(error).alias("n"), F.count_if(swap).alias("overrides"), F.avg(error).alias("bias"), F.sqrt(F.avg(error * error)).alias("rmse"))

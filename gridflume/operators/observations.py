@@ -44,3 +44,11 @@ def active_since(stations: DataFrame, series: DataFrame, key: str, end: str, cut
     """Stations with a series that ends at or after the cutoff; ``unknown_end`` marks ones with an open series only."""
     known = series.groupBy(key).agg(F.bool_or(F.coalesce(F.col(end) >= cutoff, F.lit(False))).alias("_active"), F.bool_or(F.col(end).isNull()).alias("unknown_end"))
     return stations.join(known.where("_active or unknown_end"), key).withColumn("active", F.col("_active")).drop("_active")
+
+
+def acquisition_tasks(series: DataFrame, station: str, start: str, stop: str) -> DataFrame:
+    """Request windows from start to stop, split at year ends, with a stable id each."""
+    first, last = F.col(start), F.col(stop)
+    years = series.where(first <= last).withColumn("_year", F.explode(F.sequence(F.year(first), F.year(last))))
+    split = years.select(station, F.greatest(first, F.make_date("_year", F.lit(1), F.lit(1))).alias("first_day"), F.least(last, F.make_date("_year", F.lit(12), F.lit(31))).alias("last_day"))
+    return split.withColumn("request", F.sha2(F.concat_ws("|", F.col(station).cast("string"), F.col("first_day").cast("string"), F.col("last_day").cast("string")), 256))

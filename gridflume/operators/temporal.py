@@ -99,3 +99,16 @@ def signature(df: DataFrame, keys: list[str], parts: list[str]) -> DataFrame:
     """SHA-256 per key over the sorted rows of ``parts``."""
     row = F.concat_ws("|", *[F.col(p).cast("string") for p in parts])
     return df.groupBy(*keys).agg(F.sha2(F.concat_ws(";", F.array_sort(F.collect_list(row))), 256).alias("signature"))
+
+
+def latest_cycle(asked: DataFrame, available: DataFrame, hour: str, cycle: str, since: str, every: int = 6, longest: int = 12) -> DataFrame:
+    """For each asked hour the newest forecast cycle that reaches it with a lead of 1 to ``longest`` hours and was there by then, or null.
+
+    Hours, cycles and the hour ``since`` which a cycle is there are whole hours of one clock. Few
+    cycles can reach an hour, so these are listed and looked up by key.
+    """
+    h = F.col(hour)
+    newest = F.floor((h - 1) / every)
+    listed = asked.select(hour).distinct().withColumn(cycle, F.explode(F.sequence(F.ceil((h - longest) / every), newest))).withColumn(cycle, F.col(cycle) * every)
+    found = listed.join(available.select(cycle, since), cycle).where(F.col(since) <= h).groupBy(hour).agg(F.max(cycle).alias(cycle))
+    return asked.join(found, hour, "left").withColumn("lead", h - F.col(cycle))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import audit, incremental
+from ..operators import audit, evaluate, incremental, observations, temporal
 from . import bindings as b
 from .registry import register
 
@@ -95,3 +95,58 @@ def _(spark, sf_dir):
     place = F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey")) - 1
     parents = b.table(spark, sf_dir, "customer").select(c("c_custkey").alias("o_custkey"), place.cast("long").alias("position"))
     return b.table(spark, sf_dir, "orders").join(parents, "o_custkey", "left").select("o_orderkey", "position")
+
+
+_SWEEP = "SELECT event_type AS stratum, value AS reference, value * 0.9 + 5 AS main, value * 1.1 - 5 AS other, (user_id % 100) / 100.0::DOUBLE AS quality FROM events"
+
+
+@register("eva05_override_sweep", f"""WITH s AS ({_SWEEP}), t AS (SELECT *, quality < q AND abs(main - other) > d AS swap FROM s, (SELECT unnest([0.25, 0.5, 0.755]::DOUBLE[]) AS q), (SELECT unnest([0.55, 3.05]::DOUBLE[]) AS d)),
+e AS (SELECT *, CASE WHEN swap THEN other ELSE main END - reference AS err FROM t)
+SELECT stratum, q, d, count(err) AS n, count(*) FILTER (swap) AS overrides, round(avg(err) + 3.3e-9, 6) AS bias, round(sqrt(avg(err * err)) + 3.3e-9, 6) AS rmse FROM e GROUP BY ALL""")
+def _(spark, sf_dir):
+    v = c("value")
+    s = b.table(spark, sf_dir, "events").select(c("event_type").alias("stratum"), v.alias("reference"), (v * 0.9 + 5).alias("main"), (v * 1.1 - 5).alias("other"), ((c("user_id") % 100) / 100).alias("quality"))
+    found = evaluate.override_sweep(s, ["stratum"], [0.25, 0.5, 0.755], [0.55, 3.05])
+    return found.withColumns({k: b.rounded(k) for k in ("bias", "rmse")})
+
+
+@register("obs07_acquisition_tasks", """WITH s AS (SELECT l_suppkey AS station, min(l_shipdate)::DATE AS a, max(l_shipdate)::DATE AS z FROM lineitem GROUP BY l_suppkey), y AS (SELECT *, unnest(generate_series(year(a), year(z))) AS yr FROM s),
+w AS (SELECT station, greatest(a, make_date(yr::INT, 1, 1)) AS f, least(z, make_date(yr::INT, 12, 31)) AS l FROM y)
+SELECT station, epoch(f::TIMESTAMP)::BIGINT AS first_day, epoch(l::TIMESTAMP)::BIGINT AS last_day, sha256(station || '|' || f || '|' || l) AS request FROM w""")
+def _(spark, sf_dir):
+    day = F.to_date("l_shipdate")
+    s = b.table(spark, sf_dir, "lineitem").groupBy(c("l_suppkey").alias("station")).agg(F.min(day).alias("a"), F.max(day).alias("z"))
+    found = observations.acquisition_tasks(s, "station", "a", "z")
+    return found.withColumns({k: b.seconds(c(k).cast("timestamp")) for k in ("first_day", "last_day")})
+
+
+_HOURS = "SELECT event_id, floor(epoch(ts) / 3600)::BIGINT AS hour FROM events"
+
+
+@register("src22_cycle_candidates", f"""WITH h AS ({_HOURS}), a AS (SELECT hour // 6 * 6 AS cycle, min(hour) + 4 AS since FROM h GROUP BY 1),
+f AS (SELECT e.hour, max(cycle) AS cycle FROM (SELECT DISTINCT hour FROM h) e JOIN a ON e.hour - cycle BETWEEN 1 AND 12 AND since <= e.hour GROUP BY e.hour)
+SELECT event_id, h.hour, cycle, h.hour - cycle AS lead FROM h LEFT JOIN f ON h.hour = f.hour""")
+def _(spark, sf_dir):
+    h = b.table(spark, sf_dir, "events").select("event_id", F.floor(b.seconds(c("ts").cast("timestamp")) / 3600).alias("hour"))
+    available = h.groupBy((F.floor(c("hour") / 6) * 6).alias("cycle")).agg((F.min("hour") + 4).alias("since"))
+    return temporal.latest_cycle(h, available, "hour", "cycle", "since").select("event_id", "hour", "cycle", "lead")
+
+
+@register("aud15_pair_check", "SELECT l_suppkey AS model, l_shipdate::DATE::VARCHAR AS stamp, bool_or(l_linestatus = 'O') AND bool_or(l_linestatus = 'F') AS paired, count(*) FILTER (l_tax IS NULL OR l_tax = 0) AS unusable FROM lineitem GROUP BY ALL")
+def _(spark, sf_dir):
+    kind = c("l_linestatus")
+    both = F.bool_or(kind == "O") & F.bool_or(kind == "F")
+    return b.table(spark, sf_dir, "lineitem").groupBy(c("l_suppkey").alias("model"), b.text(F.to_date("l_shipdate")).alias("stamp")).agg(both.alias("paired"), F.count_if(c("l_tax").isNull() | (c("l_tax") == 0)).alias("unusable"))
+
+
+@register("inc02_publication_order", "SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus = 'F', CASE WHEN o_orderstatus = 'F' THEN -epoch(o_orderdate) ELSE epoch(o_orderdate) END, o_orderkey) AS place FROM orders")
+def _(spark, sf_dir):
+    accepted, at = c("o_orderstatus") == "F", b.seconds("o_orderdate")
+    w = Window.partitionBy("o_custkey").orderBy(accepted, F.when(accepted, -at).otherwise(at), "o_orderkey")
+    return b.table(spark, sf_dir, "orders").select("o_orderkey", F.row_number().over(w).alias("place"))
+
+
+@register("net10_routing_validity", "SELECT l_suppkey AS i, l_linenumber AS j, bool_or(l_returnflag = 'R') AS affected, bool_or(l_returnflag = 'N') AND NOT bool_or(l_returnflag = 'R') AS complete FROM lineitem GROUP BY ALL")
+def _(spark, sf_dir):
+    hit, whole = F.bool_or(c("l_returnflag") == "R"), F.bool_or(c("l_returnflag") == "N")
+    return b.table(spark, sf_dir, "lineitem").groupBy(c("l_suppkey").alias("i"), c("l_linenumber").alias("j")).agg(hit.alias("affected"), (whole & ~hit).alias("complete"))
