@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridflume.checkpoints import checkpointed
 from gridflume.functions import physics
-from gridflume.operators import composite, evaluate, fill, incremental, network, reconcile, regrid, temporal
+from gridflume.operators import audit, composite, evaluate, fill, incremental, network, observations, reconcile, regrid, temporal
 
 
 def rows(df):
@@ -107,3 +107,43 @@ def test_physics_round_trips(spark):
     down = physics.temperature_at_elevation(physics.temperature_at_elevation(t, F.lit(0.0), F.lit(900.0)), F.lit(900.0), F.lit(0.0))
     a, b, bad = df.select(back, down, physics.emissivity(-t, q, p)).head()
     assert math.isclose(a, 0.01, rel_tol=1e-12) and math.isclose(b, 290.0) and bad is None
+
+
+def test_dataset_changes_treats_nulls_alike(spark):
+    left = spark.createDataFrame([(1, 1.0, None), (2, 2.0, "a"), (3, None, "b")], "k int, v double, s string")
+    right = spark.createDataFrame([(1, 1.0, None), (2, None, "c"), (4, 0.0, "d")], "k int, v double, s string")
+    got = {r["k"]: r["change"] for r in audit.dataset_changes(left, right, ["k"], ["v", "s"]).collect()}
+    assert got == {2: "v,s", 3: "removed", 4: "added"}
+
+
+def test_accepted_prefix_ends_at_gap_or_refusal(spark):
+    rows = [("a", 0, 1, True), ("a", 1, 2, True), ("a", 3, 4, True), ("b", 0, 1, True), ("b", 1, 2, None), ("b", 2, 3, True), ("c", 0, 1, False)]
+    found = incremental.accepted_prefix(spark.createDataFrame(rows, "k string, s int, e int, ok boolean"), ["k"], "s", "e", "ok")
+    assert {r["k"]: (r["segments"], r["resume"]) for r in found.collect()} == {"a": (2, 2), "b": (1, 1), "c": (0, None)}
+
+
+def test_fingerprints_ignore_order_and_copies(spark):
+    one = spark.createDataFrame([("x", "p"), ("x", "q"), ("x", "q"), ("y", "p"), ("z", "n")], "k string, i string")
+    two = spark.createDataFrame([("x", "q"), ("x", "p"), ("y", "r")], "k string, i string")
+    held = incremental.fingerprints(two, ["k"], F.col("i"))
+    need = incremental.needing_work(incremental.fingerprints(one, ["k"], F.col("i")), held, ["k"])
+    assert {r["k"]: r["reason"] for r in need.collect()} == {"y": "changed", "z": "new"}
+
+
+def test_latest_cycle_waits_until_it_is_there(spark):
+    asked = spark.createDataFrame([(12,), (17,), (30,), (40,)], "h long")
+    cycles = spark.createDataFrame([(0, 4), (6, 13), (12, 16), (18, 22)], "c long, since long")
+    found = temporal.latest_cycle(asked, cycles, "h", "c", "since").collect()
+    assert {r["h"]: (r["c"], r["lead"]) for r in found} == {12: (0, 12), 17: (12, 5), 30: (18, 12), 40: (None, None)}
+
+
+def test_acquisition_tasks_split_at_year_ends(spark):
+    s = spark.sql("select 'a' as st, date'2020-12-30' as f, date'2022-01-02' as l union all select 'b', date'2021-02-02', date'2021-02-01'")
+    got = sorted((r["st"], str(r["first_day"]), str(r["last_day"])) for r in observations.acquisition_tasks(s, "st", "f", "l").collect())
+    assert got == [("a", "2020-12-30", "2020-12-31"), ("a", "2021-01-01", "2021-12-31"), ("a", "2022-01-01", "2022-01-02")]
+
+
+def test_calendar_eligibility_names_what_blocks(spark):
+    days = spark.sql("select 's' as k, d, ok from values (date'2020-01-01', true), (date'2020-01-02', true), (date'2020-01-03', null), (date'2020-01-05', true) as t(d, ok)")
+    got = {str(r["d"]): r["state"] for r in incremental.calendar_eligibility(days, ["k"], "d", "ok").collect()}
+    assert got == {"2020-01-01": "no_previous_day", "2020-01-02": "eligible", "2020-01-03": "no_constraint", "2020-01-05": "no_previous_day"}
