@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridflume.llm import exact_dedup, language, packing, simhash, substring
+from gridflume.llm import exact_dedup, language, near_copies, packing, substring
 from gridflume.llm.common import id_crc, new_path, table
 from gridflume.llm.queries import BYTE_BPE
 
@@ -26,8 +26,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints, the row with the smallest id."""
-    gone = simhash.near_duplicates(docs).where("doc_id <> component_id").select("doc_id")
+    """Of each group of near copies, by fingerprints and by five-word shingles of similarity 0.8, the row with the smallest id."""
+    gone = near_copies.near_copies(docs).where("doc_id <> component_id").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -318,3 +318,31 @@ def test_pipeline_stages(spark, tmp_path):
     last = {r["doc_id"]: r["text"] for r in kept.collect()}
     assert last[2] == texts[2] and last[3] == "beta gamma " + passage(10, 40)
     assert pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().count() == 4
+
+
+def test_pipeline_drops_near_copies_beyond_two_bits(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = np.random.default_rng(6)
+    texts = []
+    for k in range(12):
+        base = [f"u{k}v{i}" for i in range(300)]
+        texts.append(" ".join(base))
+        for n in (2, 4, 30):  # words replaced
+            other = list(base)
+            for i in rng.choice(300, n, replace=False):
+                other[i] = f"z{k}n{n}i{i}"
+            texts.append(" ".join(other))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    prints = [plain_fingerprint(t) for t in texts]
+    root = list(range(len(texts)))
+    wide = 0
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        alike = len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+        wide += alike and (prints[a] ^ prints[b]).bit_count() > 2
+        if alike or (prints[a] ^ prints[b]).bit_count() <= 2:
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+    assert wide > 10
+    kept = pipeline.drop_near_copies(spark, docs(spark, texts), "")
+    got = sorted(r[0] for r in kept.select("doc_id").collect())
+    assert got == [i for i, r in enumerate(root) if i == r] and 12 < len(got) < 36
