@@ -36,7 +36,7 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz.scored(table(spark, sf_dir, "documents"), _fold(7) == 2)
+    return katz.scored(table(spark, sf_dir, "documents"), _fold(7) == 2, order=3)
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -346,3 +346,12 @@ def test_pipeline_drops_near_copies_beyond_two_bits(spark):
     kept = pipeline.drop_near_copies(spark, docs(spark, texts), "")
     got = sorted(r[0] for r in kept.select("doc_id").collect())
     assert got == [i for i, r in enumerate(root) if i == r] and 12 < len(got) < 36
+
+
+def test_op3_asks_three_words(spark, tmp_path):
+    df = docs(spark, ["a b c", "a b c", "a b d", "x b d", "x b c", "x b d", "b c", "a b c d"] * 4)
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
+    want, short = ({r["doc_id"]: r["score"] for r in katz.scored(df, held_out, order).collect()} for order in (3, 2))
+    got = {r["doc_id"]: r["score"] for r in queries.op3_katz_scoring(spark, str(tmp_path)).collect()}
+    assert got == pytest.approx(want) and got != pytest.approx(short)
