@@ -187,7 +187,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     s = b.table(spark, sf_dir, "part").select(c("p_partkey").alias("src"), (c("p_retailprice") / 100).alias("depth"))
     t = b.table(spark, sf_dir, "supplier").select(c("s_suppkey").alias("dst"), F.when(c("s_suppkey") % 5 != 0, 8 + c("s_suppkey") % 7).cast("double").alias("total"))
-    return checkpointed(spark, lambda: reconcile.reconcile_period(s, t, b.links(spark, sf_dir), rounds=6).withColumn("corrected", b.rounded("corrected", 4)))
+    return checkpointed(spark, lambda: reconcile.reconcile_period(s, t, b.links(spark, sf_dir)).withColumn("corrected", b.rounded("corrected", 4)))
 
 
 @register("eva01_continuous_metrics", """WITH p AS (SELECT l_quantity * 1000 AS r, l_extendedprice AS c, l_discount AS w FROM lineitem WHERE l_discount > 0)

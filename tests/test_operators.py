@@ -147,3 +147,17 @@ def test_calendar_eligibility_names_what_blocks(spark):
     days = spark.sql("select 's' as k, d, ok from values (date'2020-01-01', true), (date'2020-01-02', true), (date'2020-01-03', null), (date'2020-01-05', true) as t(d, ok)")
     got = {str(r["d"]): r["state"] for r in incremental.calendar_eligibility(days, ["k"], "d", "ok").collect()}
     assert got == {"2020-01-01": "no_previous_day", "2020-01-02": "eligible", "2020-01-03": "no_constraint", "2020-01-05": "no_previous_day"}
+
+
+def test_rec02_leaves_the_rounds_to_the_operator(spark, monkeypatch):
+    from gridflume.plans import registry
+
+    asked = []
+
+    def noted(sources, targets, links, **how):
+        asked.append(how)
+        return sources.withColumn("corrected", F.col("depth"))
+
+    monkeypatch.setattr(reconcile, "reconcile_period", noted)
+    registry.queries()["rec02_reconcile_period"](spark, "/root/testdata/sf0.001").count()
+    assert asked == [{}]
