@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +16,36 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 
 
+#: Words whose hashes a worker remembers.
+CACHE = 500_000
+
+
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHE:
+            self.clear()
+        self[word] = value = xxhash.xxh64_intdigest(word)
+        return value
+
+
+_HASHES = _WordHashes()
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """XXH64 of each word; a worker remembers those of late."""
+    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; only where that is unset (tests), a new one."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Only where that is unset and all tasks run on this machine (a local master, as in tests), a new one.
+    """
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="gridflume-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(found)
@@ -46,6 +73,11 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def text_hash(column: str = "text") -> Column:
+    """With the id it tells rows apart, where an id is null or stands for more than one text; null counts as empty."""
+    return F.xxhash64(text_or_empty(column))
+
+
 def id_crc(column: str = "doc_id") -> Column:
     """crc32 of the id written as text; null ids count as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))

@@ -2,40 +2,83 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import shared_dir
 
+#: Parts that a node's edges are dealt over, so that a hub's do not meet in one task.
+SALTS = 64
+
+
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges node-to-root that connect the same nodes as the pairs (a, b) and are no more than the nodes."""
+    nodes, where = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = where[: len(a)], where[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[u], root[v])
+        new = root.copy()
+        np.minimum.at(new, u, low)
+        np.minimum.at(new, v, low)
+        np.minimum.at(new, root[u], low)
+        np.minimum.at(new, root[v], low)
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    moved = root != np.arange(len(nodes))
+    return nodes[moved], nodes[root[moved]]
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the edges of each batch connect, with no more edges than nodes."""
+    for b in batches:
+        if b.num_rows:
+            u, v = spanning(b.column("u").to_numpy(), b.column("v").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
 
 def _digest(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1_000_000_007)))).head()
     return tuple(row)
 
 
+def _with_least(edges: DataFrame) -> DataFrame:
+    """Edges (u, v) with ``m``, the least v of their u, found and joined in parts so that no task gets a whole hub."""
+    dealt = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    partial = dealt.groupBy("u", "salt").agg(F.min("v").alias("m"))
+    least = partial.groupBy("u").agg(F.min("m").alias("m"))
+    return dealt.join(partial.select("u", "salt").join(least, "u"), ["u", "salt"]).select("u", "v", "m")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    both = _with_least(edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+    return both.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+    down = _with_least(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+    # each edge moves to the least neighbour, and the one to that neighbour stays
+    return down.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct()
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``(node, root)`` for every node with an edge; ``root`` is the smallest node that it reaches.
 
     ``edges`` has the long columns ``u`` and ``v``. Null ends and loops are ignored, repeated and
-    mirrored edges count once, an empty table gives an empty result. The edges stay in Spark; each
-    round is checkpointed in the shared folder, so it survives lost executors.
+    mirrored edges count once, an empty table gives an empty result. The edges stay in Spark; batches
+    are thinned to what they connect first, a hub's edges are dealt over tasks, and each round is
+    checkpointed in the shared folder, so it survives lost executors.
     """
     spark = edges.sparkSession
     shared_dir(spark)
-    now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().checkpoint()
+    now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    now = now.mapInArrow(_forest, "u long, v long").distinct().checkpoint()
     before = _digest(now)
     for _ in range(most_rounds):
         now = _small_star(_large_star(now)).checkpoint()

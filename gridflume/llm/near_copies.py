@@ -12,12 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from .common import staged, text_or_empty, utf8_texts
+from .common import staged, text_hash, utf8_texts, word_hashes
 from .components import components
 from .simhash import fingerprint, near_edges
 
@@ -27,23 +26,11 @@ ROWS, BANDS = 4, 24
 AGREEING = 56
 #: Texts of a band that are compared in one piece.
 TILE = 1024
-CACHE = 500_000
 _U = np.uint64
 _FACTORS = np.random.default_rng(11).integers(0, 1 << 64, ROWS * BANDS, dtype=np.uint64) | _U(1)
 _ADDED = np.random.default_rng(12).integers(0, 1 << 64, ROWS * BANDS, dtype=np.uint64)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_HASHES = _WordHashes()
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(33))) * _U(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> _U(33))) * _U(0xC4CEB9FE1A85EC53)
@@ -53,7 +40,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def shingles(text: bytes) -> np.ndarray:
     """Sorted distinct hashes of the five-word shingles; of a shorter text, of all its words; empty without words."""
     words = text.lower().split()
-    w = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    w = word_hashes(words)
     size = min(SHINGLE, len(w))
     n = len(w) - size + 1 if size else 0
     joined = np.full(n, size, np.uint64)
@@ -147,13 +134,14 @@ def _regrouped(groups: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, radius: int = 2) -> DataFrame:
-    """One row per input row: doc_id, component_id.
+    """One row per input row: doc_id, component_id, text_hash.
 
     ``component_id`` is the smallest doc_id reachable over SimHash links of ``radius`` bits and over pairs of
     similarity ``LEAST`` and more. Texts without words are linked by their fingerprint alone. Rows with a null
-    doc_id link too. An empty table gives no rows.
+    doc_id link too, but are not chosen where another is there. Rows that repeat an id with another text are rows
+    of their own, told apart by ``text_hash``. An empty table gives no rows.
     """
-    named = docs.select("doc_id", "text", F.xxhash64(text_or_empty()).alias("node"))
+    named = docs.select("doc_id", "text", text_hash().alias("node"))
     signed = named.mapInArrow(_signed, docs.select("doc_id").schema.add("node", "long").add("fp", "long").add("size", "long").add("bands", ArrayType(LongType())).add("minima", "binary"))
     signed = staged(signed, "signed")
     fps = signed.select("fp").distinct()
@@ -185,7 +173,7 @@ def near_copies(docs: DataFrame, radius: int = 2) -> DataFrame:
     pairs = staged(_fitting(pairs).join(once, ["u", "v"], "left_anti"), "all_pairs")
     groups = _regrouped(groups, _linking(pairs, texts))
 
-    rooted = signed.select("doc_id", "fp").join(groups, "fp").select("doc_id", "root")
+    rooted = signed.select("doc_id", "node", "fp").join(groups, "fp").select("doc_id", "node", "root")
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rooted.join(least, "root").select("doc_id", "component_id")
+    return rooted.join(least, "root").select("doc_id", "component_id", F.col("node").alias("text_hash"))
 

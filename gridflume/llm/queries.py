@@ -65,7 +65,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +93,7 @@ def oracle_sql() -> dict[str, str]:
 OP9_SQL = r"""
 WITH norm AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
-       coalesce(doc_id = min(doc_id) OVER w, false) AS kept, sha256(t) AS text_sha256
+       doc_id IS NOT DISTINCT FROM min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
 FROM norm WINDOW w AS (PARTITION BY t)
 """
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged, utf8_texts
-from .components import components
+from .components import components, spanning
 
 #: Fingerprints in a tile at most (on average; a tile of a busy key is one of several).
 TILE = 2048
@@ -57,26 +57,6 @@ def _offsets(radius: int) -> list[tuple[int, ...]]:
     return [s for s in steps if sum(map(abs, s)) <= radius and s >= (0, 0, 0, 0)]
 
 
-def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges node-to-root that connect the same nodes as the pairs (a, b) and are no more than the nodes."""
-    nodes, where = np.unique(np.concatenate([a, b]), return_inverse=True)
-    u, v = where[: len(a)], where[len(a) :]
-    root = np.arange(len(nodes))
-    while True:
-        low = np.minimum(root[u], root[v])
-        new = root.copy()
-        np.minimum.at(new, u, low)
-        np.minimum.at(new, v, low)
-        np.minimum.at(new, root[u], low)
-        np.minimum.at(new, root[v], low)
-        new = new[new]
-        if (new == root).all():
-            break
-        root = new
-    moved = root != np.arange(len(nodes))
-    return nodes[moved], nodes[root[moved]]
-
-
 def _links(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,7 +75,7 @@ def _links(radius: int):
                 if same[i]:
                     x, y = x[x != y], y[x != y]
                 if len(x):
-                    x, y = _spanning(x, y)
+                    x, y = spanning(x, y)
                     found_u.append(x)
                     found_v.append(y)
             if found_u:

@@ -41,9 +41,9 @@ def test_counting_filter_merges_losslessly():
     rng = np.random.default_rng(1)
     a, b = rng.integers(0, 50, 400).astype(np.uint64) << np.uint64(38), rng.integers(0, 80, 300).astype(np.uint64) << np.uint64(38)
     f = exact_dedup.CountingQuotientFilter
-    both = f.of(a).merge(f.of(b))
+    both = f.merged([f.of(a), f.of(b)])
     assert dict(zip(both.fingerprints().tolist(), both.counters.tolist(), strict=True)) == Counter(a.tolist() + b.tolist())
-    assert sum(len(p.remainders) for _, p in both.slices()) == len(both.remainders)
+    assert sum(len(p.remainders) for _, p in both.slices(12)) == len(both.remainders)
 
 
 def plain_fingerprint(text):
@@ -320,6 +320,40 @@ def test_pipeline_stages(spark, tmp_path):
     assert pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().count() == 4
 
 
+def test_pipeline_tells_rows_apart_by_id_and_text(spark):
+    """Repeated ids of different texts, null ids and repeated rows: each row follows what its operator says of it."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    p, q = passage(21, 120), passage(22, 130)
+    rows = [(3, p), (5, p), (5, "unrelated words of another text " * 3), (None, p), (None, "only a null id has this text"), (None, "only a null id has this  text"), (7, "twice"), (7, "twice")]
+    given = docs(spark, [t for _, t in rows], [i for i, _ in rows])
+    kept = sorted(((r["doc_id"], r["text"]) for r in pipeline.drop_exact_copies(spark, given, "").collect()), key=str)
+    assert kept == sorted([rows[0], rows[2], rows[4], rows[5], rows[6], rows[7]], key=str)
+    near = sorted(((r["doc_id"], r["text"]) for r in pipeline.drop_near_copies(spark, given, "").collect()), key=str)
+    assert near == kept
+    rows = [(1, q), (4, "x y " + q), (4, "unrelated row with the same id"), (None, "x y " + q), (4, "x y " + q), (6, None)]
+    cut = pipeline.drop_repeated_passages(spark, docs(spark, [t for _, t in rows], [i for i, _ in rows]), "")
+    got = sorted(((r["doc_id"], r["text"], r["n_chars"]) for r in cut.collect()), key=str)
+    assert got == sorted([(1, q, 0), (4, "x y", 3), (4, "x y", 3), (4, rows[2][1], 0), (None, "x y " + q, 0), (6, None, 0)], key=str)
+    empty = given.limit(0)
+    for _, stage in pipeline.STAGES[:-1]:
+        assert stage(spark, empty, "").count() == 0 and stage(spark, empty, "").columns == given.columns
+
+
+def test_components_of_a_hub(spark):
+    edges = [(0, i) for i in range(1, 3000)] + [(i, i + 10_000) for i in range(1, 50)]
+    got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "u long, v long").repartition(5)).collect()}
+    assert len(got) == 3049 and set(got.values()) == {0}
+
+
+def test_substring_segments_of_long_documents(spark, monkeypatch):
+    monkeypatch.setattr(substring, "SHARD_WORDS", 300)
+    p = passage(31, 5000)
+    texts = [p, "a " + p + " b " + p[2000:9000], "c " + p[:30_000] + " d", "e e " + p]
+    got = {r["doc_id"]: r for r in substring.repeated_passages(docs(spark, texts)).collect()}
+    for i, want in enumerate(plain_removal(texts)):
+        assert (got[i]["n_words"], got[i]["n_removed"], got[i]["kept_sha256"]) == want
+
+
 def test_pipeline_drops_near_copies_beyond_two_bits(spark):
     pipeline = pytest.importorskip("corpus_pipeline")
     rng = np.random.default_rng(6)
