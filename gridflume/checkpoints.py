@@ -9,8 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpointed(spark: SparkSession, job: Callable[[], DataFrame]) -> DataFrame:
-    """Run a job that checkpoints, in the folder that the cluster names in ``spark.checkpoint.dir``; only where none is set, in a new one."""
+    """Run a job that checkpoints, in the folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Only where none is set and all tasks run on this machine, in a new one.
+    """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="gridflume-"))
+        found = sc.getConf().get("spark.checkpoint.dir")
+        if not found and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(found or tempfile.mkdtemp(prefix="gridflume-"))
     return job()
