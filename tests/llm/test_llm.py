@@ -191,10 +191,23 @@ def test_nbest_brute_force():
         return sorted(out, reverse=True)[:6]
 
     for text in ["ab cde fg", "hello world", "é \U0001f600x", "a  b", "", " ", "aaaa bbb"]:
-        ways, decoded = m.nbest(text)
-        assert [s for s, _ in ways] == brute(m.sp.normalize(text))
-        assert all(m.decode(np.frombuffer(ids, "<u4").tolist()) == text for _, ids in ways)
-        assert len({ids for _, ids in ways}) == len(ways)
+        ways = m.nbest(text)
+        assert [s for s, _, _ in ways] == brute(m.sp.normalize(text))
+        assert all(m.decode(np.frombuffer(ids, "<u4").tolist()) == text == spelled.decode().removeprefix(" ") for _, ids, spelled in ways)
+        assert len({ids for _, ids, _ in ways}) == len(ways)
+
+
+def test_nbest_words_side_by_side_and_alone():
+    m = nbest.PieceModel(queries.PIECES, 3)
+    words = ["\u2581hello", "\u2581world", "\u2581\U0001f600\U0001f600x", "x", "\u2581aaaaaaaa", "\u2581étréö"]
+    assert m.viterbi(words) == [m._alone(w) for w in words]
+
+
+def test_nbest_of_a_long_word():
+    m = nbest.PieceModel(queries.PIECES, 3)
+    text = "".join("abcdefghij"[i * i % 10] for i in range(200_000))
+    ways = m.nbest(text)
+    assert len(ways) == 3 and all(spelled.decode().removeprefix(" ") == text for _, _, spelled in ways)
 
 
 def test_nbest_rows(spark):
