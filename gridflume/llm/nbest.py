@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 
 SPACE = "▁"
 #: Words that a worker remembers; those not in use are forgotten when there is no room.
-CACHE = 600_000
+CACHE = 400_000
 #: Letters of words that are walked side by side, and of a word that is walked alone.
 _CELLS, _LONG = 1 << 16, 100
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)

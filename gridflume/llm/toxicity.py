@@ -1,21 +1,20 @@
-"""Toxicity by a subsequence string kernel and a support vector machine over Nystroem landmarks.
+"""Toxicity by a subsequence string kernel and a support vector machine over Nystroem landmarks, trained on sentences.
 
 Two strings are alike by the subsequences of three letters that they share; one that spans more
-characters counts less, so gaps and inserted characters are tolerated. A sentence is scored by its
-most insulting word (runs of lone characters are read as one word), a document by its most
-insulting sentence.
+characters counts less, so gaps and inserted characters are tolerated. A sentence is compared with a
+landmark by its most alike word (runs of lone characters are read as one word), so it has one kernel
+value per landmark, and the machine is trained on these values of labelled sentences.
 
-The machine is linear in the landmarks' kernel values, and those are linear in a string's
-subsequence weights. So the trained machine is held as one weight per subsequence, which gives the
-same value as the landmarks do without comparing each word with each of them.
+Labels are of documents: a document is a bag of sentences. Sentences of clean documents are clean;
+of a toxic document only its worst sentence by the machine so far is held to be toxic, in rounds, the
+first time those nearest to any landmark. A document scores as its worst sentence.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from dataclasses import dataclass
-from functools import lru_cache
-from itertools import combinations
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -24,129 +23,109 @@ from pyspark.sql import functions as F
 
 from .common import staged
 
-LETTERS = 64
+#: Code points; a subsequence of three letters is one number below their third power.
+LETTERS = 1 << 21
 DECAY = 0.7
+#: Kernel values below this are those of strings that have little in common; they count as none.
+LEAST = 0.5
 #: Longer words are read through windows of this many characters, half as far apart.
 WIDEST = 20
 #: About so many labelled documents are learned from.
 POSITIVE_ROWS, NEGATIVE_ROWS = 1500, 3000
-#: Words learned from, and landmarks among them, of either kind.
-POSITIVE_WORDS, NEGATIVE_WORDS = 600, 3000
-POSITIVE_LANDMARKS, NEGATIVE_LANDMARKS = 64, 32
-#: Clean words that a trained machine takes for the worst insults are learned from in the next of so many rounds.
-HARD_WORDS, HARD_ROUNDS = 500, 2
-#: An insult is seen in so many different surroundings at least, and so many times as often (logarithm) as in clean documents.
-CONTEXTS, LOG_ODDS = 5, 4.0
+#: Landmarks at most, and how many standard deviations apart their log odds in toxic and clean documents must be.
+LANDMARKS, TELLING = 400, 2.8
+#: Added to the landmarks' kernel matrix, so that landmarks that are much alike share their weight.
+JITTER = 0.1
+#: Rounds of finding each toxic document's worst sentence.
+ROUNDS = 5
 CACHE = 400_000
+_SENTENCE = re.compile(r"(?<=[.!?。！？])\s+|[\r\n]+")
 
 
-@lru_cache(1)
-def _letter_table() -> np.ndarray:
-    """a to z are 1 to 26, other letters share the places behind, what is no letter is 0."""
+def _triples(n: int) -> tuple[np.ndarray, np.ndarray]:
+    at = np.array([(a, b, c) for a in range(n) for b in range(a + 1, n) for c in range(b + 1, n)], np.int64).reshape(-1, 3)
+    return at, DECAY ** (at[:, 2] - at[:, 0] + 1.0)
 
-    def place(c: int) -> int:
-        if 97 <= c <= 122:
-            return c - 96
-        return 27 + c % (LETTERS - 27) if chr(c).isalpha() else 0
 
-    return np.fromiter(map(place, range(0x110000)), np.int64, 0x110000)
+_TRIPLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-@lru_cache(64)
-def _triples(n: int) -> tuple[np.ndarray, np.ndarray]:
-    at = np.array(list(combinations(range(n), 3)), np.int64).reshape(-1, 3)
-    return at, DECAY ** (at[:, 2] - at[:, 0] + 1.0)
+def _letters_of(word: str) -> str:
+    """The word, marked at both ends where it has fewer than three letters, so that short words have subsequences too."""
+    return word if sum(map(str.isalpha, word)) >= 3 else f"\2{word}\3"
 
 
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, subsequence, weight) of every word, each subsequence of a word once; words have WIDEST characters at most."""
+    """(row, subsequence, weight) of every word, each subsequence of a word once; words have WIDEST characters at most.
+
+    Characters that are no letters have a place but are part of no subsequence.
+    """
+    words = list(map(_letters_of, words))
     rows, codes, weights = [], [], []
-    table, sizes = _letter_table(), np.fromiter(map(len, words), np.int64, len(words))
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
     for n in np.unique(sizes[sizes >= 3]).tolist():
         own = np.flatnonzero(sizes == n)
-        letters = table[np.frombuffer("".join([words[i] for i in own]).encode("utf-32-le"), np.uint32)].reshape(-1, n)
-        at, weight = _triples(n)
-        a, b, c = letters[:, at[:, 0]], letters[:, at[:, 1]], letters[:, at[:, 2]]
-        code = (a * LETTERS + b) * LETTERS + c
-        real = (a > 0) & (b > 0) & (c > 0)
+        text = "".join([words[i] for i in own])
+        letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64).reshape(-1, n)
+        is_letter = np.fromiter((c.isalpha() or c in "\2\3" for c in text), bool, len(text)).reshape(-1, n)
+        if n not in _TRIPLES:
+            _TRIPLES[n] = _triples(n)
+        at, weight = _TRIPLES[n]
+        code = (letters[:, at[:, 0]] * LETTERS + letters[:, at[:, 1]]) * LETTERS + letters[:, at[:, 2]]
+        real = is_letter[:, at].all(axis=2)
         rows.append(np.repeat(own, real.sum(axis=1)))
         codes.append(code[real])
         weights.append(np.broadcast_to(weight, code.shape)[real])
     if not rows:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     rows, codes, weights = map(np.concatenate, (rows, codes, weights))
-    key, where = np.unique(rows * LETTERS**3 + codes, return_inverse=True)
-    return key // LETTERS**3, key % LETTERS**3, np.bincount(where, weights, len(key))
+    order = np.lexsort((codes, rows))
+    rows, codes, weights = rows[order], codes[order], weights[order]
+    first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (codes[1:] != codes[:-1])]) if len(rows) else np.zeros(0, np.int64)
+    return rows[first], codes[first], np.add.reduceat(weights, first) if len(first) else weights
 
 
 def _normed(rows: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
     norm = np.sqrt(np.bincount(rows, weights * weights, n))
-    return np.where(norm > 0, norm, 1)
-
-
-def kernel(left: list[str], right: list[str], block: int = 256) -> np.ndarray:
-    """Normalised kernel values; 0 for words with fewer than three letters. ``right`` are few, ``left`` go in blocks."""
-    rows, codes, weights = subsequences(right)
-    shared, at = np.unique(codes, return_inverse=True)
-    columns = np.zeros((len(shared), len(right)), np.float32)
-    columns[at, rows] = weights / _normed(rows, weights, len(right))[rows]
-    out = np.zeros((len(left), len(right)), np.float32)
-    for k in range(0, len(left), block):
-        part = left[k : k + block]
-        rows, codes, weights = subsequences(part)
-        at = np.searchsorted(shared, codes)
-        met = at < len(shared)
-        met[met] = shared[at[met]] == codes[met]
-        dense = np.zeros((len(part), len(shared)), np.float32)
-        dense[rows[met], at[met]] = (weights / _normed(rows, weights, len(part))[rows])[met]
-        out[k : k + block] = dense @ columns
-    return out
+    return weights / np.where(norm > 0, norm, 1)[rows]
 
 
-@dataclass
-class ToxicityModel:
-    weight: np.ndarray
-    bias: float
-    slope: float = 1.0
-    shift: float = 0.0
+class Landmarks:
+    """Strings that others are compared with, by the subsequences that they hold."""
+
+    def __init__(self, marks: list[str]) -> None:
+        self.marks = marks
+        rows, codes, weights = subsequences(marks)
+        weights = _normed(rows, weights, len(marks))
+        order = np.argsort(codes, kind="stable")
+        self.owner, self.weight = rows[order], weights[order]
+        self.codes, self.start, self.count = np.unique(codes[order], return_index=True, return_counts=True)
 
-    def margins(self, words: list[str]) -> np.ndarray:
+    def values(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word, landmark, kernel value) of all values above zero."""
         rows, codes, weights = subsequences(words)
-        value = np.bincount(rows, weights * self.weight[codes], len(words))
-        return value / _normed(rows, weights, len(words)) + self.bias
-
-    def probability(self, margin: float) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30))))
-
-
-def train(positive: list[str], negative: list[str], hard: list[str] = (), epochs: int = 20, ridge: float = 1e-4, seed: int = 3) -> ToxicityModel:
-    """Hinge loss by stochastic gradient descent over the landmarks' features; both kinds weigh the same."""
-    if not positive or not negative:
-        return ToxicityModel(np.zeros(LETTERS**3), -1.0 if not positive else 0.0)
-    marks = list(dict.fromkeys(positive[:POSITIVE_LANDMARKS] + negative[:NEGATIVE_LANDMARKS] + list(hard)[:POSITIVE_LANDMARKS]))
-    negative = list(dict.fromkeys([*negative, *hard]))
-    value, vector = np.linalg.eigh(kernel(marks, marks).astype(float))
-    root = vector @ np.diag(np.where(value > 1e-6, 1 / np.sqrt(np.maximum(value, 1e-6)), 0)) @ vector.T
-    x = kernel(positive + negative, marks) @ root
-    y = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
-    cost = np.where(y > 0, 0.5 / len(positive), 0.5 / len(negative)) * len(y)
-    rng, w, b, step = np.random.default_rng(seed), np.zeros(len(marks)), 0.0, 0
-    for _ in range(epochs):
-        for i in rng.permutation(len(y)):
-            step += 1
-            rate = 1 / (ridge * (step + 1 / ridge))
-            w *= 1 - rate * ridge
-            if y[i] * (x[i] @ w + b) < 1:
-                w += rate * cost[i] * y[i] * x[i]
-                b += 0.1 * rate * cost[i] * y[i]
-    by_mark = root @ w
-    rows, codes, weights = subsequences(marks)
-    share = by_mark[rows] * weights / _normed(rows, weights, len(marks))[rows]
-    return ToxicityModel(np.bincount(codes, share, LETTERS**3), b)
+        weights = _normed(rows, weights, len(words))
+        if not len(self.codes) or not len(codes):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        met = self.codes[at] == codes
+        at, rows, weights = at[met], rows[met], weights[met]
+        times = self.count[at]
+        entry = np.repeat(self.start[at] - np.r_[0, np.cumsum(times)[:-1]], times) + np.arange(times.sum())
+        key, where = np.unique(np.repeat(rows, times) * len(self.marks) + self.owner[entry], return_inverse=True)
+        return key // len(self.marks), key % len(self.marks), np.bincount(where, np.repeat(weights, times) * self.weight[entry], len(key))
+
+
+def kernel(left: list[str], right: list[str]) -> np.ndarray:
+    """Normalised kernel values; 0 for strings without letters."""
+    out = np.zeros((len(left), len(right)))
+    row, mark, value = Landmarks(right).values(left)
+    out[row, mark] = value
+    return out
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-cased words of a whole text; runs of three and more lone characters also as one word; long words in windows."""
+    """Lower-cased words of a text; runs of three and more lone characters also as one word; long words in windows."""
     words = text.lower().split()
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     lone = np.flatnonzero(np.diff(np.r_[0, sizes == 1, 0]))
@@ -158,81 +137,182 @@ def words_of(text: str) -> list[str]:
     return found
 
 
-class _Scorer:
-    def __init__(self, model: ToxicityModel) -> None:
-        self.model, self.known = model, {}
+def sentences_of(text: str) -> list[str]:
+    """Parts of a text between line ends and after full stops, exclamation and question marks with white space behind."""
+    return [s for s in _SENTENCE.split(text) if s and not s.isspace()]
 
-    def margins(self, texts: list[str | None]) -> list[float]:
+
+class Reader:
+    """Kernel values of sentences; a worker remembers what words have in common with the landmarks."""
+
+    def __init__(self, landmarks: Landmarks) -> None:
+        self.landmarks, self.known = landmarks, {}
+
+    def learn(self, words: set[str]) -> None:
         if len(self.known) > CACHE:
             self.known.clear()
-        known, out = self.known, []
+        new = [w for w in words if w not in self.known]
+        for k in range(0, len(new), 20_000):
+            part = new[k : k + 20_000]
+            self.known.update(dict.fromkeys(part))
+            row, mark, value = self.landmarks.values(part)
+            near = value >= LEAST
+            row, mark, value = row[near], mark[near], value[near]
+            ends = np.searchsorted(row, np.arange(len(part) + 1))
+            for i in np.unique(row).tolist():
+                own = slice(ends[i], ends[i + 1])
+                self.known[part[i]] = mark[own], value[own]
+
+    def bag(self, text: str, words: set[str]) -> list[dict[int, float]]:
+        """The distinct sentences that have something in common with a landmark, as {landmark: greatest value}."""
+        known = self.known
+        alike = {w for w in words if known[w] is not None}
+        if not alike:
+            return []
+        out = []
+        for sentence in sentences_of(text):
+            near = alike.intersection(words_of(sentence))
+            if near:
+                values: dict[int, float] = {}
+                for w in near:
+                    for m, v in zip(*(x.tolist() for x in known[w]), strict=True):
+                        values[m] = max(v, values.get(m, 0.0))
+                out.append(values)
+        return [dict(x) for x in dict.fromkeys(tuple(sorted(x.items())) for x in out)]
+
+    def bags(self, texts: list[str | None]) -> Iterator[list[dict[int, float]]]:
         for at in range(0, len(texts), 500):
-            sets = [set(words_of(t)) if t else set() for t in texts[at : at + 500]]
-            new = list(set().union(*sets) - known.keys())
-            for k in range(0, len(new), 20_000):
-                part = new[k : k + 20_000]
-                known.update(zip(part, self.model.margins(part).tolist(), strict=True))
-            out += [max(map(known.__getitem__, s), default=self.model.bias) for s in sets]
-        return out
+            part = [t or "" for t in texts[at : at + 500]]
+            # a lone run may stand over several sentences of a text, but only sentences are read
+            words = [set(words_of(t)).union(*(words_of(s) for s in sentences_of(t))) if _lone(t) else set(words_of(t)) for t in part]
+            self.learn(set().union(*words))
+            for t, w in zip(part, words, strict=True):
+                yield self.bag(t, w)
+
+
+def _lone(text: str) -> bool:
+    """Whether white space and sentences cut lone characters differently, so that words of sentences are not all words of the text."""
+    return _LONE.search(text) is not None
+
+
+_LONE = re.compile(r"(?<!\S)\S(?:\s+\S(?!\S)){2}")
+
+
+@dataclass
+class ToxicityModel:
+    """Weights of the landmarks' kernel values in a sentence, and how margins become probabilities."""
+
+    landmarks: list[str]
+    weight: np.ndarray
+    bias: float
+    slope: float = 1.0
+    shift: float = 0.0
+    reader: Reader | None = field(default=None, repr=False, compare=False)
+
+    def margins(self, texts: list[str | None]) -> list[float]:
+        """Each text's margin: that of its worst sentence; the bias is that of a sentence like no landmark."""
+        if self.reader is None:
+            self.reader = Reader(Landmarks(self.landmarks))
+        w = self.weight
+        return [self.bias + max((sum(w[m] * v for m, v in s.items()) for s in bag), default=0.0) if len(bag) else self.bias for bag in self.reader.bags(texts)]
+
+
+def _dense(sentences: list[dict[int, float]], m: int) -> np.ndarray:
+    out = np.zeros((len(sentences), m), np.float32)
+    for i, s in enumerate(sentences):
+        out[i, list(s.keys())] = list(s.values())
+    return out
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(label, fold, word, context): the word before and the one behind tell copies of a passage from new uses."""
+def train(landmarks: list[str], toxic: list[list[dict[int, float]]], clean: list[list[dict[int, float]]], epochs: int = 30, ridge: float = 1e-3, seed: int = 3) -> ToxicityModel:
+    """A linear machine with hinge loss on Nystroem features of sentences, in rounds over bags of them.
+
+    Bags without sentences that are like a landmark count as one empty sentence. Both kinds of bags weigh the same.
+    """
+    m = len(landmarks)
+    if not m or not toxic or not clean:
+        return ToxicityModel(landmarks, np.zeros(m), -1.0 if not toxic or not m else 0.0)
+    value, vector = np.linalg.eigh(kernel(landmarks, landmarks))
+    root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 0) + JITTER)) @ vector.T
+
+    def features(bags: list) -> tuple[np.ndarray, np.ndarray]:
+        owner = np.repeat(np.arange(len(bags)), [max(1, len(b)) for b in bags])
+        return _dense([s for b in bags for s in (b or [{}])], m) @ root, owner
+
+    (pos, pos_bag), (neg, neg_bag) = features(toxic), features(clean)
+    # a clean bag's sentences share its weight
+    neg_cost = 0.5 / len(clean) / np.bincount(neg_bag)[neg_bag]
+    score = np.array([max(s.values(), default=0.0) for b in toxic for s in (b or [{}])])
+    w, b = np.zeros(m), 0.0
+    for k in range(ROUNDS):
+        order = np.lexsort((np.arange(len(score)), -score, pos_bag))
+        worst = order[np.r_[True, pos_bag[order][1:] != pos_bag[order][:-1]]]
+        x = np.concatenate([pos[worst], neg])
+        y = np.r_[np.ones(len(worst)), -np.ones(len(neg))]
+        cost = np.r_[np.full(len(worst), 0.5 / len(worst)), neg_cost]
+        w, b = _machine(x, y, cost * len(y), epochs, ridge, seed + k)
+        score = pos @ w + b
+    return ToxicityModel(landmarks, root @ w, b)
+
+
+def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray, epochs: int, ridge: float, seed: int, batch: int = 64) -> tuple[np.ndarray, float]:
+    """Stochastic subgradient descent on the hinge loss; the average of the second half's steps."""
+    rng, w, b, step = np.random.default_rng(seed), np.zeros(x.shape[1]), 0.0, 0
+    sum_w, sum_b, kept = np.zeros_like(w), 0.0, 0
+    for epoch in range(epochs):
+        order = rng.permutation(len(y))
+        for at in range(0, len(y), batch):
+            own = order[at : at + batch]
+            step += 1
+            rate = 1 / (ridge * step + 1)
+            inside = own[y[own] * (x[own] @ w + b) < 1]
+            push = cost[inside] * y[inside] / len(own)
+            w = (1 - rate * ridge) * w + rate * (push @ x[inside])
+            b += 0.1 * rate * push.sum()
+            if 2 * epoch >= epochs:
+                sum_w, sum_b, kept = sum_w + w, sum_b + b, kept + 1
+    return sum_w / kept, float(sum_b / kept)
+
+
+def _uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(label, document, word, context): the words before and behind tell copies of a sentence from new uses of a word."""
     for b in batches:
         seen = set()
-        for text, label, fold in zip(*(b.column(c).to_pylist() for c in ("text", "toxic", "fold")), strict=True):
-            words = ["", *(text or "").lower().split(), ""]
-            seen.update((label, fold, w, f"{a} {c}") for a, w, c in zip(words, words[1:], words[2:], strict=False) if len(w) <= WIDEST)
-        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*seen, strict=True) if seen else [[]] * 4, (pa.int32(), pa.int32(), pa.string(), pa.string()), strict=True)], names=["toxic", "fold", "word", "context"])
+        for text, label, place in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), b.column("place").to_pylist(), strict=True):
+            for sentence in sentences_of(text or ""):
+                words = ["", *words_of(sentence), ""]
+                seen.update((label, place, w, f"{a} {c}") for a, w, c in zip(words, words[1:], words[2:], strict=False))
+        kinds = pa.int32(), pa.int64(), pa.string(), pa.string()
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*seen, strict=True) if seen else [[]] * 4, kinds, strict=True)], names=["toxic", "place", "word", "context"])
+
+
+def _bags(marks: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(Landmarks(marks))
+        for b in batches:
+            bags = list(reader.bags(b.column("text").to_pylist()))
+            kinds = pa.list_(pa.list_(pa.int32())), pa.list_(pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("toxic"), b.column("place"), pa.array([[list(s) for s in bag] for bag in bags], kinds[0]), pa.array([[list(s.values()) for s in bag] for bag in bags], kinds[1])],
+                names=["toxic", "place", "marks", "kernel"],
+            )
+
+    return run
 
 
 def _margins(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _Scorer(shared.value)
         for b in batches:
             names = [n for n in b.schema.names if n != "text"]
-            margin = scorer.margins(b.column("text").to_pylist())
+            margin = shared.value.margins(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(margin, pa.float64())], names=[*names, "margin"])
 
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, learnable: Column | None = None) -> ToxicityModel:
-    """Learn from documents that ``labels`` marks in ``toxic`` (1 if any row of an id says so) and ``learnable`` allows.
-
-    A sample by a hash of the id, bounded by ``POSITIVE_ROWS`` and ``NEGATIVE_ROWS`` on average. Words
-    that are typical of toxic documents (by different surroundings, so copies count once) and words of
-    clean ones train the machine on four fifths of it; the last fifth turns margins into probabilities.
-    """
-    marked = labels.where("doc_id is not null and toxic is not null").where(F.lit(True) if learnable is None else learnable).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    total = {r[0]: r[1] for r in marked.groupBy("toxic").count().collect() if r[0] in (0, 1)}
-    scale, place = 1 << 30, F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 30))
-    share = lambda n, k: F.lit(min(scale, scale * n // max(1, total.get(k, 0))))
-    chosen = marked.where(((F.col("toxic") == 1) & (place < share(POSITIVE_ROWS, 1))) | ((F.col("toxic") == 0) & (place < share(NEGATIVE_ROWS, 0)))).withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(5)).cast("int"))
-    sample = staged(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", "fold"), "labelled")
-    uses = sample.where("fold > 0").mapInArrow(_contexts, "toxic int, fold int, word string, context string").distinct()
-    per_word = staged(uses.groupBy("word").agg(F.sum("toxic").alias("pos"), F.sum(1 - F.col("toxic")).alias("neg")), "words")
-    pos_all, neg_all = per_word.agg(F.sum("pos"), F.sum("neg")).head()
-    odds = F.log((F.col("pos") + 0.5) / F.lit((pos_all or 0) + 1.0)) - F.log((F.col("neg") + 0.5) / F.lit((neg_all or 0) + 1.0))
-    letters = F.length(F.regexp_replace("word", r"[^\p{L}]", "")) >= 3
-    positive = per_word.where(letters & (F.col("pos") >= CONTEXTS) & (odds >= LOG_ODDS)).orderBy(F.desc("pos"), "word").limit(POSITIVE_WORDS)
-    frequent = per_word.where(letters & (F.col("neg") > 0) & (odds < LOG_ODDS)).orderBy(F.desc("neg"), "word").limit(NEGATIVE_WORDS // 3)
-    others = per_word.where(letters & (F.col("neg") > 0) & (odds < LOG_ODDS)).orderBy(F.xxhash64("word"), "word").limit(NEGATIVE_WORDS)
-    first = [r[0] for r in frequent.select("word").collect()]
-    negative = list(dict.fromkeys(first + [r[0] for r in others.select("word").collect()]))
-    positive, hard = [r[0] for r in positive.select("word").collect()], []
-    model = train(positive, negative)
-    clean = per_word.where(letters & (F.col("neg") > 0) & (odds < LOG_ODDS)).select(F.col("word").alias("text"), "word")
-    for _ in range(HARD_ROUNDS if positive else 0):
-        shared = docs.sparkSession.sparkContext.broadcast(model)
-        worst = clean.mapInArrow(_margins(shared), "word string, margin double").orderBy(F.desc("margin"), "word").limit(HARD_WORDS)
-        hard = list(dict.fromkeys([r[0] for r in worst.collect()] + hard))
-        model = train(positive, negative, hard)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    held = sample.where("fold = 0").select("toxic", "text").mapInArrow(_margins(shared), "toxic int, margin double").toPandas()
-    x, y = held.margin.to_numpy(), held.toxic.to_numpy(float)
+def _calibrated(model: ToxicityModel, x: np.ndarray, y: np.ndarray) -> ToxicityModel:
+    """Logistic regression in one variable, with Platt's smoothed targets; left as it is where the held documents are of one kind."""
     if 0 < y.sum() < len(y):
-        # logistic regression in one variable, with Platt's smoothed targets
         hi, lo = (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2)
         t, theta = np.where(y > 0, hi, lo), np.zeros(2)
         z = np.c_[x, np.ones(len(x))]
@@ -244,12 +324,46 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column | None = None) ->
     return model
 
 
+def fit(docs: DataFrame, labels: DataFrame, learnable: Column | None = None) -> ToxicityModel:
+    """Learn from documents that ``labels`` marks in ``toxic`` (1 if any row of an id says so) and ``learnable`` allows.
+
+    A sample by a hash of the id, bounded by ``POSITIVE_ROWS`` and ``NEGATIVE_ROWS`` on average. Landmarks
+    are the words of sentences by whose presence (in different surroundings, so copies count once) toxic
+    documents differ most from clean ones; sentences of four fifths of the sample train the machine, the last
+    fifth turns margins into probabilities. Null texts are empty ones, repeated rows count again; without
+    documents of both kinds every text scores the same.
+    """
+    marked = labels.where("doc_id is not null and toxic is not null").where(F.lit(True) if learnable is None else learnable).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    total = {r[0]: r[1] for r in marked.groupBy("toxic").count().collect() if r[0] in (0, 1)}
+    scale, place = 1 << 30, F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 30))
+    share = lambda n, k: F.lit(min(scale, scale * n // max(1, total.get(k, 0))))
+    chosen = marked.where(((F.col("toxic") == 1) & (place < share(POSITIVE_ROWS, 1))) | ((F.col("toxic") == 0) & (place < share(NEGATIVE_ROWS, 0)))).withColumn("place", F.xxhash64("doc_id"))
+    sample = staged(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", "place"), "labelled")
+    held = F.pmod("place", F.lit(5)) == 0
+    uses = sample.where(~held).mapInArrow(_uses, "toxic int, place long, word string, context string")
+    # a use of a word belongs to one document, so copies of a document add nothing
+    owned = uses.groupBy("toxic", "word", "context").agg(F.min("place").alias("place")).select("toxic", "word", "place").distinct()
+    per_word = owned.groupBy("word").agg(F.sum("toxic").alias("pos"), F.sum(1 - F.col("toxic")).alias("neg"))
+    kinds = {r[0]: r[1] for r in sample.where(~held).groupBy("toxic").count().collect()}
+    pos, neg = F.col("pos") + 0.5, F.col("neg") + 0.5
+    odds = F.log(pos / F.lit(kinds.get(1, 0) + 1.0)) - F.log(neg / F.lit(kinds.get(0, 0) + 1.0))
+    apart = odds / F.sqrt(1 / pos + 1 / neg)
+    telling = per_word.where(F.col("pos") >= 2).select("word", apart.alias("apart")).where(F.col("apart") >= TELLING).orderBy(F.desc("apart"), "word").limit(LANDMARKS)
+    marks = [r[0] for r in telling.select("word").collect()]
+    found = sample.where(~held).mapInArrow(_bags(marks), "toxic int, place long, marks array<array<int>>, kernel array<array<float>>").toArrow().sort_by([("place", "ascending"), ("toxic", "ascending")])
+    kinds = found.column("toxic").to_pylist()
+    bags = [[dict(zip(m, v, strict=True)) for m, v in zip(a, b, strict=True)] for a, b in zip(found.column("marks").to_pylist(), found.column("kernel").to_pylist(), strict=True)]
+    model = train(marks, [b for b, k in zip(bags, kinds, strict=True) if k], [b for b, k in zip(bags, kinds, strict=True) if not k])
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    margins = sample.where(held).select("toxic", "text").mapInArrow(_margins(shared), "toxic int, margin double").toPandas()
+    return _calibrated(model, margins.margin.to_numpy(), margins.toxic.to_numpy(float))
+
+
 def scored(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """One row per input row: doc_id, score (0 to 1), predicted (1 from 0.5 on).
 
-    Null and empty texts, and texts without a word of three letters, have no insult: their margin is
-    the bias alone. Only the text is looked at. Repeated rows get equal results; null ids stay; an
-    empty table gives no rows.
+    Null and empty texts, and texts that are like no landmark, have the bias for a margin. Only the text
+    is looked at. Repeated rows get equal results; null ids stay; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -218,34 +218,62 @@ def test_nbest_rows(spark):
 
 
 def plain_kernel(s, t):
-    weight = lambda w: Counter()
-
     def phi(w):
-        out = Counter()
+        w, out = w if sum(map(str.isalpha, w)) >= 3 else f"\2{w}\3", Counter()
         for a, b, c in itertools.combinations(range(len(w)), 3):
-            out[w[a] + w[b] + w[c]] += toxicity.DECAY ** (c - a + 1)
+            if all(w[i].isalpha() or w[i] in "\2\3" for i in (a, b, c)):
+                out[w[a] + w[b] + w[c]] += toxicity.DECAY ** (c - a + 1)
         return out
 
-    del weight
     x, y = phi(s), phi(t)
     norm = sum(v * v for v in x.values()) * sum(v * v for v in y.values())
     return sum(v * y[k] for k, v in x.items()) / norm**0.5 if norm else 0.0
 
 
-def test_kernel_and_collapsed_machine():
-    words = ["idiot", "idxiot", "banana", "ab", "stupid", "aaaa"]
-    assert np.allclose(toxicity.kernel(words, words), [[plain_kernel(a, b) for b in words] for a in words], atol=1e-5)
-    model = toxicity.train(["idiot", "stupid", "loser"], ["banana", "apple", "window", "river"])
-    m = dict(zip(["idiot", "i-d-i-o-t", "banana", "riverx"], model.margins(["idiot", "i-d-i-o-t", "banana", "riverx"]), strict=True))
-    assert min(m["idiot"], m["i-d-i-o-t"]) > max(m["banana"], m["riverx"])
-    assert "idiot" in toxicity.words_of("you i d i o t now")
-
-
-def test_toxicity_rows(spark):
-    model = toxicity.train(["idiot", "stupid", "loser"], ["banana", "apple", "window", "river"])
-    got = {r["doc_id"]: r for r in toxicity.scored(docs(spark, [None, "", "ab", "apple idiot", "apple " * 40000, "x" * 90]), model).collect()}
-    assert len(got) == 6 and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got.values())
-    assert got[3]["score"] > got[4]["score"]
+def test_kernel_brute_force():
+    words = ["idiot", "idxiot", "i-d-i-o-t", "banana", "ab", "stupid", "aaaa", "笨蛋", "笨蛋呀", "", "1234"]
+    assert np.allclose(toxicity.kernel(words, words), [[plain_kernel(a, b) for b in words] for a in words], atol=1e-9)
+    assert toxicity.kernel(["笨蛋"], ["笨蛋"])[0, 0] > 0.99 and "idiot" in toxicity.words_of("you i d i o t now")
+
+
+def insulting(rng, n, words):
+    """Documents of three sentences of common words, each word list that is given once in a toxic one."""
+    common = ["bridge", "river", "window", "lantern", "cotton", "meadow", "harvest", "pencil", "silver", "garden", "market", "thunder"]
+    rows = []
+    for i in range(n):
+        sentences = [list(rng.choice(common, 7)) for _ in range(3)]
+        if i % 3 == 0:
+            sentences[rng.integers(3)][rng.integers(7)] = str(rng.choice(words))
+        rows.append((i, ". ".join(" ".join(x) for x in sentences), int(i % 3 == 0)))
+    return rows
+
+
+def test_toxicity_finds_altered_insults_that_a_word_list_misses(spark):
+    insults = ["blorgen", "snarvik", "quambel"]
+    rows = insulting(np.random.default_rng(8), 240, insults)
+    df = spark.createDataFrame([(i, t, 7, 0.5) for i, t, _ in rows], "doc_id long, text string, toxic int, place double").repartition(3)
+    labels = spark.createDataFrame([(i, k) for i, _, k in rows] + [(1, None), (None, 1), (rows[0][0], 1)], "doc_id long, toxic int")
+    model = toxicity.fit(df, labels)
+    altered = ["b-l-o-r-g-e-n", "snarxvik", "q u a m b e l", "blorrgen", "sn.arvik", "quambell"]
+    new = insulting(np.random.default_rng(9), 60, altered)
+    assert not any(w in t.split() for _, t, _ in new for w in insults)
+    asked = spark.createDataFrame([(i, t) for i, t, _ in new], "doc_id long, text string")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.scored(asked, model).collect()}
+    truth = {i: k for i, _, k in new}
+    assert sum(got[i] for i, k in truth.items() if k) >= 0.9 * sum(truth.values())
+    assert sum(got[i] for i, k in truth.items() if not k) <= 0.05 * sum(1 - k for k in truth.values())
+    odd = spark.createDataFrame([(0, None), (0, None), (None, ""), (2, "ab"), (3, "bridge blorgen"), (4, "bridge " * 40000), (5, "x" * 90), (6, "m" * 30 + "blorgen" + "m" * 30)], "doc_id long, text string")
+    rows = toxicity.scored(odd, model).collect()
+    assert len(rows) == 8 and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in rows)
+    at = {r["doc_id"]: r["score"] for r in rows}
+    assert at[3] > 0.5 > at[4]
+
+
+def test_toxicity_without_labels(spark):
+    df, none = docs(spark, ["a b c", None]), spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.fit(df, none)
+    assert {r["predicted"] for r in toxicity.scored(df, model).collect()} == {0}
+    assert toxicity.scored(df, toxicity.fit(df.limit(0), none)).count() == 2
 
 
 def test_url_rules_and_walks(spark):
@@ -310,7 +338,7 @@ def test_empty_tables(spark):
     model = language.fit(empty)
     jobs = [
         exact_dedup.exact_duplicates(empty), simhash.near_duplicates(empty), substring.repeated_passages(empty), packing.packed(empty, queries.BYTE_BPE), nbest.segmentations(empty, queries.PIECES),
-        language.predict(empty, model, "doc_id"), toxicity.scored(empty, toxicity.train([], [])), katz.scored(empty, F.lit(False)),
+        language.predict(empty, model, "doc_id"), toxicity.scored(empty, toxicity.train([], [], [])), katz.scored(empty, F.lit(False)),
         urls.judged(spark.createDataFrame([], "page_id long, url string, html string"), queries.URL_RULES), embeddings.linked(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")),
     ]
     assert [j.count() for j in jobs] == [0] * len(jobs)
