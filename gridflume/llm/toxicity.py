@@ -15,6 +15,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -32,62 +34,64 @@ LEAST = 0.5
 WIDEST = 20
 #: About so many labelled documents are learned from.
 POSITIVE_ROWS, NEGATIVE_ROWS = 1500, 3000
-#: Landmarks at most, and how many standard deviations apart their log odds in toxic and clean documents must be.
-LANDMARKS, TELLING = 400, 2.8
+#: Landmarks at most, how many standard deviations apart their log odds in toxic and clean documents must be, and how alike two may be.
+LANDMARKS, TELLING, ALIKE = 160, 2.8, 0.8
 #: Added to the landmarks' kernel matrix, so that landmarks that are much alike share their weight.
 JITTER = 0.1
 #: Rounds of finding each toxic document's worst sentence.
 ROUNDS = 5
 CACHE = 400_000
+_LONE = re.compile(r"(?<!\S)\S(?:\s+\S(?!\S)){2}")
 _SENTENCE = re.compile(r"(?<=[.!?。！？])\s+|[\r\n]+")
 
 
-def _triples(n: int) -> tuple[np.ndarray, np.ndarray]:
-    at = np.array([(a, b, c) for a in range(n) for b in range(a + 1, n) for c in range(b + 1, n)], np.int64).reshape(-1, 3)
-    return at, DECAY ** (at[:, 2] - at[:, 0] + 1.0)
-
-
-_TRIPLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+@lru_cache(1)
+def _letter_table() -> np.ndarray:
+    """Code points of letters as they are, 0 for all else; 2 and 3 mark the ends of short words."""
+    table = np.fromiter((c if chr(c).isalpha() else 0 for c in range(0x110000)), np.int64, 0x110000)
+    table[2:4] = 2, 3
+    return table
 
 
-def _letters_of(word: str) -> str:
-    """The word, marked at both ends where it has fewer than three letters, so that short words have subsequences too."""
-    return word if sum(map(str.isalpha, word)) >= 3 else f"\2{word}\3"
-
+@lru_cache(64)
+def _triples(n: int) -> tuple[np.ndarray, np.ndarray]:
+    at = np.array(list(combinations(range(n), 3)), np.int64).reshape(-1, 3)
+    return at, DECAY ** (at[:, 2] - at[:, 0] + 1.0)
 
-def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, subsequence, weight) of every word, each subsequence of a word once; words have WIDEST characters at most.
 
-    Characters that are no letters have a place but are part of no subsequence.
-    """
-    words = list(map(_letters_of, words))
-    rows, codes, weights = [], [], []
+def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows and letters of the words of each length; words of fewer than three letters are marked at both ends, so they have subsequences too."""
+    words = [w if len(w) > 4 or sum(map(str.isalpha, w)) >= 3 else f"\2{w}\3" for w in words]
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     for n in np.unique(sizes[sizes >= 3]).tolist():
         own = np.flatnonzero(sizes == n)
-        text = "".join([words[i] for i in own])
-        letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64).reshape(-1, n)
-        is_letter = np.fromiter((c.isalpha() or c in "\2\3" for c in text), bool, len(text)).reshape(-1, n)
-        if n not in _TRIPLES:
-            _TRIPLES[n] = _triples(n)
-        at, weight = _TRIPLES[n]
-        code = (letters[:, at[:, 0]] * LETTERS + letters[:, at[:, 1]]) * LETTERS + letters[:, at[:, 2]]
-        real = is_letter[:, at].all(axis=2)
-        rows.append(np.repeat(own, real.sum(axis=1)))
-        codes.append(code[real])
-        weights.append(np.broadcast_to(weight, code.shape)[real])
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    rows, codes, weights = map(np.concatenate, (rows, codes, weights))
-    order = np.lexsort((codes, rows))
-    rows, codes, weights = rows[order], codes[order], weights[order]
-    first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (codes[1:] != codes[:-1])]) if len(rows) else np.zeros(0, np.int64)
-    return rows[first], codes[first], np.add.reduceat(weights, first) if len(first) else weights
-
-
-def _normed(rows: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
-    norm = np.sqrt(np.bincount(rows, weights * weights, n))
-    return weights / np.where(norm > 0, norm, 1)[rows]
+        step = max(1, (1 << 21) // len(_triples(n)[0]))
+        for at in range(0, len(own), step):
+            rows = own[at : at + step]
+            text = "".join([words[i] for i in rows]).encode("utf-32-le", "surrogatepass")
+            yield rows, _letter_table()[np.frombuffer(text, np.uint32)].reshape(-1, n)
+
+
+def _codes(letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The three-letter subsequences of words of one length, and their weights; those with a zero in them count for nothing."""
+    at, weight = _triples(letters.shape[1])
+    return (letters[:, at[:, 0]] * LETTERS + letters[:, at[:, 1]]) * LETTERS + letters[:, at[:, 2]], weight
+
+
+def _norms(letters: np.ndarray) -> np.ndarray:
+    """Root of each word's kernel with itself, by the recursion over prefixes; words are rows of one length."""
+    n, w = letters.shape[1], letters.shape[0]
+    same = [[(letters[:, i] == letters[:, j]) & (letters[:, i] > 0) for j in range(n)] for i in range(n)]
+    below = np.ones((n + 1, n + 1, w))
+    for _ in range(2):
+        now = np.zeros((n + 1, n + 1, w))
+        for i in range(1, n + 1):
+            run = np.zeros(w)
+            for j in range(1, n + 1):
+                run = DECAY * run + DECAY**2 * np.where(same[i - 1][j - 1], below[i - 1, j - 1], 0.0)
+                now[i, j] = DECAY * now[i - 1, j] + run
+        below = now
+    return np.sqrt(sum(DECAY**2 * np.where(same[i][j], below[i, j], 0.0) for i in range(n) for j in range(n)))
 
 
 class Landmarks:
@@ -95,25 +99,54 @@ class Landmarks:
 
     def __init__(self, marks: list[str]) -> None:
         self.marks = marks
-        rows, codes, weights = subsequences(marks)
-        weights = _normed(rows, weights, len(marks))
+        owner, codes, weights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for rows, letters in _by_length(marks):
+            code, weight = _codes(letters)
+            real = (letters[:, _triples(letters.shape[1])[0]] > 0).all(axis=2)
+            norm = _norms(letters)
+            owner.append(np.repeat(rows, real.sum(axis=1)))
+            codes.append(code[real])
+            weights.append((np.broadcast_to(weight, code.shape) / np.where(norm > 0, norm, 1)[:, None])[real])
+        owner, codes, weights = map(np.concatenate, (owner, codes, weights))
         order = np.argsort(codes, kind="stable")
-        self.owner, self.weight = rows[order], weights[order]
+        self.owner, self.weight = owner[order], weights[order]
         self.codes, self.start, self.count = np.unique(codes[order], return_index=True, return_counts=True)
-
-    def values(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(word, landmark, kernel value) of all values above zero."""
-        rows, codes, weights = subsequences(words)
-        weights = _normed(rows, weights, len(words))
-        if not len(self.codes) or not len(codes):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        met = self.codes[at] == codes
-        at, rows, weights = at[met], rows[met], weights[met]
-        times = self.count[at]
-        entry = np.repeat(self.start[at] - np.r_[0, np.cumsum(times)[:-1]], times) + np.arange(times.sum())
-        key, where = np.unique(np.repeat(rows, times) * len(self.marks) + self.owner[entry], return_inverse=True)
-        return key // len(self.marks), key % len(self.marks), np.bincount(where, np.repeat(weights, times) * self.weight[entry], len(key))
+        # most subsequences of a word are none of a landmark's; a table by a hash rules them out
+        self.likely = np.zeros(1 << 20, bool)
+        self.likely[self._slot(self.codes)] = True
+
+    @staticmethod
+    def _slot(codes: np.ndarray) -> np.ndarray:
+        return (codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
+
+    def values(self, words: list[str], least: float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word, landmark, kernel value) of all values above zero and of ``least`` and more, by words."""
+        out_row, out_mark, out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for rows, letters in _by_length(words) if len(self.codes) else ():
+            code, weight = _codes(letters)
+            row, place = np.nonzero(self.likely[self._slot(code)])
+            found = code[row, place]
+            at = np.minimum(np.searchsorted(self.codes, found), len(self.codes) - 1)
+            met = self.codes[at] == found
+            at, row, weight_of = at[met], row[met], weight[place[met]]
+            times = self.count[at]
+            entry = np.repeat(self.start[at] - np.r_[0, np.cumsum(times)[:-1]], times) + np.arange(times.sum())
+            key, where = np.unique(np.repeat(row, times) * len(self.marks) + self.owner[entry], return_inverse=True)
+            row, mark, value = key // len(self.marks), key % len(self.marks), np.bincount(where, np.repeat(weight_of, times) * self.weight[entry], len(key))
+            # of words that are all letters the norm is no less than that of distinct subsequences
+            lower = np.where((letters > 0).all(axis=1), np.sqrt((weight * weight).sum()), 0.0)
+            near = value >= least * lower[row]
+            row, mark, value = row[near], mark[near], value[near]
+            some, where = np.unique(row, return_inverse=True)
+            if len(some):
+                value = value / _norms(letters[some])[where]
+                near = value >= least
+                out_row.append(rows[row[near]])
+                out_mark.append(mark[near])
+                out.append(value[near])
+        row, mark, value = map(np.concatenate, (out_row, out_mark, out))
+        order = np.argsort(row, kind="stable")
+        return row[order], mark[order], value[order]
 
 
 def kernel(left: list[str], right: list[str]) -> np.ndarray:
@@ -127,14 +160,21 @@ def kernel(left: list[str], right: list[str]) -> np.ndarray:
 def words_of(text: str) -> list[str]:
     """Lower-cased words of a text; runs of three and more lone characters also as one word; long words in windows."""
     words = text.lower().split()
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    lone = np.flatnonzero(np.diff(np.r_[0, sizes == 1, 0]))
-    joined = ["".join(words[a:b]) for a, b in zip(lone[::2].tolist(), lone[1::2].tolist(), strict=True) if b - a >= 3]
-    found = words + joined
-    if joined or (len(sizes) and sizes.max() > WIDEST):
-        long = [w for w in found if len(w) > WIDEST]
-        found = [w for w in found if len(w) <= WIDEST] + [w[at : at + WIDEST] for w in long for at in range(0, max(1, len(w) - WIDEST // 2), WIDEST // 2)]
-    return found
+    if not words:
+        return words
+    if _LONE.search(text):
+        run = []
+        for w in [*words, ""]:
+            if len(w) == 1:
+                run.append(w)
+            else:
+                if len(run) >= 3:
+                    words.append("".join(run))
+                run = []
+    if max(map(len, words)) > WIDEST:
+        long = [w for w in words if len(w) > WIDEST]
+        words = [w for w in words if len(w) <= WIDEST] + [w[at : at + WIDEST] for w in long for at in range(0, max(1, len(w) - WIDEST // 2), WIDEST // 2)]
+    return words
 
 
 def sentences_of(text: str) -> list[str]:
@@ -155,9 +195,7 @@ class Reader:
         for k in range(0, len(new), 20_000):
             part = new[k : k + 20_000]
             self.known.update(dict.fromkeys(part))
-            row, mark, value = self.landmarks.values(part)
-            near = value >= LEAST
-            row, mark, value = row[near], mark[near], value[near]
+            row, mark, value = self.landmarks.values(part, LEAST)
             ends = np.searchsorted(row, np.arange(len(part) + 1))
             for i in np.unique(row).tolist():
                 own = slice(ends[i], ends[i + 1])
@@ -183,21 +221,13 @@ class Reader:
     def bags(self, texts: list[str | None]) -> Iterator[list[dict[int, float]]]:
         for at in range(0, len(texts), 500):
             part = [t or "" for t in texts[at : at + 500]]
-            # a lone run may stand over several sentences of a text, but only sentences are read
-            words = [set(words_of(t)).union(*(words_of(s) for s in sentences_of(t))) if _lone(t) else set(words_of(t)) for t in part]
+            # runs of lone characters may end where sentences do, so words of sentences need not be words of the text
+            words = [set(words_of(t)).union(*map(words_of, sentences_of(t))) if _LONE.search(t) else set(words_of(t)) for t in part]
             self.learn(set().union(*words))
             for t, w in zip(part, words, strict=True):
                 yield self.bag(t, w)
 
 
-def _lone(text: str) -> bool:
-    """Whether white space and sentences cut lone characters differently, so that words of sentences are not all words of the text."""
-    return _LONE.search(text) is not None
-
-
-_LONE = re.compile(r"(?<!\S)\S(?:\s+\S(?!\S)){2}")
-
-
 @dataclass
 class ToxicityModel:
     """Weights of the landmarks' kernel values in a sentence, and how margins become probabilities."""
@@ -233,7 +263,7 @@ def train(landmarks: list[str], toxic: list[list[dict[int, float]]], clean: list
     if not m or not toxic or not clean:
         return ToxicityModel(landmarks, np.zeros(m), -1.0 if not toxic or not m else 0.0)
     value, vector = np.linalg.eigh(kernel(landmarks, landmarks))
-    root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 0) + JITTER)) @ vector.T
+    root = (vector @ np.diag(1 / np.sqrt(np.maximum(value, 0) + JITTER)) @ vector.T).astype(np.float32)
 
     def features(bags: list) -> tuple[np.ndarray, np.ndarray]:
         owner = np.repeat(np.arange(len(bags)), [max(1, len(b)) for b in bags])
@@ -286,6 +316,15 @@ def _uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*seen, strict=True) if seen else [[]] * 4, kinds, strict=True)], names=["toxic", "place", "word", "context"])
 
 
+def _spread(words: list[str]) -> list[str]:
+    """The first ``LANDMARKS`` words that are not nearly the same as one before."""
+    alike, out = kernel(words, words) > ALIKE, []
+    for i in range(len(words)):
+        if len(out) < LANDMARKS and not alike[i, out].any():
+            out.append(i)
+    return [words[i] for i in out]
+
+
 def _bags(marks: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(Landmarks(marks))
@@ -348,8 +387,8 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column | None = None) ->
     pos, neg = F.col("pos") + 0.5, F.col("neg") + 0.5
     odds = F.log(pos / F.lit(kinds.get(1, 0) + 1.0)) - F.log(neg / F.lit(kinds.get(0, 0) + 1.0))
     apart = odds / F.sqrt(1 / pos + 1 / neg)
-    telling = per_word.where(F.col("pos") >= 2).select("word", apart.alias("apart")).where(F.col("apart") >= TELLING).orderBy(F.desc("apart"), "word").limit(LANDMARKS)
-    marks = [r[0] for r in telling.select("word").collect()]
+    telling = per_word.where(F.col("pos") >= 2).select("word", apart.alias("apart")).where(F.col("apart") >= TELLING).orderBy(F.desc("apart"), "word").limit(4 * LANDMARKS)
+    marks = _spread([r[0] for r in telling.select("word").collect()])
     found = sample.where(~held).mapInArrow(_bags(marks), "toxic int, place long, marks array<array<int>>, kernel array<array<float>>").toArrow().sort_by([("place", "ascending"), ("toxic", "ascending")])
     kinds = found.column("toxic").to_pylist()
     bags = [[dict(zip(m, v, strict=True)) for m, v in zip(a, b, strict=True)] for a, b in zip(found.column("marks").to_pylist(), found.column("kernel").to_pylist(), strict=True)]
