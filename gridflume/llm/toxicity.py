@@ -16,7 +16,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import combinations
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +35,12 @@ WIDEST = 20
 #: About so many labelled documents are learned from.
 POSITIVE_ROWS, NEGATIVE_ROWS = 1500, 3000
 #: Landmarks at most, how many standard deviations apart their log odds in toxic and clean documents must be, and how alike two may be.
-LANDMARKS, TELLING, ALIKE = 160, 2.8, 0.8
+LANDMARKS, TELLING, ALIKE = 96, 2.8, 0.7
 #: Added to the landmarks' kernel matrix, so that landmarks that are much alike share their weight.
 JITTER = 0.1
 #: Rounds of finding each toxic document's worst sentence.
 ROUNDS = 5
 CACHE = 400_000
-_LONE = re.compile(r"(?<!\S)\S(?:\s+\S(?!\S)){2}")
 _SENTENCE = re.compile(r"(?<=[.!?。！？])\s+|[\r\n]+")
 
 
@@ -131,8 +130,9 @@ class Landmarks:
             at, row, weight_of = at[met], row[met], weight[place[met]]
             times = self.count[at]
             entry = np.repeat(self.start[at] - np.r_[0, np.cumsum(times)[:-1]], times) + np.arange(times.sum())
-            key, where = np.unique(np.repeat(row, times) * len(self.marks) + self.owner[entry], return_inverse=True)
-            row, mark, value = key // len(self.marks), key % len(self.marks), np.bincount(where, np.repeat(weight_of, times) * self.weight[entry], len(key))
+            total = np.bincount(np.repeat(row, times) * len(self.marks) + self.owner[entry], np.repeat(weight_of, times) * self.weight[entry], len(rows) * len(self.marks))
+            row, mark = np.nonzero(total.reshape(len(rows), -1))
+            value = total[row * len(self.marks) + mark]
             # of words that are all letters the norm is no less than that of distinct subsequences
             lower = np.where((letters > 0).all(axis=1), np.sqrt((weight * weight).sum()), 0.0)
             near = value >= least * lower[row]
@@ -157,12 +157,17 @@ def kernel(left: list[str], right: list[str]) -> np.ndarray:
     return out
 
 
-def words_of(text: str) -> list[str]:
+def _lone_run(words: list[str]) -> bool:
+    sizes = list(map(len, words))
+    return sizes.count(1) >= 3 and b"\1\1\1" in bytes(map(min, sizes, repeat(255)))
+
+
+def words_of(text: str, given: list[str] | None = None) -> list[str]:
     """Lower-cased words of a text; runs of three and more lone characters also as one word; long words in windows."""
-    words = text.lower().split()
+    words = text.lower().split() if given is None else given
     if not words:
         return words
-    if _LONE.search(text):
+    if _lone_run(words):
         run = []
         for w in [*words, ""]:
             if len(w) == 1:
@@ -221,8 +226,12 @@ class Reader:
     def bags(self, texts: list[str | None]) -> Iterator[list[dict[int, float]]]:
         for at in range(0, len(texts), 500):
             part = [t or "" for t in texts[at : at + 500]]
-            # runs of lone characters may end where sentences do, so words of sentences need not be words of the text
-            words = [set(words_of(t)).union(*map(words_of, sentences_of(t))) if _LONE.search(t) else set(words_of(t)) for t in part]
+            words = []
+            for t in part:
+                given = t.lower().split()
+                # runs of lone characters may end where sentences do, so words of sentences need not be words of the text
+                more = list(map(words_of, sentences_of(t))) if _lone_run(given) else ()
+                words.append(set(words_of(t, given)).union(*more))
             self.learn(set().union(*words))
             for t, w in zip(part, words, strict=True):
                 yield self.bag(t, w)
