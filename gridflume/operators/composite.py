@@ -25,15 +25,18 @@ def composite(cells: DataFrame, threshold: float = 0.5, extreme: float = 300.0)
     """Depth, source id, confidence and quality bits per cell.
 
     Columns: pass2, pass1, archive, realtime, land, forecast (depths or null), quality, override,
-    exclusion. An override takes the archive, outside exclusions; gauge-corrected passes need quality;
-    the rest follow in order of trust.
+    exclusion. An override takes the archive or else the realtime product, outside exclusions;
+    gauge-corrected passes need quality; the rest follow in order of trust. What is not finite counts
+    as missing.
     """
+    products = ["pass2", "pass1", "archive", "realtime", "land", "forecast", "quality"]
+    cells = cells.withColumns({k: F.when(~F.isnan(k) & (F.abs(k) < float("inf")), F.col(k)) for k in products})
     q = F.coalesce("quality", F.lit(0.0))
     good = F.coalesce(F.col("quality") >= threshold, F.lit(False))
     override, open_ = F.coalesce("override", F.lit(False)), ~F.coalesce("exclusion", F.lit(False))
     has = lambda p: F.coalesce(F.col(p) >= 0, F.lit(False))
     order: list[tuple[str, Column, Column]] = [
-        ("archive", override & open_, F.lit(0.85)),
+        ("archive", override & open_, F.lit(0.85)), ("realtime", override & open_, F.lit(0.75)),
         ("pass2", good, q), ("pass1", good, q * 0.9),
         ("archive", open_, F.lit(0.8)), ("realtime", open_, F.lit(0.7)),
         ("land", F.lit(True), F.lit(0.4)), ("forecast", F.lit(True), F.lit(0.2)),
@@ -48,7 +51,7 @@ def composite(cells: DataFrame, threshold: float = 0.5, extreme: float = 300.0)
     s = F.col("source_id")
     bit = lambda ok, b: F.when(F.coalesce(ok, F.lit(False)), F.lit(b)).otherwise(F.lit(0))
     bits = [
-        bit(F.col("quality").isNotNull() & ~good, LOW_QUALITY), bit((s == SOURCE_IDS["archive"]) & override, OVERRIDE),
+        bit(F.col("quality").isNotNull() & ~good, LOW_QUALITY), bit(s.isin(SOURCE_IDS["archive"], SOURCE_IDS["realtime"]) & override, OVERRIDE),
         bit(s.between(3, 6), FALLBACK), bit(s == 0, MISSING), bit(F.col("depth") > extreme, EXTREME),
         bit(~open_ & (has("archive") | has("realtime")), EXCLUDED),
     ]

@@ -69,10 +69,25 @@ def in_polygon(points: DataFrame, edges: DataFrame) -> DataFrame:
     return points.join(F.broadcast(edges), crossing).groupBy("id").agg(F.count("*").alias("n")).where("n % 2 = 1").select("id")
 
 
-def box_smooth(cells: DataFrame, value: str, half: int, by: list[str] = ()) -> DataFrame:
-    """Mean over a box of 2 * half + 1 cells a side, of the cells that have a value; two one-dimensional passes."""
-    row = Window.partitionBy(*by, "y").orderBy("x").rangeBetween(-half, half)
-    column = Window.partitionBy(*by, "x").orderBy("y").rangeBetween(-half, half)
-    v = F.col(value)
-    first = cells.withColumns({"_s": F.sum(F.coalesce(v, F.lit(0.0))).over(row), "_n": F.sum(F.when(v.isNotNull(), 1).otherwise(0)).over(row)})
-    return first.withColumn("smooth", F.try_divide(F.sum("_s").over(column), F.sum("_n").over(column))).drop("_s", "_n")
+def _reflected(cells: DataFrame, axis: str, before: int, after: int, low: int, high: int) -> DataFrame:
+    """Cells and their mirror images beyond both ends of an axis, the end cells themselves not repeated."""
+    at = F.col(axis)
+    images = F.array(at, F.when((at > low) & (at <= low + before), 2 * low - at), F.when((at < high) & (at >= high - after), 2 * high - at))
+    return cells.withColumn(axis, F.explode(F.array_compact(images)))
+
+
+def box_smooth(cells: DataFrame, values: list[str], window: int, rows: tuple[int, int], columns: tuple[int, int], by: list[str] = ()) -> DataFrame:
+    """``<value>_smooth``: the mean over a box of ``window`` cells a side, of the cells that have a value.
+
+    The grid (first and last row and column) is mirrored at its edges. One pass along rows and one along
+    columns serve all values; null where a box has none.
+    """
+    before = window // 2
+    after = window - before - 1
+    span = lambda axis, across: Window.partitionBy(*by, across).orderBy(axis).rangeBetween(-before, after)
+    held = cells.withColumns({f"_s_{v}": F.coalesce(F.col(v), F.lit(0.0)) for v in values} | {f"_n_{v}": F.when(F.col(v).isNotNull(), 1).otherwise(0) for v in values})
+    for axis, across, (low, high) in (("x", "y", columns), ("y", "x", rows)):
+        w = span(axis, across)
+        wide = _reflected(held, axis, before, after, low, high)
+        held = wide.withColumns({f"_{k}_{v}": F.sum(f"_{k}_{v}").over(w) for k in "sn" for v in values}).where(F.col(axis).between(low, high))
+    return held.withColumns({f"{v}_smooth": F.try_divide(F.col(f"_s_{v}"), F.col(f"_n_{v}")) for v in values}).drop(*(f"_{k}_{v}" for k in "sn" for v in values))

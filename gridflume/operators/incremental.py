@@ -96,3 +96,51 @@ def calendar_eligibility(days: DataFrame, by: list[str], day: str, constrained:
     after = F.date_diff(F.lead(day).over(w), F.col(day)) == 1
     state = F.when(~F.coalesce(F.col(constrained), F.lit(False)), "no_constraint").when(~F.coalesce(before, F.lit(False)), "no_previous_day").when(~F.coalesce(after, F.lit(False)), "no_next_day").otherwise("eligible")
     return days.withColumn("state", state)
+
+
+def lanes(events: DataFrame, as_of: Column, lane: str = "fast", recent_days: int = 4) -> DataFrame:
+    """Events (stream, day, urgent, stable, tasks) as work, deferred with a lane, or unchanged; ``priority`` orders the work.
+
+    In the fast lane urgent and recent events are work, in daily-nrt all of that stream, in daily-retro stable ones of the other.
+    """
+    soon = F.col("urgent") | (F.col("day") >= F.date_sub(as_of, recent_days - 1))
+    if lane == "daily-retro":
+        ours = (F.col("stream") == "retro") & F.coalesce("stable", F.lit(False))
+    else:
+        ours = (F.col("stream") == "nrt") & (F.lit(lane == "daily-nrt") | soon)
+    to = F.when(F.col("stream") == "retro", "daily-retro").when(soon, "fast").otherwise("daily-nrt")
+    outcome = F.when(F.size("tasks") == 0, "unchanged").when(ours, "work").otherwise("deferred")
+    return events.withColumns({"outcome": outcome, "deferred_to": F.when(outcome == "deferred", to), "priority": F.when(outcome == "work", F.when(F.col("urgent"), 0).otherwise(1))})
+
+
+def replacement_backlog(hours: DataFrame, available: DataFrame, by: list[str], day: str, before: Column) -> DataFrame:
+    """Days before a date with an hour from a fallback whose preferred source has come since."""
+    old = hours.where(F.col("fallback") & (F.col(day) < before))
+    return old.join(available, [*by, day, "hour"], "left_semi").select(*by, day).distinct()
+
+
+def scan_days(as_of: Column, back: Column, ahead: Column) -> Column:
+    """The days of an inclusive window around a date."""
+    return F.sequence(F.date_sub(as_of, back), F.date_add(as_of, ahead))
+
+
+def stale_days(wanted: DataFrame, hours: DataFrame, outputs: DataFrame, by: list[str], day: str, needed: int = 24) -> DataFrame:
+    """Wanted days with all their hours whose output is missing, older than an input, or of another revision."""
+    inputs = hours.groupBy(*by, day).agg(F.countDistinct("hour").alias("_n"), F.max("stamp").alias("_newest")).where(F.col("_n") >= needed)
+    done = outputs.select(*by, day, F.col("stamp").alias("_made"), F.col("revision").alias("_revision"))
+    joined = wanted.join(inputs, [*by, day]).join(done, [*by, day], "left")
+    why = F.when(F.col("_made").isNull(), "missing").when(F.col("_newest") > F.col("_made"), "older").when(~F.col("_revision").eqNullSafe(F.col("revision")), "revision")
+    return joined.withColumn("reason", why).where("reason is not null").select(*by, day, "reason")
+
+
+def missing_days(catalogue: DataFrame, by: list[str], day: str, floor: Column, until: Column) -> DataFrame:
+    """Days from a floor up to, without, the window's start that a catalogue lacks; a key without any day is not in it."""
+    keys = catalogue.select(*by).distinct()
+    spine = keys.withColumn(day, F.explode(F.sequence(floor, F.date_sub(until, 1))))
+    return spine.join(catalogue.select(*by, day).distinct(), [*by, day], "left_anti")
+
+
+def refresh_start(incomplete: DataFrame, keys: DataFrame, by: list[str], day: str, normal: Column) -> DataFrame:
+    """Where each key's refresh starts: at its earliest incomplete day, or at the normal start if that is earlier."""
+    first = incomplete.groupBy(*by).agg(F.min(day).alias("_first"))
+    return keys.join(first, by, "left").select(*by, F.least(F.coalesce("_first", normal), normal).alias("start"))

@@ -5,23 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import physics
 from . import regrid
 
 
+# Source id, confidence and flags of cells that a six-hour total constrains.
+SIX_HOUR_SOURCE, SIX_HOUR_CONFIDENCE, CONSTRAINED, EVEN_TIMING = 7, 0.85, 128, 256
+
+
 def six_hour(hours: DataFrame, keys: list[str], hour: str = "hour", depth: str = "depth", total: str = "total") -> DataFrame:
     """Scale the hours of blocks ending 00, 06, 12, 18 to the block's total.
 
-    Wet blocks scale in proportion, dry blocks with a wet total get even sixths, a zero total gives
-    zeros, a missing total changes nothing. The block's last hour takes the rounding residual.
+    Wet blocks scale in proportion, dry blocks with a wet total get even sixths, a zero total gives zeros; a
+    missing or negative total, and a block without all six hours, change nothing. The hour that ends the block
+    takes the rounding residual, never less than zero; it has none where an hour before it is missing. Flags
+    and source tell which hours were constrained; ``timing`` which kept their own pattern.
     """
-    block = F.ceil(F.col(hour) / 6)
-    df = hours.withColumn("block", block)
+    df = hours.withColumn("block", F.ceil(F.col(hour) / 6)).withColumn("_d", F.greatest(F.col(depth), F.lit(0.0)))
+    df = df.withColumn("_d", F.when(F.col(depth).isNotNull(), F.col("_d")))
     w = Window.partitionBy(*keys, "block")
-    sums = F.sum(depth).over(w)
-    shared = F.when(F.col(total).isNull(), F.col(depth)).when(F.col(total) <= 0, 0.0).when(sums > 0, F.col(depth) * F.col(total) / sums).otherwise(F.col(total) / 6)
-    df = df.withColumn("_share", shared)
-    last, before = F.col(hour) == F.max(hour).over(w), F.sum("_share").over(w) - F.col("_share")
-    return df.withColumn("constrained", F.when(F.col(total).isNotNull() & last, F.col(total) - before).otherwise(F.col("_share"))).drop("_share")
+    last = F.col(hour) == 6 * F.col("block")
+    df = df.withColumns({"_sum": F.coalesce(F.sum("_d").over(w), F.lit(0.0)), "_n": F.count(F.lit(1)).over(w)})
+    held = F.coalesce((F.col(total) >= 0) & (F.col("_n") == 6), F.lit(False))
+    even = held & (F.col(total) > 0) & (F.col("_sum") <= 0)
+    share = F.when(F.col(total) == 0, 0.0).when(even, F.col(total) / 6).otherwise(F.col("_d") * F.try_divide(F.col(total), F.col("_sum")))
+    df = df.withColumns({"_held": held, "_even": even, "_share": F.when(held, share).otherwise(F.col(depth))})
+    missing = F.count_if(~last & F.col("_share").isNull()).over(w) > 0
+    before = F.sum(F.when(~last, F.col("_share"))).over(w)
+    rest = F.when(~missing, F.greatest(F.col(total) - before, F.lit(0.0)))
+    return df.withColumns({
+        "constrained": F.when(F.col("_held") & last, rest).otherwise(F.col("_share")),
+        "flags": F.when(F.col("_held"), CONSTRAINED).otherwise(0) + F.when(F.col("_even"), EVEN_TIMING).otherwise(0),
+        "source_id": F.when(F.col("_held"), SIX_HOUR_SOURCE), "confidence": F.when(F.col("_held"), SIX_HOUR_CONFIDENCE), "timing": ~F.col("_even"),
+    }).drop("_d", "_sum", "_n", "_held", "_even", "_share")
 
 
 def temperature_range(hours: DataFrame, keys: list[str], value: str, low: str, high: str, least_range: float = 0.5, bounds: tuple[float, float] = (0.25, 4.0)) -> DataFrame:
@@ -68,6 +84,97 @@ def reconcile_period(
     return now.select("src", "depth", "corrected")
 
 
+# Flags of a day's temperature constraint.
+NO_CONSTRAINT, MIDPOINT_ONLY, SCALE_CLIPPED = 1, 2, 4
+
+
+def daily_temperature(hours: DataFrame, keys: list[str], hour: str, value: str, low: str, high: str, least_range: float = 0.5, bounds: tuple[float, float] = (0.25, 4.0)) -> DataFrame:
+    """A day's curve moved to its extremes, with flags; days without 24 consecutive hours are not given.
+
+    ``hour`` counts hours. Without extremes, or with a lowest above the highest, the curve stays as it is.
+    """
+    w = Window.partitionBy(*keys)
+    lo, hi = F.min(value).over(w), F.max(value).over(w)
+    span = F.max(hour).over(w) - F.min(hour).over(w)
+    whole = (F.count(F.lit(1)).over(w) == 24) & (span == 23)
+    df = hours.withColumns({"_lo": lo, "_hi": hi, "_whole": whole}).where("_whole")
+    own = F.col("_hi") - F.col("_lo")
+    usable = F.coalesce(F.col(low) <= F.col(high), F.lit(False))
+    raw = F.try_divide(F.col(high) - F.col(low), own)
+    scale = F.when(own < least_range, 1.0).otherwise(F.greatest(F.least(raw, F.lit(bounds[1])), F.lit(bounds[0])))
+    bit = lambda c, k: F.when(F.coalesce(c, F.lit(False)), k).otherwise(0)
+    return df.withColumns({
+        "adjusted": F.when(usable, (F.col(low) + F.col(high)) / 2 + scale * (F.col(value) - (F.col("_hi") + F.col("_lo")) / 2)).otherwise(F.col(value)),
+        "flags": bit(~usable, NO_CONSTRAINT) + bit(usable & (own < least_range), MIDPOINT_ONLY) + bit(usable & (own >= least_range) & ((raw < bounds[0]) | (raw > bounds[1])), SCALE_CLIPPED),
+    }).drop("_lo", "_hi", "_whole")
+
+
+def constraint_at_targets(extremes: DataFrame, links: DataFrame, targets: DataFrame, fields: list[str]) -> DataFrame:
+    """Temperatures of source cells (src, z, fields) at target cells (dst, z): moved to sea level, remapped, moved up again."""
+    sea = extremes.select("src", *(physics.temperature_at_elevation(F.col(f), F.col("z"), F.lit(0.0)).alias(f) for f in fields))
+    on = regrid.remap(sea, links, fields).join(targets.select("dst", "z"), "dst")
+    return on.select("dst", *(physics.temperature_at_elevation(F.col(f), F.lit(0.0), F.col("z")).alias(f) for f in fields))
+
+
+def monthly_coefficients(hours: DataFrame, keys: list[str], day: str, value: str, targets: DataFrame, low: str, high: str, least_range: float = 0.5, bounds: tuple[float, float] = (0.25, 4.0)) -> DataFrame:
+    """Per cell the affine change (scale, shift) that brings the means of daily extremes to the month's; none where a side is unusable."""
+    daily = hours.groupBy(*keys, day).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
+    own = daily.groupBy(*keys).agg(F.avg("lo").alias("lo"), F.avg("hi").alias("hi")).join(targets.select(*keys, low, high), keys)
+    span = F.col("hi") - F.col("lo")
+    scale = F.when(span < least_range, 1.0).otherwise(F.greatest(F.least(F.try_divide(F.col(high) - F.col(low), span), F.lit(bounds[1])), F.lit(bounds[0])))
+    usable = F.coalesce((F.col(low) <= F.col(high)) & (span >= 0), F.lit(False))
+    out = own.where(usable).withColumn("scale", scale)
+    return out.select(*keys, "scale", ((F.col(low) + F.col(high)) / 2 - F.col("scale") * (F.col("lo") + F.col("hi")) / 2).alias("shift"))
+
+
+# Flags of a target, and the shares of constrained targets that may have them.
+TARGET_MISSING, RATIO_CAPPED, BASE_DRY, SYNTHETIC, NOT_CONVERGED = 1, 2, 4, 8, 16
+LIMITS = {"unconverged": 0.005, "unresolved": 0.005, "capped": 0.02, "unhandled_dry": 0.005, "synthetic": 0.01}
+
+
+def acceptance(targets: DataFrame, tolerance: float = 1e-3, limits: dict[str, float] = LIMITS) -> DataFrame:
+    """Shares of constrained targets (total, residual, flags) that are off in each way, and whether all are within the limits."""
+    has = lambda f: F.col("flags").bitwiseAND(F.lit(f)) != 0
+    held = F.col("total").isNotNull() & ~has(TARGET_MISSING)
+    off = F.coalesce(F.abs("residual") / F.greatest("total", F.lit(1.0)) > tolerance, F.lit(True))
+    kinds = {"unconverged": has(NOT_CONVERGED), "unresolved": off, "capped": has(RATIO_CAPPED), "unhandled_dry": has(BASE_DRY) & ~has(SYNTHETIC), "synthetic": has(SYNTHETIC)}
+    n = F.greatest(F.count_if(held), F.lit(1))
+    shares = targets.agg(F.count_if(held).alias("constrained_cells"), *((F.count_if(held & c) / n).alias(k) for k, c in kinds.items()))
+    good = F.lit(True)
+    for k, most in limits.items():
+        good = good & (F.col(k) <= most)
+    return shares.withColumn("accepted", good)
+
+
+def monthly_hours(rain: DataFrame, cells: DataFrame, cell: str) -> DataFrame:
+    """Hours of a month (cell, hour, rate) corrected by their cells' change (cell, baseline, corrected, donor).
+
+    A dry cell that the month makes wet takes its donor's hours, scaled from the donor's depth to its own.
+    """
+    synthetic = (F.col("baseline") <= 1e-8) & (F.col("corrected") > 1e-8)
+    change = cells.select(cell, F.col("baseline").alias("_base"), F.when(F.col("baseline") > 1e-8, F.col("corrected") / F.col("baseline")).otherwise(F.lit(1.0)).alias("_factor"), F.when(synthetic, F.col("donor")).alias("_donor"), "corrected")
+    own = rain.join(change, cell)
+    plain = own.where("_donor is null").select(cell, "hour", (F.col("rate") * F.col("_factor")).alias("rate"))
+    wanted = change.where("_donor is not null").select(F.col(cell).alias("_cell"), F.col("_donor").alias(cell), "corrected")
+    base = change.select(cell, F.col("_base").alias("_donor_base"))
+    lent = rain.join(wanted, cell).join(base, cell).select(F.col("_cell").alias(cell), "hour", (F.col("rate") * F.coalesce(F.try_divide(F.col("corrected"), F.col("_donor_base")), F.lit(0.0))).alias("rate"))
+    return plain.unionByName(lent)
+
+
+def monthly_sums(hours: DataFrame, cell: str, day: str, depth: str, temperature: str, hours_in_month: int) -> DataFrame:
+    """Per cell: depth, greatest hourly depth, means of daily extremes with the days counted, and the share of hours that are there."""
+    daily = hours.groupBy(cell, day).agg(F.sum(depth).alias("d"), F.max(depth).alias("m"), F.min(temperature).alias("lo"), F.max(temperature).alias("hi"), F.count(depth).alias("n"))
+    return daily.groupBy(cell).agg(
+        F.sum("d").alias("depth"), F.max("m").alias("most_hourly"), F.avg("lo").alias("mean_low"), F.avg("hi").alias("mean_high"), F.count("lo").alias("days"),
+        (F.sum("n") / hours_in_month).alias("share"),
+    )
+
+
+def publication_gate(accepted: DataFrame, corrected: DataFrame, most: float = 300.0) -> DataFrame:
+    """One row: whether a month may go out, being accepted and without an hourly depth (column ``rate``) above ``most``."""
+    return accepted.select("accepted").crossJoin(corrected.agg(F.max("rate").alias("most_hourly"))).select("most_hourly", (F.col("accepted") & (F.coalesce("most_hourly", F.lit(0.0)) <= most)).alias("publish"))
+
+
 def assessed(result: DataFrame, targets: DataFrame, links: DataFrame, tolerance: float = 1e-3) -> DataFrame:
     """Share of constrained targets whose remapped result is off by more than the tolerance."""
     estimate = regrid.remap(result.select("src", "corrected"), links, ["corrected"])

@@ -125,13 +125,13 @@ def _cells(spark, sf_dir):
     )
 
 
-_SELECTED = f"""c AS ({_CELLS_SQL}), s AS (SELECT *, CASE WHEN o AND NOT e AND archive >= 0 THEN 13 WHEN quality >= 0.5 AND pass2 >= 0 THEN 1 WHEN quality >= 0.5 AND pass1 >= 0 THEN 2 WHEN NOT e AND archive >= 0 THEN 3 WHEN NOT e AND realtime >= 0 THEN 4
- WHEN land >= 0 THEN 5 WHEN forecast >= 0 THEN 6 ELSE 0 END AS w FROM c), d AS (SELECT *, CASE w WHEN 13 THEN 3 ELSE w END AS source_id, CASE w WHEN 13 THEN archive WHEN 1 THEN pass2 WHEN 2 THEN pass1 WHEN 3 THEN archive WHEN 4 THEN realtime WHEN 5 THEN land WHEN 6 THEN forecast END AS depth,
- CASE w WHEN 13 THEN 0.85 WHEN 1 THEN quality WHEN 2 THEN quality * 0.9 WHEN 3 THEN 0.8 WHEN 4 THEN 0.7 WHEN 5 THEN 0.4 WHEN 6 THEN 0.2 ELSE 0 END AS confidence FROM s)"""
+_SELECTED = f"""c AS ({_CELLS_SQL}), s AS (SELECT *, CASE WHEN o AND NOT e AND archive >= 0 THEN 13 WHEN o AND NOT e AND realtime >= 0 THEN 14 WHEN quality >= 0.5 AND pass2 >= 0 THEN 1 WHEN quality >= 0.5 AND pass1 >= 0 THEN 2 WHEN NOT e AND archive >= 0 THEN 3 WHEN NOT e AND realtime >= 0 THEN 4
+ WHEN land >= 0 THEN 5 WHEN forecast >= 0 THEN 6 ELSE 0 END AS w FROM c), d AS (SELECT *, CASE w WHEN 13 THEN 3 WHEN 14 THEN 4 ELSE w END AS source_id, CASE w WHEN 13 THEN archive WHEN 14 THEN realtime WHEN 1 THEN pass2 WHEN 2 THEN pass1 WHEN 3 THEN archive WHEN 4 THEN realtime WHEN 5 THEN land WHEN 6 THEN forecast END AS depth,
+ CASE w WHEN 13 THEN 0.85 WHEN 14 THEN 0.75 WHEN 1 THEN quality WHEN 2 THEN quality * 0.9 WHEN 3 THEN 0.8 WHEN 4 THEN 0.7 WHEN 5 THEN 0.4 WHEN 6 THEN 0.2 ELSE 0 END AS confidence FROM s)"""
 
 
 @register("sel02_composite_precipitation", f"""WITH {_SELECTED} SELECT k, ln, round(depth + 3.3e-9, 6) AS depth, source_id::INTEGER AS source_id, round(confidence::DOUBLE + 3.3e-9, 6) AS confidence,
- (CASE WHEN quality < 0.5 THEN 1 ELSE 0 END + CASE WHEN source_id = 3 AND o THEN 2 ELSE 0 END + CASE WHEN source_id BETWEEN 3 AND 6 THEN 4 ELSE 0 END + CASE WHEN source_id = 0 THEN 8 ELSE 0 END + CASE WHEN depth > 300 THEN 32 ELSE 0 END
+ (CASE WHEN quality < 0.5 THEN 1 ELSE 0 END + CASE WHEN source_id IN (3, 4) AND o THEN 2 ELSE 0 END + CASE WHEN source_id BETWEEN 3 AND 6 THEN 4 ELSE 0 END + CASE WHEN source_id = 0 THEN 8 ELSE 0 END + CASE WHEN depth > 300 THEN 32 ELSE 0 END
  + CASE WHEN e AND (archive >= 0 OR realtime >= 0) THEN 64 ELSE 0 END)::INTEGER AS qc FROM d""")
 def _(spark, sf_dir):
     out = composite.composite(_cells(spark, sf_dir))
@@ -162,16 +162,22 @@ def _(spark, sf_dir):
     return cells.groupBy("threshold").agg(F.count(d).alias("composed"), b.rounded(F.avg(d)).alias("mean_depth"))
 
 
-_SIX = """h AS (SELECT user_id, CAST(ts AS DATE) AS day, hour(ts) + 1 AS hour, sum(value) AS depth FROM events GROUP BY ALL), t AS (SELECT *, CASE WHEN user_id % 3 = 0 THEN NULL WHEN user_id % 7 = 0 THEN 0.0 ELSE 100.0 + user_id END AS total FROM h)"""
+_SIX = """h AS (SELECT l_suppkey AS cell, l_returnflag AS day, 1 + l_orderkey % 24 AS hour, sum(l_quantity) FILTER (WHERE NOT ((l_suppkey % 4 = 0 AND l_orderkey % 24 = 17) OR (l_suppkey % 6 = 1 AND l_orderkey % 24 = 2) OR (l_suppkey % 5 = 2 AND l_orderkey % 24 < 6))) AS depth FROM lineitem GROUP BY ALL),
+t AS (SELECT *, CASE WHEN cell % 3 = 0 AND hour < 13 THEN NULL WHEN cell % 7 = 0 THEN 0.0::DOUBLE WHEN cell % 11 = 5 THEN -5.0 ELSE 100.0 + cell END AS total FROM h)"""
 
 
-@register("rec01_six_hour_reconcile", f"""WITH {_SIX}, s AS (SELECT *, ceil(hour / 6)::BIGINT AS block, sum(depth) OVER (PARTITION BY user_id, day, ceil(hour / 6)) AS sums FROM t)
-SELECT user_id, CAST(day AS VARCHAR) AS day, hour, block, round(CASE WHEN total IS NULL THEN depth WHEN total <= 0 THEN 0 ELSE depth * total / sums END + 3.3e-9, 5) AS constrained FROM s""")
+@register("rec01_six_hour_reconcile", f"""WITH {_SIX}, g AS (SELECT *, ceil(hour / 6)::BIGINT AS block FROM t), s AS (SELECT *, coalesce(sum(depth) OVER w, 0) AS sums, count(*) OVER w = 6 AND coalesce(total >= 0, false) AS held, hour = 6 * block AS ends FROM g WINDOW w AS (PARTITION BY cell, day, block)),
+e AS (SELECT *, held AND total > 0 AND sums <= 0 AS even FROM s), d AS (SELECT *, CASE WHEN NOT held THEN depth WHEN total = 0 THEN 0 WHEN even THEN total / 6 ELSE depth * total / sums END AS share FROM e),
+r AS (SELECT *, sum(CASE WHEN NOT ends THEN share END) OVER w AS five, count(CASE WHEN NOT ends AND share IS NULL THEN 1 END) OVER w AS gone FROM d WINDOW w AS (PARTITION BY cell, day, block))
+SELECT cell, day, hour, block, round(CASE WHEN held AND ends THEN CASE WHEN gone = 0 THEN greatest(total - five, 0) END ELSE share END + 3.3e-9, 5) AS constrained, CASE WHEN held THEN 128 ELSE 0 END + CASE WHEN even THEN 256 ELSE 0 END AS flags,
+CASE WHEN held THEN 7 END AS source_id, CASE WHEN held THEN 0.85::DOUBLE END AS confidence, NOT even AS timing FROM r""")
 def _(spark, sf_dir):
-    h = b.table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("day"), (F.hour("ts") + 1).cast("long").alias("hour")).agg(F.sum("value").alias("depth"))
-    k = c("user_id")
-    h = h.withColumn("total", F.when(k % 3 == 0, None).when(k % 7 == 0, 0.0).otherwise(100.0 + k))
-    return reconcile.six_hour(h, ["user_id", "day"]).select("user_id", b.text("day").alias("day"), "hour", "block", b.rounded("constrained", 5).alias("constrained"))
+    k, o = c("l_suppkey"), c("l_orderkey") % 24
+    gone = ((k % 4 == 0) & (o == 17)) | ((k % 6 == 1) & (o == 2)) | ((k % 5 == 2) & (o < 6))
+    h = b.table(spark, sf_dir, "lineitem").groupBy(k.alias("cell"), c("l_returnflag").alias("day"), (1 + o).alias("hour")).agg(F.sum(F.when(~gone, c("l_quantity"))).alias("depth"))
+    k = c("cell")
+    h = h.withColumn("total", F.when((k % 3 == 0) & (c("hour") < 13), None).when(k % 7 == 0, 0.0).when(k % 11 == 5, -5.0).otherwise(100.0 + k))
+    return reconcile.six_hour(h, ["cell", "day"]).select("cell", "day", "hour", "block", b.rounded("constrained", 5).alias("constrained"), "flags", "source_id", "confidence", "timing")
 
 
 @register("rec04_adjust_temperature_range", f"""WITH h AS ({b.HOURLY}), d AS (SELECT *, CAST(hour_end + INTERVAL 12 HOUR AS DATE) AS day FROM h), w AS (SELECT *, min(value) OVER g AS lo, max(value) OVER g AS hi FROM d WINDOW g AS (PARTITION BY station, day))
@@ -294,9 +300,13 @@ def _(spark, sf_dir):
     return fill.in_polygon(b.grid(spark, sf_dir).select(c("cell").alias("id"), "lon", "lat"), edges)
 
 
-@register("hyb01_masked_box_smooth", f"""WITH g AS ({b.GRID}), v AS (SELECT y, x, CASE WHEN size > 10 THEN value END AS v FROM g) SELECT a.y, a.x, round(avg(n.v) + 3.3e-9, 6) AS smooth FROM v a JOIN v n ON n.y BETWEEN a.y - 1 AND a.y + 1 AND n.x BETWEEN a.x - 1 AND a.x + 1 GROUP BY 1, 2""")
+@register("hyb01_masked_box_smooth", f"""WITH g AS ({b.GRID}), e AS (SELECT min(y) AS y0, max(y) AS y1 FROM g), v AS (SELECT y, x, CASE WHEN size > 10 THEN value END AS v FROM g), o AS (SELECT unnest([-2, -1, 0, 1]) AS d),
+m AS (SELECT v.y, v.x, CASE WHEN v.y + p.d < y0 THEN 2 * y0 - v.y - p.d WHEN v.y + p.d > y1 THEN 2 * y1 - v.y - p.d ELSE v.y + p.d END AS ry, CASE WHEN v.x + q.d < 0 THEN -v.x - q.d WHEN v.x + q.d > 19 THEN 38 - v.x - q.d ELSE v.x + q.d END AS rx FROM v, e, o p, o q)
+SELECT m.y, m.x, round(avg(n.v) + 3.3e-9, 6) AS smooth FROM m LEFT JOIN v n ON n.y = ry AND n.x = rx GROUP BY 1, 2""")
 def _(spark, sf_dir):
-    return fill.box_smooth(b.grid(spark, sf_dir).select("y", "x", F.when(c("size") > 10, c("value")).alias("v")), "v", 1).select("y", "x", b.rounded("smooth").alias("smooth"))
+    g = b.grid(spark, sf_dir)
+    rows = tuple(g.agg(F.min("y"), F.max("y")).head())
+    return fill.box_smooth(g.select("y", "x", F.when(c("size") > 10, c("value")).alias("v")), ["v"], 4, rows, (0, 19)).select("y", "x", b.rounded("v_smooth").alias("smooth"))
 
 
 @register("net01_window_from_bbox", f"WITH g AS ({b.GRID}) SELECT greatest(min(y) - 2, 0) AS y_min, least(max(y) + 2, 4999) AS y_max, greatest(min(x) - 2, 0) AS x_min, least(max(x) + 2, 19) AS x_max FROM g WHERE lat BETWEEN 26 AND 40 AND lon BETWEEN -110 AND -80")
