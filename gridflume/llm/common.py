@@ -17,7 +17,9 @@ SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 
 
 #: Words whose hashes a worker remembers.
-CACHE = 500_000
+CACHE = 200_000
+#: Rows that a Python worker gets at once; texts may be long, and a worker keeps the memory of its largest batch.
+BATCH_ROWS = 2000
 
 
 class _WordHashes(dict):
@@ -65,7 +67,15 @@ def staged(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Have texts sent to Python workers in batches of ``BATCH_ROWS`` at most."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

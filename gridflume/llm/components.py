@@ -13,6 +13,8 @@ from .common import shared_dir
 
 #: Parts that a node's edges are dealt over, so that a hub's do not meet in one task.
 SALTS = 64
+#: Edges that a worker thins at once.
+EDGES = 1 << 20
 
 
 def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -36,16 +38,20 @@ def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What the edges of each batch connect, with no more edges than nodes."""
-    for b in batches:
-        if b.num_rows:
-            u, v = spanning(b.column("u").to_numpy(), b.column("v").to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+    """What the edges of some batches connect, with no more edges than nodes."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
 
+    def thinned() -> pa.RecordBatch:
+        u, v = spanning(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
-def _digest(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1_000_000_007)))).head()
-    return tuple(row)
+    for b in batches:
+        held.append((b.column("u").to_numpy(), b.column("v").to_numpy()))
+        if sum(len(u) for u, _ in held) >= EDGES:
+            yield thinned()
+            held.clear()
+    if held:
+        yield thinned()
 
 
 def _with_least(edges: DataFrame) -> DataFrame:

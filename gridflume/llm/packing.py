@@ -27,7 +27,7 @@ from .common import staged
 
 CAPACITY = 2048
 #: Entries of a worker's cache of encoded words; it is emptied when full.
-CACHE = 400_000
+CACHE = 200_000
 
 
 class Encoder:
