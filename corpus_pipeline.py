@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridflume.llm import exact_dedup, language, near_copies, packing, substring
-from gridflume.llm.common import id_crc, new_path, table, text_hash
+from gridflume.llm.common import bounded_batches, id_crc, new_path, table, text_hash
 from gridflume.llm.queries import BYTE_BPE
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is not rejected; learned from the labelled rows outside the held-out fold."""
+    bounded_batches(spark)
     return language.filtered(docs, language.fit(docs, F.pmod(id_crc(), F.lit(4)) != 2))
 
 
@@ -40,6 +41,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Rows that repeat that id and text all stay; a null id stays only where all of its group are null.
     """
+    bounded_batches(spark)
     gone = exact_dedup.exact_duplicates(docs).where("not kept").select("doc_id", "text_hash")
     return _without(docs, gone)
 
@@ -49,6 +51,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows that repeat that id all stay; null ids stay only where all of their group are null.
     """
+    bounded_batches(spark)
     found = near_copies.near_copies(docs)
     gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "text_hash")
     return _without(docs, gone)
@@ -59,6 +62,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Each row is cut by what was found for its own id and text; rows of null ids lose nothing.
     """
+    bounded_batches(spark)
     changed = substring.repeated_passages(docs).where("n_removed > 0").select("doc_id", "text_hash", F.col("kept_text").alias("_kept_text"))
     left, right, same = _keyed(docs, changed)
     joined = left.join(right, same, "left").where(F.col("_kept_text").isNull() | (F.col("_kept_text") != ""))
@@ -68,6 +72,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit-decreasing sequences of 2048 tokens."""
+    bounded_batches(spark)
     return packing.packed(docs, BYTE_BPE, 2048)
 
 
