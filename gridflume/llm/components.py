@@ -54,6 +54,11 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield thinned()
 
 
+def _digest(edges: DataFrame) -> tuple:
+    row = edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1_000_000_007)))).head()
+    return tuple(row)
+
+
 def _with_least(edges: DataFrame) -> DataFrame:
     """Edges (u, v) with ``m``, the least v of their u, found and joined in parts so that no task gets a whole hub."""
     dealt = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
