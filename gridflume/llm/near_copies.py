@@ -3,7 +3,8 @@
 Texts that SimHash links (within 2 bits, as ``simhash`` has it) are one group from the start. Candidates
 beyond those are texts that agree in a band of ``ROWS`` of ``ROWS * BANDS`` minimum hashes; at a similarity
 of 0.8 a pair has none in common with a chance of 3e-6, at 0.9 of 1e-11. Candidates are verified on the whole
-texts. First each group is compared with one other per band, then, among groups still apart, all candidates are.
+texts. First each group is compared with one other per band; then texts still apart that bands connect are compared
+with one another in tiles, which give no more links than it takes to connect what is alike.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +26,8 @@ SHINGLE, LEAST = 5, 0.8
 ROWS, BANDS = 4, 24
 #: Of the minimum hashes (a byte of each), how many a plausible pair shares; at a similarity of 0.8 a pair shares fewer with a chance of 3e-7.
 AGREEING = 56
-#: Texts of a band that are compared in one piece.
-TILE = 1024
+#: Shingles of the texts that are compared in one piece, about.
+TILE = 500_000
 _U = np.uint64
 _FACTORS = np.random.default_rng(11).integers(0, 1 << 64, ROWS * BANDS, dtype=np.uint64) | _U(1)
 _ADDED = np.random.default_rng(12).integers(0, 1 << 64, ROWS * BANDS, dtype=np.uint64)
@@ -76,25 +78,37 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("node"), pa.array(prints), pa.array([len(x) for x in found], pa.int64()), keys, low], names=["doc_id", "node", "fp", "size", "bands", "minima"])
 
 
-def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of two tiles that are in different groups and agree in ``AGREEING`` minimum hashes and more."""
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for i in range(b.num_rows):
-            x, y = ({k: b.column(side)[i].values.field(k) for k in ("node", "size", "root", "minima")} for side in ("xs", "ys"))
-            root_x, root_y = x["root"].to_numpy(), y["root"].to_numpy()
-            node_x, node_y = x["node"].to_numpy(), y["node"].to_numpy()
-            size_x, size_y = x["size"].to_numpy(), y["size"].to_numpy()
-            least_x, least_y = (np.frombuffer(b"".join(t["minima"].to_pylist()), np.uint8).reshape(-1, ROWS * BANDS) for t in (x, y))
-            for at in range(len(node_x)):
-                agreeing = (least_y == least_x[at]).sum(axis=1)
-                near = np.flatnonzero((agreeing >= AGREEING) & (root_y != root_x[at]))
-                if len(near):
-                    mine = np.full(len(near), at)
-                    swap = node_y[near] < node_x[mine]
-                    left = [c[mine] for c in (node_x, size_x, root_x)]
-                    right = [c[near] for c in (node_y, size_y, root_y)]
-                    cols = [np.where(swap, r, l) for l, r in zip(left, right, strict=True)] + [np.where(swap, l, r) for l, r in zip(left, right, strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["u", "size_u", "root_u", "v", "size_v", "root_v"])
+        found = [shingles(x).view(np.int64) for x in utf8_texts(b.column("text"))]
+        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+
+def _tile_edges(key: tuple, xs: pd.DataFrame, ys: pd.DataFrame) -> pd.DataFrame:
+    """Edges between the groups of two tiles' texts that are near copies, no more of them than connect what is alike."""
+    parent: dict[int, int] = {}
+
+    def top(r: int) -> int:
+        while (up := parent.get(r, r)) != r:
+            r = up
+        return r
+
+    edges: list[tuple[int, int]] = []
+    if len(xs) and len(ys):
+        least_x, least_y = (np.frombuffer(b"".join(t.minima), np.uint8).reshape(-1, ROWS * BANDS) for t in (xs, ys))
+        size_x, size_y, root_x, root_y = xs["size"].to_numpy(), ys["size"].to_numpy(), xs["root"].to_numpy(), ys["root"].to_numpy()
+        sets_x, sets_y = list(xs.shingles), list(ys.shingles)
+        for i in range(len(size_x)):
+            alike = ((least_y == least_x[i]).sum(axis=1) >= AGREEING) & (root_y != root_x[i])
+            alike &= np.minimum(size_y, size_x[i]) >= LEAST * np.maximum(size_y, size_x[i]) - 1e-9
+            for k in np.flatnonzero(alike).tolist():
+                a, b = top(int(root_x[i])), top(int(root_y[k]))
+                if a != b:
+                    both = len(np.intersect1d(sets_x[i], sets_y[k], assume_unique=True))
+                    if both >= LEAST * (size_x[i] + size_y[k] - both) - 1e-9:
+                        parent[max(a, b)] = min(a, b)
+                        edges.append((a, b))
+    return pd.DataFrame(edges, columns=["u", "v"], dtype="int64")
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,18 +174,21 @@ def near_copies(docs: DataFrame, radius: int = 2) -> DataFrame:
     tested = staged(_fitting(stars), "star_pairs")
     groups = staged(_regrouped(groups, _linking(tested, texts)), "star_groups")
 
-    # what is still apart: every pair of a band, in tiles
+    # what is still apart: texts that bands connect are a class, and all pairs of a class are compared in tiles
     held = placed.join(groups, "fp")
-    apart = held.groupBy("band").agg(F.countDistinct("root").alias("n"), F.ceil(F.count("*") / TILE).cast("int").alias("blocks")).where("n > 1").select("band", "blocks")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
-    dealt = held.join(apart, "band").join(signed.select("node", "minima").dropDuplicates(["node"]), "node").select("band", block, "node", "size", "root", "minima")
-    tiles = staged(dealt.groupBy("band", "block").agg(F.collect_list(F.struct("node", "size", "root", "minima")).alias("xs")), "band_tiles")
-    other = tiles.select("band", F.col("block").alias("other_block"), F.col("xs").alias("ys"))
-    pairs = tiles.join(other, "band").where("block <= other_block").select("xs", "ys")
-    pairs = pairs.mapInArrow(_plausible, "u long, size_u long, root_u long, v long, size_v long, root_v long")
-    once = tested.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    pairs = staged(_fitting(pairs).join(once, ["u", "v"], "left_anti"), "all_pairs")
-    groups = _regrouped(groups, _linking(pairs, texts))
+    apart = held.groupBy("band").agg(F.countDistinct("root").alias("n"), F.min("node").alias("first")).where("n > 1").select("band", "first")
+    met = staged(held.join(apart, "band").select("node", "first", "size", "root").distinct(), "apart")
+    classes = components(met.select(F.col("node").alias("u"), F.col("first").alias("v"))).select("node", F.col("root").alias("class"))
+    facts = met.select("node", "size", "root").distinct().join(classes, "node").join(signed.select("node", "minima").dropDuplicates(["node"]), "node")
+    sizes = facts.groupBy("class").agg(F.ceil(F.sum("size") / TILE).cast("int").alias("blocks"))
+    sets = texts.join(met.select("node").distinct(), "node", "left_semi").mapInArrow(_shingled, "node long, shingles array<long>")
+    members = facts.join(sizes, "class").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(sets, "node")
+    members = staged(members.select("class", "block", "blocks", "node", "size", "root", "minima", "shingles"), "class_members")
+    columns = ["size", "root", "minima", "shingles"]
+    left = members.select("class", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), *columns)
+    right = members.select("class", F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"), *columns)
+    tile = ["class", "i", "j"]
+    groups = _regrouped(groups, left.groupBy(*tile).cogroup(right.groupBy(*tile)).applyInPandas(_tile_edges, "u long, v long"))
 
     rooted = signed.select("doc_id", "node", "fp").join(groups, "fp").select("doc_id", "node", "root")
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
