@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 15
 DIMENSIONS = 16
-#: About so many labelled documents of each language are fitted and calibrated on.
-ROWS_PER_LANGUAGE = 600
-#: Languages learned, the most frequent ones.
-LANGUAGES = 200
+#: About so many labelled documents of each language are fitted and calibrated on; of all languages together no more than the second.
+ROWS_PER_LANGUAGE, ROWS = 600, 100_000
+#: Subwords of a labelled document that are learned from at most, drawn from the whole text.
+SUBWORDS = 20_000
 #: Share of clean calibration texts that rejection may cost.
 REJECTED_CLEAN = 0.001
 SEGMENT = 1 << 20
@@ -34,11 +34,8 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-def _counts(code: np.ndarray) -> np.ndarray:
-    code = np.where(_letters()[code], code, 32).astype(np.uint32)
-    keep = np.r_[True, (code[1:] != 32) | (code[:-1] != 32)]
-    code = code[keep]
-    code = np.r_[np.uint32(32), code, np.uint32(32)]
+def _counts(code: np.ndarray, fresh: int) -> np.ndarray:
+    """Buckets of the subwords that end at place ``fresh`` or behind."""
     inner, total = code != 32, np.zeros(BUCKETS, np.int64)
     mixed = code * np.uint32(2654435761)
     running, whole = mixed.copy(), np.ones(len(code), bool)
@@ -46,21 +43,28 @@ def _counts(code: np.ndarray) -> np.ndarray:
         if len(code) < n:
             break
         running = running[:-1] * np.uint32(16777619) ^ mixed[n - 1 :]
-        if n > 2:
-            whole = whole[: len(running)] & inner[n - 2 : n - 2 + len(running)]
-        else:
-            whole = whole[: len(running)]
-        total += np.bincount((running[whole] * np.uint32(0x85EBCA6B)) >> np.uint32(17), minlength=BUCKETS)
+        whole = whole[: len(running)] & inner[n - 2 : n - 2 + len(running)] if n > 2 else whole[: len(running)]
+        used = running[max(0, fresh - n + 1) :][whole[max(0, fresh - n + 1) :]]
+        total += np.bincount((used * np.uint32(0x85EBCA6B)) >> np.uint32(17), minlength=BUCKETS)
     return total
 
 
 def subword_counts(text: str | None) -> np.ndarray | None:
-    """How often each bucket occurs in a whole text; None for a null or one without letters."""
+    """How often each bucket occurs in a whole text; None for a null or one without letters. Long texts go in segments that overlap."""
     if not text or not any(map(str.isalpha, text)):
         return None
-    code = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
-    # long texts go in segments; only the few subwords across two of them are missed
-    return sum(_counts(code[at : at + SEGMENT]) for at in range(0, len(code), SEGMENT))
+    code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    total, tail = np.zeros(BUCKETS, np.int64), np.array([32], np.uint32)
+    for at in range(0, len(code) + 1, SEGMENT):
+        part = code[at : at + SEGMENT]
+        part = np.where(_letters()[part], part, np.uint32(32)).astype(np.uint32)
+        if at + SEGMENT > len(code):
+            part = np.r_[part, np.uint32(32)]
+        joined = np.r_[tail, part]
+        joined = joined[np.r_[True, (joined[1:] != 32) | (joined[:-1] != 32)]]
+        total += _counts(joined, len(tail))
+        tail = joined[-3:]
+    return total
 
 
 @dataclass
@@ -140,6 +144,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lang, order, at, n = [], [], [], []
         for text, tag, place in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), b.column("place").to_pylist(), strict=True):
             if (counts := subword_counts(text)) is not None:
+                if counts.sum() > SUBWORDS:
+                    counts = np.random.default_rng(abs(place)).multinomial(SUBWORDS, counts / counts.sum())
                 used = np.flatnonzero(counts)
                 lang.append(tag)
                 order.append(place)
@@ -151,14 +157,15 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, learnable: Column | None = None, rows_per_language: int = ROWS_PER_LANGUAGE) -> LanguageModel:
     """Learn from rows of ``docs`` (text, lang) with a language, and for which ``learnable`` holds.
 
-    The rows are a sample by a hash of the id, about ``rows_per_language`` of each language; the most
-    frequent ``LANGUAGES`` languages are learned.
+    The rows are a sample by a hash of the id, about ``rows_per_language`` of each language and ``ROWS``
+    in all; of a long text ``SUBWORDS`` draws from all its subwords are learned from. Every language is
+    learned. Null ids and repeated rows count like any other.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.lit(True) if learnable is None else learnable))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()  # a row for each language
     if not counts:
         return train([])
-    scale = 1 << 30
+    scale, rows_per_language = 1 << 30, max(1, min(rows_per_language, ROWS // len(counts)))
     rates = F.create_map(*[x for r in counts for x in (F.lit(r[0]), F.lit(min(scale, scale * rows_per_language // r[1])))])
     place = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("language"))
     sample = rows.select("text", "lang", place.alias("place")).where(F.pmod("place", F.lit(scale)) < F.coalesce(rates[F.col("lang")], F.lit(0)))
@@ -195,7 +202,7 @@ def predict(docs: DataFrame, model: LanguageModel, *keep: str) -> DataFrame:
     rejected. Else a text is rejected if its score is below the model's threshold. Only the text is
     looked at; repeated rows get equal results; an empty table gives no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x LANGUAGES floats at most
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # a row of BUCKETS floats for each language
     kept = docs.select(*keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     return docs.select(*keep, F.col("text").alias("text")).mapInArrow(_predict(shared), f"{schema}, lang_pred string, score double, rejected boolean")

@@ -171,6 +171,14 @@ def test_language(spark):
     assert {r["doc_id"] for r in language.filtered(asked, model).collect()} >= {0, 1, 5}
 
 
+def test_language_segments_lose_no_subword(monkeypatch):
+    text = " ".join(f"Wört{i}ab  xyz!cd" for i in range(500))
+    whole = language.subword_counts(text)
+    for size in (7, 64, len(text), len(text) + 1):
+        monkeypatch.setattr(language, "SEGMENT", size)
+        assert (language.subword_counts(text) == whole).all()
+
+
 def test_nbest_brute_force():
     m = nbest.PieceModel(queries.PIECES, 6)
 
