@@ -54,9 +54,10 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield thinned()
 
 
-def _digest(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1_000_000_007)))).head()
-    return tuple(row)
+def _settled(edges: DataFrame) -> bool:
+    """Whether each node with an edge down has one only, and none leads to it: then all edges end at roots."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(edges.select("v", F.lit(0), F.lit(1)))
+    return not ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down + up > 1 and down > 0").take(1)
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
@@ -90,13 +91,11 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     shared_dir(spark)
     now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     now = now.mapInArrow(_forest, "u long, v long").distinct().checkpoint()
-    before = _digest(now)
     for _ in range(most_rounds):
-        now = _small_star(_large_star(now)).checkpoint()
-        after = _digest(now)
-        if after == before:
+        if _settled(now):
             break
-        before = after
+        # apart, for a plan of both reads the edges many times over
+        now = _small_star(_large_star(now).checkpoint()).checkpoint()
     else:
         raise RuntimeError("components did not converge")
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -171,7 +171,10 @@ def fit(docs: DataFrame, learnable: Column | None = None, rows_per_language: int
     sample = rows.select("text", "lang", place.alias("place")).where(F.pmod("place", F.lit(scale)) < F.coalesce(rates[F.col("lang")], F.lit(0)))
     found = sample.mapInArrow(_features, "lang string, place long, buckets array<int>, counts array<int>").toArrow().sort_by([("place", "ascending"), ("lang", "ascending")])
     tag, at, n = found.column("lang").to_pylist(), found.column("buckets").combine_chunks(), found.column("counts").combine_chunks()
-    return train([(tag[i], at[i].values.to_numpy(), n[i].values.to_numpy()) for i in range(len(tag))])
+    model = train([(tag[i], at[i].values.to_numpy(), n[i].values.to_numpy()) for i in range(len(tag))])
+    del found, at, n
+    pa.default_memory_pool().release_unused()  # the driver lives on beside the model
+    return model
 
 
 def _predict(model_of):
