@@ -74,3 +74,31 @@ def state_inventory(states: DataFrame, by: list[str], value: str, low: Column, h
     """Per group: values, missing ones, range, mean, negatives, and those out of bounds."""
     v = F.col(value)
     return states.groupBy(*by).agg(F.count(v).alias("n"), F.count_if(v.isNull()).alias("missing"), F.min(v).alias("least"), F.max(v).alias("greatest"), F.avg(v).alias("mean"), F.count_if(v < 0).alias("negative"), F.count_if((v < low) | (v > high)).alias("out_of_bounds"))
+
+
+def content(cells: DataFrame, by: list[str], field: str, inside: Column, land: Column) -> DataFrame:
+    """Per group: values missing in the domain and on its land, values outside, and digests of both parts' values (column ``cell`` names a cell).
+
+    A digest is the sum of the cells' hashes, so it is added up in parts and doesn't depend on order.
+    """
+    there, inside, land = F.col(field).isNotNull(), F.coalesce(inside, F.lit(False)), F.coalesce(land, F.lit(False))
+    mark = F.crc32(F.concat_ws(":", F.col("cell").cast("string"), F.round(F.col(field) * 100).cast("long").cast("string")).cast("binary"))
+    digest = lambda c: F.coalesce(F.sum(F.when(c & there, mark)), F.lit(0))
+    return cells.groupBy(*by).agg(
+        F.count_if(inside & ~there).alias("missing"), F.count_if(inside & land & ~there).alias("missing_on_land"), F.count_if(~inside & there).alias("outside"),
+        digest(inside).alias("inside_digest"), digest(~inside).alias("outside_digest"),
+    )
+
+
+def scenario(hours: DataFrame, by: list[str], source: str, expected: Column, forbidden: Column, needed: int = 24) -> DataFrame:
+    """Per group: its hours, those of the expected source alone, uses of the forbidden one, and whether it is as planned."""
+    found = hours.groupBy(*by).agg(
+        F.countDistinct("hour").alias("hours"), F.count_if(~F.coalesce(F.col(source) == expected, F.lit(False))).alias("unexpected"), F.count_if(F.coalesce(F.col(source) == forbidden, F.lit(False))).alias("forbidden")
+    )
+    return found.withColumn("valid", (F.col("hours") == needed) & (F.col("unexpected") == 0) & (F.col("forbidden") == 0))
+
+
+def absent_hours(keys: DataFrame, catalogue: DataFrame, by: list[str], start: Column, stop: Column) -> DataFrame:
+    """Hours of a period, the one at its end included, that a key's catalogue (by, stamp) lacks."""
+    spine = keys.select(*by, F.explode(F.sequence(start, stop, F.expr("INTERVAL 1 HOUR"))).alias("stamp"))
+    return spine.join(catalogue.select(*by, "stamp").distinct(), [*by, "stamp"], "left_anti")

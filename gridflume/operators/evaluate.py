@@ -58,3 +58,10 @@ def override_sweep(samples: DataFrame, by: list[str], qualities: list[float], di
     swap = (F.col("quality") < F.col("q")) & (F.abs(F.col("main") - F.col("other")) > F.col("d"))
     error = F.when(swap, F.col("other")).otherwise(F.col("main")) - F.col("reference")
     return tried.groupBy(*by, "q", "d").agg(F.count(error).alias("n"), F.count_if(swap).alias("overrides"), F.avg(error).alias("bias"), F.sqrt(F.avg(error * error)).alias("rmse"))
+
+
+def best_rules(scores: DataFrame, strata: list[str], rule: str) -> DataFrame:
+    """Per stratum the rule of least error (rmse), of equal ones that of the highest csi, then the smallest rule."""
+    order = F.struct(F.col("rmse"), -F.coalesce(F.col("csi"), F.lit(-1.0)), F.col(rule))
+    kept = scores.where(F.col("rmse").isNotNull())
+    return kept.groupBy(*strata).agg(F.min_by(F.struct(rule, "rmse", "csi"), order).alias("_best")).select(*strata, "_best.*")

@@ -144,3 +144,25 @@ def refresh_start(incomplete: DataFrame, keys: DataFrame, by: list[str], day: st
     """Where each key's refresh starts: at its earliest incomplete day, or at the normal start if that is earlier."""
     first = incomplete.groupBy(*by).agg(F.min(day).alias("_first"))
     return keys.join(first, by, "left").select(*by, F.least(F.coalesce("_first", normal), normal).alias("start"))
+
+
+def inputs_of_days(inputs: DataFrame, days: DataFrame, day: str, stamp: str, before: int = 5, after: int = 24) -> DataFrame:
+    """Inputs of each wanted day: those from ``before`` hours ahead of its start to ``after`` hours past it.
+
+    Each input is dealt to the few days that its stamp can belong to and joined by day, not by range.
+    """
+    own, span = F.to_date(stamp), lambda h: -(-h // 24)
+    near = inputs.withColumn(day, F.explode(F.sequence(F.date_sub(own, span(after)), F.date_add(own, span(before)))))
+    start = F.col(day).cast("timestamp")
+    fits = (F.col(stamp) >= start - F.make_dt_interval(hours=F.lit(before))) & (F.col(stamp) <= start + F.make_dt_interval(hours=F.lit(after)))
+    return near.where(fits).join(days.select(day).distinct(), day, "left_semi")
+
+
+def outdated(receipts: DataFrame, catalogue: DataFrame, archive: list[str], key: str, identity: list[str]) -> DataFrame:
+    """Per archive: inputs, those gone or of another identity in the catalogue, and whether all still match."""
+    now = catalogue.select(key, *(F.col(c).alias(f"_{c}") for c in identity), F.lit(True).alias("_there"))
+    same = F.coalesce(F.col("_there"), F.lit(False))
+    for c in identity:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    found = receipts.join(now, key, "left").groupBy(*archive).agg(F.count("*").alias("inputs"), F.count_if(~same).alias("changed"))
+    return found.withColumn("current", F.col("changed") == 0)

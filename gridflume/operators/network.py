@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -56,3 +56,32 @@ def localized(indices: DataFrame, y0: int, y1: int, x0: int, x1: int) -> DataFra
     """One-based indices inside a zero-based window, counted from its corner."""
     inside = indices.where((F.col("j") - 1).between(y0, y1) & (F.col("i") - 1).between(x0, x1))
     return inside.withColumns({"i": F.col("i") - x0, "j": F.col("j") - y0})
+
+
+def refined_window(low: Column, high: Column, factor: int) -> tuple[Column, Column]:
+    """Bounds of the same window on a grid ``factor`` times as fine; both bounds are inside it."""
+    return low * factor, (high + 1) * factor - 1
+
+
+def in_box(reaches: DataFrame, south: float, north: float, west: float, east: float) -> DataFrame:
+    """Reaches whose coordinates (lat, lon) are finite and inside a box."""
+    finite = [F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")) for c in ("lat", "lon")]
+    return reaches.where(finite[0] & finite[1] & F.col("lat").between(south, north) & F.col("lon").between(west, east))
+
+
+def spatial_weights(records: DataFrame, candidates: DataFrame, key: str, y0: int, y1: int, x0: int, x1: int) -> DataFrame:
+    """Overlaps (key, i, j) of candidate polygons inside a window, counted from its corner, with ``overlaps`` of each polygon there."""
+    inside = localized(records.join(candidates.select(key), key, "left_semi"), y0, y1, x0, x1)
+    return inside.join(inside.groupBy(key).agg(F.count("*").alias("overlaps")), key)
+
+
+def boundary_influence(full: DataFrame, retained: DataFrame, incomplete: DataFrame) -> DataFrame:
+    """Retained links at or below one whose upstream link was clipped, or whose catchment is incomplete."""
+    clipped = full.join(retained.select("link"), "link", "left_anti").select(F.col("to_link").alias("link"))
+    return downstream(clipped.union(incomplete.select("link")), retained)
+
+
+def selected_gauges(retained: DataFrame, gauges: DataFrame, name: str = "gage") -> DataFrame:
+    """Gauges that a retained link names; names are compared without the spaces around them, blank ones name none."""
+    named = retained.select(F.trim(name).alias(name)).where(F.col(name) != "")
+    return gauges.withColumn(name, F.trim(name)).join(named, name, "left_semi")
