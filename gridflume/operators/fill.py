@@ -91,3 +91,12 @@ def box_smooth(cells: DataFrame, values: list[str], window: int, rows: tuple[int
         wide = _reflected(held, axis, before, after, low, high)
         held = wide.withColumns({f"_{k}_{v}": F.sum(f"_{k}_{v}").over(w) for k in "sn" for v in values}).where(F.col(axis).between(low, high))
     return held.withColumns({f"{v}_smooth": F.try_divide(F.col(f"_s_{v}"), F.col(f"_n_{v}")) for v in values}).drop(*(f"_{k}_{v}" for k in "sn" for v in values))
+
+
+def cropped(fields: DataFrame, y0: int, y1: int, x0: int, x1: int, active: Column, columns: list[str]) -> DataFrame:
+    """Cells of an inclusive window, counted from its corner; ``lacking`` marks active cells that miss a field."""
+    missing = F.lit(False)
+    for f in columns:
+        missing = missing | F.col(f).isNull()
+    inside = fields.where(F.col("y").between(y0, y1) & F.col("x").between(x0, x1)).withColumn("lacking", F.coalesce(active, F.lit(False)) & missing)
+    return inside.withColumns({"y": F.col("y") - y0, "x": F.col("x") - x0})

@@ -62,3 +62,10 @@ def bilinear_links(targets: DataFrame, lat0: float, lon0: float, step: float, ro
 
     corners = F.array(*[corner(dy, dx) for dy in (0, 1) for dx in (0, 1)])
     return inside.select("dst", F.explode(corners).alias("c")).select("dst", "c.y", "c.x", "c.weight")
+
+
+def terrain_report(cells: DataFrame, needed: Column, height: str, low: float = -500.0, high: float = 9000.0) -> DataFrame:
+    """One row: cells, needed cells without a height, heights outside the limits, and whether the terrain is valid."""
+    there = F.col(height).isNotNull() & ~F.isnan(height)
+    found = cells.agg(F.count("*").alias("cells"), F.count_if(F.coalesce(needed, F.lit(False)) & ~there).alias("uncovered"), F.count_if(there & ~F.col(height).between(low, high)).alias("out_of_range"))
+    return found.withColumn("valid", (F.col("cells") > 0) & (F.col("uncovered") == 0) & (F.col("out_of_range") == 0))
