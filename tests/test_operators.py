@@ -161,3 +161,22 @@ def test_rec02_leaves_the_rounds_to_the_operator(spark, monkeypatch):
     monkeypatch.setattr(reconcile, "reconcile_period", noted)
     registry.queries()["rec02_reconcile_period"](spark, "/root/testdata/sf0.001").count()
     assert asked == [{}]
+
+
+def test_content_digests_and_empty_input(spark):
+    rows = [(1, 1.0, True), (2, 2.0, False), (3, None, True), (4, None, None)]
+    df = spark.createDataFrame(rows, "cell long, v double, a boolean").withColumn("g", F.lit(1))
+    one = lambda d: audit.content(d, ["g"], "v", F.col("a"), F.lit(True)).collect()
+    before, outside, inside = one(df)[0], one(df.withColumn("v", F.when(F.col("cell") == 2, 9.0).otherwise(F.col("v"))))[0], one(df.withColumn("v", F.col("v") + (F.col("cell") == 1).cast("int")))[0]
+    assert (before.missing, before.missing_on_land, before.outside) == (1, 1, 1)
+    assert before.inside_digest == outside.inside_digest and before.outside_digest != outside.outside_digest
+    assert before.inside_digest != inside.inside_digest and before.outside_digest == inside.outside_digest
+    assert one(df.where("false")) == []
+
+
+def test_best_rules_ties_and_inputs_of_days(spark):
+    scores = spark.createDataFrame([("a", 1, 0.5, 0.2), ("a", 2, 0.5, 0.3), ("a", 3, None, 0.9), ("b", 5, 0.1, None), ("b", 4, 0.1, None)], "s string, rule int, rmse double, csi double")
+    assert {r.s: r.rule for r in evaluate.best_rules(scores, ["s"], "rule").collect()} == {"a": 2, "b": 4}
+    stamps = spark.createDataFrame([("2020-01-01 18:59:59",), ("2020-01-01 19:00:00",), ("2020-01-03 00:00:00",), ("2020-01-03 00:00:01",), (None,)], "t string").select(F.col("t").cast("timestamp").alias("ts"))
+    days = spark.createDataFrame([("2020-01-02",), ("2020-01-02",)], "d string").select(F.to_date("d").alias("day"))
+    assert sorted(str(r.ts) for r in incremental.inputs_of_days(stamps, days, "day", "ts").collect()) == ["2020-01-01 19:00:00", "2020-01-03 00:00:00"]
