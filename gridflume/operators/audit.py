@@ -102,3 +102,11 @@ def absent_hours(keys: DataFrame, catalogue: DataFrame, by: list[str], start: Co
     """Hours of a period, the one at its end included, that a key's catalogue (by, stamp) lacks."""
     spine = keys.select(*by, F.explode(F.sequence(start, stop, F.expr("INTERVAL 1 HOUR"))).alias("stamp"))
     return spine.join(catalogue.select(*by, "stamp").distinct(), [*by, "stamp"], "left_anti")
+
+
+def hourly_day(records: DataFrame, by: list[str], hour: str, limits: dict[str, tuple[float, float]]) -> DataFrame:
+    """Per day of hours that come apart: hours there, missing values, values beyond their limits, the worst hour, and whether all 24 pass."""
+    each = limits_report(records, [*by, hour], limits).groupBy(*by, hour).agg(F.sum("missing").alias("missing"), F.sum("violations").alias("violations"))
+    worst = F.max_by(hour, F.struct(F.col("missing") + F.col("violations"), -F.col(hour)))
+    day = each.groupBy(*by).agg(F.count_if(F.col(hour).between(0, 23)).alias("hours"), F.count("*").alias("_n"), F.sum("missing").alias("missing"), F.sum("violations").alias("violations"), worst.alias("worst_hour"))
+    return day.withColumn("passed", (F.col("hours") == 24) & (F.col("_n") == 24) & (F.col("missing") == 0) & (F.col("violations") == 0)).drop("_n")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -85,3 +85,20 @@ def selected_gauges(retained: DataFrame, gauges: DataFrame, name: str = "gage")
     """Gauges that a retained link names; names are compared without the spaces around them, blank ones name none."""
     named = retained.select(F.trim(name).alias(name)).where(F.col(name) != "")
     return gauges.withColumn(name, F.trim(name)).join(named, name, "left_semi")
+
+
+def subset_network(reaches: DataFrame, south: float, north: float, west: float, east: float) -> DataFrame:
+    """Reaches inside a box and all below them, in the order of their links: ``to_link`` is 0 where it leads out, ``index`` counts from 0.
+
+    Links are numbered in sorted partitions, with the counts of the partitions before, so no task sorts them all.
+    """
+    seeds = in_box(reaches, south, north, west, east)
+    kept = reaches.join(downstream(seeds, reaches), "link", "left_semi")
+    there = kept.select(F.col("link").alias("to_link"), F.lit(True).alias("_in")).distinct()
+    cut = kept.join(there, "to_link", "left").withColumn("to_link", F.when(F.col("_in"), F.col("to_link")).otherwise(0)).drop("_in")
+    # partitions must be the same for counts and numbers
+    dealt = cut.repartitionByRange("link").withColumn("_part", F.spark_partition_id()).checkpoint()
+    counts = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = counts.withColumn("_before", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).select("_part", "_before")
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("link")) - 1
+    return dealt.withColumn("index", place).join(F.broadcast(before), "_part").withColumn("index", F.col("index") + F.col("_before")).drop("_part", "_before")

@@ -180,3 +180,47 @@ def assessed(result: DataFrame, targets: DataFrame, links: DataFrame, tolerance:
     estimate = regrid.remap(result.select("src", "corrected"), links, ["corrected"])
     off = F.abs(F.col("corrected") - F.col("total")) / F.greatest("total", F.lit(1.0)) > tolerance
     return targets.where("total is not null").join(estimate, "dst", "left").agg(F.count("*").alias("targets"), F.count_if(F.coalesce(off, F.lit(True))).alias("unconverged"))
+
+
+def monthly_audit(hours: DataFrame, expected: DataFrame, cell: str, day: str, depth: str, temperature: str, most_depth: float = 0.05, most_kelvin: float = 0.02, most_hourly: float = 300.0) -> DataFrame:
+    """One row: how far published hours are from what the month should give (cell, depth, mean_low, mean_high), and whether that passes.
+
+    Cells that one side lacks count as ``unmatched`` and fail.
+    """
+    sums = monthly_sums(hours, cell, day, depth, temperature, 1).drop("share", "days")
+    side = expected.select(cell, *(F.col(c).alias(f"_{c}") for c in ("depth", "mean_low", "mean_high")))
+    both = sums.join(side, cell, "full_outer")
+    error = lambda c: F.coalesce(F.max(F.abs(F.col(c) - F.col(f"_{c}"))), F.lit(0.0))
+    found = both.agg(
+        F.count_if(F.col("depth").isNull() | F.col("_depth").isNull()).alias("unmatched"), error("depth").alias("depth_error"), error("mean_low").alias("low_error"), error("mean_high").alias("high_error"),
+        F.coalesce(F.max("most_hourly"), F.lit(0.0)).alias("most_hourly"),
+    )
+    good = (F.col("unmatched") == 0) & (F.col("depth_error") <= most_depth) & (F.greatest("low_error", "high_error") <= most_kelvin) & (F.col("most_hourly") <= most_hourly)
+    return found.withColumn("passed", good)
+
+
+def constraint_provenance(hours: DataFrame, targets: DataFrame, links: DataFrame, by: list[str], bits: dict[str, int], wet: float = 0.1) -> DataFrame:
+    """What the hours (src, by, depth, qc) were made of, for source cells behind capped, base-dry and clean targets (dst, flags).
+
+    A source cell counts for each kind that one of its targets has: cell-hours, wet ones, depth, hours with each
+    of ``bits`` (name, bit) in ``qc``, and quantiles of depth.
+    """
+    has = lambda f: F.col("flags").bitwiseAND(F.lit(f)) != 0
+    kinds = F.array_compact(F.array(F.when(has(RATIO_CAPPED), "capped"), F.when(has(BASE_DRY), "base_dry"), F.when(F.col("flags") == 0, "clean")))
+    behind = regrid.usable_links(links).join(targets, "dst").select("src", F.explode(kinds).alias("kind")).distinct()
+    flagged = [F.count_if(F.col("qc").bitwiseAND(F.lit(bit)) != 0).alias(f"qc_{name}") for name, bit in bits.items()]
+    return hours.join(behind, "src").groupBy("kind", *by).agg(
+        F.count("*").alias("cell_hours"), F.count_if(F.col("depth") >= wet).alias("wet_cell_hours"), F.sum("depth").alias("depth"), *flagged,
+        F.percentile("depth", F.lit(0.5)).alias("p50"), F.percentile("depth", F.lit(0.95)).alias("p95"),
+    )
+
+
+def published_hours(hours: DataFrame, overrides: DataFrame, keys: list[str], accepted: DataFrame) -> DataFrame:
+    """Hours (keys, corrected, temperature) as they go out: rain as a rate a second, temperatures where ``overrides`` (keys, temperature) has them.
+
+    ``overrides`` has each key once; ``accepted`` is one row of that column, which is set on every hour.
+    """
+    side = overrides.select(*keys, F.col("temperature").alias("_t"))
+    joined = hours.join(side, keys, "left").crossJoin(F.broadcast(accepted.select("accepted").limit(1)))
+    out = {"rate": F.col("corrected") / 3600, "temperature": F.coalesce("_t", "temperature"), "overridden": F.col("_t").isNotNull()}
+    return joined.select(*keys, *(v.alias(k) for k, v in out.items()), "accepted")

@@ -69,3 +69,9 @@ def terrain_report(cells: DataFrame, needed: Column, height: str, low: float = -
     there = F.col(height).isNotNull() & ~F.isnan(height)
     found = cells.agg(F.count("*").alias("cells"), F.count_if(F.coalesce(needed, F.lit(False)) & ~there).alias("uncovered"), F.count_if(there & ~F.col(height).between(low, high)).alias("out_of_range"))
     return found.withColumn("valid", (F.col("cells") > 0) & (F.col("uncovered") == 0) & (F.col("out_of_range") == 0))
+
+
+def remap_day(hours: DataFrame, links: DataFrame, fields: list[str], day: str, hour: str, needed: int = 24) -> DataFrame:
+    """All fields of all hours of whole days on target cells, by one join with the links; days without ``needed`` hours are not given."""
+    whole = hours.groupBy(day).agg(F.count_distinct(hour).alias("_n")).where(F.col("_n") == needed).select(day)
+    return remap(hours.join(whole, day, "left_semi"), usable_links(links), fields, [day, hour])
