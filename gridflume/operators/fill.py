@@ -100,3 +100,31 @@ def cropped(fields: DataFrame, y0: int, y1: int, x0: int, x1: int, active: Colum
         missing = missing | F.col(f).isNull()
     inside = fields.where(F.col("y").between(y0, y1) & F.col("x").between(x0, x1)).withColumn("lacking", F.coalesce(active, F.lit(False)) & missing)
     return inside.withColumns({"y": F.col("y") - y0, "x": F.col("x") - x0})
+
+
+def propagated(cells: DataFrame, value: str, land: Column, allowed: Column, most: int) -> DataFrame:
+    """Values of cells (y, x) that lack one, taken from a side neighbour nearer to a value, step by step up to ``most`` steps.
+
+    Of such neighbours the one to the right goes first, then left, below, above. Steps cross any cell, but only
+    approved land changes: ``distance`` counts its steps and is 0 elsewhere. ``fault``: ``unapproved`` (land without a value that is not
+    allowed), ``too_far`` (no value within ``most`` steps, or none to be reached). Each step is checkpointed.
+    """
+    gap = F.col(value).isNull() | F.isnan(value)
+    held = cells.select("y", "x", F.when(~gap, F.col(value)).alias("v"), (F.coalesce(land, F.lit(False)) & gap).alias("target"), F.coalesce(allowed, F.lit(False)).alias("allowed")).checkpoint()
+    front, still, done = held.where("v is not null").select("y", "x", "v"), held.where("v is null").select("y", "x", "target"), None
+    # which neighbour the giving cell is to the one at this offset: right, left, below, above
+    to = F.array(*(F.struct(F.lit(k).alias("rank"), F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for k, (dy, dx) in enumerate([(0, -1), (0, 1), (-1, 0), (1, 0)])))
+    for step in range(1, most + 1):
+        if not still.where("target").take(1):
+            break
+        offers = front.select("y", "x", "v", F.explode(to).alias("o")).select((F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x"), "o.rank", "v")
+        front = offers.join(still.select("y", "x"), ["y", "x"]).groupBy("y", "x").agg(F.min_by("v", "rank").alias("v")).checkpoint()
+        given = front.withColumn("step", F.lit(step))
+        done = given if done is None else done.unionByName(given)
+        still = still.join(front.select("y", "x"), ["y", "x"], "left_anti").checkpoint()
+    if done is None:
+        done = front.where("false").withColumn("step", F.lit(0))
+    found = held.join(done.withColumnRenamed("v", "_new"), ["y", "x"], "left")
+    good = F.col("target") & F.col("allowed") & F.col("step").isNotNull()
+    fault = F.when(F.col("target") & ~F.col("allowed"), "unapproved").when(F.col("target") & F.col("step").isNull(), "too_far")
+    return found.select("y", "x", F.when(good, F.col("_new")).otherwise(F.col("v")).alias("value"), F.when(good, F.col("step")).otherwise(0).alias("distance"), fault.alias("fault"))

@@ -5,13 +5,25 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..checkpoints import checkpointed
-from ..operators import coverage, publication
+from ..operators import coverage, fill, publication
 from . import bindings as b
 from .registry import register
 
 c = F.col
 
 
+@register("fil04_fill_persistent_gaps", f"""WITH RECURSIVE g AS (SELECT y, x, CASE WHEN size % 4 = 0 OR x % 9 = 0 THEN value END AS v, size % 5 <> 1 AS land, size % 11 <> 2 AS allowed FROM ({b.GRID})),
+d AS (SELECT y, x, v, land, allowed, CASE WHEN v IS NOT NULL THEN 0 ELSE (SELECT min(abs(k.y - t.y) + abs(k.x - t.x)) FROM g k WHERE k.v IS NOT NULL) END AS d FROM g t),
+n AS (SELECT a.y, a.x, arg_min(b.y, r) AS ny, arg_min(b.x, r) AS nx FROM d a, (VALUES (0, 0, 1), (1, 0, -1), (2, 1, 0), (3, -1, 0)) o(r, dy, dx), d b WHERE b.y = a.y + dy AND b.x = a.x + dx AND b.d = a.d - 1 GROUP BY 1, 2),
+w AS (SELECT y AS ty, x AS tx, y, x, d FROM d UNION ALL SELECT ty, tx, n.ny, n.nx, w.d - 1 FROM w JOIN n ON n.y = w.y AND n.x = w.x WHERE w.d > 0), e AS (SELECT w.ty, w.tx, d.v AS donor FROM w JOIN d ON d.y = w.y AND d.x = w.x WHERE w.d = 0),
+f AS (SELECT d.*, donor, d.v IS NULL AND land AS target FROM d JOIN e ON ty = d.y AND tx = d.x)
+SELECT y, x, CASE WHEN target AND allowed AND d <= 2 THEN donor ELSE v END AS value, CASE WHEN target AND allowed AND d <= 2 THEN d ELSE 0 END::INTEGER AS distance, CASE WHEN target AND NOT allowed THEN 'unapproved' WHEN target AND d > 2 THEN 'too_far' END AS fault FROM f""")
+def _(spark, sf_dir):
+    g = b.grid(spark, sf_dir)
+    cells = g.select("y", "x", "size", F.when((c("size") % 4 == 0) | (c("x") % 9 == 0), c("value")).alias("v"))
+    return checkpointed(spark, lambda: fill.propagated(cells, "v", c("size") % 5 != 1, c("size") % 11 != 2, 2))
+
+
 @register("fil05_nearest_native", """WITH t AS (SELECT c_custkey AS dst, radians(30 + c_custkey % 37 * 0.5) AS a, radians(-120 + c_custkey % 41 * 0.75) AS b FROM customer), d AS (SELECT p_partkey AS src, radians(30 + p_partkey % 43 * 0.41) AS a, radians(-120 + p_partkey % 53 * 0.55) AS b FROM part),
 x AS (SELECT dst, cos(a) * cos(b) AS x, cos(a) * sin(b) AS y, sin(a) AS z FROM t), v AS (SELECT src, cos(a) * cos(b) AS x, cos(a) * sin(b) AS y, sin(a) AS z FROM d),
 k AS (SELECT dst, min(sqrt((x.x - v.x) ** 2 + (x.y - v.y) ** 2 + (x.z - v.z) ** 2)) AS chord FROM x, v GROUP BY 1)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridflume.checkpoints import checkpointed
-from gridflume.operators import coverage, publication
+from gridflume.operators import coverage, fill, publication
 
 
 def test_nearest_native_crosses_the_date_line_and_the_pole(spark):
@@ -57,3 +57,14 @@ def test_accepted_months_and_final_audit(spark):
     audit = lambda df: publication.final_audit(df, [], F.col("h"), ["v"], F.col("on"), F.lit(True), F.lit(None).cast("boolean"), F.lit(False)).head()
     assert (audit(hours)["holes"], audit(hours)["passed"]) == (1, False)
     assert audit(hours.withColumn("v", F.lit(1.0)))["passed"] and not audit(hours.where("h < 23").withColumn("v", F.lit(1.0)))["hours_exact"]
+
+
+def test_propagated_crosses_water_but_changes_approved_land_only(spark):
+    nan = float("nan")
+    row = [(0, 0, 1.0, True, True), (0, 1, None, False, True), (0, 2, nan, True, True), (0, 3, None, True, False), (0, 4, None, True, True), (0, 5, 9.0, True, True), (5, 5, None, True, True)]
+    cells = spark.createDataFrame(row, "y long, x long, v double, land boolean, ok boolean")
+    out = checkpointed(spark, lambda: fill.propagated(cells, "v", F.col("land"), F.col("ok"), 4))
+    got = [(r["value"], r["distance"], r["fault"]) for r in out.orderBy("y", "x").collect()]
+    assert got == [(1.0, 0, None), (None, 0, None), (1.0, 2, None), (None, 0, "unapproved"), (9.0, 1, None), (9.0, 0, None), (None, 0, "too_far")]
+    alone = checkpointed(spark, lambda: fill.propagated(cells, "v", F.lit(False), F.lit(True), 4))
+    assert alone.where("fault is not null or distance > 0").count() == 0 and checkpointed(spark, lambda: fill.propagated(cells.limit(0), "v", F.col("land"), F.col("ok"), 4)).count() == 0
