@@ -27,3 +27,11 @@ def _(spark, sf_dir):
     hours = _events(spark, sf_dir).select("user_id", "event_type", F.date_trunc("hour", "ts").alias("hour"))
     out = jobs.finished(spark, jobs.deduplicated(hours, ["user_id", "event_type", "hour"], "hour", "60 days"), "dedupe")
     return out.select("user_id", "event_type", b.seconds("hour").alias("hour"))
+
+
+@register("inc20_stream_dedupe_latest", """WITH h AS (SELECT user_id, event_type, date_trunc('hour', ts) AS hour, event_id, value FROM events), w AS (SELECT max(hour) - INTERVAL 2 DAY AS mark FROM h)
+SELECT user_id, event_type, epoch(hour)::BIGINT AS hour, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM h, w WHERE hour <= mark GROUP BY ALL""")
+def _(spark, sf_dir):
+    hours = _events(spark, sf_dir).select("user_id", "event_type", F.date_trunc("hour", "ts").alias("hour"), "event_id", "value")
+    out = jobs.finished(spark, jobs.latest(hours, ["user_id", "event_type"], "hour", "event_id", ["value"], "2 days"), "latest")
+    return out.select("user_id", "event_type", b.seconds("hour").alias("hour"), "event_id", "value")

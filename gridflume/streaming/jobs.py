@@ -36,9 +36,22 @@ def deduplicated(stream: DataFrame, keys: list[str], stamp: str, delay: str = "7
     return stream.withWatermark(stamp, delay).dropDuplicatesWithinWatermark(keys)
 
 
+def latest(stream: DataFrame, keys: list[str], stamp: str, revision: str, fields: list[str], delay: str = "7 days") -> DataFrame:
+    """Of each record (keys and stamp) the fields of its last revision, given out once no revision within the lookback can come."""
+    held = stream.withWatermark(stamp, delay).groupBy(*keys, stamp).agg(F.max(F.struct(revision, *fields)).alias("_last"))
+    return held.select(*keys, stamp, f"_last.{revision}", *(f"_last.{f}" for f in fields))
+
+
 def finished(spark: SparkSession, out: DataFrame, name: str) -> DataFrame:
-    """Run a streaming job over what is there, in append mode, and read its table."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="gridflume-")
+    """Run a streaming job over what is there, in append mode, and read its table.
+
+    Tables and state go to the folder in ``spark.checkpoint.dir``; only where none is set and all tasks run on this machine, to a new one.
+    """
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="gridflume-")
     path = f"{root.rstrip('/')}/gridflume/stream-{name}-{uuid.uuid4().hex}"
     query = out.writeStream.format("parquet").option("path", f"{path}/table").option("checkpointLocation", f"{path}/state").outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
