@@ -212,5 +212,6 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     Cases are as in ``keep_bitmaps``; a text of which no line stays is empty.
     """
-    joined = _rows(docs).join(lost_lines(docs), ["doc", "text_hash"], "left")
+    # one plan at every size: what is lost grows with the documents, so it is never broadcast
+    joined = _rows(docs).join(lost_lines(docs).hint("merge"), ["doc", "text_hash"], "left")
     return joined.select("doc_id", _n_lines(), F.coalesce("n_dropped", F.lit(0).cast("long")).alias("n_dropped"), "keep_bitmap", _kept("text", "keep_bitmap").alias("kept_text"))
