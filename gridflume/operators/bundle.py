@@ -14,7 +14,7 @@ from ..functions import physics as ph
 
 # Quality bits of the bundle and of radiation and wind.
 RH_LOW, RH_HIGH, INVALID, INVALID_FACTOR = 1, 2, 4, 8
-SW_NEGATIVE, SW_NIGHT, SW_HIGH, RADIATION_INVALID = 1, 2, 4, 8
+SW_NEGATIVE, SW_NIGHT, RADIATION_INVALID, SW_HIGH = 1, 2, 4, 8
 INCOMPLETE = 1 << 31
 
 

@@ -45,7 +45,7 @@ def gap_categories(cells: DataFrame, fields: list[str], land: Column, mapped: Da
     """Per cell (y, x): how many fields it lacks, the distance of the worst donor, and its category.
 
     0 lacks nothing, 1 is water, 2 is land with donors within ``most_cells``, 3 is land beyond, 4 such land that is in ``mapped`` (y, x).
-    ``most_cells`` lies within the reach of ``fill.nearest_donor``; a gap without a donor counts as beyond it.
+    Where no cell has a field, its gaps count as beyond ``most_cells``.
     """
     held = cells.select("y", "x", land.alias("land"), *fields)
     none = lambda f: F.col(f).isNull() | F.isnan(f)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import staged
+
 
 def domain_mask(lat: Column, lon: Column, south: float = 25, north: float = 53, west: float = -125, east: float = -67) -> Column:
     turned = F.pmod(lon + 180, F.lit(360.0)) - 180
@@ -20,30 +22,63 @@ def persistent_gaps(values: DataFrame, keys: list[str], fields: list[str]) -> Da
     return values.groupBy(*keys).agg(gap.alias("persistent_gap"))
 
 
-def nearest_donor(gaps: DataFrame, donors: DataFrame, tile: int = 8, most_rings: int = 64) -> DataFrame:
-    """For each gap cell (y, x) the nearest donor cell by grid distance, ties by (y, x).
+def _near(at: str, tile: str, size: int) -> Column:
+    """How far along an axis the nearest cell of a tile is."""
+    low = F.col(tile) * size
+    return F.greatest(low - F.col(at), F.col(at) - (low + size - 1), F.lit(0))
+
+
+def _far(at: str, tile: str, size: int) -> Column:
+    low = F.col(tile) * size
+    return F.greatest(F.abs(F.col(at) - low), F.abs(F.col(at) - (low + size - 1)))
+
+
+def _around(cells: DataFrame, size: int, ring: int) -> DataFrame:
+    """Cells (y, x) with each tile (ty, tx) of a side ``size`` in the rings about their own."""
+    steps = F.sequence(F.lit(-ring), F.lit(ring))
+    near = cells.withColumn("dy", F.explode(steps)).withColumn("dx", F.explode(steps))
+    return near.select("y", "x", (F.floor(F.col("y") / size) + F.col("dy")).alias("ty"), (F.floor(F.col("x") / size) + F.col("dx")).alias("tx"))
+
+
+def nearest_donor(gaps: DataFrame, donors: DataFrame, tile: int = 8) -> DataFrame:
+    """For each gap cell (y, x) the nearest donor cell by grid distance, ties by (y, x), however far it is.
 
-    Donors are bucketed by tile. A ring of tiles around a gap is searched after the other; a donor is
-    final once it is nearer than the next ring can be. Gaps beyond all rings stay without a donor.
+    Occupied tiles form a pyramid, each level of tiles twice the size of those below. A gap goes up to the
+    first level where its own tile or one beside it holds a donor, and down again through those tiles
+    alone that can hold a nearer one. Donors are null where there is none at all.
     """
-    d = donors.select(F.col("y").alias("donor_y"), F.col("x").alias("donor_x"), F.floor(F.col("y") / tile).alias("ty"), F.floor(F.col("x") / tile).alias("tx")).checkpoint()
-    left = gaps.select("y", "x").distinct().checkpoint()
-    done = None
-    ring = 1
-    while ring <= most_rings and left.take(1):
-        steps = F.sequence(F.lit(-ring), F.lit(ring))
-        near = left.withColumn("dy", F.explode(steps)).withColumn("dx", F.explode(steps))
-        near = near.select("y", "x", (F.floor(F.col("y") / tile) + F.col("dy")).alias("ty"), (F.floor(F.col("x") / tile) + F.col("dx")).alias("tx"))
-        d2 = (F.col("donor_y") - F.col("y")) ** 2 + (F.col("donor_x") - F.col("x")) ** 2
-        best = near.join(d, ["ty", "tx"]).groupBy("y", "x").agg(F.min(F.struct(d2.alias("d2"), "donor_y", "donor_x")).alias("b"))
-        # a donor in the next ring is at least ring * tile cells away
-        final = best.where(F.col("b.d2") <= (ring * tile) ** 2).select("y", "x", "b.donor_y", "b.donor_x", F.sqrt("b.d2").alias("distance")).checkpoint()
-        done = final if done is None else done.union(final)
-        left = left.join(final.select("y", "x"), ["y", "x"], "left_anti").checkpoint()
-        ring *= 2
+    d = staged(donors.select(F.col("y").cast("long").alias("donor_y"), F.col("x").cast("long").alias("donor_x")).distinct(), "donors")
+    left = staged(gaps.select(F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x")).distinct(), "gaps")
     none = [F.lit(None).cast("long").alias("donor_y"), F.lit(None).cast("long").alias("donor_x"), F.lit(None).cast("double").alias("distance")]
-    rest = left.select("y", "x", *none)
-    return rest if done is None else done.union(rest)
+    if not d.take(1):
+        return left.select("y", "x", *none)
+    levels: list[tuple[DataFrame, DataFrame]] = []
+    while left.take(1):
+        below = levels[-1][0].select((F.col("ty") / 2).alias("ty"), (F.col("tx") / 2).alias("tx")) if levels else d.select((F.col("donor_y") / tile).alias("ty"), (F.col("donor_x") / tile).alias("tx"))
+        tiles = staged(below.select(F.floor("ty").alias("ty"), F.floor("tx").alias("tx")).distinct(), "tiles")
+        met = staged(_around(left, tile << len(levels), 1).join(tiles, ["ty", "tx"]).select("y", "x").distinct(), "met")
+        levels.append((tiles, met))
+        left = staged(left.join(met, ["y", "x"], "left_anti"), "gaps")
+    now = None
+    for level in reversed(range(len(levels))):
+        tiles, met = levels[level]
+        size = tile << level
+        # a donor in a tile beside one's own is at most the diagonal of two tiles away, so within three rings
+        mine = _around(met, size, 3).join(tiles, ["ty", "tx"]).select("y", "x", "ty", "tx")
+        now = mine if now is None else now.unionByName(mine)
+        near = _near("y", "ty", size) ** 2 + _near("x", "tx", size) ** 2
+        held = now.withColumns({"_near": near, "_far": _far("y", "ty", size) ** 2 + _far("x", "tx", size) ** 2})
+        held = held.withColumn("_most", F.min("_far").over(Window.partitionBy("y", "x"))).where("_near <= _most").select("y", "x", "ty", "tx")
+        now = staged(held, "near_tiles")
+        if level:
+            children = levels[level - 1][0].select(F.col("ty").alias("cy"), F.col("tx").alias("cx"), F.floor(F.col("ty") / 2).alias("ty"), F.floor(F.col("tx") / 2).alias("tx"))
+            now = now.join(children, ["ty", "tx"]).select("y", "x", F.col("cy").alias("ty"), F.col("cx").alias("tx"))
+    if now is None:
+        return left.select("y", "x", *none)
+    d2 = (F.col("donor_y") - F.col("y")) ** 2 + (F.col("donor_x") - F.col("x")) ** 2
+    placed = d.withColumns({"ty": F.floor(F.col("donor_y") / tile), "tx": F.floor(F.col("donor_x") / tile)})
+    best = now.join(placed, ["ty", "tx"]).groupBy("y", "x").agg(F.min(F.struct(d2.alias("d2"), "donor_y", "donor_x")).alias("b"))
+    return staged(best.select("y", "x", "b.donor_y", "b.donor_x", F.sqrt("b.d2").alias("distance")), "nearest")
 
 
 def mask_changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

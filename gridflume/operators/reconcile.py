@@ -51,39 +51,6 @@ def temperature_range(hours: DataFrame, keys: list[str], value: str, low: str, h
     return hours.withColumn("adjusted", F.when(usable, target + scale * (F.col(value) - middle)).otherwise(F.col(value)))
 
 
-def reconcile_period(
-    sources: DataFrame, targets: DataFrame, links: DataFrame, rounds: int = 20, tolerance: float = 1e-3, dry: float = 1e-6,
-    ratio_bounds: tuple[float, float] = (0.1, 10.0), cumulative_bounds: tuple[float, float] = (0.0, 10.0), most_depth: float = 500.0,
-) -> DataFrame:
-    """Multiplicative projection of source depths (src, depth) until remapped totals meet targets (dst, total).
-
-    Each round remaps, divides target by estimate within bounds, projects the ratios back and multiplies.
-    Dry targets null their sources. Targets beyond what the bounds allow, or wet over a dry base, take no
-    part. Every round is checkpointed, and ends early once all active targets are within tolerance.
-    Returns src, depth, corrected.
-    """
-    shared = links.select("src", "dst", "weight").checkpoint()
-    now = sources.withColumn("corrected", F.coalesce("depth", F.lit(0.0)))
-    now = now.withColumns({"_lo": F.least(F.col("corrected") * cumulative_bounds[0], F.lit(most_depth)), "_hi": F.least(F.col("corrected") * cumulative_bounds[1], F.lit(most_depth))}).checkpoint()
-    reach = regrid.remap(now.select("src", "corrected", "_hi"), shared, ["corrected", "_hi"])
-    eligible = targets.join(reach, "dst", "left").where(F.col("total").isNotNull()).where(
-        (F.col("total") <= dry) | ((F.col("total") <= F.col("_hi") * (1 + tolerance)) & (F.col("corrected") > dry))
-    ).select("dst", "total").checkpoint()
-    for _ in range(rounds):
-        estimate = regrid.remap(now.select("src", "corrected"), shared, ["corrected"])
-        active = eligible.join(estimate, "dst").where(F.abs(F.col("corrected") - F.col("total")) / F.greatest("total", F.lit(1.0)) > tolerance)
-        ratio = F.when(F.col("total") <= dry, 0.0).when(F.col("corrected") > dry, F.greatest(F.least(F.col("total") / F.col("corrected"), F.lit(ratio_bounds[1])), F.lit(ratio_bounds[0]))).otherwise(1.0)
-        active = active.select("dst", ratio.alias("ratio")).checkpoint()
-        if not active.take(1):
-            break
-        # targets that are not active keep their sources as they are
-        ratios = targets.select("dst").join(active, "dst", "left").withColumn("ratio", F.coalesce("ratio", F.lit(1.0)))
-        factor = regrid.backproject(ratios, shared, now.select("src"))
-        moved = F.greatest(F.least(F.col("corrected") * F.col("ratio"), F.col("_hi")), F.col("_lo"))
-        now = now.join(factor, "src").withColumn("corrected", moved).drop("ratio").checkpoint()
-    return now.select("src", "depth", "corrected")
-
-
 # Flags of a day's temperature constraint.
 NO_CONSTRAINT, MIDPOINT_ONLY, SCALE_CLIPPED = 1, 2, 4
 
@@ -128,18 +95,18 @@ def monthly_coefficients(hours: DataFrame, keys: list[str], day: str, value: str
 
 
 # Flags of a target, and the shares of constrained targets that may have them.
-TARGET_MISSING, RATIO_CAPPED, BASE_DRY, SYNTHETIC, NOT_CONVERGED = 1, 2, 4, 8, 16
+TARGET_MISSING, TARGET_DRY, BASE_DRY, SYNTHETIC, RATIO_CAPPED, NOT_CONVERGED = 1, 2, 4, 8, 16, 32
 LIMITS = {"unconverged": 0.005, "unresolved": 0.005, "capped": 0.02, "unhandled_dry": 0.005, "synthetic": 0.01}
 
 
-def acceptance(targets: DataFrame, tolerance: float = 1e-3, limits: dict[str, float] = LIMITS) -> DataFrame:
-    """Shares of constrained targets (total, residual, flags) that are off in each way, and whether all are within the limits."""
+def acceptance(targets: DataFrame, tolerance: float = 1e-3, limits: dict[str, float] = LIMITS, by: list[str] = ()) -> DataFrame:
+    """Per group the shares of constrained targets (total, residual, flags) that are off in each way, and whether all are within the limits."""
     has = lambda f: F.col("flags").bitwiseAND(F.lit(f)) != 0
     held = F.col("total").isNotNull() & ~has(TARGET_MISSING)
     off = F.coalesce(F.abs("residual") / F.greatest("total", F.lit(1.0)) > tolerance, F.lit(True))
     kinds = {"unconverged": has(NOT_CONVERGED), "unresolved": off, "capped": has(RATIO_CAPPED), "unhandled_dry": has(BASE_DRY) & ~has(SYNTHETIC), "synthetic": has(SYNTHETIC)}
     n = F.greatest(F.count_if(held), F.lit(1))
-    shares = targets.agg(F.count_if(held).alias("constrained_cells"), *((F.count_if(held & c) / n).alias(k) for k, c in kinds.items()))
+    shares = targets.groupBy(*by).agg(F.count_if(held).alias("constrained_cells"), *((F.count_if(held & c) / n).alias(k) for k, c in kinds.items()))
     good = F.lit(True)
     for k, most in limits.items():
         good = good & (F.col(k) <= most)
@@ -147,18 +114,23 @@ def acceptance(targets: DataFrame, tolerance: float = 1e-3, limits: dict[str, fl
 
 
 def monthly_hours(rain: DataFrame, cells: DataFrame, cell: str) -> DataFrame:
-    """Hours of a month (cell, hour, rate) corrected by their cells' change (cell, baseline, corrected, donor).
+    """Hours of a month (cell, hour, rate, fault) corrected by their cells' change (cell, baseline, corrected, donor).
 
-    A dry cell that the month makes wet takes its donor's hours, scaled from the donor's depth to its own.
+    A dry cell that the month makes wet takes its donor's hours, scaled from the donor's depth to its own. Where it has no
+    donor, or the donor no hours or no depth, it keeps its own hours (one without an hour or a rate if it has none), with ``fault`` ``no_donor``.
     """
-    synthetic = (F.col("baseline") <= 1e-8) & (F.col("corrected") > 1e-8)
-    change = cells.select(cell, F.col("baseline").alias("_base"), F.when(F.col("baseline") > 1e-8, F.col("corrected") / F.col("baseline")).otherwise(F.lit(1.0)).alias("_factor"), F.when(synthetic, F.col("donor")).alias("_donor"), "corrected")
-    own = rain.join(change, cell)
-    plain = own.where("_donor is null").select(cell, "hour", (F.col("rate") * F.col("_factor")).alias("rate"))
-    wanted = change.where("_donor is not null").select(F.col(cell).alias("_cell"), F.col("_donor").alias(cell), "corrected")
-    base = change.select(cell, F.col("_base").alias("_donor_base"))
-    lent = rain.join(wanted, cell).join(base, cell).select(F.col("_cell").alias(cell), "hour", (F.col("rate") * F.coalesce(F.try_divide(F.col("corrected"), F.col("_donor_base")), F.lit(0.0))).alias("rate"))
-    return plain.unionByName(lent)
+    made_wet = (F.col("baseline") <= 1e-8) & (F.col("corrected") > 1e-8)
+    factor = F.when(F.col("baseline") > 1e-8, F.col("corrected") / F.col("baseline")).otherwise(F.lit(1.0))
+    change = cells.select(cell, F.col("baseline").alias("_base"), factor.alias("_factor"), F.coalesce(made_wet, F.lit(False)).alias("_made"), F.col("donor").alias("_donor"), "corrected")
+    base = change.join(rain.select(F.col(cell).alias(cell)).distinct(), cell, "left_semi").where("_base > 0").select(F.col(cell).alias("_donor"), F.col("_base").alias("_donor_base"))
+    change = change.join(base, "_donor", "left").withColumn("_lent", F.col("_made") & F.col("_donor_base").isNotNull())
+    own = rain.join(change, cell, "left").where("not coalesce(_lent, false)")
+    plain = own.select(cell, "hour", (F.col("rate") * F.coalesce("_factor", F.lit(1.0))).alias("rate"), F.when(F.col("_made"), "no_donor").alias("fault"))
+    wanted = change.where("_lent").select(F.col(cell).alias("_cell"), F.col("_donor").alias(cell), (F.col("corrected") / F.col("_donor_base")).alias("_scale"))
+    lent = rain.join(wanted, cell).select(F.col("_cell").alias(cell), "hour", (F.col("rate") * F.col("_scale")).alias("rate"), F.lit(None).cast("string").alias("fault"))
+    lost = change.where("_made and not _lent").join(rain.select(cell).distinct(), cell, "left_anti")
+    nothing = lost.select(cell, F.lit(None).cast(rain.schema["hour"].dataType).alias("hour"), F.lit(None).cast("double").alias("rate"), F.lit("no_donor").alias("fault"))
+    return plain.unionByName(lent).unionByName(nothing)
 
 
 def monthly_sums(hours: DataFrame, cell: str, day: str, depth: str, temperature: str, hours_in_month: int) -> DataFrame:

@@ -82,7 +82,7 @@ _RADIATION = f"""{_NATIVE}, h AS (SELECT *, hour(ts) + minute(ts) / 60.0::DOUBLE
 g AS (SELECT *, 2 * pi() / (CASE WHEN (year(ts) % 4 = 0 AND year(ts) % 100 <> 0) OR year(ts) % 400 = 0 THEN 366 ELSE 365 END) * (dayofyear(ts) - 1 + (uh - 12) / 24) AS g FROM h), a AS (SELECT *, uh * 60 + {_SUN} + 4 * lon AS m FROM g),
 z AS (SELECT *, radians((m - 1440 * floor(m / 1440)) / 4 - 180) AS ha FROM a), n AS (SELECT *, sin(radians(lat)) * sin({_DEC}) + cos(radians(lat)) * cos({_DEC}) * cos(ha) <= {math.sin(math.radians(-0.833))!r} AS night FROM z),
 w AS (SELECT *, CASE WHEN night THEN 0 WHEN sw IS NOT NULL THEN shortwave0 END AS shortwave FROM n),
-radiation AS (SELECT id, ts, shortwave, east, north, (CASE WHEN negative THEN 1 ELSE 0 END + CASE WHEN night AND shortwave0 > 0 AND sw IS NOT NULL THEN 2 ELSE 0 END + CASE WHEN shortwave > 300 THEN 4 ELSE 0 END + CASE WHEN shortwave IS NULL OR east IS NULL OR north IS NULL THEN 8 ELSE 0 END)::INTEGER AS radiation_qc FROM w)"""
+radiation AS (SELECT id, ts, shortwave, east, north, (CASE WHEN negative THEN 1 ELSE 0 END + CASE WHEN night AND shortwave0 > 0 AND sw IS NOT NULL THEN 2 ELSE 0 END + CASE WHEN shortwave IS NULL OR east IS NULL OR north IS NULL THEN 4 ELSE 0 END + CASE WHEN shortwave > 300 THEN 8 ELSE 0 END)::INTEGER AS radiation_qc FROM w)"""
 
 
 @register("bun05_radiation_target_qc", f"WITH {_RADIATION} SELECT id, shortwave, radiation_qc FROM radiation")
@@ -225,14 +225,14 @@ def _(spark, sf_dir):
     return reconcile.monthly_coefficients(h, ["cell"], "day", "value", t, "low", "high").select("cell", b.rounded("scale").alias("scale"), b.rounded("shift").alias("shift"))
 
 
-_TARGETS = "SELECT CASE WHEN p_partkey % 9 <> 0 THEN p_retailprice / 100 END AS total, CASE WHEN p_partkey % 51 <> 7 THEN (p_partkey % 13) / 4000.0::DOUBLE END AS residual, CASE WHEN p_partkey % 50 < 6 THEN p_partkey % 32 ELSE 0 END AS flags FROM part"
-_SHARES = f"""t AS ({_TARGETS}), h AS (SELECT * FROM t WHERE total IS NOT NULL AND flags & 1 = 0), a AS (SELECT count(*) AS constrained_cells, avg((flags & 16 <> 0)::INT) AS unconverged, avg(coalesce(abs(residual) / greatest(total, 1.0) > 0.001, true)::INT) AS unresolved,
-avg((flags & 2 <> 0)::INT) AS capped, avg((flags & 4 <> 0 AND flags & 8 = 0)::INT) AS unhandled_dry, avg((flags & 8 <> 0)::INT) AS synthetic FROM h)"""
+_TARGETS = "SELECT CASE WHEN p_partkey % 9 <> 0 THEN p_retailprice / 100 END AS total, CASE WHEN p_partkey % 51 <> 7 THEN (p_partkey % 13) / 4000.0::DOUBLE END AS residual, CASE WHEN p_partkey % 50 < 6 THEN p_partkey % 64 ELSE 0 END AS flags FROM part"
+_SHARES = f"""t AS ({_TARGETS}), h AS (SELECT * FROM t WHERE total IS NOT NULL AND flags & 1 = 0), a AS (SELECT count(*) AS constrained_cells, avg((flags & 32 <> 0)::INT) AS unconverged, avg(coalesce(abs(residual) / greatest(total, 1.0) > 0.001, true)::INT) AS unresolved,
+avg((flags & 16 <> 0)::INT) AS capped, avg((flags & 4 <> 0 AND flags & 8 = 0)::INT) AS unhandled_dry, avg((flags & 8 <> 0)::INT) AS synthetic FROM h)"""
 
 
 def _shares(spark, sf_dir):
     k = c("p_partkey")
-    t = b.table(spark, sf_dir, "part").select(F.when(k % 9 != 0, c("p_retailprice") / 100).alias("total"), F.when(k % 51 != 7, k % 13 / 4000).alias("residual"), F.when(k % 50 < 6, k % 32).otherwise(0).alias("flags"))
+    t = b.table(spark, sf_dir, "part").select(F.when(k % 9 != 0, c("p_retailprice") / 100).alias("total"), F.when(k % 51 != 7, k % 13 / 4000).alias("residual"), F.when(k % 50 < 6, k % 64).otherwise(0).alias("flags"))
     return reconcile.acceptance(t, limits={**reconcile.LIMITS, "unresolved": 1.0, "capped": 0.2, "unhandled_dry": 0.2, "synthetic": 0.2, "unconverged": 0.2})
 
 
@@ -249,17 +249,17 @@ def _(spark, sf_dir):
     return checkpointed(spark, lambda: fill.nearest_donor(dry, wet)).select("y", "x", "donor_y", "donor_x")
 
 
-_RAIN = "r AS (SELECT l_suppkey AS cell, l_orderkey % 24 AS hour, sum(l_quantity)::DOUBLE AS rate FROM lineitem GROUP BY 1, 2), k AS (SELECT s_suppkey AS cell, CASE WHEN s_suppkey % 5 = 0 THEN 0.0 ELSE 100.0 + s_suppkey END::DOUBLE AS baseline, 50.0::DOUBLE + s_suppkey % 9 AS corrected, s_suppkey + 1 AS donor FROM supplier), o AS (SELECT r.cell, hour, rate * corrected / baseline AS rate FROM r JOIN k USING (cell) WHERE baseline > 0 UNION ALL SELECT k.cell, hour, rate * k.corrected / d.baseline FROM k JOIN r ON r.cell = k.donor JOIN k d ON d.cell = k.donor WHERE k.baseline = 0)"
+_RAIN = "r AS (SELECT l_suppkey AS cell, l_orderkey % 24 AS hour, sum(l_quantity)::DOUBLE AS rate FROM lineitem GROUP BY 1, 2), k AS (SELECT s_suppkey AS cell, CASE WHEN s_suppkey % 5 = 0 THEN 0.0 ELSE 100.0 + s_suppkey END::DOUBLE AS baseline, 50.0::DOUBLE + s_suppkey % 9 AS corrected, CASE WHEN s_suppkey % 15 <> 0 THEN s_suppkey + 1 END AS donor FROM supplier), o AS (SELECT r.cell, hour, rate * corrected / baseline AS rate, NULL::VARCHAR AS fault FROM r JOIN k USING (cell) WHERE baseline > 0 UNION ALL SELECT k.cell, hour, rate * k.corrected / d.baseline, NULL FROM k JOIN r ON r.cell = k.donor JOIN k d ON d.cell = k.donor WHERE k.baseline = 0 UNION ALL SELECT k.cell, hour, rate, 'no_donor' FROM k LEFT JOIN r USING (cell) WHERE k.baseline = 0 AND NOT coalesce(k.donor IN (SELECT cell FROM r JOIN k USING (cell)), false))"
 
 
 def _rain(spark, sf_dir):
     r = b.table(spark, sf_dir, "lineitem").groupBy(c("l_suppkey").alias("cell"), (c("l_orderkey") % 24).alias("hour")).agg(F.sum("l_quantity").alias("rate"))
     k = c("s_suppkey")
-    cells = b.table(spark, sf_dir, "supplier").select(k.alias("cell"), F.when(k % 5 == 0, 0.0).otherwise(100.0 + k).alias("baseline"), (50.0 + k % 9).alias("corrected"), (k + 1).alias("donor"))
+    cells = b.table(spark, sf_dir, "supplier").select(k.alias("cell"), F.when(k % 5 == 0, 0.0).otherwise(100.0 + k).alias("baseline"), (50.0 + k % 9).alias("corrected"), F.when(k % 15 != 0, k + 1).alias("donor"))
     return reconcile.monthly_hours(r, cells, "cell")
 
 
-@register("rec11_apply_monthly_hour", f"WITH {_RAIN} SELECT cell, hour, round(rate + 3.3e-9, 5) AS rate FROM o")
+@register("rec11_apply_monthly_hour", f"WITH {_RAIN} SELECT cell, hour, round(rate + 3.3e-9, 5) AS rate, fault FROM o")
 def _(spark, sf_dir):
     return _rain(spark, sf_dir).withColumn("rate", b.rounded("rate", 5))
 

@@ -189,13 +189,6 @@ def _(spark, sf_dir):
     return reconcile.temperature_range(h, ["station", "day"], "value", "lo", "hi").select("station", b.seconds("hour_end").alias("hour"), b.rounded("adjusted").alias("adjusted"))
 
 
-@register("rec02_reconcile_period")
-def _(spark, sf_dir):
-    s = b.table(spark, sf_dir, "part").select(c("p_partkey").alias("src"), (c("p_retailprice") / 100).alias("depth"))
-    t = b.table(spark, sf_dir, "supplier").select(c("s_suppkey").alias("dst"), F.when(c("s_suppkey") % 5 != 0, 8 + c("s_suppkey") % 7).cast("double").alias("total"))
-    return checkpointed(spark, lambda: reconcile.reconcile_period(s, t, b.links(spark, sf_dir)).withColumn("corrected", b.rounded("corrected", 4)))
-
-
 @register("eva01_continuous_metrics", """WITH p AS (SELECT l_quantity * 1000 AS r, l_extendedprice AS c, l_discount AS w FROM lineitem WHERE l_discount > 0)
 SELECT count(*) AS count, round(sum(w * (c - r)) / sum(w) + 3.3e-9, 4) AS bias, round(sum(w * abs(c - r)) / sum(w) + 3.3e-9, 4) AS mae, round(sqrt(sum(w * (c - r) * (c - r)) / sum(w)) + 3.3e-9, 4) AS rmse,
  round((sum(w) * sum(w * r * c) - sum(w * r) * sum(w * c)) / sqrt((sum(w) * sum(w * r * r) - sum(w * r) * sum(w * r)) * (sum(w) * sum(w * c * c) - sum(w * c) * sum(w * c))) + 3.3e-9, 6) AS correlation FROM p""")

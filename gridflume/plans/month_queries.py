@@ -24,11 +24,11 @@ def _(spark, sf_dir):
     return out.withColumns({k: b.rounded(k) for k in ("depth_error", "low_error", "high_error")})
 
 
-@register("rec16_constraint_provenance", f"""WITH l AS ({b.LINKS}), t AS (SELECT s_suppkey AS dst, (s_suppkey % 4) * 2 AS flags FROM supplier), k AS (SELECT DISTINCT src, unnest(list_filter([CASE WHEN flags & 2 <> 0 THEN 'capped' END, CASE WHEN flags & 4 <> 0 THEN 'base_dry' END, CASE WHEN flags = 0 THEN 'clean' END], lambda x: x IS NOT NULL)) AS kind FROM l JOIN t USING (dst) WHERE weight > 0)
+@register("rec16_constraint_provenance", f"""WITH l AS ({b.LINKS}), t AS (SELECT s_suppkey AS dst, CASE s_suppkey % 4 WHEN 1 THEN 16 WHEN 2 THEN 4 WHEN 3 THEN 20 ELSE s_suppkey % 8 / 2 END::INTEGER AS flags FROM supplier), k AS (SELECT DISTINCT src, unnest(list_filter([CASE WHEN flags & 16 <> 0 THEN 'capped' END, CASE WHEN flags & 4 <> 0 THEN 'base_dry' END, CASE WHEN flags = 0 THEN 'clean' END], lambda x: x IS NOT NULL)) AS kind FROM l JOIN t USING (dst) WHERE weight > 0)
 SELECT kind, l_returnflag AS region, l_linenumber AS source, count(*) AS cell_hours, count(*) FILTER (WHERE l_quantity >= 20) AS wet_cell_hours, sum(l_quantity) AS depth, count(*) FILTER (WHERE l_orderkey & 4 <> 0) AS qc_clipped, quantile_cont(l_quantity, 0.5) AS p50, round(quantile_cont(l_quantity, 0.95) + 3.3e-9, 6) AS p95 FROM lineitem JOIN k ON src = l_partkey GROUP BY ALL""")
 def _(spark, sf_dir):
     h = b.table(spark, sf_dir, "lineitem").select(c("l_partkey").alias("src"), c("l_returnflag").alias("region"), c("l_linenumber").alias("source"), c("l_quantity").alias("depth"), c("l_orderkey").alias("qc"))
-    t = b.table(spark, sf_dir, "supplier").select(c("s_suppkey").alias("dst"), (c("s_suppkey") % 4 * 2).alias("flags"))
+    t = b.table(spark, sf_dir, "supplier").select(c("s_suppkey").alias("dst"), F.when(c("s_suppkey") % 4 == 1, 16).when(c("s_suppkey") % 4 == 2, 4).when(c("s_suppkey") % 4 == 3, 20).otherwise((c("s_suppkey") % 8 / 2).cast("int")).alias("flags"))
     return reconcile.constraint_provenance(h, t, b.links(spark, sf_dir), ["region", "source"], {"clipped": 4}, 20.0).withColumn("p95", b.rounded("p95"))
 
 

@@ -16,7 +16,7 @@ def test_monthly_audit(spark):
 
 def test_constraint_provenance_and_published_hours(spark):
     hours = spark.createDataFrame([(1, "r", 0.5, 4), (1, "r", 0.0, 0), (2, "r", 1.0, None), (3, "r", None, 0)], "src long, region string, depth double, qc int")
-    targets = spark.createDataFrame([(10, 2), (11, 0), (12, 6)], "dst long, flags int")
+    targets = spark.createDataFrame([(10, 16), (11, 0), (12, 20)], "dst long, flags int")
     links = spark.createDataFrame([(1, 10, 1.0), (1, 12, 1.0), (2, 11, 1.0), (3, 11, 0.0), (3, 99, 1.0)], "src long, dst long, weight double")
     out = {r["kind"]: (r["cell_hours"], r["wet_cell_hours"], r["qc_clip"]) for r in reconcile.constraint_provenance(hours, targets, links, ["region"], {"clip": 4}).collect()}
     assert out == {"capped": (2, 1, 1), "base_dry": (2, 1, 1), "clean": (1, 1, 0)}
@@ -41,3 +41,19 @@ def test_subset_network(spark):
     out = checkpointed(spark, lambda: network.subset_network(reaches, 25, 35, -110, -90))
     assert [(r["link"], r["to_link"], r["index"]) for r in out.orderBy("link").collect()] == [(10, 30, 0), (30, 40, 1), (40, 0, 2), (50, 0, 3)]
     assert checkpointed(spark, lambda: network.subset_network(reaches.limit(0), 25, 35, -110, -90)).count() == 0
+
+
+def test_quality_bits_are_the_fixed_ones(spark):
+    from gridflume.operators import bundle
+
+    names = ("TARGET_MISSING", "TARGET_DRY", "BASE_DRY", "SYNTHETIC", "RATIO_CAPPED", "NOT_CONVERGED")
+    assert [getattr(reconcile, n) for n in names] == [1, 2, 4, 8, 16, 32]
+    df = spark.createDataFrame([(1, 1500.0, 1.0), (2, None, 1.0), (3, 20.0, None), (4, 20.0, 1.0)], "id int, shortwave double, east double")
+    noon = df.selectExpr("*", "timestamp'2024-06-21 19:00:00' AS ts", "35.0D AS lat", "-105.0D AS lon", "1.0D AS north", "id = 4 AS negative")
+    assert {r["id"]: r["radiation_qc"] for r in bundle.target_radiation(noon).collect()} == {1: 8, 2: 4, 3: 4, 4: 1}
+
+
+def test_targets_of_each_flag_count_once(spark):
+    targets = spark.createDataFrame([(1.0, 0.0, f) for f in (0, 1, 2, 4, 8, 16, 32, 12)], "total double, residual double, flags int")
+    r = reconcile.acceptance(targets).head()
+    assert (r["constrained_cells"], r["capped"] * 7, r["unconverged"] * 7, r["unhandled_dry"] * 7, r["synthetic"] * 7) == (7, 1, 1, 1, 2)
