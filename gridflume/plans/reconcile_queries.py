@@ -79,12 +79,12 @@ def _(spark, sf_dir):
     return s.targets.select("dst", "total", b.rounded("residual", 4).alias("residual"), "flags")
 
 
-# a fine cell overlaps the coarse cells that it and the one ten further lie in
-_FINE_TO_COARSE = "SELECT {k} AS src, ({k} + CASE WHEN l_linenumber > 4 THEN 10 ELSE 0 END) // 20 AS dst, sum(l_quantity) AS weight FROM lineitem GROUP BY ALL"
+# a fine cell overlaps the coarse cells that it and the one two further lie in
+_FINE_TO_COARSE = "SELECT {k} AS src, ({k} + CASE WHEN l_linenumber > 4 THEN 2 ELSE 0 END) // 20 AS dst, sum(l_quantity) AS weight FROM lineitem GROUP BY ALL"
 
 
 def _fine_to_coarse(spark, sf_dir, key):
-    dst = F.floor((c(key) + F.when(c("l_linenumber") > 4, 10).otherwise(0)) / 20)
+    dst = F.floor((c(key) + F.when(c("l_linenumber") > 4, 2).otherwise(0)) / 20)
     return b.table(spark, sf_dir, "lineitem").groupBy(c(key).alias("src"), dst.alias("dst")).agg(F.sum("l_quantity").alias("weight"))
 
 
@@ -132,4 +132,4 @@ def _(spark, sf_dir):
 
 @register("rec14_monthly_bounds_sweep")
 def _(spark, sf_dir):
-    return projection.bounds_sweep(*_month(spark, sf_dir), ratios=[1.1, 1.5, 10.0])
+    return projection.bounds_sweep(*_month(spark, sf_dir), ratios=[1.5, 2.0, 10.0])
