@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..checkpoints import staged
+from ..checkpoints import staged, staged_counted
 
 
 def domain_mask(lat: Column, lon: Column, south: float = 25, north: float = 53, west: float = -125, east: float = -67) -> Column:
@@ -37,48 +37,52 @@ def _around(cells: DataFrame, size: int, ring: int) -> DataFrame:
     """Cells (y, x) with each tile (ty, tx) of a side ``size`` in the rings about their own."""
     steps = F.sequence(F.lit(-ring), F.lit(ring))
     near = cells.withColumn("dy", F.explode(steps)).withColumn("dx", F.explode(steps))
-    return near.select("y", "x", (F.floor(F.col("y") / size) + F.col("dy")).alias("ty"), (F.floor(F.col("x") / size) + F.col("dx")).alias("tx"))
+    return near.withColumns({"ty": F.floor(F.col("y") / size) + F.col("dy"), "tx": F.floor(F.col("x") / size) + F.col("dx")}).drop("dy", "dx")
 
 
-def nearest_donor(gaps: DataFrame, donors: DataFrame, tile: int = 8) -> DataFrame:
-    """For each gap cell (y, x) the nearest donor cell by grid distance, ties by (y, x), however far it is.
+def nearest_donor(gaps: DataFrame, donors: DataFrame, tile: int = 8, by: list[str] = ()) -> DataFrame:
+    """For each gap cell (by, y, x) the nearest donor cell of its ``by`` by grid distance, ties by (y, x), however far it is.
 
     Occupied tiles form a pyramid, each level of tiles twice the size of those below. A gap goes up to the
     first level where its own tile or one beside it holds a donor, and down again through those tiles
     alone that can hold a nearer one. Donors are null where there is none at all.
     """
-    d = staged(donors.select(F.col("y").cast("long").alias("donor_y"), F.col("x").cast("long").alias("donor_x")).distinct(), "donors")
-    left = staged(gaps.select(F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x")).distinct(), "gaps")
-    none = [F.lit(None).cast("long").alias("donor_y"), F.lit(None).cast("long").alias("donor_x"), F.lit(None).cast("double").alias("distance")]
-    if not d.take(1):
-        return left.select("y", "x", *none)
+    by = list(by)
+    at, cell = [*by, "ty", "tx"], [*by, "y", "x"]
+    d = staged(donors.select(*by, F.col("y").cast("long").alias("donor_y"), F.col("x").cast("long").alias("donor_x")).distinct(), "donors")
+    asked = staged(gaps.select(*by, F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x")).distinct(), "gaps")
+    one = F.lit(1).alias("_one")
+    served = d.select(*by, one).distinct()
+    left = staged(asked.withColumn("_one", F.lit(1)).join(served, [*by, "_one"], "left_semi").drop("_one"), "gaps")
+    none = asked.withColumn("_one", F.lit(1)).join(served, [*by, "_one"], "left_anti").select(*cell, F.lit(None).cast("long").alias("donor_y"), F.lit(None).cast("long").alias("donor_x"), F.lit(None).cast("double").alias("distance"))
     levels: list[tuple[DataFrame, DataFrame]] = []
-    while left.take(1):
-        below = levels[-1][0].select((F.col("ty") / 2).alias("ty"), (F.col("tx") / 2).alias("tx")) if levels else d.select((F.col("donor_y") / tile).alias("ty"), (F.col("donor_x") / tile).alias("tx"))
-        tiles = staged(below.select(F.floor("ty").alias("ty"), F.floor("tx").alias("tx")).distinct(), "tiles")
-        met = staged(_around(left, tile << len(levels), 1).join(tiles, ["ty", "tx"]).select("y", "x").distinct(), "met")
+    n = left.count()
+    while n:
+        below = levels[-1][0].select(*by, (F.col("ty") / 2).alias("ty"), (F.col("tx") / 2).alias("tx")) if levels else d.select(*by, (F.col("donor_y") / tile).alias("ty"), (F.col("donor_x") / tile).alias("tx"))
+        tiles = staged(below.select(*by, F.floor("ty").alias("ty"), F.floor("tx").alias("tx")).distinct(), "tiles")
+        met = staged(_around(left, tile << len(levels), 1).join(tiles, at).select(*cell).distinct(), "met")
         levels.append((tiles, met))
-        left = staged(left.join(met, ["y", "x"], "left_anti"), "gaps")
+        left, n = staged_counted(left.join(met, cell, "left_anti"), "gaps")
     now = None
     for level in reversed(range(len(levels))):
         tiles, met = levels[level]
         size = tile << level
         # a donor in a tile beside one's own is at most the diagonal of two tiles away, so within three rings
-        mine = _around(met, size, 3).join(tiles, ["ty", "tx"]).select("y", "x", "ty", "tx")
+        mine = _around(met, size, 3).join(tiles, at).select(*cell, "ty", "tx")
         now = mine if now is None else now.unionByName(mine)
         near = _near("y", "ty", size) ** 2 + _near("x", "tx", size) ** 2
         held = now.withColumns({"_near": near, "_far": _far("y", "ty", size) ** 2 + _far("x", "tx", size) ** 2})
-        held = held.withColumn("_most", F.min("_far").over(Window.partitionBy("y", "x"))).where("_near <= _most").select("y", "x", "ty", "tx")
+        held = held.withColumn("_most", F.min("_far").over(Window.partitionBy(*cell))).where("_near <= _most").select(*cell, "ty", "tx")
         now = staged(held, "near_tiles")
         if level:
-            children = levels[level - 1][0].select(F.col("ty").alias("cy"), F.col("tx").alias("cx"), F.floor(F.col("ty") / 2).alias("ty"), F.floor(F.col("tx") / 2).alias("tx"))
-            now = now.join(children, ["ty", "tx"]).select("y", "x", F.col("cy").alias("ty"), F.col("cx").alias("tx"))
+            children = levels[level - 1][0].select(*by, F.col("ty").alias("cy"), F.col("tx").alias("cx"), F.floor(F.col("ty") / 2).alias("ty"), F.floor(F.col("tx") / 2).alias("tx"))
+            now = now.join(children, at).select(*cell, F.col("cy").alias("ty"), F.col("cx").alias("tx"))
     if now is None:
-        return left.select("y", "x", *none)
+        return none
     d2 = (F.col("donor_y") - F.col("y")) ** 2 + (F.col("donor_x") - F.col("x")) ** 2
     placed = d.withColumns({"ty": F.floor(F.col("donor_y") / tile), "tx": F.floor(F.col("donor_x") / tile)})
-    best = now.join(placed, ["ty", "tx"]).groupBy("y", "x").agg(F.min(F.struct(d2.alias("d2"), "donor_y", "donor_x")).alias("b"))
-    return staged(best.select("y", "x", "b.donor_y", "b.donor_x", F.sqrt("b.d2").alias("distance")), "nearest")
+    best = now.join(placed, at).groupBy(*cell).agg(F.min(F.struct(d2.alias("d2"), "donor_y", "donor_x")).alias("b"))
+    return staged(best.select(*cell, "b.donor_y", "b.donor_x", F.sqrt("b.d2").alias("distance")).union(none), "nearest")
 
 
 def mask_changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
