@@ -120,13 +120,20 @@ def assembled(thermo: DataFrame, radiation: DataFrame, keys: list[str], source_i
 
     ``qc`` holds the thermodynamic bits, the radiation bits 16 places higher, and bit 31 where an active cell lacks a field.
     """
-    fields = ["temperature", "pressure", "humidity", "longwave", "shortwave", "east", "north"]
-    both = thermo.join(radiation, keys)
+    return combined(thermo.join(radiation, keys), keys, F.lit(source_id))
+
+
+#: The seven fields of an hour without its precipitation.
+FIELDS = ("temperature", "pressure", "humidity", "longwave", "shortwave", "east", "north")
+
+
+def combined(cells: DataFrame, keys: list[str], source_id: Column, *others: str) -> DataFrame:
+    """``assembled`` for rows that have both components already."""
     whole = F.lit(True)
-    for f in fields:
+    for f in FIELDS:
         whole = whole & F.col(f).isNotNull()
     qc = F.col("target_qc").cast("long").bitwiseOR(F.shiftleft(F.col("radiation_qc").cast("long"), 16)).bitwiseOR(F.when(F.col("active") & ~whole, F.lit(INCOMPLETE)).otherwise(F.lit(0)).cast("long"))
-    return both.select(*keys, *fields, qc.alias("qc"), F.when(whole, F.lit(source_id)).otherwise(F.lit(0)).alias("source_id"))
+    return cells.select(*keys, *FIELDS, qc.alias("qc"), F.when(whole, source_id).otherwise(F.lit(0)).alias("source_id"), *others)
 
 
 def with_precipitation(hours: DataFrame, precipitation: DataFrame, keys: list[str]) -> DataFrame:

@@ -76,3 +76,23 @@ def radiation_wind(cells: DataFrame, weights: dict[str, float], caps: dict[str,
     sw = F.when(scale("sun") > 1, F.greatest(index + weights["sw"] * move["sw"], F.lit(0.0)) * scale("sun")).otherwise(F.lit(0.0))
     refined = _any([have[k] for k, w in weights.items() if w])
     return a.select(*by, "y", "x", sw.alias("new_sw"), (c("u") + weights["u"] * move["u"]).alias("new_u"), (c("v") + weights["v"] * move["v"]).alias("new_v"), _qc(refined, _any(list(clip.values()))).alias("qc"))
+
+
+def components(base: DataFrame, fine: DataFrame, weights: dict[str, float], caps: dict[str, float], window: int, rows: tuple[int, int], columns: tuple[int, int]) -> DataFrame:
+    """Base hours (ts, y, x, t, p, rh, q, lw, sw, u, v, sun, thermo_qc, radiation_qc) refined by the fine ones (the fields and sun) of the same time and cell.
+
+    The refined fields replace the base's, what refinement flags is added to its flags by OR, and ``hybrid`` says that it was done.
+    Hours or cells that only the base has stay as they are; those that only the fine side has are not given. ``weights`` has t, p, rh, lw, sw, u,
+    v, ``caps`` t, p, rh, lw, sw and wind. One join brings both together; temperatures and winds are refined side by side.
+    """
+    keys, fields = ["ts", "y", "x"], ["t", "p", "rh", "q", "lw", "sw", "u", "v"]
+    side = fine.select(*keys, *(F.col(f).alias(f"fine_{f}") for f in (*fields, "sun")), F.lit(True).alias("_fine"))
+    both = base.join(side, keys, "left")
+    matched = both.where("_fine")
+    of = lambda d, *ks: {k: d[k] for k in ks}
+    warm = thermodynamics(matched, of(weights, "t", "p", "rh", "lw"), of(caps, "t", "p", "rh", "lw"), window, rows, columns, ["ts"]).withColumnRenamed("qc", "_thermo")
+    bright = radiation_wind(matched, of(weights, "sw", "u", "v"), of(caps, "sw", "wind"), window, rows, columns, ["ts"]).withColumnRenamed("qc", "_radiation")
+    done = both.select(*keys, *fields, "sun", "thermo_qc", "radiation_qc").join(warm, keys, "left").join(bright, keys, "left")
+    on = F.col("_thermo").isNotNull()
+    added = lambda name, bits: F.col(name).bitwiseOR(F.coalesce(F.col(bits), F.lit(0))).alias(name)
+    return done.select(*keys, *(F.when(on, F.col(f"new_{f}")).otherwise(F.col(f)).alias(f) for f in fields), "sun", added("thermo_qc", "_thermo"), added("radiation_qc", "_radiation"), on.alias("hybrid"))

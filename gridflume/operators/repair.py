@@ -177,7 +177,7 @@ def native_repair(primary: DataFrame, native: DataFrame, most_km: float = 25.0)
 def gap_geometry(targets: DataFrame, origin: tuple[float, float], step: tuple[float, float], size: tuple[int, int], central: float = -97.5, parallel: float = 38.5) -> DataFrame:
     """Kept targets outside the native grid, with the elevation a fallback needs.
 
-    ``targets``: dst, lat, lon, keep, active, elevation, model_elevation. The grid is given in its Lambert projection: the first
+    ``targets``: dst, lat, lon, keep, active, elevation, model_elevation. The grid is given in its Lambert projection on a sphere of radius one: the first
     cell's place ``origin`` (x, y), ``step`` between cells and ``size`` in cells (x, y); a target is supported where its fractional index is
     within the grid. An active gap without an elevation takes the model's, if between -500 and 9000 m (``from_model``). ``fault``
     is ``no_elevation`` where it has none either; inactive gaps without one are ``excluded``.

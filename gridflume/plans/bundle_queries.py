@@ -182,6 +182,24 @@ def _(spark, sf_dir):
     return out.withColumns({"new_sw": b.rounded("new_sw", 4), "new_u": b.rounded("new_u"), "new_v": b.rounded("new_v")})
 
 
+@register("hyb05_hybrid_components", f"""WITH f AS ({_FINE}), v AS (SELECT *, fine_t AS a_t, ln(fine_p) AS a_p, fine_rh AS a_rh, ln(fine_lw / {_EMIT('fine_t', 'fine_q', 'fine_p')}) AS a_lw, CASE WHEN 1361 * greatest(fine_sun, 0) > 1 THEN fine_sw / (1361 * fine_sun) END AS a_sw, fine_u AS a_u, fine_v AS a_v FROM f), {_smooth_sql(['a_t', 'a_p', 'a_rh', 'a_lw', 'a_sw', 'a_u', 'a_v'], 3)},
+kk AS (SELECT v.*, t + 0.5 * {_LIM('t', 1.5)} AS t2, exp(ln(p) + 0.3 * {_LIM('p', 0.002)}) AS p2, least(greatest(rh + 0.4 * {_LIM('rh', 0.1)}, 0), 1) AS rh2, exp(ln(lw / {_EMIT('t', 'q', 'p')}) + 0.2 * {_LIM('lw', 0.02)}) AS f2, CASE WHEN 1361 * sun > 1 THEN greatest(sw / (1361 * sun) + 0.5 * {_LIM('sw', 0.1)}, 0) * 1361 * sun ELSE 0 END AS sw2, u + 0.25 * {_LIM('u', 4)} AS u2, v + 0.75 * {_LIM('v', 4)} AS v2,
+ coalesce(abs(a_t - a_t_m) > 1.5, false) OR coalesce(abs(a_p - a_p_m) > 0.002, false) OR coalesce(abs(a_rh - a_rh_m) > 0.1, false) OR coalesce(abs(a_lw - a_lw_m) > 0.02, false) AS clip1, coalesce(abs(a_sw - a_sw_m) > 0.1, false) OR coalesce(abs(a_u - a_u_m) > 4, false) OR coalesce(abs(a_v - a_v_m) > 4, false) AS clip2 FROM v JOIN smooth USING (y, x)),
+nn AS (SELECT *, {_Q.format(rh='rh2', t='t2', p='p2')} AS q2 FROM kk), outp AS (SELECT 2 AS ts, y, x, t2 AS t, p2 AS p, rh2 AS rh, q2 AS q, f2 * {_EMIT('t2', 'q2', 'p2')} AS lw, sw2 AS sw, u2 AS u, v2 AS v, (y % 3 + 4) | (16384 + CASE WHEN clip1 THEN 8192 ELSE 0 END) AS thermo_qc, (x % 4) | (16384 + CASE WHEN clip2 THEN 8192 ELSE 0 END) AS radiation_qc, true AS hybrid FROM nn
+UNION ALL SELECT 1, y, x, t, p, rh, q, lw, sw, u, v, y % 3 + 4, x % 4, false FROM f)
+SELECT ts, y, x, round(t + 3.3e-9, 5) AS t, round(p + 3.3e-9, 3) AS p, round(rh + 3.3e-9, 6) AS rh, round(q + 3.3e-9, 7) AS q, round(lw + 3.3e-9, 4) AS lw, round(sw + 3.3e-9, 4) AS sw, round(u + 3.3e-9, 6) AS u, round(v + 3.3e-9, 6) AS v, thermo_qc, radiation_qc, hybrid FROM outp""")
+def _(spark, sf_dir):
+    f = _fine(spark, sf_dir)
+    names = ["t", "p", "rh", "q", "lw", "sw", "u", "v", "sun"]
+    at = lambda *hours: F.explode(F.array(*map(F.lit, hours))).alias("ts")
+    # of the hours 1 and 2, and 2 and 3, one is on both sides
+    base = f.select(at(1, 2), "y", "x", *names, (c("y") % 3 + 4).alias("thermo_qc"), (c("x") % 4).alias("radiation_qc"))
+    fine = f.select(at(2, 3), "y", "x", *(c(f"fine_{n}").alias(n) for n in names))
+    weights, caps = {**_W, "sw": 0.5, "u": 0.25, "v": 0.75}, {**_CAPS, "sw": 0.1, "wind": 4.0}
+    out = hybrid.components(base, fine, weights, caps, 3, tuple(f.agg(F.min("y"), F.max("y")).head()), (0, 19)).drop("sun")
+    return out.withColumns({k: b.rounded(k, n) for k, n in (("t", 5), ("p", 3), ("rh", 6), ("q", 7), ("lw", 4), ("sw", 4), ("u", 6), ("v", 6))})
+
+
 @register("eva09_fit_vector_weight", """WITH f AS (SELECT l_suppkey AS k, l_extendedprice / 1000 - l_quantity AS r, l_discount * 100 - 5 AS a FROM lineitem UNION ALL SELECT l_suppkey, l_tax * 100 - 4, l_discount * 50 - 2 FROM lineitem)
 SELECT k, count(*) AS n, round(greatest(least((sum(a * r) + 500 * sum(a * a) / count(*) * 0.5) / nullif(sum(a * a) + 500 * sum(a * a) / count(*), 0), 1.0), 0.0) + 3.3e-9, 6) AS weight FROM f GROUP BY 1""")
 def _(spark, sf_dir):

@@ -135,3 +135,27 @@ def test_gaps_outside_the_native_grid_and_their_hour(spark):
     assert {k: r["fault"] for k, r in hour.items()} == {10: None, 11: "incomplete sw", 12: "incomplete t p q lw sw u v rain", 13: "incomplete t p q lw sw u v rain"}
     only_rain = spark.createDataFrame([(1, 10, 1.0)], "src long, dst long, weight double")
     assert repair.remap_hour(source, at.where("dst = 10"), links, only_rain).head()["rain"] == pytest.approx(0.001)
+
+
+def test_complete_hours_read_no_hour_that_is_done(spark):
+    from gridflume.operators import complete
+
+    t = lambda h: datetime(2024, 6, 1, h)
+    native = [(t(h), p, s, *GOOD[:4], 100.0 * s, 400.0, 3.0, -2.0) for h in (18, 19, 20) for p in ("fine", "coarse") for s in (1, 2)]
+    n = spark.createDataFrame(native, "ts timestamp, product string, src long, t double, q double, p double, lw double, z0 double, sw double, u double, v double")
+    cand = spark.createDataFrame([(t(18), "fine", True), (t(18), "coarse", True), (t(19), "fine", False), (t(19), "coarse", True), (t(20), "fine", True), (t(21), "fine", True), (t(22), "fine", False)], "ts timestamp, product string, valid boolean")
+    links = spark.createDataFrame([(p, s, 10, 0.5) for p in ("fine", "coarse") for s in (1, 2)], "product string, src long, dst long, weight double")
+    targets = spark.createDataFrame([(10, 150.0, 40.0, -100.0, True), (11, 0.0, 40.0, -100.0, True)], "dst long, z1 double, lat double, lon double, active boolean")
+    rain = spark.createDataFrame([(t(h), 10, None, None, None, None, 3.6, None, None, False, False) for h in (18, 20)], "ts timestamp, dst long, pass2 double, pass1 double, archive double, realtime double, land double, forecast double, quality double, override boolean, exclusion boolean")
+    done = spark.createDataFrame([(t(20),)], "ts timestamp")
+    out = complete.complete_hours(cand, n, links, targets, rain, done, {"fine": 2, "coarse": 1})
+    got = {(r["ts"].hour, r["dst"]): r for r in out.collect()}
+    # hour 20 is done, 21 has no cells, 22 no source; cell 11 no links
+    assert {k: (r["product"], r["fallback_used"], r["source_id"], r["qc"]) for k, r in got.items()} == {(18, 10): ("fine", False, 2, 0), (19, 10): ("coarse", True, 1, 0)}
+    assert got[18, 10]["rainrate"] == pytest.approx(0.001) and got[18, 10]["precip_source_id"] == 5 and got[19, 10]["rainrate"] is None
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # hours that are done go before their cells are read, and cells are read once
+    lines = plan.splitlines()
+    assert sum("LogicalRDD" in x and "z0#" in x for x in lines) == 1 and any("LeftAnti" in x for x in lines)
+    summary = {r["ts"].hour: (r["product"], r["cells"], r["partial_cells"], r["precipitation_sources"]) for r in complete.hour_summary(out).collect()}
+    assert summary == {18: ("fine", 1, 0, {5: 1}), 19: ("coarse", 1, 0, {0: 1})}
