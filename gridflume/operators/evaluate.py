@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import composite
+
 
 def continuous_metrics(df: DataFrame, reference: str, candidate: str, by: list[str] = (), weight: str | None = None) -> DataFrame:
     """Count, bias, mean absolute and root mean square error, and correlation (null at zero variance)."""
@@ -48,16 +50,48 @@ def shrunk_slope(df: DataFrame, observed: str, base: str, anomaly: str, prior: C
     return sums.withColumn("weight", F.greatest(F.least(slope, F.lit(1.0)), F.lit(0.0))).select(*by, "n", "weight")
 
 
+def _overridden(samples: DataFrame, quality: Column, disagreement: Column) -> DataFrame:
+    """Samples (reference, quality, pass2, archive) with ``override`` and the depth of the composite that it leads to."""
+    differs = F.abs(F.col("archive") - F.col("pass2")) >= disagreement
+    swap = F.coalesce(F.col("quality") < quality, F.lit(False)) | F.coalesce(differs, F.lit(False))
+    none = F.lit(None).cast("double")
+    given = samples.withColumns({"override": swap & F.col("archive").isNotNull(), "exclusion": F.lit(False)} | {p: none for p in ("pass1", "realtime", "land", "forecast")})
+    return composite.composite(given, 0.5)
+
+
+def _scores(wet: float = 0.1) -> list[Column]:
+    """Errors and wet events of depth against reference, where both are there."""
+    r, d = F.col("reference"), F.col("depth")
+    error = d - r
+    event = lambda c: F.coalesce(c & error.isNotNull(), F.lit(False))
+    hits, misses, false = (F.count_if(event(c)) for c in ((r >= wet) & (d >= wet), (r >= wet) & (d < wet), (r < wet) & (d >= wet)))
+    return [F.count(error).alias("n"), F.avg(error).alias("bias"), F.sqrt(F.avg(error * error)).alias("rmse"), F.try_divide(hits, hits + misses + false).alias("csi")]
+
+
 def override_sweep(samples: DataFrame, by: list[str], qualities: list[float], disagreements: list[float]) -> DataFrame:
-    """Errors per group for every pair of thresholds: where quality is below and the candidates differ by more, ``other`` replaces ``main``.
+    """Scores per group for every pair of thresholds (q, d): where quality is below q, or the candidates differ by d or more, the archive overrides.
+
+    ``samples``: by, reference, quality, pass2, archive. The depth is what ``composite.composite`` makes of it. Samples are summed
+    for each pair as they are read, so only groups are shuffled. ``place`` numbers the pairs in their order.
+    """
+    pairs = [F.struct(F.lit(k).alias("place"), F.lit(float(q)).alias("q"), F.lit(float(d)).alias("d")) for k, (q, d) in enumerate((q, d) for q in qualities for d in disagreements)]
+    tried = samples.select(*by, "reference", "quality", "pass2", "archive", F.explode(F.array(*pairs)).alias("_p")).select("*", "_p.*").drop("_p")
+    return _overridden(tried, F.col("q"), F.col("d")).groupBy(*by, "place", "q", "d").agg(F.count_if("override").alias("overrides"), *_scores())
+
+
+def calibrated_overrides(samples: DataFrame, by: list[str], group: str, qualities: list[float], disagreements: list[float], fraction: float = 0.7, salt: str = "split") -> DataFrame:
+    """Per stratum the best pair of thresholds by the samples of calibration groups, and its scores on all others.
 
-    Samples are summed once for each pair as they are read, so only groups are shuffled.
+    Whole groups are withheld, see ``calibration_half``. The best pair has the least rmse, then the highest csi, then comes first.
+    ``withheld_*`` are scores of samples that played no part in the choice; strata without a finite rmse have no rule and are not given.
     """
-    pairs = F.explode(F.array(*[F.struct(F.lit(q).alias("q"), F.lit(d).alias("d")) for q in qualities for d in disagreements]))
-    tried = samples.withColumn("_p", pairs).select("*", F.col("_p.q").alias("q"), F.col("_p.d").alias("d"))
-    swap = (F.col("quality") < F.col("q")) & (F.abs(F.col("main") - F.col("other")) > F.col("d"))
-    error = F.when(swap, F.col("other")).otherwise(F.col("main")) - F.col("reference")
-    return tried.groupBy(*by, "q", "d").agg(F.count(error).alias("n"), F.count_if(swap).alias("overrides"), F.avg(error).alias("bias"), F.sqrt(F.avg(error * error)).alias("rmse"))
+    marked = samples.withColumn("_fit", calibration_half(F.col(group), fraction, salt))
+    tried = override_sweep(marked.where("_fit"), by, qualities, disagreements)
+    order = F.struct(F.col("rmse"), -F.coalesce(F.col("csi"), F.lit(-1.0)), F.col("place"))
+    rules = tried.where("rmse is not null and not isnan(rmse)").groupBy(*by).agg(F.min_by(F.struct("q", "d", "overrides", "n", "bias", "rmse", "csi"), order).alias("_best")).select(*by, "_best.*")
+    tested = _overridden(marked.where("not _fit").join(rules.select(*by, "q", "d"), by), F.col("q"), F.col("d"))
+    held = tested.groupBy(*by).agg(F.count("*").alias("withheld_samples"), *(s.alias(f"withheld_{k}") for k, s in zip(("n", "bias", "rmse", "csi"), _scores(), strict=True)))
+    return rules.join(held, by, "left").withColumn("withheld_samples", F.coalesce("withheld_samples", F.lit(0)))
 
 
 def best_rules(scores: DataFrame, strata: list[str], rule: str) -> DataFrame:

@@ -325,9 +325,24 @@ def _(spark, sf_dir):
     return network.incomplete_catchments(li, li.where("l_quantity > 2"), "l_suppkey")
 
 
-@register("net11_validate_topology", f"""WITH r AS (SELECT link, CASE WHEN link % 50 = 3 THEN link WHEN link % 70 = 9 THEN link + 1000000 ELSE to_link END AS to_link FROM ({b.REACHES}))
-SELECT 'repeated_link' AS "check", count(*) AS errors FROM (SELECT link FROM r GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'unresolved_downstream', count(*) FROM r WHERE to_link <> 0 AND to_link NOT IN (SELECT link FROM r) UNION ALL SELECT 'self_loop', count(*) FROM r WHERE to_link = link""")
-def _(spark, sf_dir):
-    k = c("link")
+@register("net11_validate_topology", f"""WITH r AS (SELECT link, CASE WHEN link % 50 = 3 THEN link WHEN link % 70 = 9 THEN link + 1000000 ELSE to_link END AS to_link, CASE WHEN link % 90 = 7 THEN 5 ELSE row_number() OVER (ORDER BY link) - 1 END AS index FROM ({b.REACHES})),
+p AS (SELECT row_number() OVER (ORDER BY s_suppkey) - 1 AS place, CASE WHEN s_suppkey % 40 = 0 THEN -s_suppkey ELSE s_suppkey END AS polyid, 1 + s_suppkey % 3 AS n_over FROM supplier), l AS (SELECT polyid, unnest(range(n_over + CASE WHEN polyid % 33 = 5 THEN 1 ELSE 0 END)) AS n, place AS pat FROM p),
+w AS (SELECT row_number() OVER (ORDER BY CASE WHEN pat % 25 = 4 THEN pat + 1.5 ELSE pat END, n, pat) - 1 AS place, polyid, 1 + (polyid * 7 + n) % 41 AS i, 1 + (polyid + n) % 19 AS j FROM l), s AS (SELECT *, sum(n_over) OVER (ORDER BY place) AS e FROM p), g AS (SELECT place, CASE WHEN place % 30 = 2 THEN polyid + 1 ELSE polyid END AS polyid, place + CASE WHEN place % 45 = 6 THEN 2 ELSE 1 END AS basin FROM p WHERE place <> 11)
+SELECT 'repeated_link' AS "check", count(*) AS errors FROM (SELECT link FROM r GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'unresolved_downstream', count(*) FROM r WHERE to_link <> 0 AND to_link NOT IN (SELECT link FROM r) UNION ALL SELECT 'self_loop', count(*) FROM r WHERE to_link = link
+UNION ALL SELECT 'index_not_a_permutation', CASE WHEN count(DISTINCT index) = count(*) AND min(index) = 0 AND max(index) = count(*) - 1 THEN 0 ELSE greatest(count(*) - count(DISTINCT index), 1) END FROM r
+UNION ALL SELECT 'overlap_sum', abs((SELECT sum(n_over) FROM p) - (SELECT count(*) FROM w))::BIGINT UNION ALL SELECT 'unknown_polygon', count(*) FROM p WHERE polyid NOT IN (SELECT link FROM r)
+UNION ALL SELECT 'weight_order', count(*) FROM w JOIN s USING (polyid) WHERE NOT (w.place >= e - n_over AND w.place < e) UNION ALL SELECT 'outside_grid', count(*) FROM w WHERE NOT (i BETWEEN 1 AND 40 AND j BETWEEN 1 AND 18)
+UNION ALL SELECT 'bucket_order', count(*) FROM p FULL JOIN g USING (place) WHERE p.polyid IS DISTINCT FROM g.polyid UNION ALL SELECT 'basin_order', count(*) FROM g WHERE basin <> place + 1""")
+def _(spark, sf_dir):
+    k, n = c("link"), c("n")
+    numbered = lambda df, *order: network.running(df.withColumn("_k", F.struct(*order)).withColumn("_w", F.lit(1)), "_k", "_w").withColumn("place", c("through") - 1).drop("_k", "_w", "through")
     r = b.reaches(spark, sf_dir).withColumn("to_link", F.when(k % 50 == 3, k).when(k % 70 == 9, k + 1000000).otherwise(c("to_link")))
-    return network.topology_errors(r).select("check", "errors")
+    r = numbered(r, "link").withColumn("index", F.when(k % 90 == 7, 5).otherwise(c("place"))).drop("place")
+    s = c("s_suppkey")
+    p = numbered(b.table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey").select("place", F.when(s % 40 == 0, -s).otherwise(s).alias("polyid"), (1 + s % 3).alias("overlaps"))
+    poly = c("polyid")
+    w = p.select("polyid", c("place").alias("at"), F.explode(F.sequence(F.lit(0), (c("overlaps") - 1 + F.when(poly % 33 == 5, 1).otherwise(0)).cast("int"))).alias("n"))
+    w = numbered(w, F.when(c("at") % 25 == 4, c("at") + 1.5).otherwise(c("at").cast("double")), n, "at").select("place", "polyid", (1 + (poly * 7 + n) % 41).alias("i"), (1 + (poly + n) % 19).alias("j"))
+    at = c("place")
+    g = p.where("place <> 11").select("place", F.when(at % 30 == 2, poly + 1).otherwise(poly).alias("polyid"), (at + F.when(at % 45 == 6, 2).otherwise(1)).alias("basin"))
+    return network.topology_errors(r, w, p, g, (18, 40)).select("check", "errors")

@@ -97,17 +97,34 @@ def _(spark, sf_dir):
     return b.table(spark, sf_dir, "orders").join(parents, "o_custkey", "left").select("o_orderkey", "position")
 
 
-_SWEEP = "SELECT event_type AS stratum, value AS reference, value * 0.9 + 5 AS main, value * 1.1 - 5 AS other, (user_id % 100) / 100.0::DOUBLE AS quality FROM events"
+_SWEEP = "SELECT event_type AS stratum, user_id, value / 10 AS reference, CASE WHEN event_id % 13 > 0 THEN value * 0.09 + 0.5 END AS pass2, CASE WHEN event_id % 7 > 0 THEN value * 0.11 - 0.5 END AS archive, CASE WHEN event_id % 17 > 0 THEN (user_id % 100) / 100.0::DOUBLE END AS quality FROM events"
+_TRIED = """*, coalesce(quality < q, false) OR coalesce(abs(archive - pass2) >= d, false) AS swap"""
+_DEPTH = "*, swap AND archive IS NOT NULL AS override, CASE WHEN swap AND archive >= 0 THEN archive WHEN quality >= 0.5 AND pass2 >= 0 THEN pass2 WHEN archive >= 0 THEN archive END - reference AS err, CASE WHEN swap AND archive >= 0 THEN archive WHEN quality >= 0.5 AND pass2 >= 0 THEN pass2 WHEN archive >= 0 THEN archive END AS depth"
+_SCORED = """count(err) AS n, avg(err) AS bias, sqrt(avg(err * err)) AS rmse, count(*) FILTER (reference >= 0.1 AND depth >= 0.1) / nullif(count(*) FILTER (err IS NOT NULL AND (reference >= 0.1 OR depth >= 0.1)), 0) AS csi"""
+_PAIRS = "(SELECT unnest([0.25, 0.5, 0.755]::DOUBLE[]) AS q), (SELECT unnest([0.155, 0.385]::DOUBLE[]) AS d)"
 
 
-@register("eva05_override_sweep", f"""WITH s AS ({_SWEEP}), t AS (SELECT *, quality < q AND abs(main - other) > d AS swap FROM s, (SELECT unnest([0.25, 0.5, 0.755]::DOUBLE[]) AS q), (SELECT unnest([0.55, 3.05]::DOUBLE[]) AS d)),
-e AS (SELECT *, CASE WHEN swap THEN other ELSE main END - reference AS err FROM t)
-SELECT stratum, q, d, count(err) AS n, count(*) FILTER (swap) AS overrides, round(avg(err) + 3.3e-9, 6) AS bias, round(sqrt(avg(err * err)) + 3.3e-9, 6) AS rmse FROM e GROUP BY ALL""")
+def _samples(spark, sf_dir):
+    v, k = c("value"), c("event_id")
+    return b.table(spark, sf_dir, "events").select(
+        c("event_type").alias("stratum"), "user_id", (v / 10).alias("reference"), F.when(k % 13 > 0, v * 0.09 + 0.5).alias("pass2"), F.when(k % 7 > 0, v * 0.11 - 0.5).alias("archive"), F.when(k % 17 > 0, c("user_id") % 100 / 100).alias("quality")
+    )
+
+
+@register("eva05_override_sweep", f"""WITH s AS (SELECT {_TRIED} FROM ({_SWEEP}), {_PAIRS}), e AS (SELECT {_DEPTH} FROM s), r AS (SELECT stratum, q, d, count(*) FILTER (override) AS overrides, {_SCORED} FROM e GROUP BY ALL)
+SELECT stratum, q, d, overrides, n, round(bias + 3.3e-9, 6) AS bias, round(rmse + 3.3e-9, 6) AS rmse, round(csi + 3.3e-9, 6) AS csi FROM r""")
+def _(spark, sf_dir):
+    found = evaluate.override_sweep(_samples(spark, sf_dir), ["stratum"], [0.25, 0.5, 0.755], [0.155, 0.385]).drop("place")
+    return found.withColumns({k: b.rounded(k) for k in ("bias", "rmse", "csi")})
+
+
+@register("eva07_calibrate_overrides", f"""WITH m AS (SELECT *, ('0x' || substr(sha256('split:' || user_id), 1, 16))::UBIGINT < {int(0.7 * 2**64)}::UBIGINT AS fit FROM ({_SWEEP})), s AS (SELECT {_TRIED} FROM (FROM m WHERE fit), {_PAIRS}), e AS (SELECT {_DEPTH} FROM s),
+r AS (SELECT stratum, q, d, count(*) FILTER (override) AS overrides, {_SCORED} FROM e GROUP BY stratum, q, d QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY rmse, -csi, q, d) = 1),
+w AS (SELECT {_DEPTH} FROM (SELECT {_TRIED} FROM m JOIN (SELECT stratum, q, d FROM r) USING (stratum) WHERE NOT fit)), h AS (SELECT stratum, count(*) AS withheld_samples, {_SCORED} FROM w GROUP BY stratum)
+SELECT r.stratum, q, d, overrides, r.n, round(r.bias + 3.3e-9, 6) AS bias, round(r.rmse + 3.3e-9, 6) AS rmse, round(r.csi + 3.3e-9, 6) AS csi, withheld_samples, h.n AS withheld_n, round(h.bias + 3.3e-9, 6) AS withheld_bias, round(h.rmse + 3.3e-9, 6) AS withheld_rmse, round(h.csi + 3.3e-9, 6) AS withheld_csi FROM r JOIN h USING (stratum)""")
 def _(spark, sf_dir):
-    v = c("value")
-    s = b.table(spark, sf_dir, "events").select(c("event_type").alias("stratum"), v.alias("reference"), (v * 0.9 + 5).alias("main"), (v * 1.1 - 5).alias("other"), ((c("user_id") % 100) / 100).alias("quality"))
-    found = evaluate.override_sweep(s, ["stratum"], [0.25, 0.5, 0.755], [0.55, 3.05])
-    return found.withColumns({k: b.rounded(k) for k in ("bias", "rmse")})
+    out = evaluate.calibrated_overrides(_samples(spark, sf_dir), ["stratum"], "user_id", [0.25, 0.5, 0.755], [0.155, 0.385])
+    return out.withColumns({p + k: b.rounded(p + k) for p in ("", "withheld_") for k in ("bias", "rmse", "csi")})
 
 
 @register("obs07_acquisition_tasks", """WITH s AS (SELECT l_suppkey AS station, min(l_shipdate)::DATE AS a, max(l_shipdate)::DATE AS z FROM lineitem GROUP BY l_suppkey), y AS (SELECT *, unnest(generate_series(year(a), year(z))) AS yr FROM s),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..checkpoints import checkpointed
-from ..operators import audit, evaluate, incremental, network
+from ..operators import audit, incremental, network
 from . import bindings as b
 from .registry import register
 
@@ -85,15 +85,3 @@ def _(spark, sf_dir):
     # one row, the period
     keys = h.select("station").distinct().crossJoin(h.agg(F.min("stamp").alias("a"), F.max("stamp").alias("z")))
     return audit.absent_hours(keys, h.where("n > 1"), ["station"], c("a"), c("z")).select("station", b.seconds("stamp").alias("stamp"))
-
-
-_SCORES = "SELECT l_returnflag AS stratum, l_linenumber AS rule, round(sqrt(avg((l_tax - l_discount) * (l_tax - l_discount))) + 3.3e-9, 6) AS rmse, round(avg(CASE WHEN l_tax > 0.03 AND l_discount > 0.03 THEN 1.0 ELSE 0.0 END) + 3.3e-9, 6) AS csi FROM lineitem GROUP BY ALL"
-
-
-@register("eva07_calibrate_overrides", f"SELECT stratum, rule, rmse, csi FROM ({_SCORES}) QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY rmse, -csi, rule) = 1")
-def _(spark, sf_dir):
-    off = c("l_tax") - c("l_discount")
-    scores = b.table(spark, sf_dir, "lineitem").groupBy(c("l_returnflag").alias("stratum"), c("l_linenumber").alias("rule")).agg(
-        b.rounded(F.sqrt(F.avg(off * off))).alias("rmse"), b.rounded(F.avg(F.when((c("l_tax") > 0.03) & (c("l_discount") > 0.03), 1.0).otherwise(0.0))).alias("csi")
-    )
-    return evaluate.best_rules(scores, ["stratum"], "rule")

@@ -1,5 +1,6 @@
 """Small literal cases of single operators, null and empty input among them."""
 
+import hashlib
 import math
 from datetime import date, datetime, timedelta
 
@@ -162,3 +163,47 @@ def test_best_rules_ties_and_inputs_of_days(spark):
     stamps = spark.createDataFrame([("2020-01-01 18:59:59",), ("2020-01-01 19:00:00",), ("2020-01-03 00:00:00",), ("2020-01-03 00:00:01",), (None,)], "t string").select(F.col("t").cast("timestamp").alias("ts"))
     days = spark.createDataFrame([("2020-01-02",), ("2020-01-02",)], "d string").select(F.to_date("d").alias("day"))
     assert sorted(str(r.ts) for r in incremental.inputs_of_days(stamps, days, "day", "ts").collect()) == ["2020-01-01 19:00:00", "2020-01-03 00:00:00"]
+
+
+def test_overrides_are_chosen_without_the_withheld_groups(spark):
+    rng = np.random.default_rng(31)
+    rows = [(s, g, float(rng.gamma(1, 2)), *(None if rng.random() < 0.1 else float(v) for v in (rng.random(), rng.gamma(1, 2), rng.gamma(1, 2)))) for s in "ab" for g in range(30) for _ in range(8)]
+    df = spark.createDataFrame(rows, "stratum string, station int, reference double, quality double, pass2 double, archive double")
+    got = {r["stratum"]: r for r in evaluate.calibrated_overrides(df, ["stratum"], "station", [0.3, 0.6], [1.0, 2.0]).collect()}
+
+    def depth(q, p, a, qb, db):
+        if ((q is not None and q < qb) or (a is not None and p is not None and abs(a - p) >= db)) and a is not None:
+            return a
+        return p if q is not None and q >= 0.5 and p is not None else a
+
+    fit = lambda g: int(hashlib.sha256(f"split:{g}".encode()).hexdigest()[:16], 16) < int(0.7 * 2**64)
+    for s in "ab":
+        def rmse(qb, db, fitted, s=s):
+            e = [depth(q, p, a, qb, db) - ref for k, g, ref, q, p, a in rows if k == s and fit(g) == fitted and depth(q, p, a, qb, db) is not None]
+            return math.sqrt(sum(x * x for x in e) / len(e))
+
+        best = min(((qb, db) for qb in (0.3, 0.6) for db in (1.0, 2.0)), key=lambda r: rmse(*r, True))
+        r = got[s]
+        assert (r["q"], r["d"]) == best and math.isclose(r["rmse"], rmse(*best, True)) and math.isclose(r["withheld_rmse"], rmse(*best, False))
+        assert r["withheld_samples"] == sum(k == s and not fit(g) for k, g, *_ in rows)
+
+
+def test_a_sound_network_has_no_errors_and_each_fault_is_counted(spark):
+    reach = spark.createDataFrame([(1, 2, 2), (2, 3, 0), (3, 0, 1)], "link long, to_link long, index long")
+    polygons = spark.createDataFrame([(0, 2, 2), (1, 1, 0), (2, 3, 3)], "place long, polyid long, overlaps long")
+    rows = [(0, 2, 1, 1), (1, 2, 2, 1), (2, 3, 4, 3), (3, 3, 4, 1), (4, 3, 1, 3)]
+    weights = lambda r: spark.createDataFrame(r, "place long, polyid long, i long, j long")
+    buckets = lambda r: spark.createDataFrame(r, "place long, polyid long, basin long")
+    good = [(0, 2, 1), (1, 1, 2), (2, 3, 3)]
+    wrong = lambda *a, **k: {r["check"]: r["errors"] for r in network.topology_errors(*a, **k).collect() if r["errors"]}
+    assert wrong(reach, weights(rows), polygons, buckets(good), (3, 4)) == {}
+    assert wrong(reach.withColumn("index", F.least("index", F.lit(1)))) == {"index_not_a_permutation": 1}
+    swapped = [(0, 2, 1, 1), (1, 3, 2, 1), (2, 2, 4, 3), (3, 3, 5, 1), (4, 3, None, 0)]
+    assert wrong(reach, weights(swapped), polygons, buckets(good), (3, 4)) == {"weight_order": 2, "outside_grid": 2}
+    assert wrong(reach, weights(rows[:4]), polygons, buckets([(0, 1, 1), (1, 2, 2), (2, 3, 4), (3, 9, 4)]), (3, 4)) == {"overlap_sum": 1, "bucket_order": 3, "basin_order": 1}
+
+
+def test_running_sums_cross_partitions(spark):
+    df = spark.createDataFrame([(k, k * k % 7) for k in range(500)], "k long, v long").repartition(7)
+    want = np.cumsum([k * k % 7 for k in range(500)])
+    assert all(r["through"] == want[r["k"]] for r in network.running(df, "k", "v").collect())
