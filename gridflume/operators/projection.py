@@ -58,13 +58,13 @@ def solve(base: DataFrame, targets: DataFrame, links: DataFrame, by: list[str] =
     Each round remaps, divides total by estimate within bounds, takes the ratios back along the links and multiplies.
     A null depth counts as zero and stays zero; a null total constrains nothing. Totals beyond what the bounds allow,
     and wet ones over a dry base unless ``bounds.synthetic`` seeds them, take no part and are flagged. ``upper`` names a key
-    column that replaces the upper bounds. Links are dealt by source and by target once; a round writes the cells and the active targets.
+    column that replaces the upper bounds. Links are dealt and sorted by source and by target once; a round writes the cells and the active targets.
     """
     by, b = list(by), bounds
     spark = base.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     usable = staged(regrid.usable_links(links).select("src", "dst", F.col("weight").cast("double").alias("weight")), "links")
-    from_src, from_dst = usable.repartition(parts, "src").persist(), usable.repartition(parts, "dst").persist()
+    from_src, from_dst = (usable.repartition(parts, k).sortWithinPartitions(k).persist() for k in ("src", "dst"))
 
     def estimated(cells: DataFrame, *fields: str) -> DataFrame:
         joined = cells.select(*by, "src", *fields).join(from_src, "src")
