@@ -97,11 +97,17 @@ def derived_masks(cells: DataFrame) -> DataFrame:
     return cells.agg(F.count_if(model).alias("model_cells"), F.count_if(forcing).alias("forcing_cells"), F.count_if(model & ~forcing).alias("uncovered"))
 
 
+#: Edges of a polygon that are sent to all tasks.
+MOST_EDGES = 200_000
+
+
 def in_polygon(points: DataFrame, edges: DataFrame) -> DataFrame:
     """Points (id, lon, lat) inside a polygon of edges (x1, y1, x2, y2), by an odd number of crossings to the east.
 
-    The edges are those of one polygon, a few thousand at most by what it is, so they are broadcast.
+    The edges are broadcast; a polygon of more than ``MOST_EDGES`` is refused.
     """
+    if edges.limit(MOST_EDGES + 1).count() > MOST_EDGES:
+        raise ValueError(f"a polygon of more than {MOST_EDGES} edges is not broadcast")
     crossing = ((F.col("y1") > F.col("lat")) != (F.col("y2") > F.col("lat"))) & (
         F.col("lon") < (F.col("x2") - F.col("x1")) * (F.col("lat") - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0)) + F.col("x1")
     )

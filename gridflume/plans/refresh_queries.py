@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import incremental, temporal
+from ..sources import catalogue
 from . import bindings as b
 from .registry import register
 
@@ -64,13 +65,33 @@ def _(spark, sf_dir):
     return found.groupBy("link").agg(F.count("*").alias("pages"))
 
 
-@register("src19_grib_index_ranges", """WITH o AS (SELECT conv_id, turn, sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn) - length(text) AS start FROM conversations) SELECT conv_id, turn, start::BIGINT AS first_byte, (lead(start) OVER (PARTITION BY conv_id ORDER BY turn) - 1)::BIGINT AS last_byte FROM o""")
-def _(spark, sf_dir):
+_INDEX_SQL = """lines AS (SELECT conv_id AS file, turn AS place, CASE WHEN turn % 7 = 5 THEN 'x' ELSE (turn + 1)::VARCHAR END || ':' || (sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn) - length(text))::BIGINT || ':d=20240101:' || upper(role) || ':' || CASE WHEN turn % 3 = 1 THEN 'surface' ELSE '2 m' END || CASE WHEN turn % 11 = 10 THEN '' ELSE ':' || (length(text) % 2 + 1) || ' hour fcst:' END AS line FROM conversations),
+parts AS (SELECT file, place, string_split(line, ':') AS p FROM lines), records AS (SELECT file, place, p[1]::BIGINT AS number, p[2]::BIGINT AS first_byte, p[4] AS variable, p[5] AS level, p[6] AS timing, lead(p[2]::BIGINT) OVER (PARTITION BY file ORDER BY place) - 1 AS last_byte FROM parts WHERE len(p) >= 6 AND p[1] <> 'x')"""
+
+
+def _index(spark, sf_dir):
     from pyspark.sql import Window
 
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    o = b.table(spark, sf_dir, "conversations").select("conv_id", "turn", (F.sum(F.length("text")).over(w) - F.length("text")).alias("first_byte"))
-    return o.select("conv_id", "turn", "first_byte", (F.lead("first_byte").over(w) - 1).alias("last_byte"))
+    t, n = c("turn"), F.length("text")
+    offset = F.sum(n).over(Window.partitionBy("conv_id").orderBy("turn")) - n
+    line = F.concat(
+        F.when(t % 7 == 5, "x").otherwise((t + 1).cast("string")), F.lit(":"), offset.cast("string"), F.lit(":d=20240101:"), F.upper("role"), F.lit(":"), F.when(t % 3 == 1, "surface").otherwise("2 m"),
+        F.when(t % 11 == 10, "").otherwise(F.concat(F.lit(":"), (n % 2 + 1).cast("string"), F.lit(" hour fcst:"))),
+    )
+    lines = b.table(spark, sf_dir, "conversations").select(c("conv_id").alias("file"), t.alias("place"), line.alias("line"))
+    return catalogue.index_ranges(lines, "file", "place", "line")
+
+
+@register("src19_grib_index_ranges", f"WITH {_INDEX_SQL} SELECT * FROM records")
+def _(spark, sf_dir):
+    return _index(spark, sf_dir)
+
+
+@register("src19_selected_ranges", f"""WITH {_INDEX_SQL}, w AS (SELECT * FROM (VALUES ('USER', '2 m', '1 hour fcst'), ('ASSISTANT', 'surface', '2 hour fcst'), ('SYSTEM', 'surface', '1 hour fcst')) v(variable, level, timing)), h AS (SELECT file, variable, level, timing, count(*) AS n, min(first_byte) AS a, min(last_byte) AS z FROM records GROUP BY ALL)
+SELECT f.file, w.variable, w.level, w.timing, CASE WHEN n = 1 AND z IS NOT NULL THEN a END AS first_byte, CASE WHEN n = 1 THEN z END AS last_byte, CASE WHEN n IS NULL THEN 'absent' WHEN n > 1 THEN 'repeated' WHEN z IS NULL THEN 'no_end' END AS fault FROM (SELECT DISTINCT file FROM records) f CROSS JOIN w LEFT JOIN h ON h.file = f.file AND (h.variable, h.level, h.timing) = (w.variable, w.level, w.timing)""")
+def _(spark, sf_dir):
+    wanted = [("USER", "2 m", "1 hour fcst"), ("ASSISTANT", "surface", "2 hour fcst"), ("SYSTEM", "surface", "1 hour fcst")]
+    return catalogue.selected_ranges(_index(spark, sf_dir), "file", wanted)
 
 
 @register("src21_hourly_statistic", """WITH s AS (SELECT user_id, event_id, value, row_number() OVER w AS n, lag(value) OVER w AS p FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) SELECT user_id, event_id, round(greatest(CASE WHEN n = 1 THEN value ELSE value * n - p * (n - 1) END, 0) + 3.3e-9, 5) AS hour_value FROM s""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -45,3 +45,32 @@ def cohort(plan: DataFrame, results: DataFrame, station: str, by: list[str], cou
         F.count_if(planned).alias("planned"), F.count_if(planned & (n == 1)).alias("once"), F.count_if(planned & (n == 0)).alias("absent"), F.count_if(planned & (n > 1)).alias("repeated"),
         F.count_if(~planned).alias("unplanned"), *(F.sum(F.when(planned, F.col(c))).alias(c) for c in counted),
     )
+
+
+def index_ranges(lines: DataFrame, file: str, place: str, line: str) -> DataFrame:
+    """Byte ranges of the records that a file's index lines (``number:offset:date:variable:level:timing...``) name.
+
+    Lines of fewer than six fields, or without a whole number and offset, are left out. A record ends before the next one of its
+    file, in the order of ``place``; the last one's end is not known.
+    """
+    parts = F.split(F.col(line), ":")
+    whole = lambda k: F.when(F.regexp_like(F.get(parts, F.lit(k)), F.lit(r"^\s*[+-]?\d{1,18}\s*$")), F.trim(F.get(parts, F.lit(k))).cast("long"))
+    field = lambda k, n: F.get(parts, F.lit(k)).alias(n)
+    found = lines.where(F.size(parts) >= 6).select(file, place, whole(0).alias("number"), whole(1).alias("first_byte"), field(3, "variable"), field(4, "level"), field(5, "timing")).where("number is not null and first_byte is not null")
+    return found.withColumn("last_byte", F.lead("first_byte").over(Window.partitionBy(file).orderBy(place)) - 1)
+
+
+def selected_ranges(records: DataFrame, file: str, wanted: list[tuple[str, str, str]]) -> DataFrame:
+    """For each file with an index and each wanted (variable, level, timing): its one record's range, else a ``fault``.
+
+    ``fault`` is ``absent`` or ``repeated`` where not exactly one record fits, ``no_end`` where it is the file's last.
+    """
+    kinds = F.explode(F.array(*(F.struct(F.lit(v).alias("variable"), F.lit(h).alias("level"), F.lit(t).alias("timing")) for v, h, t in wanted)))
+    asked = records.select(file).distinct().select(file, kinds.alias("w")).select(file, "w.*")
+    names = [file, "variable", "level", "timing"]
+    have = records.groupBy(*names).agg(F.count("*").alias("records"), F.min("first_byte").alias("first_byte"), F.min("last_byte").alias("last_byte"))
+    n = F.coalesce("records", F.lit(0))
+    fault = F.when(n == 0, "absent").when(n > 1, "repeated").when(F.col("last_byte").isNull(), "no_end")
+    out = asked.join(have, names, "left").withColumn("fault", fault)
+    ok = F.col("fault").isNull()
+    return out.select(*names, F.when(ok, F.col("first_byte")).alias("first_byte"), F.when(ok, F.col("last_byte")).alias("last_byte"), "fault")

@@ -50,3 +50,14 @@ def test_climate_station_lines(spark):
     out = [tuple(r) for r in normalize.climate_station_hours(spark.createDataFrame([(" ".join(f),), ("  " + "   ".join(cold),), ("1 2 3",), (None,)], "value string")).drop("value").collect()]
     assert len(f) == 38 and out[0] == ("7", datetime(2024, 1, 1, 1), -120.5, 38.5, 2.7 + 273.15, None, 0.45, None)
     assert out[1][4] is None and [r[-1] for r in out[2:]] == ["columns", "columns"]
+
+
+def test_index_lines_that_cannot_be_read_are_left_out(spark):
+    from gridflume.sources import catalogue
+
+    text = ["1:0:d=2024:TMP:2 m:anl:", "2:100:d=2024:TMP:2 m:1 hour fcst:", "no line", "x:150:d=2024:A:B:C", "3:1e3:d=2024:A:B:C", " 4 :+300:d=2024:RH:2 m:anl", "5:400:d=2024:RH:2 m:anl:more:fields", None, "6:500:d:U"]
+    lines = spark.createDataFrame([("f", k, x) for k, x in enumerate(text)] + [("g", 0, "1:7:d:TMP:2 m:anl")], "file string, place int, line string")
+    found = catalogue.index_ranges(lines, "file", "place", "line")
+    assert sorted((r["file"], r["number"], r["first_byte"], r["last_byte"]) for r in found.where("last_byte is not null").collect()) == [("f", 1, 0, 99), ("f", 2, 100, 299), ("f", 4, 300, 399)]
+    got = {(r["file"], r["variable"]): (r["first_byte"], r["last_byte"], r["fault"]) for r in catalogue.selected_ranges(found, "file", [("TMP", "2 m", "anl"), ("RH", "2 m", "anl"), ("A", "B", "C")]).collect()}
+    assert got == {("f", "TMP"): (0, 99, None), ("f", "RH"): (None, None, "repeated"), ("f", "A"): (None, None, "absent"), ("g", "TMP"): (None, None, "no_end"), ("g", "RH"): (None, None, "absent"), ("g", "A"): (None, None, "absent")}
