@@ -110,3 +110,71 @@ def hourly_day(records: DataFrame, by: list[str], hour: str, limits: dict[str, t
     worst = F.max_by(hour, F.struct(F.col("missing") + F.col("violations"), -F.col(hour)))
     day = each.groupBy(*by).agg(F.count_if(F.col(hour).between(0, 23)).alias("hours"), F.count("*").alias("_n"), F.sum("missing").alias("missing"), F.sum("violations").alias("violations"), worst.alias("worst_hour"))
     return day.withColumn("passed", (F.col("hours") == 24) & (F.col("_n") == 24) & (F.col("missing") == 0) & (F.col("violations") == 0)).drop("_n")
+
+
+def daily_stream(records: DataFrame, by: list[str], day: str, stamp: str, limits: dict[str, tuple[float, float]], cells: int, masks: tuple[str, str] | None = None, revision: tuple[str, str] | None = None, accepted: str | None = None) -> DataFrame:
+    """A row per day of a stream: hours, first and last of them, per field its finite values and range, its ``issues``, and whether it has none.
+
+    A record is a cell at a stamp. ``issues``: ``grid`` (an hour has not ``cells`` rows), ``hours`` (not 24), ``spacing`` (24, but not hourly), ``revision`` (of (column, expected): any other),
+    ``reconciliation`` (``accepted`` is not true somewhere), ``<field>_empty`` (no finite value), ``<field>_range``, ``masks`` (the two fields of ``masks`` are there in different cells).
+    Values that are not finite count as absent. Hours are summed before days, so a day's cells never meet in one task; rows without stamp or day have their own.
+    """
+    finite = lambda f: F.when(~F.isnan(f) & (F.abs(F.col(f).cast("double")) < float("inf")), F.col(f).cast("double"))
+    aggs = [F.count("*").alias("_cells")]
+    for f in limits:
+        aggs += [F.count(finite(f)).alias(f"_n_{f}"), F.min(finite(f)).alias(f"_a_{f}"), F.max(finite(f)).alias(f"_z_{f}")]
+    aggs.append((F.count_if(F.col(masks[0]).isNull() != F.col(masks[1]).isNull()) if masks else F.lit(0)).alias("_masks"))
+    aggs.append((F.count_if(~F.col(revision[0]).eqNullSafe(F.lit(revision[1]))) if revision else F.lit(0)).alias("_revision"))
+    aggs.append((F.count_if(~F.coalesce(F.col(accepted), F.lit(False))) if accepted else F.lit(0)).alias("_refused"))
+    hours = records.groupBy(*by, day, stamp).agg(*aggs)
+    second = F.unix_timestamp(stamp)
+    total = [F.sum(f"_n_{f}").alias(f"{f}_finite") for f in limits] + [F.min(f"_a_{f}").alias(f"{f}_least") for f in limits] + [F.max(f"_z_{f}").alias(f"{f}_greatest") for f in limits]
+    whole = hours.groupBy(*by, day).agg(
+        F.count(stamp).alias("hours"), F.min(stamp).alias("first"), F.max(stamp).alias("last"), F.min(F.pmod(second, F.lit(3600))).alias("_p"), F.max(F.pmod(second, F.lit(3600))).alias("_q"),
+        F.count_if(F.col("_cells") != cells).alias("_grid"), F.sum("_masks").alias("_masks"), F.sum("_revision").alias("_revision"), F.sum("_refused").alias("_refused"), *total,
+    )
+    even = (F.unix_timestamp("last") - F.unix_timestamp("first") == 23 * 3600) & (F.col("_p") == F.col("_q"))
+    found = [F.when(F.col("_grid") > 0, "grid"), F.when(F.col("hours") != 24, "hours").when(~even, "spacing"), F.when(F.col("_revision") > 0, "revision"), F.when(F.col("_refused") > 0, "reconciliation")]
+    found += [F.when(F.col(f"{f}_finite") == 0, f"{f}_empty").when((F.col(f"{f}_least") < lo) | (F.col(f"{f}_greatest") > hi), f"{f}_range") for f, (lo, hi) in limits.items()]
+    found.append(F.when(F.col("_masks") > 0, "masks"))
+    out = whole.withColumn("issues", F.array_compact(F.array(*found))).withColumn("accepted", F.size("issues") == 0)
+    return out.drop("_grid", "_masks", "_revision", "_refused", "_p", "_q")
+
+
+def validation_gate(reports: DataFrame, by: list[str], issues: str) -> tuple[DataFrame, DataFrame]:
+    """Reports (an array of issues each) as one gate per key, and how many reports of a key name each issue."""
+    clean = F.coalesce(F.size(issues) == 0, F.lit(False))
+    gate = reports.groupBy(*by).agg(F.count("*").alias("reports"), F.count_if(clean).alias("accepted_reports"), F.bool_and(clean).alias("gate"))
+    reasons = reports.select(*by, F.explode(issues).alias("issue")).groupBy(*by, "issue").agg(F.count("*").alias("reports"))
+    return gate, reasons
+
+
+def production_inventory(files: DataFrame, by: list[str], period: str, size: str, partial: str, start: Column | None = None, end: Column | None = None, monthly: bool = False, shown: int = 20) -> DataFrame:
+    """What a stream's files (by, period, size, partial) cover per key, between start and end (else its first and last period).
+
+    ``period`` is a date, for monthly files any of the month. Partial files are counted, nothing else; so are files without period. ``missing`` counts absent periods,
+    ``missing_shown`` gives the first ``shown``, ``missing_truncated`` whether that is not all; ``duplicates`` counts periods with several files; ``segments`` counts runs of periods.
+    """
+    step = "1 MONTH" if monthly else "1 DAY"
+    floor = lambda c: F.trunc(c, "month") if monthly else F.to_date(c)
+    p = floor(F.col(period))
+    left_out = F.lit(False)
+    if start is not None:
+        left_out = left_out | (p < floor(start))
+    if end is not None:
+        left_out = left_out | (p > floor(end))
+    whole = F.coalesce(~F.col(partial), F.lit(True)) & p.isNotNull() & ~F.coalesce(left_out, F.lit(False))
+    marked = files.withColumn("_p", F.when(whole, p))
+    partials = marked.groupBy(*by).agg(F.count_if(F.coalesce(F.col(partial), F.lit(False))).alias("partial_files"), F.count_if(F.col(period).isNull()).alias("undated_files"))
+    periods = marked.where("_p is not null").groupBy(*by, "_p").agg(F.count("*").alias("_files"), F.sum(size).alias("_bytes"))
+    before = F.lag("_p").over(Window.partitionBy(*by).orderBy("_p"))
+    next_one = F.add_months(before, 1) if monthly else F.date_add(before, 1)
+    runs = periods.withColumn("_new", F.coalesce(next_one != F.col("_p"), F.lit(True)))
+    seen = runs.groupBy(*by).agg(F.min("_p").alias("first"), F.max("_p").alias("last"), F.count("*").alias("unique"), F.sum("_files").alias("files"), F.count_if(F.col("_files") > 1).alias("duplicates"), F.sum("_bytes").alias("bytes"), F.count_if("_new").alias("segments"))
+    bounds = partials.join(seen, by, "left").withColumns({"_from": floor(start) if start is not None else F.col("first"), "_to": floor(end) if end is not None else F.col("last")})
+    spine = bounds.where("_from <= _to").select(*by, F.explode(F.sequence(F.col("_from"), F.greatest("_from", "_to"), F.expr(f"INTERVAL {step}"))).alias("_p"))
+    lacking = spine.join(periods.select(*by, "_p"), [*by, "_p"], "left_anti").withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy("_p")))
+    gaps = lacking.groupBy(*by).agg(F.count("*").alias("missing"), F.array_sort(F.collect_list(F.when(F.col("_k") <= shown, F.col("_p")))).alias("missing_shown"))
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("unique", "files", "duplicates", "bytes", "segments", "missing")}
+    out = bounds.join(gaps, by, "left").withColumns(zero | {"missing_shown": F.coalesce("missing_shown", F.array().cast("array<date>"))})
+    return out.withColumn("missing_truncated", F.col("missing") > shown).drop("_from", "_to")

@@ -9,21 +9,27 @@ from . import composite
 
 
 def continuous_metrics(df: DataFrame, reference: str, candidate: str, by: list[str] = (), weight: str | None = None) -> DataFrame:
-    """Count, bias, mean absolute and root mean square error, and correlation (null at zero variance)."""
+    """Count, bias, mean absolute and root mean square error, and correlation (null at zero variance).
+
+    Moments are centred, so large values or tiny spreads lose no digits; weighted ones are summed about the group's means, in a second pass.
+    """
     w = F.col(weight) if weight else F.lit(1.0)
     ok = df.where(F.col(reference).isNotNull() & F.col(candidate).isNotNull() & (w > 0))
     r, c = F.col(reference), F.col(candidate)
-    total = F.sum(w)
-    s = {k: F.sum(w * v) for k, v in {"r": r, "c": c, "rr": r * r, "cc": c * c, "rc": r * c}.items()}
-    d = c - r
-    out = ok.groupBy(*by).agg(
+    d, total = c - r, F.sum(w)
+    if weight:
+        means = ok.groupBy(*by).agg(F.try_divide(F.sum(w * r), total).alias("_mr"), F.try_divide(F.sum(w * c), total).alias("_mc"))
+        ok = ok.join(means, list(by)) if by else ok.crossJoin(F.broadcast(means))  # one row
+        x, y = r - F.col("_mr"), c - F.col("_mc")
+        deviation = lambda v: F.sqrt(F.try_divide(F.sum(w * v * v), total))
+        spread = lambda v, mean: F.when(deviation(v) > 1e-13 * F.max(F.abs(mean)), deviation(v))  # noqa: E731  # less is the mean's own rounding
+        corr = F.try_divide(F.try_divide(F.sum(w * x * y), total), spread(x, F.col("_mr")) * spread(y, F.col("_mc")))
+    else:
+        corr = F.try_divide(F.covar_pop(r, c), F.stddev_pop(r) * F.stddev_pop(c))
+    return ok.groupBy(*by).agg(
         F.count("*").alias("count"), F.try_divide(F.sum(w * d), total).alias("bias"), F.try_divide(F.sum(w * F.abs(d)), total).alias("mae"),
-        F.sqrt(F.try_divide(F.sum(w * d * d), total)).alias("rmse"), total.alias("_w"), *[v.alias(f"_{k}") for k, v in s.items()],
+        F.sqrt(F.try_divide(F.sum(w * d * d), total)).alias("rmse"), corr.alias("correlation"),
     )
-    var = lambda k: F.col("_w") * F.col(f"_{k}{k}") - F.col(f"_{k}") * F.col(f"_{k}")
-    cov = F.col("_w") * F.col("_rc") - F.col("_r") * F.col("_c")
-    corr = F.when((var("r") > 1e-9) & (var("c") > 1e-9), cov / F.sqrt(var("r") * var("c")))
-    return out.select(*by, "count", "bias", "mae", "rmse", corr.alias("correlation"))
 
 
 def categorical_metrics(df: DataFrame, reference: Column, candidate: Column, by: list[str] = ()) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -52,3 +52,86 @@ def acquisition_tasks(series: DataFrame, station: str, start: str, stop: str) ->
     years = series.where(first <= last).withColumn("_year", F.explode(F.sequence(F.year(first), F.year(last))))
     split = years.select(station, F.greatest(first, F.make_date("_year", F.lit(1), F.lit(1))).alias("first_day"), F.least(last, F.make_date("_year", F.lit(12), F.lit(31))).alias("last_day"))
     return split.withColumn("request", F.sha2(F.concat_ws("|", F.col(station).cast("string"), F.col("first_day").cast("string"), F.col("last_day").cast("string")), 256))
+
+
+def period_report(records: DataFrame, by: list[str], period: str, value: str, flag: str, first: Column, last: Column, step: str) -> DataFrame:
+    """``series_summary`` with the periods of a calendar from first to last (dates; columns of ``by`` or literals), ``step`` apart, that a series lacks.
+
+    ``period`` is a date, the first day of its period. ``absent`` counts the lacking ones, ``absent_first`` and ``absent_last`` bound them;
+    ``absent_periods`` gives them all, a row each. ``latest_numeric`` is the last period with a value.
+    """
+    summary = series_summary(records, by, period, value, flag)
+    latest = records.groupBy(*by).agg(F.max(F.when(F.col(value).isNotNull(), F.col(period))).alias("latest_numeric"))
+    lacking = absent_periods(records, by, period, first, last, step).groupBy(*by).agg(F.count("*").alias("absent"), F.min(period).alias("absent_first"), F.max(period).alias("absent_last"))
+    return summary.join(latest, by).join(lacking, by, "left").withColumn("absent", F.coalesce("absent", F.lit(0)))
+
+
+def absent_periods(records: DataFrame, by: list[str], period: str, first: Column, last: Column, step: str) -> DataFrame:
+    """Periods from first to last without any record, a row per key and period; a key whose first is after its last has none."""
+    keys = records.select(*by).distinct().where(first <= last)
+    spine = keys.select(*by, F.explode(F.sequence(first, F.greatest(first, last), F.expr(f"INTERVAL {step}"))).alias(period))
+    return spine.join(records.select(*by, period).distinct(), [*by, period], "left_anti")
+
+
+def padded_span(days: DataFrame, by: list[str], day: str, first: Column, last: Column) -> DataFrame:
+    """Valid days of a stated period, its length, completeness, and the longest gap, the ends of the period included.
+
+    ``first`` and ``last`` are dates over the columns ``by``. Keys without a day inside are not in the result; see ``discharge_report``.
+    """
+    d = days.select(*by, day).where(F.col(day).between(first, last)).distinct()
+    before = F.coalesce(F.lag(day).over(Window.partitionBy(*by).orderBy(day)), F.date_sub(first, 1))
+    each = d.withColumns({"_gap": F.datediff(F.col(day), before) - 1, "_first": first, "_last": last})
+    out = each.groupBy(*by).agg(F.count("*").alias("valid_days"), F.max("_gap").alias("_inner"), F.max(day).alias("_z"), F.first("_first").alias("_first"), F.first("_last").alias("_last"))
+    expected = F.datediff("_last", "_first") + 1
+    return out.select(*by, expected.alias("expected_days"), "valid_days", (F.col("valid_days") / expected).alias("completeness"), F.greatest("_inner", F.datediff("_last", "_z")).alias("longest_gap"))
+
+
+def discharge_days(records: DataFrame, series: DataFrame) -> DataFrame:
+    """Days of each station: whether its values conflict, whether it is valid, approved, estimated.
+
+    ``records``: station, series, day, discharge, approval, qualifier. ``series``: station, series, primary. Only primary series count where a station
+    has one, else all of its known ones (``policy``). A day whose numbers differ is in conflict and neither valid nor approved nor estimated.
+    """
+    policy = series.groupBy("station").agg(F.bool_or(F.coalesce(F.col("primary"), F.lit(False))).alias("_any"))
+    known = series.groupBy("station", "series").agg(F.bool_or(F.coalesce(F.col("primary"), F.lit(False))).alias("_primary")).join(policy, "station")
+    used = known.where("_primary or not _any").select("station", "series", F.when(F.col("_any"), "primary_only").otherwise("nonprimary_no_primary_metadata").alias("policy"))
+    number = F.col("discharge").isNotNull()
+    estimated = F.upper("qualifier").contains("ESTIM") | (F.lower("qualifier") == "e")
+    days = records.join(used, ["station", "series"]).groupBy("station", "policy", "day").agg(
+        F.min("discharge").alias("_a"), F.max("discharge").alias("_z"), F.bool_or(number & F.coalesce(F.col("approval") == "Approved", F.lit(False))).alias("approved"), F.bool_or(number & F.coalesce(estimated, F.lit(False))).alias("estimated"),
+    )
+    conflict = F.coalesce(F.col("_a") != F.col("_z"), F.lit(False))
+    valid = F.col("_a").isNotNull() & ~conflict
+    return days.select("station", "policy", "day", conflict.alias("conflict"), valid.alias("valid"), (valid & F.col("approved")).alias("approved"), (valid & F.col("estimated")).alias("estimated"))
+
+
+def discharge_report(records: DataFrame, series: DataFrame, start: Column, stop: Column, full: float = 0.9) -> DataFrame:
+    """A row per station of ``series`` with what its discharge covers; inputs as of ``discharge_days``, start and stop are dates.
+
+    Observed figures are of the span from the first valid day to the last and null without one; ``requested_*`` are of start to stop, where a station
+    without valid days has a completeness of 0 and a gap of the whole period. ``full_years`` counts calendar years wholly inside the
+    observed span with at least the share ``full`` of their days.
+    """
+    key = ["station"]
+    days = discharge_days(records, series)
+    valid = days.where("valid")
+    counts = days.groupBy("station").agg(F.count_if("conflict").alias("conflicts"), F.count_if("approved").alias("approved_days"), F.count_if("estimated").alias("estimated_days"), F.min(F.when(F.col("valid"), F.col("day"))).alias("first_day"), F.max(F.when(F.col("valid"), F.col("day"))).alias("last_day"))
+    rows = records.groupBy("station").agg(F.count("*").alias("rows"), F.countDistinct("series").alias("series_returned"), F.count_if(F.col("discharge") < 0).alias("negative_rows"))
+    policy = series.groupBy("station").agg(F.when(F.bool_or(F.coalesce(F.col("primary"), F.lit(False))), "primary_only").otherwise("nonprimary_no_primary_metadata").alias("policy"))
+    named = lambda df, name: df.select("station", *(F.col(c).alias(f"{name}_{c}") for c in ("expected_days", "valid_days", "completeness", "longest_gap")))
+    observed = span_metrics(valid, key, "day").select("station", "expected_days", "valid_days", "completeness", "longest_gap")
+    asked = padded_span(valid, key, "day", start, stop)
+    annual = annual_completeness(valid, key, "day").withColumn("_length", F.datediff(F.make_date("year", F.lit(12), F.lit(31)), F.make_date("year", F.lit(1), F.lit(1))) + 1)
+    years = annual.groupBy("station").agg(F.count("*").alias("years_with_data"), F.count_if((F.col("expected_days") == F.col("_length")) & (F.col("completeness") >= full)).alias("full_years"))
+    out = policy
+    for part in (rows, counts, named(observed, "observed"), named(asked, "requested"), years):
+        out = out.join(part, "station", "left")
+    length = F.datediff(stop, start) + 1
+    none = {c: F.coalesce(c, F.lit(0)) for c in ("rows", "series_returned", "negative_rows", "conflicts", "approved_days", "estimated_days", "requested_valid_days", "years_with_data", "full_years")}
+    return out.withColumns(none | {"requested_expected_days": length, "requested_completeness": F.coalesce("requested_completeness", F.lit(0.0)), "requested_longest_gap": F.coalesce("requested_longest_gap", length)})
+
+
+def histogram(records: DataFrame, by: list[str], *columns: str) -> DataFrame:
+    """Rows per key, column and its value (as text, null for none): counts of qualifiers, statuses, sources."""
+    long = records.select(*by, F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns))).alias("_c")).select(*by, "_c.*")
+    return long.groupBy(*by, "column", "value").agg(F.count("*").alias("rows"))

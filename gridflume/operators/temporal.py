@@ -96,9 +96,61 @@ def segments(days: DataFrame, keys: list[str], day: str) -> DataFrame:
 
 
 def signature(df: DataFrame, keys: list[str], parts: list[str]) -> DataFrame:
-    """SHA-256 per key over the sorted rows of ``parts``."""
-    row = F.concat_ws("|", *[F.col(p).cast("string") for p in parts])
-    return df.groupBy(*keys).agg(F.sha2(F.concat_ws(";", F.array_sort(F.collect_list(row))), 256).alias("signature"))
+    """Digest per key over the rows of ``parts``, whatever their order: their number and the sums of four 32-bit parts of each row's SHA-256.
+
+    Sums are added up in parts, so no key's rows meet in one task. A null part is told apart from an empty one. It finds changes; it is no proof against rows made to deceive.
+    """
+    row = F.sha2(F.to_json(F.struct(*[F.col(p).cast("string").alias(f"c{k}") for k, p in enumerate(parts)])), 256)
+    words = [F.sum(F.conv(F.substring(row, 1 + 8 * k, 8), 16, 10).cast("decimal(20,0)")) for k in range(4)]
+    return df.groupBy(*keys).agg(F.concat_ws(".", F.count("*").cast("string"), *(w.cast("string") for w in words)).alias("signature"))
+
+
+def record_stack(records: DataFrame, by: list[str], day: str, stamp: str, place: str, static: list[str] = (), replace: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Records of several inputs as one stack per key and day, and what forbids it.
+
+    ``records``: by (one of them names a cell or reach), day (of the stack), stamp, ``place`` (the input's number). With ``replace`` the last input of an hour takes its place with all its rows, else
+    an hour of two inputs is a fault. The second frame has a row per day: hours, complete (24), ``faults``: ``repeated``, ``outside`` (a stamp of another day or not a whole hour), ``gap``, ``static``
+    (a field of ``static`` differs between records of one key). Hours are found from distinct stamps, so no day's rows meet in one task.
+    """
+    given = records.select(day, stamp, place).distinct()
+    last = given.groupBy(day, stamp).agg(F.max(place).alias("_place"), F.count("*").alias("_inputs"))
+    stack = records
+    if replace:
+        taken = last.select(F.col(day).alias("_day"), F.col(stamp).alias("_stamp"), "_place")
+        stack = records.join(taken, F.col(day).eqNullSafe(F.col("_day")) & F.col(stamp).eqNullSafe(F.col("_stamp")) & F.col(place).eqNullSafe(F.col("_place")), "left_semi")
+    t = F.col(stamp)
+    whole = F.coalesce((F.to_date(t) == F.col(day)) & (F.date_trunc("hour", t) == t), F.lit(False))
+    second = F.unix_timestamp(t)
+    hours = last.groupBy(day).agg(
+        F.count("*").alias("hours"), F.count_if(F.col("_inputs") > 1).alias("_repeated"), F.count_if(~whole).alias("_outside"), ((F.max(second) - F.min(second)) / 3600 + 1).alias("_span")
+    )
+    if static:
+        said = F.struct(*static)
+        moved = stack.groupBy(*by, day).agg(F.min(said).alias("_a"), F.max(said).alias("_z")).groupBy(day).agg(F.count_if(~F.col("_a").eqNullSafe(F.col("_z"))).alias("_moved"))
+        hours = hours.join(moved, day, "left")
+    else:
+        hours = hours.withColumn("_moved", F.lit(0))
+    faults = F.array_compact(F.array(
+        F.when((F.col("_repeated") > 0) & F.lit(not replace), "repeated"), F.when(F.col("_outside") > 0, "outside"), F.when(~F.coalesce(F.col("_span") == F.col("hours"), F.lit(False)), "gap"), F.when(F.col("_moved") > 0, "static")
+    ))
+    return stack, hours.select(day, "hours", ((F.col("hours") == 24) & (F.size(faults) == 0)).alias("complete"), faults.alias("faults"))
+
+
+def sequence_faults(records: DataFrame, by: list[str], stamp: str, value: str, first: Column, last: Column) -> DataFrame:
+    """Per group how far its hours are from exactly those after ``first`` until ``last`` (over the columns ``by``), and whether they are.
+
+    A record is a cell at a stamp. ``missing`` and ``unexpected`` count hours, ``empty`` hours without any finite value, ``not_finite`` values that are NaN or infinite (nulls are allowed,
+    as a mask). Groups come from the records; one without is not in the result.
+    """
+    v = F.col(value).cast("double")
+    bad = F.isnan(v) | (F.abs(v) == float("inf"))
+    hours = records.groupBy(*by, stamp).agg(F.count(F.when(~bad, v)).alias("_n"), F.count_if(bad).alias("_bad"))
+    due = hours.select(*by).distinct().where(first < last).select(*by, F.explode(F.sequence(first + F.expr("INTERVAL 1 HOUR"), F.greatest(first + F.expr("INTERVAL 1 HOUR"), last), F.expr("INTERVAL 1 HOUR"))).alias(stamp)).withColumn("_due", F.lit(True))
+    both = hours.withColumn("_there", F.lit(True)).join(due, [*by, stamp], "full_outer")
+    out = both.groupBy(*by).agg(
+        F.count_if("_there").alias("hours"), F.count_if(F.col("_there").isNull()).alias("missing"), F.count_if(F.col("_due").isNull()).alias("unexpected"), F.count_if(F.col("_n") == 0).alias("empty"), F.coalesce(F.sum("_bad"), F.lit(0)).alias("not_finite")
+    )
+    return out.withColumn("accepted", (F.col("missing") == 0) & (F.col("unexpected") == 0) & (F.col("empty") == 0) & (F.col("not_finite") == 0))
 
 
 def latest_cycle(asked: DataFrame, available: DataFrame, hour: str, cycle: str, since: str, every: int = 6, longest: int = 12) -> DataFrame:

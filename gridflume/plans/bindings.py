@@ -83,3 +83,7 @@ def reaches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REACHES = "SELECT c_custkey AS link, c_custkey // 2 AS to_link, c_mktsegment AS kind, c_nationkey AS domain FROM customer"
+
+
+#: ``temporal.signature`` over a column ``h`` of rows' SHA-256.
+DIGEST = "count(*) || '.' || " + " || '.' || ".join(f"sum(('0x' || substr(h, {1 + 8 * k}, 8))::BIGINT)::HUGEINT" for k in range(4))

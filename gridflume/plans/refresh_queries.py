@@ -108,9 +108,9 @@ def _(spark, sf_dir):
     return b.table(spark, sf_dir, "documents").groupBy(c("lang").alias("product")).agg(F.max("doc_id").alias("latest"), F.count("*").alias("files"))
 
 
-@register("snk02_publish_if_changed", """WITH a AS (SELECT CAST(o_orderdate AS DATE) AS day, sha256(string_agg(o_orderkey || '|' || o_orderstatus, ';' ORDER BY o_orderkey || '|' || o_orderstatus)) AS h FROM orders GROUP BY 1),
-z AS (SELECT CAST(o_orderdate AS DATE) AS day, sha256(string_agg(o_orderkey || '|' || s, ';' ORDER BY o_orderkey || '|' || s)) AS h FROM (SELECT *, CASE WHEN o_orderkey % 97 = 0 THEN 'X' ELSE o_orderstatus END AS s FROM orders) GROUP BY 1)
-SELECT z.day::VARCHAR AS day, z.h AS signature FROM z JOIN a USING (day) WHERE a.h <> z.h""")
+@register("snk02_publish_if_changed", f"""WITH v AS (SELECT *, CASE WHEN o_orderkey % 97 = 0 THEN 'X' ELSE o_orderstatus END AS s FROM orders), r AS (SELECT CAST(o_orderdate AS DATE) AS day, o_orderkey AS k, unnest([o_orderstatus, s]) AS s, unnest([0, 1]) AS side FROM v),
+h AS (SELECT day, side, sha256('{{"c0":"' || k || '","c1":"' || s || '"}}') AS h FROM r), g AS (SELECT day, side, {b.DIGEST} AS signature FROM h GROUP BY ALL)
+SELECT z.day::VARCHAR AS day, z.signature FROM g z JOIN g a ON z.day = a.day AND z.side = 1 AND a.side = 0 WHERE a.signature <> z.signature""")
 def _(spark, sf_dir):
     o = b.table(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
     new = o.withColumn("o_orderstatus", F.when(c("o_orderkey") % 97 == 0, "X").otherwise(c("o_orderstatus")))

@@ -34,7 +34,7 @@ def oracle_sql() -> dict[str, str]:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from . import bundle_queries, catalogue_queries, gap_queries, grid_queries, month_queries, normalize_queries, publication_queries, reconcile_queries, refresh_queries, repair_queries, release_queries, selection_queries, stream_queries, temporal_queries  # noqa: F401
+    from . import bundle_queries, catalogue_queries, gap_queries, grid_queries, month_queries, normalize_queries, publication_queries, reconcile_queries, record_queries, refresh_queries, repair_queries, release_queries, selection_queries, stream_queries, temporal_queries  # noqa: F401
 
 
 load()

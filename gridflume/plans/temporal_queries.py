@@ -59,7 +59,8 @@ def _(spark, sf_dir):
     return temporal.missing_stamps(h, s, ["product", "hour_end"]).select("product", b.seconds("hour_end").alias("missing_hour"))
 
 
-@register("tmp06_summary_signature", """SELECT l_suppkey AS station, sha256(string_agg(l_orderkey || '|' || l_linenumber, ';' ORDER BY l_orderkey || '|' || l_linenumber COLLATE "C")) AS signature FROM lineitem GROUP BY 1""".replace(' COLLATE "C"', ""))
+@register("tmp06_summary_signature", f"""WITH h AS (SELECT l_suppkey AS station, sha256('{{"c0":"' || l_orderkey || '","c1":"' || l_linenumber || '"}}') AS h FROM lineitem)
+SELECT station, {b.DIGEST} AS signature FROM h GROUP BY 1""")
 def _(spark, sf_dir):
     return temporal.signature(b.table(spark, sf_dir, "lineitem"), ["l_suppkey"], ["l_orderkey", "l_linenumber"]).withColumnRenamed("l_suppkey", "station")
 

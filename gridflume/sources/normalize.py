@@ -81,6 +81,96 @@ def snow(rows: DataFrame, tasks: DataFrame) -> DataFrame:
     return found.select(*keys, "stamp_utc", "r.*", F.coalesce("fault", F.when(~F.col("r").eqNullSafe(F.col("_last")), "conflict")).alias("fault"))
 
 
+# Sensor, duration, units and SI factor of the natural-flow products, their marks of a missing value, and cubic metres in a cubic foot.
+FLOWS = {"daily": (8, "D", "CFS", 0.028316846592, "m3 s-1"), "monthly": (65, "M", "AF", 1233.48183754752, "m3")}
+ABSENT_MARKS = ("", "M", "---", "NAN", "NULL")
+CUBIC_FOOT = 0.028316846592
+# Qualifiers that withdraw a daily discharge.
+WITHDRAWN = ("INVALID", "MISSING", "REJECTED")
+
+
+def _finite(text: Column) -> Column:
+    """The finite number that a text reads, else null; a type suffix as in ``1d`` is no number."""
+    number = F.when(~text.rlike(r"[dDfF]\s*$"), text.try_cast("double"))
+    return F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+
+
+def natural_flow(rows: DataFrame, tasks: DataFrame) -> DataFrame:
+    """Natural-flow records of the requests they answer: a row per series and stamp, in UTC and SI units.
+
+    ``rows``: station_id, sensor_number, duration_code, units, date, obs_date, value, data_flag (as given). ``tasks``: station_id,
+    resolution (a key of FLOWS), request_start, request_end; repeated ones count once. ``value_status``: ``missing`` (null or a
+    mark), ``missing_sentinel_-9999``, ``nonnumeric``, ``negative``, ``numeric``. ``fault``: ``identity`` (no such request, or other
+    units), ``outside`` (of the request, or no date), ``conflict`` (records of one stamp differ; the least is shown, equal ones are one).
+    Rows without station are ``identity``; empty input gives no rows.
+    """
+    keys = ["station_id", "sensor_number", "duration_code"]
+    form = F.lit("yyyy-MM-dd HH:mm")
+    product = F.array(*(F.struct(F.lit(r).alias("resolution"), F.lit(s).alias("sensor_number"), F.lit(d).alias("duration_code"), F.lit(u).alias("_units"), F.lit(f).alias("_factor"), F.lit(si).alias("units_si")) for r, (s, d, u, f, si) in FLOWS.items()))
+    asked = tasks.select("station_id", F.explode(F.filter(product, lambda p: p["resolution"] == F.col("resolution"))).alias("_p"), "request_start", "request_end").select("station_id", "_p.*", "request_start", "request_end").distinct()
+    held = rows.join(asked, keys, "left").withColumn("_t", F.try_to_timestamp("date", form))
+    day = F.to_date("_t")
+    fault = F.when(F.col("_units").isNull() | ~F.col("units").eqNullSafe(F.col("_units")), "identity").when(~F.coalesce(day.between(F.col("request_start"), F.col("request_end")), F.lit(False)), "outside")
+    raw, number = F.col("value"), _finite(F.col("value"))
+    value = F.when(number != ABSENT, number)
+    status = F.when(F.coalesce(F.upper(F.trim(raw)).isin(*ABSENT_MARKS), F.lit(True)), "missing").when(number.isNull(), "nonnumeric").when(number == ABSENT, "missing_sentinel_-9999").when(number < 0, "negative").otherwise("numeric")
+    utc = lambda t: t + F.expr(PACIFIC)
+    record = F.struct(
+        utc(F.try_to_timestamp("obs_date", form)).alias("observed_utc"), raw.alias("raw_value"), value.alias("value"), (value * F.col("_factor")).alias("value_si"), F.col("units_si").alias("units_si"),
+        F.col("data_flag").alias("data_flag"), status.alias("value_status"), F.date_format("_t", "yyyy-MM-dd").alias("_day"),
+    )
+    found = held.withColumn("fault", fault).groupBy(*keys, "resolution", utc(F.col("_t")).alias("stamp_utc"), "fault").agg(F.min(record).alias("r"), F.max(record).alias("_last"))
+    label = F.when(F.col("duration_code") == "M", F.substring("r._day", 1, 7)).otherwise(F.col("r._day"))
+    return found.select(*keys, "resolution", "stamp_utc", "r.*", label.alias("period_label"), F.coalesce("fault", F.when(~F.col("r").eqNullSafe(F.col("_last")), "conflict")).alias("fault")).drop("_day")
+
+
+#: What is read of a page of daily values; values and qualifiers stay text, as both come as text, number or list.
+PAGE = """type string, numberReturned long, features array<struct<id: string, properties: struct<monitoring_location_id: string, time_series_id: string,
+parameter_code: string, statistic_id: string, time: string, value: string, unit_of_measure: string, approval_status: string, qualifier: string, last_modified: string>>>"""
+
+
+def paged_features(pages: DataFrame, page: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Features of pages of JSON, one row each, and the faults that forbid their use.
+
+    Faults (page, id, fault): ``invalid`` (no collection of features), ``count`` (of another number than the page says), ``missing_id``,
+    and ``repeated_id`` (within a page or over several; page is null). Without faults every feature came once.
+    """
+    read = pages.select(F.col(page).alias("page"), F.from_json(text, PAGE).alias("_j"))
+    n = F.size("_j.features")
+    invalid = ~F.coalesce(F.col("_j.type") == "FeatureCollection", F.lit(False)) | F.col("_j.features").isNull()
+    of_page = read.select("page", F.lit(None).cast("string").alias("id"), F.when(invalid, "invalid").when(F.coalesce(F.col("_j.numberReturned"), n) != n, "count").alias("fault")).where("fault is not null")
+    features = read.select("page", F.explode("_j.features").alias("_f")).select("page", "_f.id", "_f.properties.*")
+    nameless = F.coalesce(F.col("id") == "", F.lit(True))
+    unnamed = features.where(nameless).select("page", "id", F.lit("missing_id").alias("fault"))
+    page_type = features.schema["page"].dataType
+    repeated = features.where(~nameless).groupBy("id").count().where("count > 1").select(F.lit(None).cast(page_type).alias("page"), "id", F.lit("repeated_id").alias("fault"))
+    return features, of_page.unionByName(unnamed).unionByName(repeated)
+
+
+def daily_discharge(features: DataFrame, series: DataFrame, start: Column, stop: Column) -> DataFrame:
+    """Daily discharge as asked: a row per series and day, in cubic feet and metres a second. The day is a label, not an instant.
+
+    ``features`` as of ``paged_features``, ``series``: monitoring_location_id, time_series_id. ``value_status``: ``missing_or_nonnumeric``,
+    ``explicit_invalid_qualifier``, ``numeric_negative``, ``numeric``. ``fault``: ``identity`` (unknown series, or another parameter, statistic or
+    unit), ``outside`` (of start to stop, or no date), ``repeated`` (several rows of a series and day; the least is shown). ``rows`` counts them.
+    """
+    keys = ["monitoring_location_id", "time_series_id"]
+    known = series.select(*keys).distinct().withColumn("_known", F.lit(True))
+    # Codes of discharge and of the daily mean, and its unit.
+    asked = F.col("parameter_code").eqNullSafe(F.lit("00060")) & F.col("statistic_id").eqNullSafe(F.lit("00003")) & F.col("unit_of_measure").eqNullSafe(F.lit("ft^3/s"))
+    day = F.try_to_timestamp("time", F.lit("yyyy-MM-dd")).cast("date")
+    fault = F.when(F.col("_known").isNull() | ~asked, "identity").when(~F.coalesce(day.between(start, stop), F.lit(False)), "outside")
+    flags = F.coalesce(F.from_json("qualifier", "array<string>"), F.array("qualifier"))
+    withdrawn = F.exists(flags, lambda f: F.coalesce(F.upper(f).isin(*WITHDRAWN), F.lit(False)))
+    number = _finite(F.col("value"))
+    status = F.when(number.isNull(), "missing_or_nonnumeric").when(withdrawn, "explicit_invalid_qualifier").when(number < 0, "numeric_negative").otherwise("numeric")
+    cfs = F.when(~withdrawn, number)
+    record = F.struct(F.col("id").alias("observation_id"), F.col("value").alias("raw_value"), cfs.alias("discharge_cfs"), (cfs * CUBIC_FOOT).alias("discharge_m3_s"), "approval_status", "qualifier", "last_modified", status.alias("value_status"))
+    judged = features.join(known, keys, "left").withColumn("fault", fault)
+    found = judged.groupBy(*keys, day.alias("day"), "fault").agg(F.min(record).alias("r"), F.count("*").alias("rows"))
+    return found.select(*keys, "day", "r.*", "rows", F.coalesce("fault", F.when(F.col("rows") > 1, "repeated")).alias("fault"))
+
+
 def flow_series(stations: DataFrame, products: list[tuple[str, int, str, str]], optional: list[tuple[str, str]] = ()) -> DataFrame:
     """Per station and product (resolution, sensor, duration, units) the one sensor that gives it and when that starts.
 
