@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import fill
+from . import evaluate, fill
 
 # Fixed value: radius of the sphere in km.
 RADIUS = 6371.0
@@ -80,7 +80,9 @@ def overlap_diagnostics(pairs: DataFrame, by: list[str], fields: list[str]) -> D
     """Per group and variable of paired hours (``<f>`` and ``<f>_reference``): pairs asked for and found, bias, RMSE and the 95th percentile of the absolute difference."""
     each = F.array(*(F.struct(F.lit(f).alias("variable"), (F.col(f) - F.col(f"{f}_reference")).alias("d")) for f in fields))
     d = pairs.select(*by, F.explode(each).alias("e")).select(*by, "e.variable", F.when(~F.isnan("e.d") & (F.abs("e.d") < float("inf")), F.col("e.d")).alias("d"))
-    return d.groupBy(*by, "variable").agg(F.count("*").alias("requested"), F.count("d").alias("paired"), F.avg("d").alias("bias"), F.sqrt(F.avg(F.col("d") * F.col("d"))).alias("rmse"), F.percentile(F.abs("d"), F.lit(0.95)).alias("p95"))
+    found = d.groupBy(*by, "variable").agg(F.count("*").alias("requested"), F.count("d").alias("paired"), F.avg("d").alias("bias"), F.sqrt(F.avg(F.col("d") * F.col("d"))).alias("rmse"))
+    high = evaluate.quantiles(d.withColumn("d", F.abs("d")), [*by, "variable"], "d", {"p95": 0.95})
+    return evaluate.same_keys(found, high, [*by, "variable"], "left")
 
 
 def raster_sample(targets: DataFrame, raster: DataFrame, west: float, north: float, width: float, height: float, rows: int, columns: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import composite
@@ -32,6 +32,40 @@ def continuous_metrics(df: DataFrame, reference: str, candidate: str, by: list[s
     )
 
 
+def same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Rows of equal keys, null keys alike; with no keys ``right`` is one row, which meets every row of ``left``."""
+    if not keys:
+        return left.crossJoin(F.broadcast(right))  # one row
+    side = right.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    on = [left[k].eqNullSafe(side[f"_k_{k}"]) for k in keys]
+    return left.join(side, on, how).drop(*(f"_k_{k}" for k in keys))
+
+
+def quantiles(df: DataFrame, by: list[str], value: str, marks: dict[str, float], accuracy: int = 10_000) -> DataFrame:
+    """Exact quantiles (linear between ranks) per group, a column per mark; null and NaN values are left out, and groups without any other.
+
+    A sketch bounds each quantile; values below its bounds are only counted, equal ones inside are counted together, so a group comes to about 8/``accuracy`` of its distinct
+    values (all of a group with fewer values than ``accuracy``).
+    """
+    v = F.col(value).cast("double")
+    ok = df.where(v.isNotNull() & ~F.isnan(v)).select(*by, v.alias("_v"))
+    edges = [max(0.0, min(1.0, q + s * 4 / accuracy)) for q in marks.values() for s in (-1, 1)]
+    bounds = ok.groupBy(*by).agg(F.count("*").alias("_n"), F.percentile_approx("_v", edges, accuracy).alias("_b"))
+    small = F.col("_n") < accuracy
+    each = F.array(*(
+        F.struct(F.lit(name).alias("mark"), F.when(~small, F.col("_b")[2 * k]).alias("low"), F.when(~small, F.col("_b")[2 * k + 1]).alias("high"), (F.lit(q) * (F.col("_n") - 1)).alias("at"))
+        for k, (name, q) in enumerate(marks.items())
+    ))
+    held = same_keys(ok, bounds.select(*by, each.alias("_m")), by).select(*by, "_v", F.explode("_m").alias("_m"))
+    inside = held.where(F.col("_m.high").isNull() | (F.col("_v") <= F.col("_m.high")))
+    counted = inside.groupBy(*by, F.col("_m.mark").alias("_mark"), F.col("_m.at").alias("_at"), F.when(F.col("_m.low").isNull() | (F.col("_v") >= F.col("_m.low")), F.col("_v")).alias("_v")).agg(F.count("*").alias("_c"))
+    upto = F.sum("_c").over(Window.partitionBy(*by, "_mark").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    at = lambda rank: F.min(F.when(F.col("_upto") > rank, F.col("_v")))
+    found = counted.withColumn("_upto", upto).groupBy(*by, "_mark", "_at").agg(at(F.floor("_at")).alias("_a"), at(F.ceil("_at")).alias("_z"))
+    between = F.col("_a") + (F.col("_at") - F.floor("_at")) * (F.col("_z") - F.col("_a"))
+    return found.groupBy(*by).agg(*(F.max(F.when(F.col("_mark") == name, between)).alias(name) for name in marks))
+
+
 def categorical_metrics(df: DataFrame, reference: Column, candidate: Column, by: list[str] = ()) -> DataFrame:
     """Hits, misses, false alarms, and detection, false-alarm and success ratios of two conditions."""
     ok = df.where(reference.isNotNull() & candidate.isNotNull())

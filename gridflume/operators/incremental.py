@@ -39,6 +39,31 @@ def latest_before(asked: DataFrame, states: DataFrame, by: list[str], at: str, s
     return a.union(s).withColumn("latest", F.last("_s", ignorenulls=True).over(w)).where("_ask = 1").select(*by, F.col("_t").alias(at), "latest")
 
 
+def checkpoint_before(asked: DataFrame, checkpoints: DataFrame, by: list[str], end: str, stamp: str, rewind: str, published: str | None = None) -> DataFrame:
+    """For each request the latest checkpoint that is ``rewind`` before its end or earlier and not after what is published, or null.
+
+    ``rewind`` is an interval as ``24 HOURS``. ``published`` is a column of the requests; null there means that nothing is, so no checkpoint will do.
+    """
+    bound = F.col(end) - F.expr(f"INTERVAL {rewind}")
+    if published:
+        bound = F.when(F.col(published).isNotNull(), F.least(bound, F.col(published)))
+    held = asked.withColumn("_bound", bound)
+    found = latest_before(held.where("_bound is not null").select(*by, "_bound").distinct(), checkpoints, by, "_bound", stamp)
+    return held.join(found, [*by, "_bound"], "left").drop("_bound")
+
+
+def expired(entries: DataFrame, by: list[str], stamp: str, now: Column, size: str, most_entries: int, most_bytes: int, most_days: int) -> DataFrame:
+    """Entries to drop so that each key's newest stay within number, bytes and age; ``reason`` names the first limit broken.
+
+    Age goes first, so an old entry takes no other's room. Entries of one stamp count in the order of their sizes; those without stamp are ``age``.
+    """
+    old = ~F.coalesce(F.col(stamp) >= now - F.make_interval(days=F.lit(most_days)), F.lit(False))
+    w = Window.partitionBy(*by, "_old").orderBy(F.desc(stamp), size).rowsBetween(Window.unboundedPreceding, 0)
+    marked = entries.withColumn("_old", old).withColumns({"_n": F.count("*").over(w), "_b": F.sum(size).over(w)})
+    reason = F.when(F.col("_old"), "age").when(F.col("_n") > most_entries, "entries").when(F.col("_b") > most_bytes, "bytes")
+    return marked.withColumn("reason", reason).where("reason is not null").drop("_old", "_n", "_b")
+
+
 def evicted(entries: DataFrame, by: list[str], order: Column, size: str, most_entries: int, most_bytes: int) -> DataFrame:
     """Entries beyond the newest that fit the limits."""
     w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)

@@ -135,3 +135,46 @@ def histogram(records: DataFrame, by: list[str], *columns: str) -> DataFrame:
     """Rows per key, column and its value (as text, null for none): counts of qualifiers, statuses, sources."""
     long = records.select(*by, F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns))).alias("_c")).select(*by, "_c.*")
     return long.groupBy(*by, "column", "value").agg(F.count("*").alias("rows"))
+
+
+def request_windows(series: DataFrame, by: list[str], today: Column, update: bool = False) -> DataFrame:
+    """What to ask a provider for: windows (request_start, request_end) of each series, split at year ends for hourly and event ones, their id, and ``fault``.
+
+    ``series``: by, duration_code, start, advertised_end (null: still open), checked_through (null: never). An update goes back 400 days for daily series and 7 for hourly and event
+    ones, or to the day after the last checked one where that is earlier; monthly series are always asked whole. ``fault`` is ``no_backfill`` for
+    an update of a series never checked. Series that start after their end give no row. Ordered by ``place``: long windows first, then by falling end.
+    """
+    split = F.col("duration_code").isin("H", "E")
+    end = F.least(today, F.col("advertised_end"))
+    begin = F.col("start")
+    fault = F.lit(None).cast("string")
+    if update:
+        back = F.date_sub(today, F.when(F.col("duration_code") == "D", 400).otherwise(7))
+        moved = F.greatest(begin, F.least(back, F.date_add("checked_through", 1)))
+        monthly = F.col("duration_code").eqNullSafe(F.lit("M"))
+        fault = F.when(~monthly & F.col("checked_through").isNull(), "no_backfill")
+        begin = F.when(~monthly & F.col("checked_through").isNotNull(), moved).otherwise(begin)
+    asked = series.withColumns({"_a": begin, "_z": end, "fault": fault}).where("_a <= _z")
+    years = F.when(split, F.sequence(F.year("_a"), F.greatest(F.year("_a"), F.year("_z")))).otherwise(F.array(F.year("_a")))
+    each = asked.withColumn("_y", F.explode(years))
+    first = F.when(F.col("_y") == F.year("_a"), F.col("_a")).otherwise(F.make_date("_y", F.lit(1), F.lit(1)))
+    last = F.when(split, F.least(F.col("_z"), F.make_date("_y", F.lit(12), F.lit(31)))).otherwise(F.col("_z"))
+    windows = each.select(*by, "duration_code", first.alias("request_start"), last.alias("request_end"), "fault")
+    parts = F.to_json(F.struct(*by, "duration_code", "request_start", "request_end"))
+    return windows.withColumn("request_id", F.sha2(parts, 256)).withColumn("place", F.struct(split.alias("late"), (-F.unix_date("request_end")).alias("back"), F.col("request_id").alias("id")))
+
+
+def gauge_crosswalk(mapping: DataFrame, stations: DataFrame, series: DataFrame, domains: DataFrame) -> DataFrame:
+    """Stations with the reach their gauge maps to, how many series they have, the domains that report them, and what is wrong.
+
+    ``mapping``: gauge, feature_id; only gauges of 8 to 15 digits count, as stations ``USGS-`` and the gauge. ``stations``: station. ``series``: station, series. ``domains``: domain, station. Stations that no
+    gauge maps to are left out. ``fault``: ``mapping`` (several rows of a gauge; the least reach is shown), ``no_series``. A station counts once, however often it is listed.
+    """
+    gauge = F.trim("gauge")
+    mapped = mapping.where(gauge.rlike("^[0-9]{8,15}$")).groupBy(F.concat(F.lit("USGS-"), gauge).alias("station")).agg(F.min(F.trim(F.col("feature_id").cast("string"))).alias("feature_id"), F.count("*").alias("_rows"))
+    known = stations.select("station").distinct().join(mapped, "station")
+    n = series.groupBy("station").agg(F.countDistinct("series").alias("series_count"))
+    reported = domains.groupBy("station").agg(F.array_sort(F.collect_set("domain")).alias("domains"))
+    out = known.join(n, "station", "left").join(reported, "station", "left")
+    fault = F.when(F.col("_rows") > 1, "mapping").when(F.col("series_count").isNull(), "no_series")
+    return out.select("station", "feature_id", F.coalesce("series_count", F.lit(0)).alias("series_count"), F.coalesce("domains", F.array().cast("array<string>")).alias("domains"), fault.alias("fault"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import physics
-from . import regrid
+from . import evaluate, regrid
 
 
 # Source id, confidence and flags of cells that a six-hour total constrains.
@@ -181,10 +181,9 @@ def constraint_provenance(hours: DataFrame, targets: DataFrame, links: DataFrame
     kinds = F.array_compact(F.array(F.when(has(RATIO_CAPPED), "capped"), F.when(has(BASE_DRY), "base_dry"), F.when(F.col("flags") == 0, "clean")))
     behind = regrid.usable_links(links).join(targets, "dst").select("src", F.explode(kinds).alias("kind")).distinct()
     flagged = [F.count_if(F.col("qc").bitwiseAND(F.lit(bit)) != 0).alias(f"qc_{name}") for name, bit in bits.items()]
-    return hours.join(behind, "src").groupBy("kind", *by).agg(
-        F.count("*").alias("cell_hours"), F.count_if(F.col("depth") >= wet).alias("wet_cell_hours"), F.sum("depth").alias("depth"), *flagged,
-        F.percentile("depth", F.lit(0.5)).alias("p50"), F.percentile("depth", F.lit(0.95)).alias("p95"),
-    )
+    each = hours.join(behind, "src")
+    found = each.groupBy("kind", *by).agg(F.count("*").alias("cell_hours"), F.count_if(F.col("depth") >= wet).alias("wet_cell_hours"), F.sum("depth").alias("depth"), *flagged)
+    return evaluate.same_keys(found, evaluate.quantiles(each, ["kind", *by], "depth", {"p50": 0.5, "p95": 0.95}), ["kind", *by], "left")
 
 
 def published_hours(hours: DataFrame, overrides: DataFrame, keys: list[str], accepted: DataFrame) -> DataFrame:

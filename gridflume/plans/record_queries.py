@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import audit, observations, temporal
-from ..sources import normalize, stations
+from ..operators import audit, incremental, observations, temporal
+from ..sources import catalogue, normalize, stations
 from . import bindings as b
 from .registry import register
 
@@ -226,3 +226,66 @@ def _(spark, sf_dir):
     k = c("event_id")
     r = b.table(spark, sf_dir, "events").select(c("event_type").alias("stream"), F.date_trunc("hour", c("ts").cast("timestamp")).alias("stamp"), F.when(k % 151 == 0, float("nan")).when(k % 3 != 0, c("value")).alias("v"))
     return temporal.sequence_faults(r, ["stream"], "stamp", "v", F.lit("2024-01-02 00:00:00").cast("timestamp"), F.lit("2024-01-29 00:00:00").cast("timestamp"))
+
+
+@register("src21_hourly_statistic_checked", """WITH g AS (SELECT l_suppkey AS cell, l_partkey % 7 AS cycle, (l_orderkey % 3) * 2 AS s, (l_orderkey % 3) * 2 + l_linenumber % 4 AS lead, l_partkey, l_orderkey, l_linenumber, l_quantity * l_linenumber AS v FROM lineitem),
+r AS (SELECT cell, cycle, s, lead, count(*) AS same, max(v) AS v FROM g GROUP BY ALL), p AS (SELECT *, lead - s AS n, lag(lead) OVER w AS b, lag(v) OVER w AS was, lag(same) OVER w AS times FROM r WINDOW w AS (PARTITION BY cell, cycle, s ORDER BY lead)),
+h AS (SELECT *, CASE WHEN n = 1 THEN v ELSE v * n - was * (n - 1) END AS hour FROM p), f AS (SELECT *, CASE WHEN n <= 0 THEN 'interval' WHEN same > 1 THEN 'repeated' WHEN n <> 1 AND (b IS NULL OR b <> lead - 1) THEN 'no_previous' WHEN n <> 1 AND times > 1 THEN 'repeated' WHEN hour < -40 THEN 'negative' END AS fault FROM h)
+SELECT cell, cycle, s, lead, same, fault, CASE WHEN fault IS NULL THEN greatest(hour, 0) END AS hour_value, fault IS NULL AND hour < 0 AS clipped FROM f""")
+def _(spark, sf_dir):
+    s = c("l_orderkey") % 3 * 2
+    g = b.table(spark, sf_dir, "lineitem").select(c("l_suppkey").alias("cell"), (c("l_partkey") % 7).alias("cycle"), s.alias("s"), (s + c("l_linenumber") % 4).alias("lead"), (c("l_quantity") * c("l_linenumber")).alias("v"))
+    out = normalize.hourly_statistic(g, ["cycle", "cell"], "s", "lead", "v", True, 40.0)
+    return out.groupBy("cell", "cycle", "s", "lead").agg(F.count("*").alias("same"), F.max("fault").alias("fault"), F.max("hour_value").alias("hour_value"), F.bool_or("clipped").alias("clipped"))
+
+
+@register("src23_coverage_by_names", """WITH f AS (SELECT CASE WHEN o_orderkey % 5 = 0 THEN 'hourly' WHEN o_orderkey % 5 = 1 THEN 'daily' WHEN o_orderkey % 5 = 2 THEN 'bad' ELSE 'other' END AS kind, CAST(o_orderdate AS DATE) AS d, o_orderkey % 24 AS h FROM orders)
+SELECT p.product, epoch(max(CASE kind WHEN 'hourly' THEN d + to_hours(h) WHEN 'daily' THEN d::TIMESTAMP END))::BIGINT AS latest, count(*) FILTER (WHERE kind IN ('hourly', 'daily')) AS files, count(*) FILTER (WHERE kind = 'bad') AS unread
+ FROM (VALUES ('hourly'), ('daily'), ('none')) p(product) LEFT JOIN f ON f.kind = p.product OR (p.product = 'daily' AND f.kind = 'bad') GROUP BY 1""")
+def _(spark, sf_dir):
+    k, ymd = c("o_orderkey"), F.date_format("o_orderdate", "yyyyMMdd")
+    name = F.when(k % 5 == 0, F.concat(F.lit("hour.A"), ymd, F.lit("."), F.lpad((k % 24).cast("string"), 2, "0"), F.lit("00.nc"))).when(k % 5 == 1, F.concat(F.lit("day_"), ymd, F.lit(".nc"))).when(k % 5 == 2, F.lit("day_20249999.nc")).otherwise(F.lit("readme"))
+    files = b.table(spark, sf_dir, "orders").select(F.concat(F.lit("a/day_20990101.nc/"), name).alias("path"))
+    out = catalogue.latest_coverage(files, "path", {"hourly": (r"[.]A([0-9]{8})[.]([0-9]{4})[.]", "yyyyMMddHHmm"), "daily": (r"^day_([0-9]{8})[.]nc$", "yyyyMMdd"), "none": (r"^never_([0-9]{4})$", "yyyy")})
+    return out.withColumn("latest", b.seconds("latest"))
+
+
+@register("obs07_request_windows", """WITH s AS (SELECT o_orderkey AS series, CASE o_orderkey % 4 WHEN 0 THEN 'D' WHEN 1 THEN 'H' WHEN 2 THEN 'E' ELSE 'M' END AS duration_code, CAST(o_orderdate AS DATE) AS a, CASE WHEN o_orderkey % 5 = 0 THEN CAST(o_orderdate AS DATE) + (o_orderkey % 900)::INTEGER END AS e, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderdate AS DATE) + (o_orderkey % 1500)::INTEGER END AS k FROM orders),
+w AS (SELECT series, duration_code, CASE WHEN duration_code = 'M' OR k IS NULL THEN a ELSE greatest(a, least(DATE '2001-06-30' - CASE WHEN duration_code = 'D' THEN 400 ELSE 7 END, k + 1)) END AS a, least(DATE '2001-06-30', coalesce(e, DATE '2001-06-30')) AS z, CASE WHEN duration_code <> 'M' AND k IS NULL THEN 'no_backfill' END AS fault FROM s),
+y AS (SELECT *, unnest(CASE WHEN duration_code IN ('H', 'E') THEN generate_series(year(a), year(z)) ELSE [year(a)] END) AS y FROM w WHERE a <= z)
+SELECT series, duration_code, (CASE WHEN y = year(a) THEN a ELSE make_date(y, 1, 1) END)::VARCHAR AS request_start, (CASE WHEN duration_code IN ('H', 'E') THEN least(z, make_date(y, 12, 31)) ELSE z END)::VARCHAR AS request_end, fault FROM y""")
+def _(spark, sf_dir):
+    k, d = c("o_orderkey"), F.to_date("o_orderdate")
+    s = b.table(spark, sf_dir, "orders").select(
+        k.alias("series"), F.when(k % 4 == 0, "D").when(k % 4 == 1, "H").when(k % 4 == 2, "E").otherwise("M").alias("duration_code"), d.alias("start"),
+        F.when(k % 5 == 0, F.date_add(d, (k % 900).cast("int"))).alias("advertised_end"), F.when(k % 7 != 0, F.date_add(d, (k % 1500).cast("int"))).alias("checked_through"),
+    )
+    out = observations.request_windows(s, ["series"], F.lit("2001-06-30").cast("date"), update=True)
+    return out.select("series", "duration_code", b.text("request_start").alias("request_start"), b.text("request_end").alias("request_end"), "fault")
+
+
+@register("obs10_station_crosswalk", """WITH m AS (SELECT 10000000 + o_custkey AS g, o_custkey, min(o_orderkey)::VARCHAR AS f, count(*) AS n FROM orders WHERE o_orderkey % 40 < 2 AND o_orderkey % 11 <> 0 GROUP BY ALL), s AS (SELECT o_custkey, count(DISTINCT o_orderpriority) AS n FROM orders WHERE o_custkey % 13 <> 0 GROUP BY 1), d AS (SELECT o_custkey, string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) AS d FROM orders WHERE o_orderstatus <> 'O' GROUP BY 1)
+SELECT 'USGS-' || g AS station, CASE WHEN m.n > 1 THEN '' ELSE f END AS feature_id, coalesce(s.n, 0) AS series_count, coalesce(d, '') AS domains, CASE WHEN m.n > 1 THEN 'mapping' WHEN s.n IS NULL THEN 'no_series' END AS fault FROM customer JOIN m ON m.o_custkey = c_custkey LEFT JOIN s ON s.o_custkey = c_custkey LEFT JOIN d ON d.o_custkey = c_custkey""")
+def _(spark, sf_dir):
+    o, k, number = b.table(spark, sf_dir, "orders"), c("o_orderkey"), (c("o_custkey") + 10000000).cast("string")
+    station = F.concat(F.lit("USGS-"), number)
+    mapping = o.where("o_orderkey % 40 < 2").select(F.concat(F.when(k % 11 == 0, "X").otherwise(" "), number).alias("gauge"), k.alias("feature_id"))
+    stations_ = b.table(spark, sf_dir, "customer").select(F.concat(F.lit("USGS-"), (c("c_custkey") + 10000000).cast("string")).alias("station"))
+    out = observations.gauge_crosswalk(mapping, stations_, o.where("o_custkey % 13 <> 0").select(station.alias("station"), c("o_orderpriority").alias("series")), o.where("o_orderstatus <> 'O'").select(c("o_orderstatus").alias("domain"), station.alias("station")))
+    return out.withColumns({"domains": F.array_join("domains", ","), "feature_id": F.when(c("fault").eqNullSafe(F.lit("mapping")), "").otherwise(c("feature_id"))})
+
+
+@register("inc16_checkpoint_before", """WITH a AS (SELECT event_id, user_id, CASE WHEN event_id % 10 = 3 THEN NULL WHEN event_id % 4 = 0 THEN ts - INTERVAL 60 HOUR ELSE ts END AS p, ts FROM events WHERE event_type <> 'signup'), q AS (SELECT *, CASE WHEN p IS NOT NULL THEN least(ts - INTERVAL 24 HOUR, p) END AS bound FROM a), k AS (SELECT user_id, ts AS stamp FROM events WHERE event_type = 'signup')
+SELECT event_id, epoch(date_trunc('second', k.stamp))::BIGINT AS latest FROM q ASOF LEFT JOIN k ON q.user_id = k.user_id AND q.bound >= k.stamp""")
+def _(spark, sf_dir):
+    e, k = b.table(spark, sf_dir, "events").withColumn("ts", c("ts").cast("timestamp")), c("event_id")
+    asked = e.where("event_type <> 'signup'").withColumn("p", F.when(k % 10 == 3, None).when(k % 4 == 0, c("ts") - F.expr("INTERVAL 60 HOURS")).otherwise(c("ts")))
+    out = incremental.checkpoint_before(asked.select("event_id", "user_id", "ts", "p"), e.where("event_type = 'signup'").select("user_id", c("ts").alias("stamp")), ["user_id"], "ts", "stamp", "24 HOURS", "p")
+    return out.select("event_id", b.seconds("latest").alias("latest"))
+
+
+@register("inc18_expired_entries", """WITH e AS (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS d, o_orderkey % 5000 AS s FROM orders), m AS (SELECT *, d < DATE '1997-06-15' AS old FROM e), r AS (SELECT *, row_number() OVER w AS n, sum(s) OVER w AS b FROM m WINDOW w AS (PARTITION BY o_custkey, old ORDER BY d DESC, s ROWS UNBOUNDED PRECEDING))
+SELECT o_orderkey, CASE WHEN old THEN 'age' WHEN n > 6 THEN 'entries' ELSE 'bytes' END AS reason FROM r WHERE old OR n > 6 OR b > 9000""")
+def _(spark, sf_dir):
+    e = b.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.to_date("o_orderdate").cast("timestamp").alias("stamp"), (c("o_orderkey") % 5000).alias("size"))
+    return incremental.expired(e, ["o_custkey"], "stamp", F.lit("2000-03-11").cast("timestamp"), "size", 6, 9000, 1000).select("o_orderkey", "reason")

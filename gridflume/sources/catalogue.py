@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,3 +76,22 @@ def selected_ranges(records: DataFrame, file: str, wanted: list[tuple[str, str,
     out = asked.join(have, names, "left").withColumn("fault", fault)
     ok = F.col("fault").isNull()
     return out.select(*names, F.when(ok, F.col("first_byte")).alias("first_byte"), F.when(ok, F.col("last_byte")).alias("last_byte"), "fault")
+
+
+def latest_coverage(files: DataFrame, name: str, products: dict[str, tuple[str, str]]) -> DataFrame:
+    """Per product its files and the newest valid time that their names give; a product without files has 0 and null.
+
+    ``products`` maps a name to a pattern, whose groups together read as a stamp of the given form. A name counts for every
+    product whose pattern it holds; one that holds it, but reads as no stamp, is counted in ``unread`` alone. Paths are cut to their last part.
+    """
+    last = F.substring_index(name, "/", -1)
+
+    def read(product: str, pattern: str, form: str) -> Column:
+        groups = re.compile(pattern).groups
+        text = F.concat(*(F.regexp_extract(last, pattern, k + 1) for k in range(groups)))
+        return F.when(last.rlike(pattern), F.struct(F.lit(product).alias("product"), F.try_to_timestamp(text, F.lit(form)).alias("stamp")))
+
+    found = files.select(F.explode(F.array_compact(F.array(*(read(n, *how) for n, how in products.items())))).alias("_p")).select("_p.*")
+    seen = found.groupBy("product").agg(F.max("stamp").alias("latest"), F.count("stamp").alias("files"), F.count_if(F.col("stamp").isNull()).alias("unread"))
+    every = files.sparkSession.createDataFrame([(n,) for n in products], "product string")
+    return every.join(seen, "product", "left").withColumns({"files": F.coalesce("files", F.lit(0)), "unread": F.coalesce("unread", F.lit(0))})
