@@ -56,13 +56,14 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").alias("links"))
 
 
-def propagated(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 12, rounds_per_stage: int = 4) -> DataFrame:
+def propagated(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, rounds_per_stage: int = 4) -> DataFrame:
     """(host, trust, distrust) of personalised PageRank.
 
     ``seeds`` has (host, allowed, blocked) page counts. Each walk starts on its seeds in proportion to
     their counts, follows a link with the chance ``damping`` (a host without any ends the walk, so what
     is left goes back to the seeds by scaling) and else starts again. Trust follows links, distrust
-    goes against them. After ``rounds`` steps what is missing is below ``damping ** rounds``.
+    goes against them. Steps go on until ``rounds_per_stage`` of them move less than ``tolerance`` of all scores
+    (which start at 1 a kind), as they do in the end at any length of path: each step shrinks what is missing by ``damping``.
     """
     totals = seeds.agg(F.sum("allowed").alias("a"), F.sum("blocked").alias("b"))
     start = seeds.crossJoin(F.broadcast(totals)).select("host", F.explode(F.array(
@@ -76,13 +77,16 @@ def propagated(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds
     out = both.groupBy("kind", "host").agg(F.sum("links").alias("out"))
     steps = staged(both.join(out, ["kind", "host"]).select("kind", "host", "to", (F.col("links") / F.col("out")).alias("share")), "steps")
     start = staged(start, "seeds")
-    score = start.withColumnRenamed("start", "score")
-    for k in range(rounds):
-        moved = score.join(steps, ["kind", "host"]).select("kind", F.col("to").alias("host"), (damping * F.col("score") * F.col("share")).alias("score"))
-        again = start.select("kind", "host", ((1 - damping) * F.col("start")).alias("score"))
-        score = moved.union(again.select("kind", "host", "score")).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if (k + 1) % rounds_per_stage == 0:
-            score = staged(score, "score")
+    score, moving = start.withColumnRenamed("start", "score"), True
+    while moving:
+        before = score
+        for _ in range(rounds_per_stage):
+            moved = score.join(steps, ["kind", "host"]).select("kind", F.col("to").alias("host"), (damping * F.col("score") * F.col("share")).alias("score"))
+            again = start.select("kind", "host", ((1 - damping) * F.col("start")).alias("score"))
+            score = moved.union(again).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        score = staged(score, "score")
+        change = before.withColumn("score", -F.col("score")).union(score).groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("d"))
+        moving = (change.agg(F.sum("d")).head()[0] or 0.0) > tolerance
     total = F.broadcast(score.groupBy("kind").agg(F.sum("score").alias("total")))  # two rows
     share = score.join(total, "kind").select("host", "kind", (F.col("score") / F.col("total")).alias("share"))
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("share"))), F.lit(0.0)).alias(kind)

@@ -438,3 +438,33 @@ def test_op3_asks_three_words(spark, tmp_path):
     want, short = ({r["doc_id"]: r["score"] for r in katz.scored(df, held_out, order).collect()} for order in (3, 2))
     got = {r["doc_id"]: r["score"] for r in queries.op3_katz_scoring(spark, str(tmp_path)).collect()}
     assert got == pytest.approx(want) and got != pytest.approx(short)
+
+
+def test_op2_walks_equal_a_dense_solution(spark):
+    rng = np.random.default_rng(5)
+    n = 60
+    links = {(i, i + 1): 1 for i in range(39)} | {(int(a), int(b)): int(w) for a, b, w in zip(rng.integers(40, n - 2, 60), rng.integers(40, n, 60), rng.integers(1, 9, 60), strict=True) if a != b}
+    links[39, 0] = 2  # a circle of 40 hosts; the rest is random, with hosts that link to none
+    seeds = {0: (3, 0), 41: (1, 0), 20: (0, 2), 55: (0, 1), 59: (1, 1)}
+    edges = spark.createDataFrame([(f"h{a}", f"h{b}", w) for (a, b), w in links.items()], "src string, dst string, links long")
+    given = spark.createDataFrame([(f"h{k}", a, b) for k, (a, b) in seeds.items()], "host string, allowed long, blocked long")
+    got = {r["host"]: (r["trust"], r["distrust"]) for r in urls.propagated(edges, given, tolerance=1e-9).collect()}
+    for kind in (0, 1):
+        m = np.zeros((n, n))
+        for (a, b), w in links.items():
+            m[(a, b) if kind == 0 else (b, a)] += w
+        out = m.sum(1, keepdims=True)
+        p = np.divide(m, out, out=np.zeros_like(m), where=out > 0)
+        s = np.zeros(n)
+        for k, c in seeds.items():
+            s[k] = c[kind]
+        x = np.linalg.solve(np.eye(n) - 0.85 * p.T, 0.15 * s / s.sum())
+        x /= x.sum()
+        assert np.allclose([got.get(f"h{k}", (0.0, 0.0))[kind] for k in range(n)], x, rtol=0, atol=1e-8)
+
+
+def test_op2_without_links_or_seeds(spark):
+    none = spark.createDataFrame([], "src string, dst string, links long")
+    seeds = spark.createDataFrame([("a", 1, 0), ("b", 0, 4), ("c", 3, 0)], "host string, allowed long, blocked long")
+    assert {r["host"]: (r["trust"], r["distrust"]) for r in urls.propagated(none, seeds).collect()} == {"a": (0.25, 0.0), "b": (0.0, 1.0), "c": (0.75, 0.0)}
+    assert urls.propagated(none, seeds.limit(0)).count() == 0
