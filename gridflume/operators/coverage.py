@@ -22,23 +22,27 @@ def nearest_native(targets: DataFrame, donors: DataFrame, most_km: float = 25.0)
     """For each target (dst, lat, lon) the nearest donor (src, lat, lon) on the great circle, ties by src, and its distance in km.
 
     Points of the unit sphere are bucketed in cubes as wide as the chord of ``most_km``, so a donor within
-    reach is in one of 27 cubes. Targets without a donor that near have neither donor nor distance.
+    reach is in one of 27 cubes. Targets without a donor that near have neither donor nor distance. Places (lat, lon)
+    are searched, not points: of donors at one place the least ``src`` stands for all, and targets there share what was found.
     """
     if not 0 < most_km < 1000:
         raise ValueError("most_km must be above 0 and below 1000")
     side = 2 * math.sin(most_km / RADIUS / 2) * (1 + 1e-9)
     axes = ["_x", "_y", "_z"]
     placed = lambda df, key, to: df.select(F.col(key), *(v.alias(f"{to}{a}") for a, v in zip(axes, _on_sphere(F.col("lat"), F.col("lon")), strict=True))).where(" and ".join(f"{to}{a} is not null and not isnan({to}{a})" for a in axes))
-    d = placed(donors, "src", "d").withColumns({f"c{a}": F.floor(F.col(f"d{a}") / side) for a in axes})
-    t = placed(targets, "dst", "t")
+    places = ["lat", "lon"]
+    d = placed(donors.groupBy(*places).agg(F.min("src").alias("src")), "src", "d").withColumns({f"c{a}": F.floor(F.col(f"d{a}") / side) for a in axes})
+    at = targets.select(*places).distinct().select(F.struct(*places).alias("at"), *places)
+    t = placed(at, "at", "t")
     for a in axes:
         cube = F.floor(F.col(f"t{a}") / side)
         t = t.withColumn(f"c{a}", F.explode(F.array(cube - 1, cube, cube + 1)))
     chord = F.sqrt(sum(((F.col(f"d{a}") - F.col(f"t{a}")) ** 2 for a in axes[1:]), (F.col("d_x") - F.col("t_x")) ** 2))
-    near = t.join(d, [f"c{a}" for a in axes]).groupBy("dst").agg(F.min(F.struct(chord.alias("chord"), "src")).alias("b"))
+    near = t.join(d.hint("merge"), [f"c{a}" for a in axes]).groupBy("at").agg(F.min(F.struct(chord.alias("chord"), "src")).alias("b"))
     km = RADIUS * 2 * F.asin(F.least(F.col("b.chord") / 2, F.lit(1.0)))
-    best = near.select("dst", "b.src", km.alias("km")).where(F.col("km") <= most_km)
-    return targets.select("dst").join(best, "dst", "left")
+    best = near.select("at.*", "b.src", km.alias("km")).where(F.col("km") <= most_km)
+    # as many places as targets at worst
+    return targets.select("dst", *places).join(best.hint("merge"), places, "left").select("dst", "src", "km")
 
 
 def gap_categories(cells: DataFrame, fields: list[str], land: Column, mapped: DataFrame, most_cells: float) -> DataFrame:
