@@ -143,17 +143,19 @@ def native_repair(primary: DataFrame, native: DataFrame, most_km: float = 25.0)
     fields = [f for _, names in _GROUPS for f in names]
     out = staged(primary.select("dst", "lat", "lon", "active", height.alias("z1"), bundle.finite(F.col("z")).isNull().alias("_model"), *(bundle.finite(F.col(f)).alias(f) for f in fields)), "primary")
     lacks = {bit: F.coalesce("active", F.lit(False)) & F.greatest(*(F.col(f).isNull() for f in names), F.lit(False)) for bit, names in _GROUPS}
-    out = out.withColumns({f"_lacks{bit}": on for bit, on in lacks.items()} | {"flags": F.lit(0), "km": F.lit(0.0), "fault": F.lit(None).cast("string")})
+    # what lacks is known at the start, so that no group's search runs the repairs before it again
+    out = start = out.withColumns({f"_lacks{bit}": on for bit, on in lacks.items()} | {"flags": F.lit(0), "km": F.lit(0.0), "fault": F.lit(None).cast("string")})
     for bit, names in _GROUPS:
         whole = F.lit(True)
         for f in names if bit != COUPLED else (*names, "t_ref", "p_ref", "rh", "lw_factor"):
             whole = whole & bundle.finite(F.col(f)).isNotNull()
         if bit in (SHORTWAVE, RAIN):
             whole = whole & (F.col(names[0]) >= 0)
-        near = coverage.nearest_native(out.where(f"_lacks{bit}").select("dst", "lat", "lon"), given.where(whole).select("src", "lat", "lon"), most_km).where("src is not null")
+        near = coverage.nearest_native(start.where(f"_lacks{bit}").select("dst", "lat", "lon"), given.where(whole).select("src", "lat", "lon"), most_km).where("src is not null")
         side = ("t_ref", "p_ref", "rh", "lw_factor", "_clip") if bit == COUPLED else names
-        donors = near.join(given.select("src", *(F.col(f).alias(f"_d_{f}") for f in side)), "src").drop("src").withColumnRenamed("km", "_km")
-        out = out.join(donors, "dst", "left")
+        # the cells' files are small for their rows, so Spark would send both sides to the driver
+        donors = near.join(given.select("src", *(F.col(f).alias(f"_d_{f}") for f in side)).hint("merge"), "src").drop("src").withColumnRenamed("km", "_km")
+        out = out.join(donors.hint("merge"), "dst", "left")
         found = F.col(f"_lacks{bit}") & F.col("_km").isNotNull()
         if bit == COUPLED:
             found = found & F.col("z1").isNotNull()

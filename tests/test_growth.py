@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridflume.operators import coverage
+from gridflume.operators import coverage, repair
 
 
 def nodes(df: DataFrame) -> list:
@@ -33,6 +33,16 @@ def _cells(spark, n: int, key: str, **fields) -> DataFrame:
     return spark.range(n).select(F.col("id").alias(key), *(F.expr(v).cast("double").alias(k) for k, v in fields.items()))
 
 
+def test_native_repair_sends_no_side_to_the_driver(spark):
+    state = {"q": "0.004", "p": "90000", "lw": "300", "u": "1", "v": "2", "sw": "5", "rain": "0"}
+    primary = _cells(spark, 40, "dst", lat="30 + id % 5", lon="-100", z="10", model_z="10", t="if(id % 2 = 0, null, 280)", **state).withColumn("active", F.lit(True))
+    native = _cells(spark, 60, "src", lat="30 + id % 5", lon="-100", z0="0", t="270 + id", **state)
+    out = repair.native_repair(primary, native)
+    got = {r["dst"]: (round(r["t"], 3), r["flags"] & repair.COUPLED) for r in out.collect()}
+    assert got == {k: (round(270 + k % 5 - 0.065, 3), 1) if k % 2 == 0 else (280.0, 0) for k in range(40)}
+    assert not broadcasts(out)
+
+
 def most_rows(df: DataFrame) -> int:
     """The most rows that a join of the plan made."""
     return max((int(node.metrics().apply("numOutputRows").value()) for kind, node in nodes(df) if "Join" in kind), default=0)
