@@ -1,7 +1,7 @@
 """Column functions of near-surface meteorology. Inputs are kelvin, pascal, kg/kg, degrees and metres.
 
 Null in gives null out; an input outside its physical domain gives null too, so a bad cell never
-stops a job.
+stops a job. Where a function takes ``checked``, false gives the bare formula.
 """
 
 from __future__ import annotations
@@ -58,13 +58,16 @@ def relative_humidity(q: Column, t: Column, p: Column, phase: str = "auto") -> C
     return vapor_pressure(q, p) / saturation_vapor_pressure(t, phase)
 
 
-def humidity_from_relative(rh: Column, t: Column, p: Column, phase: str = "auto") -> Column:
-    return humidity_from_vapor_pressure(rh * saturation_vapor_pressure(t, phase), p)
+def humidity_from_relative(rh: Column, t: Column, p: Column, phase: str = "auto", checked: bool = True) -> Column:
+    most = saturation_vapor_pressure(t, phase)
+    # multiplied from left to right: where vapour fills nearly all of the pressure, another order shows in the digits
+    return humidity_from_vapor_pressure(rh * most, p) if checked else F.try_divide(EPSILON * rh * most, p - (1 - EPSILON) * rh * most)
 
 
-def emissivity(t: Column, q: Column, p: Column) -> Column:
+def emissivity(t: Column, q: Column, p: Column, checked: bool = True) -> Column:
     """Clear-sky atmospheric emissivity from vapor pressure in hPa."""
-    return _valid((t > 0) & (q >= 0) & (q < 1) & (p > 0), 1.08 * (1 - F.exp(-F.pow(q * p / 62.2, t / 2016.0))))
+    value = 1.08 * (1 - F.exp(-F.pow(q * p / 62.2, t / 2016.0)))
+    return _valid((t > 0) & (q >= 0) & (q < 1) & (p > 0), value) if checked else value
 
 
 def longwave_at_target(lw: Column, t0: Column, q0: Column, p0: Column, t1: Column, q1: Column, p1: Column) -> Column:

@@ -56,10 +56,11 @@ def reference_state(cells: DataFrame, tolerance: float = 0.05, reject: bool = Tr
     })
 
 
-def target_state(cells: DataFrame, final: str | None = None, tolerance: float = 0.05) -> DataFrame:
+def target_state(cells: DataFrame, final: str | None = None, tolerance: float = 0.05, checked: bool = True) -> DataFrame:
     """From t_ref, p_ref, rh, lw_factor and z1: temperature, pressure, humidity, longwave at the target's elevation, and qc.
 
-    Pressure follows the preliminary temperature alone; ``final`` names a column that replaces it in all else.
+    Pressure follows the preliminary temperature alone; ``final`` names a column that replaces it in all else. Air so hot that its
+    vapour's pressure exceeds its own has no humidity and longwave; if not ``checked``, they are what the formulas give (NaN at worst).
     """
     t, p, z = F.col("t_ref"), F.col("p_ref"), F.col("z1")
     given = t.isNotNull() & p.isNotNull() & F.col("rh").isNotNull() & F.col("lw_factor").isNotNull() & z.isNotNull()
@@ -67,8 +68,8 @@ def target_state(cells: DataFrame, final: str | None = None, tolerance: float =
     early = ph.temperature_at_elevation(t, F.lit(0.0), z)
     pressure = ph.pressure_at_elevation(p, t, F.lit(0.0), z)
     temperature = F.coalesce(F.col(final), early) if final else early
-    q = ph.humidity_from_relative(rh, temperature, pressure, "water")
-    lw = F.col("lw_factor") * ph.emissivity(temperature, q, pressure) * F.pow(temperature, F.lit(4))
+    q = ph.humidity_from_relative(rh, temperature, pressure, "water", checked)
+    lw = F.col("lw_factor") * ph.emissivity(temperature, q, pressure, checked) * F.pow(temperature, F.lit(4))
     found = {"temperature": temperature, "preliminary": early, "pressure": pressure, "humidity": q, "longwave": lw, "relative": rh}
     return cells.withColumns({k: F.when(given, v) for k, v in found.items()} | {"target_qc": flags(qc, bit(~given, INVALID))})
 
