@@ -59,6 +59,7 @@ def solve(base: DataFrame, targets: DataFrame, links: DataFrame, by: list[str] =
     A null depth counts as zero and stays zero; a null total constrains nothing. Totals beyond what the bounds allow,
     and wet ones over a dry base unless ``bounds.synthetic`` seeds them, take no part and are flagged. ``upper`` names a key
     column that replaces the upper bounds. Links are dealt and sorted by source and by target once; a round writes the cells and the active targets.
+    Their files are small for their rows, so Spark would broadcast them, through the driver, in each round; joins are merge joins instead.
     """
     by, b = list(by), bounds
     spark = base.sparkSession
@@ -67,25 +68,25 @@ def solve(base: DataFrame, targets: DataFrame, links: DataFrame, by: list[str] =
     from_src, from_dst = (usable.repartition(parts, k).sortWithinPartitions(k).persist() for k in ("src", "dst"))
 
     def estimated(cells: DataFrame, *fields: str) -> DataFrame:
-        joined = cells.select(*by, "src", *fields).join(from_src, "src")
+        joined = cells.select(*by, "src", *fields).join(from_src.hint("merge"), "src")
         return joined.groupBy(*by, "dst").agg(*((F.sum(F.col("weight") * F.col(f)) / F.sum("weight")).alias(f) for f in fields))
 
     most = F.col(upper) if upper else F.lit(b.ratio[1])
     cells = base.select(*by, "src", _not_negative(_known("depth"), "depths").cast("double").alias("base")).withColumn("corrected", F.coalesce("base", F.lit(0.0)))
-    cells = staged(cells.join(from_src.groupBy("src").agg(F.sum("weight").alias("links")), "src", "left"), "cells")
+    cells = staged(cells.join(from_src.groupBy("src").agg(F.sum("weight").alias("links")).hint("merge"), "src", "left"), "cells")
     total = F.col("total")
-    first = targets.select(*by, "dst", _not_negative(_known("total"), "totals").cast("double").alias("total")).join(estimated(cells, "corrected"), [*by, "dst"], "left")
+    first = targets.select(*by, "dst", _not_negative(_known("total"), "totals").cast("double").alias("total")).join(estimated(cells, "corrected").hint("merge"), [*by, "dst"], "left")
     wet = total.isNotNull() & (total > b.dry)
     goals = staged(first.withColumn("dry_base", F.coalesce(wet & (F.col("corrected").isNull() | (F.col("corrected") <= b.dry)), F.lit(False))).drop("corrected"), "goals")
     if b.synthetic:
         back = goals.where("dry_base").join(from_dst, "dst").groupBy(*by, "src").agg((F.sum(F.col("weight") * total) / F.sum("weight")).alias("seed"))
         seeded = F.when((F.col("corrected") <= b.dry) & (F.col("seed") > 0), F.col("seed")).otherwise(F.col("corrected"))
-        cells = cells.join(back, [*by, "src"], "left").withColumn("corrected", seeded).drop("seed")
+        cells = cells.join(back.hint("merge"), [*by, "src"], "left").withColumn("corrected", seeded).drop("seed")
     greatest = F.greatest("base", "corrected")
     limit = lambda times: F.coalesce(F.least(greatest * times, F.lit(b.most_depth)), F.lit(0.0))
     given = F.col("base").isNotNull()
     cells = staged(cells.withColumns({"lo": F.when(given, limit(F.lit(b.cumulative[0]))).otherwise(0.0), "hi": F.when(given, limit(F.col(upper) if upper else F.lit(b.cumulative[1]))).otherwise(0.0)}), "cells")
-    goals = goals.join(estimated(cells, "hi"), [*by, "dst"], "left")
+    goals = goals.join(estimated(cells, "hi").hint("merge"), [*by, "dst"], "left")
     beyond = F.coalesce(wet & (F.col("hi").isNull() | (total > F.col("hi") * (1 + b.tolerance))), F.lit(False))
     bit = lambda c, k: F.when(F.coalesce(c, F.lit(False)), k).otherwise(0)
     known = bit(total.isNull(), reconcile.TARGET_MISSING) + bit(total <= b.dry, reconcile.TARGET_DRY) + bit(F.col("dry_base"), reconcile.BASE_DRY)
@@ -100,25 +101,25 @@ def solve(base: DataFrame, targets: DataFrame, links: DataFrame, by: list[str] =
         moves = F.coalesce(wet & (F.col("corrected") > b.dry), F.lit(False))
         ratio = F.when(total <= b.dry, 0.0).when(moves, F.pow(F.least(F.greatest(wanted, F.lit(b.ratio[0])), most), F.lit(b.damping))).otherwise(1.0)
         capped = moves & ((wanted < b.ratio[0]) | (wanted > most))
-        active = goals.where("eligible").join(estimated(cells, "corrected"), [*by, "dst"]).where(off)
+        active = goals.where("eligible").join(estimated(cells, "corrected").hint("merge"), [*by, "dst"]).where(off)
         step, n = staged_counted(active.select(*by, "dst", ratio.alias("ratio"), capped.alias("capped")), "ratios")
         steps.append(step)
         if not n:
             break
         # targets that are not active have the ratio one, so only active ones need be taken back
-        change = step.join(from_dst, "dst").groupBy(*by, "src").agg(F.sum(F.col("weight") * (F.col("ratio") - 1)).alias("change"))
+        change = step.join(from_dst.hint("merge"), "dst").groupBy(*by, "src").agg(F.sum(F.col("weight") * (F.col("ratio") - 1)).alias("change"))
         moved = F.least(F.greatest(F.col("corrected") * (1 + F.coalesce(F.col("change") / F.col("links"), F.lit(0.0))), F.col("lo")), F.col("hi"))
-        joined = cells.join(change, [*by, "src"], "left")
+        joined = cells.join(change.hint("merge"), [*by, "src"], "left")
         if by:
             joined = joined.join(step.select(*by, F.lit(True).alias("_on")).distinct(), by, "left")
             moved = F.when(F.col("_on"), moved).otherwise(F.col("corrected"))
         cells = staged(joined.withColumn("corrected", moved).select(*cells.columns), "cells")
-    out = goals.join(estimated(cells, "corrected"), [*by, "dst"], "left")
+    out = goals.join(estimated(cells, "corrected").hint("merge"), [*by, "dst"], "left")
     ran = steps[0].withColumn("_round", F.lit(1))
     for k, step in enumerate(steps[1:], 2):
         ran = ran.unionByName(step.withColumn("_round", F.lit(k)))
     ran = staged(ran.groupBy(*by, "dst").agg(F.max("capped").alias("capped"), F.max("_round").alias("last")), "rounds")
-    out = out.join(ran, [*by, "dst"], "left")
+    out = out.join(ran.hint("merge"), [*by, "dst"], "left")
     unmet = F.col("eligible") & F.coalesce(off, F.lit(False))
     flags = F.col("flags").bitwiseOR(bit(F.col("capped"), reconcile.RATIO_CAPPED)).bitwiseOR(bit(unmet, reconcile.NOT_CONVERGED))
     found = staged(out.select(*by, "dst", "total", (F.col("corrected") - total).alias("residual"), flags.alias("flags"), F.coalesce("last", F.lit(0)).alias("_last"), unmet.alias("_unmet")), "solved_targets")

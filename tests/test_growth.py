@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridflume.operators import coverage, repair
+from gridflume.operators import coverage, projection, repair
 
 
 def nodes(df: DataFrame) -> list:
@@ -55,3 +55,19 @@ def test_nearest_native_searches_places_once(spark):
     got = {r["dst"]: (r["src"], r["km"] and round(r["km"], 3)) for r in out.collect()}
     assert got == {k: (k % 3, 11.119) if k % 3 < 2 else (None, None) for k in range(600)}
     assert most_rows(out) <= 600
+
+
+def planned_broadcasts(spark, job) -> int:
+    """Broadcasts in the plans of all that a job runs."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    job()
+    runs = store.executionsList()
+    return sum("BroadcastExchange" in runs.apply(k).physicalPlanDescription() for k in range(int(before), runs.size()))
+
+
+def test_no_round_of_a_solve_broadcasts(spark):
+    base = _cells(spark, 40, "src", depth="1 + id % 3")
+    targets = _cells(spark, 10, "dst", total="10 + id")
+    links = spark.range(40).selectExpr("id as src", "id % 10 as dst", "1.0D as weight")
+    assert planned_broadcasts(spark, lambda: projection.solve(base, targets, links, bounds=projection.Bounds(rounds=2)).targets.collect()) == 0
