@@ -79,9 +79,11 @@ def nearest_donor(gaps: DataFrame, donors: DataFrame, tile: int = 8, by: list[st
             now = now.join(children, at).select(*cell, F.col("cy").alias("ty"), F.col("cx").alias("tx"))
     if now is None:
         return none
-    d2 = (F.col("donor_y") - F.col("y")) ** 2 + (F.col("donor_x") - F.col("x")) ** 2
-    placed = d.withColumns({"ty": F.floor(F.col("donor_y") / tile), "tx": F.floor(F.col("donor_x") / tile)})
-    best = now.join(placed, at).groupBy(*cell).agg(F.min(F.struct(d2.alias("d2"), "donor_y", "donor_x")).alias("b"))
+    # a tile's donors, tile * tile at most, are one row; of them each gap takes its nearest before any rows are sorted
+    placed = d.withColumns({"ty": F.floor(F.col("donor_y") / tile), "tx": F.floor(F.col("donor_x") / tile)}).groupBy(*at).agg(F.collect_list(F.struct("donor_y", "donor_x")).alias("held"))
+    d2 = lambda k: (k["donor_y"] - F.col("y")) ** 2 + (k["donor_x"] - F.col("x")) ** 2
+    nearest = F.array_min(F.transform("held", lambda k: F.struct(d2(k).alias("d2"), k["donor_y"].alias("donor_y"), k["donor_x"].alias("donor_x"))))
+    best = now.join(placed.hint("merge"), at).select(*cell, nearest.alias("b")).groupBy(*cell).agg(F.min("b").alias("b"))
     return staged(best.select(*cell, "b.donor_y", "b.donor_x", F.sqrt("b.d2").alias("distance")).union(none), "nearest")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridflume.operators import coverage, projection, repair
+from gridflume.operators import coverage, fill, projection, repair
 
 
 def nodes(df: DataFrame) -> list:
@@ -71,3 +71,17 @@ def test_no_round_of_a_solve_broadcasts(spark):
     targets = _cells(spark, 10, "dst", total="10 + id")
     links = spark.range(40).selectExpr("id as src", "id % 10 as dst", "1.0D as weight")
     assert planned_broadcasts(spark, lambda: projection.solve(base, targets, links, bounds=projection.Bounds(rounds=2)).targets.collect()) == 0
+
+
+def test_nearest_donor_joins_tiles_not_donors(spark):
+    cells = spark.range(40 * 40).selectExpr("id div 40 as y", "id % 40 as x")
+    gaps, donors = cells.where("(y + x) % 7 = 0"), cells.where("(y + x) % 7 <> 0")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = int(store.executionsCount())
+    got = {(r["y"], r["x"]): (r["donor_y"], r["donor_x"], r["distance"]) for r in fill.nearest_donor(gaps, donors).collect()}
+    # above, or to the left in the first row, or to the right in its first cell
+    assert got == {(y, x): (y - 1, x, 1.0) if y else (0, x - 1, 1.0) if x else (0, 1, 1.0) for y, x in ((r["y"], r["x"]) for r in gaps.collect())}
+    runs = store.executionsList()
+    plans = [runs.apply(k).physicalPlanDescription() for k in range(before, runs.size())]
+    last = [p for p in plans if "donor_y" in p and "min(" in p]
+    assert last and all("array_min" in p for p in last)
