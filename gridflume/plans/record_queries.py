@@ -235,8 +235,7 @@ SELECT cell, cycle, s, lead, same, fault, CASE WHEN fault IS NULL THEN greatest(
 def _(spark, sf_dir):
     s = c("l_orderkey") % 3 * 2
     g = b.table(spark, sf_dir, "lineitem").select(c("l_suppkey").alias("cell"), (c("l_partkey") % 7).alias("cycle"), s.alias("s"), (s + c("l_linenumber") % 4).alias("lead"), (c("l_quantity") * c("l_linenumber")).alias("v"))
-    out = normalize.hourly_statistic(g, ["cycle", "cell"], "s", "lead", "v", True, 40.0)
-    return out.groupBy("cell", "cycle", "s", "lead").agg(F.count("*").alias("same"), F.max("fault").alias("fault"), F.max("hour_value").alias("hour_value"), F.bool_or("clipped").alias("clipped"))
+    return normalize.hourly_leads(g, ["cycle", "cell"], "s", "lead", "v", True, 40.0).select("cell", "cycle", "s", "lead", "same", "fault", "hour_value", "clipped")
 
 
 @register("src23_coverage_by_names", """WITH f AS (SELECT CASE WHEN o_orderkey % 5 = 0 THEN 'hourly' WHEN o_orderkey % 5 = 1 THEN 'daily' WHEN o_orderkey % 5 = 2 THEN 'bad' ELSE 'other' END AS kind, CAST(o_orderdate AS DATE) AS d, o_orderkey % 24 AS h FROM orders)

@@ -280,25 +280,36 @@ def granules(entries: DataFrame, day: Column, prefix: str, suffix: str, collecti
     return entries.select("id", "name", F.when(named, hour).alias("hour"), F.when(n == 1, urls.getItem(0)).alias("address"), fault.alias("fault"))
 
 
-def hourly_statistic(records: DataFrame, by: list[str], start: str, lead: str, value: str, average: bool, most_negative: float) -> DataFrame:
-    """The last hour of statistics gathered since a lead: ``records`` has by (cycle, variable, cell), start and lead in hours, value.
+def hourly_leads(records: DataFrame, by: list[str], start: str, lead: str, value: str, average: bool, most_negative: float) -> DataFrame:
+    """The last hour of statistics gathered since a lead, a row per by (cycle, variable, cell), start and lead in hours; ``same`` counts the records of a lead.
 
     A record of one hour is that hour; a longer one (an average, or a sum) needs the record of the same start and the lead right before. ``hour_value`` is never negative:
     less is set to 0 (``clipped``) unless it is below -``most_negative``. ``fault``: ``interval`` (no hour at all), ``repeated`` (several records of a lead), ``no_previous``, ``missing`` (a null or NaN
-    value), ``negative``; the value is null then. The records of one key and start are few leads, so windows over them stay small.
+    value), ``negative``; the value is null then. The windows, over the few leads of one key and start, get a row per lead; records are dealt out once, as the windows need them.
     """
+    number = F.col(value).cast("double")
+    # of several records of a lead the value is never used
+    leads = records.repartition(*by, start).groupBy(*by, start, lead).agg(F.count("*").alias("same"), F.max(F.when(~F.isnan(number), number)).alias("_v"))
     w = Window.partitionBy(*by, start).orderBy(lead)
-    n = F.col(lead) - F.col(start)
-    v = F.when(~F.isnan(F.col(value).cast("double")), F.col(value).cast("double"))
-    each = records.withColumns({"_v": v, "_same": F.count("*").over(Window.partitionBy(*by, start, lead)), "_n": n}).withColumns({"_before": F.lag(lead).over(w), "_was": F.lag("_v").over(w), "_times": F.lag("_same").over(w)})
+    each = leads.withColumns({"_n": F.col(lead) - F.col(start), "_before": F.lag(lead).over(w), "_was": F.lag("_v").over(w), "_times": F.lag("same").over(w)})
     total, earlier = (F.col("_v") * F.col("_n"), F.col("_was") * (F.col("_n") - 1)) if average else (F.col("_v"), F.col("_was"))
     alone = F.col("_n") == 1
     hour = F.when(alone, F.col("_v")).otherwise(total - earlier)
     adjacent = F.coalesce(F.col("_before") == F.col(lead) - 1, F.lit(False))
     fault = (
-        F.when(~F.coalesce(F.col("_n") > 0, F.lit(False)), "interval").when(F.col("_same") > 1, "repeated").when(~alone & ~adjacent, "no_previous").when(~alone & (F.col("_times") > 1), "repeated")
+        F.when(~F.coalesce(F.col("_n") > 0, F.lit(False)), "interval").when(F.col("same") > 1, "repeated").when(~alone & ~adjacent, "no_previous").when(~alone & (F.col("_times") > 1), "repeated")
         .when(hour.isNull(), "missing").when(hour < -most_negative, "negative")
     )
     out = each.withColumns({"fault": fault, "_hour": hour})
     sound = F.col("fault").isNull()
-    return out.withColumns({"hour_value": F.when(sound, F.greatest("_hour", F.lit(0.0))), "clipped": sound & (F.col("_hour") < 0)}).drop("_v", "_same", "_n", "_before", "_was", "_times", "_hour")
+    return out.withColumns({"hour_value": F.when(sound, F.greatest("_hour", F.lit(0.0))), "clipped": sound & (F.col("_hour") < 0)}).select(*by, start, lead, "same", "fault", "hour_value", "clipped")
+
+
+def hourly_statistic(records: DataFrame, by: list[str], start: str, lead: str, value: str, average: bool, most_negative: float) -> DataFrame:
+    """``records``, each with the ``fault``, ``hour_value`` and ``clipped`` of its lead, as of ``hourly_leads``."""
+    keys = [*by, start, lead]
+    found = hourly_leads(records, by, start, lead, value, average, most_negative).drop("same").withColumnsRenamed({k: f"_of_{i}" for i, k in enumerate(keys)})
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{i}"))
+    return records.join(found, same).drop(*(f"_of_{i}" for i in range(len(keys))))
