@@ -38,17 +38,21 @@ def _(spark, sf_dir):
 
 def _pages(spark, sf_dir):
     """Orders as daily discharge, in pages of ten order keys; some pages and features are wrong."""
-    k = c("o_orderkey")
-    properties = F.struct(
-        F.concat(F.lit("S-"), c("o_custkey")).alias("monitoring_location_id"), F.concat(F.lit("T-"), c("o_custkey"), F.lit("-"), k % 2).alias("time_series_id"), F.when(k % 61 == 0, "00065").otherwise("00060").alias("parameter_code"),
-        F.lit("00003").alias("statistic_id"), F.to_date("o_orderdate").cast("string").alias("time"), F.when(k % 23 == 0, "Ice").when(k % 29 == 0, "-5").otherwise((k % 500).cast("string")).alias("value"),
-        F.lit("ft^3/s").alias("unit_of_measure"), F.when(c("o_orderstatus") == "F", "Approved").otherwise("Provisional").alias("approval_status"),
-        F.when(k % 19 == 0, F.array(F.lit("e"), F.lit("Rejected"))).when(k % 17 == 0, F.array(F.lit("ESTIMATED"))).alias("qualifier"), F.lit(None).cast("string").alias("last_modified"),
-    )
-    one = F.struct(F.when(k % 71 == 0, "").when(k % 73 == 0, "same").otherwise(F.concat(F.lit("f"), k)).alias("id"), properties.alias("properties"))
-    pages = b.table(spark, sf_dir, "orders").groupBy(F.floor(k / 10).alias("page")).agg(F.array_sort(F.collect_list(one)).alias("features"))  # ten features at most
-    kind, said = F.when(c("page") % 13 == 0, "Error").otherwise("FeatureCollection").alias("type"), (F.size("features") + F.when(c("page") % 11 == 0, 1).otherwise(0)).alias("numberReturned")
-    return pages.select("page", F.to_json(F.struct(kind, said, "features")).alias("text"))
+    def feature(o):
+        k = o["k"]
+        properties = F.struct(
+            F.concat(F.lit("S-"), o["station"]).alias("monitoring_location_id"), F.concat(F.lit("T-"), o["station"], F.lit("-"), k % 2).alias("time_series_id"), F.when(k % 61 == 0, "00065").otherwise("00060").alias("parameter_code"),
+            F.lit("00003").alias("statistic_id"), o["day"].cast("string").alias("time"), F.when(k % 23 == 0, "Ice").when(k % 29 == 0, "-5").otherwise((k % 500).cast("string")).alias("value"),
+            F.lit("ft^3/s").alias("unit_of_measure"), F.when(o["status"] == "F", "Approved").otherwise("Provisional").alias("approval_status"),
+            F.when(k % 19 == 0, F.array(F.lit("e"), F.lit("Rejected"))).when(k % 17 == 0, F.array(F.lit("ESTIMATED"))).alias("qualifier"), F.lit(None).cast("string").alias("last_modified"),
+        )
+        return F.struct(F.when(k % 71 == 0, "").when(k % 73 == 0, "same").otherwise(F.concat(F.lit("f"), k)).alias("id"), properties.alias("properties"))
+
+    # pages gather what their features are made from, a tenth of the features themselves
+    one = F.struct(c("o_orderkey").alias("k"), c("o_custkey").alias("station"), F.to_date("o_orderdate").alias("day"), c("o_orderstatus").alias("status"))
+    pages = b.table(spark, sf_dir, "orders").groupBy(F.floor(c("o_orderkey") / 10).alias("page")).agg(F.collect_list(one).alias("_orders"))  # ten orders at most
+    kind, said = F.when(c("page") % 13 == 0, "Error").otherwise("FeatureCollection").alias("type"), (F.size("_orders") + F.when(c("page") % 11 == 0, 1).otherwise(0)).alias("numberReturned")
+    return pages.select("page", F.to_json(F.struct(kind, said, F.array_sort(F.transform("_orders", feature)).alias("features"))).alias("text"))
 
 
 @register("src12_paged_feature_faults", """WITH p AS (SELECT o_orderkey // 10 AS page, o_orderkey AS k, CASE WHEN o_orderkey % 71 = 0 THEN '' WHEN o_orderkey % 73 = 0 THEN 'same' ELSE 'f' || o_orderkey END AS id FROM orders)

@@ -138,13 +138,17 @@ def paged_features(pages: DataFrame, page: str, text: str) -> tuple[DataFrame, D
     read = pages.select(F.col(page).alias("page"), F.from_json(text, PAGE).alias("_j"))
     n = F.size("_j.features")
     invalid = ~F.coalesce(F.col("_j.type") == "FeatureCollection", F.lit(False)) | F.col("_j.features").isNull()
-    of_page = read.select("page", F.lit(None).cast("string").alias("id"), F.when(invalid, "invalid").when(F.coalesce(F.col("_j.numberReturned"), n) != n, "count").alias("fault")).where("fault is not null")
+    of_page = F.when(invalid, "invalid").when(F.coalesce(F.col("_j.numberReturned"), n) != n, "count")
     features = read.select("page", F.explode("_j.features").alias("_f")).select("page", "_f.id", "_f.properties.*")
-    nameless = F.coalesce(F.col("id") == "", F.lit(True))
-    unnamed = features.where(nameless).select("page", "id", F.lit("missing_id").alias("fault"))
-    page_type = features.schema["page"].dataType
-    repeated = features.where(~nameless).groupBy("id").count().where("count > 1").select(F.lit(None).cast(page_type).alias("page"), "id", F.lit("repeated_id").alias("fault"))
-    return features, of_page.unionByName(unnamed).unionByName(repeated)
+    # pages are read once: what a page and its features have to say is counted together, ids over all pages
+    kind, none = "array<struct<page: " + features.schema["page"].dataType.simpleString() + ", id: string, fault: string>>", F.lit(None)
+    said = F.transform("_j.features", lambda f: F.when(F.coalesce(f["id"] == "", F.lit(True)), F.struct(F.col("page").alias("page"), f["id"].alias("id"), F.lit("missing_id").alias("fault"))).otherwise(F.struct(none.cast(features.schema["page"].dataType).alias("page"), f["id"].alias("id"), none.cast("string").alias("fault"))))
+    own = F.when(of_page.isNotNull(), F.array(F.struct(F.col("page").alias("page"), none.cast("string").alias("id"), of_page.alias("fault"))))
+    each = read.select(F.explode(F.concat(*(F.coalesce(x.cast(kind), F.array().cast(kind)) for x in (own, said)))).alias("_s")).select("_s.*")
+    counted = each.groupBy("page", "id", "fault").agg(F.count("*").alias("_n")).where("fault is not null or _n > 1")
+    times = F.when(F.col("fault").isNull(), F.lit(1).cast("long")).otherwise(F.col("_n"))
+    faults = counted.select("page", "id", F.coalesce("fault", F.lit("repeated_id")).alias("fault"), F.explode(F.sequence(F.lit(1).cast("long"), times)).alias("_k")).drop("_k")
+    return features, faults
 
 
 def daily_discharge(features: DataFrame, series: DataFrame, start: Column, stop: Column) -> DataFrame:

@@ -1,5 +1,6 @@
 """Queries whose memory or time outgrew their input: what their plans hold, and rows that the leaner plans must not lose."""
 
+import json
 import re
 
 from pyspark.sql import functions as F
@@ -28,3 +29,20 @@ def test_hourly_leads(spark):
 
 def test_hourly_statistic_shuffles_once(spark):
     assert len(re.findall(r"Exchange hashpartitioning", plan_of(spark, "src21_hourly_statistic_checked"))) <= 1
+
+
+def test_faults_of_pages(spark):
+    page = lambda ids, n: json.dumps({"type": "FeatureCollection", "numberReturned": n, "features": [{"id": i, "properties": {}} for i in ids]})
+    rows = [(1, page(["a", "", "", None, "b"], 5)), (2, page(["b", "b", "c"], 4)), (3, "no json"), (3, "no json"), (None, page([""], 2)), (None, page(["", "d"], 2))]
+    faults = normalize.paged_features(spark.createDataFrame(rows, "page long, text string"), "page", "text")[1]
+    assert sorted(map(tuple, faults.collect()), key=str) == sorted([
+        (1, "", "missing_id"), (1, "", "missing_id"), (1, None, "missing_id"), (2, None, "count"), (None, "b", "repeated_id"), (3, None, "invalid"), (3, None, "invalid"),
+        (None, None, "count"), (None, "", "missing_id"), (None, "", "missing_id"),
+    ], key=str)
+
+
+def test_pages_are_read_once(spark):
+    plan = plan_of(spark, "src12_paged_feature_faults")
+    assert plan.count("collect_list") <= 2 and "Union" not in plan
+    # pages gather numbers, not the features made from them
+    assert not re.search(r"collect_list\([^\n]*ft\^3/s", plan)
