@@ -112,23 +112,48 @@ def discharge_report(records: DataFrame, series: DataFrame, start: Column, stop:
     without valid days has a completeness of 0 and a gap of the whole period. ``full_years`` counts calendar years wholly inside the
     observed span with at least the share ``full`` of their days.
     """
-    key = ["station"]
-    days = discharge_days(records, series)
-    valid = days.where("valid")
-    counts = days.groupBy("station").agg(F.count_if("conflict").alias("conflicts"), F.count_if("approved").alias("approved_days"), F.count_if("estimated").alias("estimated_days"), F.min(F.when(F.col("valid"), F.col("day"))).alias("first_day"), F.max(F.when(F.col("valid"), F.col("day"))).alias("last_day"))
-    rows = records.groupBy("station").agg(F.count("*").alias("rows"), F.countDistinct("series").alias("series_returned"), F.count_if(F.col("discharge") < 0).alias("negative_rows"))
-    policy = series.groupBy("station").agg(F.when(F.bool_or(F.coalesce(F.col("primary"), F.lit(False))), "primary_only").otherwise("nonprimary_no_primary_metadata").alias("policy"))
-    named = lambda df, name: df.select("station", *(F.col(c).alias(f"{name}_{c}") for c in ("expected_days", "valid_days", "completeness", "longest_gap")))
-    observed = span_metrics(valid, key, "day").select("station", "expected_days", "valid_days", "completeness", "longest_gap")
-    asked = padded_span(valid, key, "day", start, stop)
-    annual = annual_completeness(valid, key, "day").withColumn("_length", F.datediff(F.make_date("year", F.lit(12), F.lit(31)), F.make_date("year", F.lit(1), F.lit(1))) + 1)
-    years = annual.groupBy("station").agg(F.count("*").alias("years_with_data"), F.count_if((F.col("expected_days") == F.col("_length")) & (F.col("completeness") >= full)).alias("full_years"))
-    out = policy
-    for part in (rows, counts, named(observed, "observed"), named(asked, "requested"), years):
-        out = out.join(part, "station", "left")
+    # records and series are dealt out once, by station; all that follows stays where it is
+    yes = lambda ok: F.coalesce(ok, F.lit(False))
+    number, estimated = F.col("discharge").isNotNull(), F.upper("qualifier").contains("ESTIM") | (F.lower("qualifier") == "e")
+    told = series.select("station", "series", F.lit(True).alias("_known"), yes(F.col("primary")).alias("_primary"))
+    given = records.where("station is not null").select(
+        "station", "series", F.lit(False).alias("_known"), F.lit(False).alias("_primary"), "day", "discharge", (number & yes(F.col("approval") == "Approved")).alias("approved"), (number & yes(estimated)).alias("estimated")
+    )
+    each = given.unionByName(told, allowMissingColumns=True).repartition("station")
+    of_series, station = Window.partitionBy("station", "series"), Window.partitionBy("station")
+    each = each.withColumns({"_first": F.row_number().over(of_series.orderBy("_known")) == 1, "_asked": F.max("_known").over(of_series) & F.col("series").isNotNull(), "_main": F.max("_primary").over(of_series)})
+    each = each.withColumns({"_any": F.max("_primary").over(station), "_there": F.max("_known").over(station)}).where("_there")
+    record = ~F.col("_known")
+    mine = lambda c: F.when(record & F.col("_asked") & (F.col("_main") | ~F.col("_any")), F.col(c))
+    days = each.groupBy("station", "day").agg(
+        F.max("_any").alias("_any"), F.count_if(record).alias("rows"), F.count_if(record & (F.col("discharge") < 0)).alias("negative_rows"), F.count_if(record & F.col("_first") & F.col("series").isNotNull()).alias("series_returned"),
+        F.min(mine("discharge")).alias("_a"), F.max(mine("discharge")).alias("_z"), F.bool_or(mine("approved")).alias("approved"), F.bool_or(mine("estimated")).alias("estimated"),
+    )
+    conflict = yes(F.col("_a") != F.col("_z"))
+    day = F.when(F.col("_a").isNotNull() & ~conflict, F.col("day"))
+    before = F.last("_day", ignorenulls=True).over(station.orderBy("day").rowsBetween(Window.unboundedPreceding, -1))
+    days = days.withColumns({"conflict": conflict, "valid": F.col("_a").isNotNull() & ~conflict, "_day": day}).withColumns({"_before": before, "_asked": F.col("valid") & yes(F.col("day").between(start, stop))})
+    inner = F.datediff("day", F.greatest(F.coalesce("_before", F.date_sub(start, 1)), F.date_sub(start, 1))) - 1
+    years = days.groupBy("station", F.year("day").alias("_year")).agg(
+        F.max("_any").alias("_any"), *(F.sum(c).alias(c) for c in ("rows", "negative_rows", "series_returned")), F.count_if("conflict").alias("conflicts"), F.count_if(F.col("valid") & F.col("approved")).alias("approved_days"),
+        F.count_if(F.col("valid") & F.col("estimated")).alias("estimated_days"), F.min("_day").alias("first_day"), F.max("_day").alias("last_day"), F.count_if("valid").alias("_valid"),
+        F.max(F.when(F.col("valid"), F.coalesce(F.datediff("day", "_before") - 1, F.lit(0)))).alias("_gap"), F.count_if("_asked").alias("requested_valid_days"), F.max(F.when(F.col("_asked"), inner)).alias("_inner"), F.max(F.when(F.col("_asked"), F.col("day"))).alias("_last"),
+    )
+    one, other = F.make_date("_year", F.lit(1), F.lit(1)), F.make_date("_year", F.lit(12), F.lit(31))
+    years = years.withColumn("_full", (one >= F.min("first_day").over(station)) & (other <= F.max("last_day").over(station)) & (F.col("_valid") / (F.datediff(other, one) + 1) >= full))
+    out = years.groupBy("station").agg(
+        F.when(F.max("_any"), "primary_only").otherwise("nonprimary_no_primary_metadata").alias("policy"), *(F.sum(c).alias(c) for c in ("rows", "series_returned", "negative_rows", "conflicts", "approved_days", "estimated_days")),
+        F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"), F.sum("_valid").alias("_valid"), F.max("_gap").alias("observed_longest_gap"), F.sum("requested_valid_days").alias("requested_valid_days"),
+        F.max("_inner").alias("_inner"), F.max("_last").alias("_last"), F.count_if(F.col("_valid") > 0).alias("years_with_data"), F.count_if("_full").alias("full_years"),
+    )
     length = F.datediff(stop, start) + 1
-    none = {c: F.coalesce(c, F.lit(0)) for c in ("rows", "series_returned", "negative_rows", "conflicts", "approved_days", "estimated_days", "requested_valid_days", "years_with_data", "full_years")}
-    return out.withColumns(none | {"requested_expected_days": length, "requested_completeness": F.coalesce("requested_completeness", F.lit(0.0)), "requested_longest_gap": F.coalesce("requested_longest_gap", length)})
+    out = out.withColumns({"observed_expected_days": F.datediff("last_day", "first_day") + 1, "observed_valid_days": F.when(F.col("_valid") > 0, F.col("_valid")), "requested_expected_days": length})
+    out = out.withColumns({
+        "observed_completeness": F.col("observed_valid_days") / F.col("observed_expected_days"), "requested_longest_gap": F.coalesce(F.greatest("_inner", F.datediff(stop, F.col("_last"))), length),
+        "requested_completeness": F.when(F.col("requested_valid_days") > 0, F.col("requested_valid_days") / length).otherwise(F.lit(0.0)),
+    })
+    spans = [f"{of}_{c}" for of in ("observed", "requested") for c in ("expected_days", "valid_days", "completeness", "longest_gap")]
+    return out.select("station", "policy", "rows", "series_returned", "negative_rows", "conflicts", "approved_days", "estimated_days", "first_day", "last_day", *spans, "years_with_data", "full_years")
 
 
 def histogram(records: DataFrame, by: list[str], *columns: str) -> DataFrame:

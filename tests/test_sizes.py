@@ -2,9 +2,11 @@
 
 import json
 import re
+from datetime import date
 
 from pyspark.sql import functions as F
 
+from gridflume.operators import observations
 from gridflume.plans import registry
 from gridflume.sources import normalize
 from test_oracles import SF
@@ -46,3 +48,22 @@ def test_pages_are_read_once(spark):
     assert plan.count("collect_list") <= 2 and "Union" not in plan
     # pages gather numbers, not the features made from them
     assert not re.search(r"collect_list\([^\n]*ft\^3/s", plan)
+
+
+def test_report_of_odd_records(spark):
+    d = date(2020, 3, 1)
+    rows = [("A", "p", d, 1.0), ("A", None, d, 2.0), ("A", "gone", d, -3.0), ("A", "p", date(2020, 3, 5), 2.0), ("A", "p", date(2019, 1, 1), 1.0), (None, "p", d, 1.0), ("Z", "p", d, 1.0), ("B", "n", d, None)]
+    records = spark.createDataFrame(rows, "station string, series string, day date, discharge double").withColumns({"approval": F.lit("Approved"), "qualifier": F.lit(None).cast("string")})
+    series = spark.createDataFrame([("A", "p", None), ("A", None, True), ("B", "n", True), (None, "p", True)], "station string, series string, primary boolean")
+    out = {r["station"]: r for r in observations.discharge_report(records, series.where("series is not null"), F.lit("2020-02-28").cast("date"), F.lit("2020-03-10").cast("date")).collect()}
+    assert set(out) == {"A", "B", None} and out[None]["rows"] == out[None]["requested_valid_days"] == 0 and out["B"]["rows"] == 1 and out["B"]["first_day"] is None
+    a = out["A"]
+    assert (a["rows"], a["series_returned"], a["negative_rows"], a["approved_days"], a["first_day"], a["last_day"]) == (5, 2, 1, 3, date(2019, 1, 1), date(2020, 3, 5))
+    assert (a["observed_valid_days"], a["observed_longest_gap"], a["requested_valid_days"], a["requested_longest_gap"], a["years_with_data"], a["full_years"]) == (3, 424, 2, 5, 2, 0)
+    # a primary series without a name is nobody's, but its station has a primary one
+    assert {r["station"]: r["observed_valid_days"] for r in observations.discharge_report(records, series, F.lit("2020-02-28").cast("date"), F.lit("2020-03-10").cast("date")).collect()}["A"] is None
+
+
+def test_report_reads_pages_once(spark):
+    # orders as pages, and twice as series: known to the provider and to the report
+    assert len(re.findall(r"Scan parquet", plan_of(spark, "obs03_discharge_report"))) <= 3
