@@ -159,7 +159,8 @@ def near_copies(docs: DataFrame, radius: int = 2) -> DataFrame:
     signed = named.mapInArrow(_signed, docs.select("doc_id").schema.add("node", "long").add("fp", "long").add("size", "long").add("bands", ArrayType(LongType())).add("minima", "binary"))
     signed = staged(signed, "signed")
     fps = signed.select("fp").distinct()
-    linked = components(near_edges(signed, radius))
+    # edges are staged before they are joined up: else one task holds two Python workers, and an executor keeps twice as many
+    linked = components(staged(near_edges(signed, radius), "near_edges"))
     groups = staged(fps.join(linked, fps.fp == linked.node, "left").select("fp", F.coalesce("root", "fp").alias("root")), "groups")
 
     placed = signed.select("node", "fp", "size", F.explode("bands").alias("band")).distinct()
@@ -188,7 +189,8 @@ def near_copies(docs: DataFrame, radius: int = 2) -> DataFrame:
     left = members.select("class", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), *columns)
     right = members.select("class", F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"), *columns)
     tile = ["class", "i", "j"]
-    groups = _regrouped(groups, left.groupBy(*tile).cogroup(right.groupBy(*tile)).applyInPandas(_tile_edges, "u long, v long"))
+    apart = left.groupBy(*tile).cogroup(right.groupBy(*tile)).applyInPandas(_tile_edges, "u long, v long")
+    groups = _regrouped(groups, staged(apart, "tile_edges"))
 
     rooted = signed.select("doc_id", "node", "fp").join(groups, "fp").select("doc_id", "node", "root")
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -67,3 +67,17 @@ def test_report_of_odd_records(spark):
 def test_report_reads_pages_once(spark):
     # orders as pages, and twice as series: known to the provider and to the report
     assert len(re.findall(r"Scan parquet", plan_of(spark, "obs03_discharge_report"))) <= 3
+
+
+def test_near_copies_join_staged_edges(spark, monkeypatch):
+    """Edges are read from the shared folder when they are joined up: no task then runs two Python steps at once."""
+    from gridflume.llm import near_copies
+
+    plans, real = [], near_copies.components
+    monkeypatch.setattr(near_copies, "components", lambda edges: plans.append(edges._jdf.queryExecution().executedPlan().toString()) or real(edges))
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:58], "x", "y"])), (3, "other text that is alone here"), (None, " ".join(words)), (4, None)]
+    out = near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in out} == {(1, 1), (2, 1), (3, 3), (None, 1), (4, 4)}
+    assert len(plans) == 4 and not any(re.search(r"MapInArrow.*\n(?!.*Exchange)", p) and "Exchange" not in p for p in plans)
+    assert not any(p.count("FlatMapCoGroups") for p in plans)
