@@ -15,6 +15,8 @@ from .common import shared_dir
 SALTS = 64
 #: Edges that a worker thins at once.
 EDGES = 1 << 20
+#: Edges in a part of a round, about, and parts at least: each task of a shuffle leaves files, and rounds shuffle often.
+PART_EDGES, LEAST_PARTS = 50_000, 8
 
 
 def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -54,29 +56,30 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield thinned()
 
 
-def _settled(edges: DataFrame) -> bool:
+def _settled(edges: DataFrame, parts: int) -> bool:
     """Whether each node with an edge down has one only, and none leads to it: then all edges end at roots."""
     ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(edges.select("v", F.lit(0), F.lit(1)))
-    return not ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down + up > 1 and down > 0").take(1)
+    return not ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down + up > 1 and down > 0").coalesce(parts).take(1)
 
 
-def _with_least(edges: DataFrame) -> DataFrame:
+def _with_least(edges: DataFrame, parts: int) -> DataFrame:
     """Edges (u, v) with ``m``, the least v of their u, found and joined in parts so that no task gets a whole hub."""
     dealt = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
-    partial = dealt.groupBy("u", "salt").agg(F.min("v").alias("m"))
+    partial = dealt.groupBy("u", "salt").agg(F.min("v").alias("m")).coalesce(parts)
     least = partial.groupBy("u").agg(F.min("m").alias("m"))
-    return dealt.join(partial.select("u", "salt").join(least, "u"), ["u", "salt"]).select("u", "v", "m")
+    known = partial.select("u", "salt").join(least, "u").coalesce(parts)
+    return dealt.join(known, ["u", "salt"]).select("u", "v", "m").coalesce(parts)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = _with_least(edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+def _large_star(edges: DataFrame, parts: int) -> DataFrame:
+    both = _with_least(edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), parts)
     return both.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    down = _with_least(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+def _small_star(edges: DataFrame, parts: int) -> DataFrame:
+    down = _with_least(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), parts)
     # each edge moves to the least neighbour, and the one to that neighbour stays
-    return down.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct()
+    return down.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct().coalesce(parts)
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -85,18 +88,21 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     ``edges`` has the long columns ``u`` and ``v``. Null ends and loops are ignored, repeated and
     mirrored edges count once, an empty table gives an empty result. The edges stay in Spark; batches
     are thinned to what they connect first, a hub's edges are dealt over tasks, and each round is
-    checkpointed in the shared folder, so it survives lost executors.
+    checkpointed in the shared folder, so it survives lost executors. A round has as many parts as
+    its edges ask for, however many the session's shuffles have.
     """
     spark = edges.sparkSession
     shared_dir(spark)
     now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     now = now.mapInArrow(_forest, "u long, v long").distinct().checkpoint()
+    parts = max(LEAST_PARTS, -(-now.count() // PART_EDGES))
+    now = now.coalesce(parts)
     for _ in range(most_rounds):
-        if _settled(now):
+        if _settled(now, parts):
             break
         # apart, for a plan of both reads the edges many times over
-        now = _small_star(_large_star(now).checkpoint()).checkpoint()
+        now = _small_star(_large_star(now, parts).checkpoint(), parts).checkpoint()
     else:
         raise RuntimeError("components did not converge")
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return roots.union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    return roots.union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct().coalesce(parts))

@@ -81,3 +81,24 @@ def test_near_copies_join_staged_edges(spark, monkeypatch):
     assert {(r["doc_id"], r["component_id"]) for r in out} == {(1, 1), (2, 1), (3, 3), (None, 1), (4, 4)}
     assert len(plans) == 4 and not any(re.search(r"MapInArrow.*\n(?!.*Exchange)", p) and "Exchange" not in p for p in plans)
     assert not any(p.count("FlatMapCoGroups") for p in plans)
+
+
+def test_components_shuffle_no_more_parts_than_edges_ask_for(spark):
+    """Each task of a shuffle leaves files: rounds over few edges must not have as many tasks as the session's shuffles."""
+    from gridflume.llm import components
+
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tracker, group = spark.sparkContext.statusTracker(), "few-edges"
+        spark.sparkContext.setJobGroup(group, group)
+        edges = [(i, i + 1) for i in range(30)] + [(100 + i, 99) for i in range(30)]
+        found = components.components(spark.createDataFrame(edges, "u long, v long").repartition(6))
+        assert {(r["node"], r["root"]) for r in found.collect()} == {(i, 0) for i in range(31)} | {(99 + i, 99) for i in range(31)}
+        stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+        wide = [s for s in stages if (info := tracker.getStageInfo(s)) and info.numCompletedTasks >= 40]
+        assert len(wide) <= 8, f"{len(wide)} of {len(stages)} stages"
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
