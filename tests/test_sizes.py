@@ -102,3 +102,19 @@ def test_components_shuffle_no_more_parts_than_edges_ask_for(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    """A job of many steps would else hold the shuffles of all of them until the driver collects garbage."""
+    from pathlib import Path
+
+    from gridflume.llm.common import staged
+
+    folder = Path(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].getPath())
+    known = set(folder.rglob("shuffle_*.data"))
+    df = spark.range(5000).selectExpr("id % 977 as k").groupBy("k").count()
+    table = staged(df, "left")
+    assert table.count() == 977 and {tuple(r) for r in table.where("k < 2").collect()} == {(0, 6), (1, 6)}
+    assert staged(df.select("k").join(table, "k"), "left").count() == 977
+    left = {p for p in set(folder.rglob("shuffle_*.data")) - known if p.stat().st_size > 3000}
+    assert not left, left
