@@ -138,6 +138,8 @@ def train(docs: DataFrame, order: int = 2) -> tuple[list[DataFrame], dict]:
         whole = F.when(F.col("kept") < F.col("all"), F.col("all")).otherwise(F.col("all") + 1)
         weight = (1 - F.col("kept") / F.col("whole")) / F.greatest(1 - F.col("covered"), F.lit(1e-12))
         contexts = sums.withColumn("whole", whole).select(F.col(context).alias("context"), "whole", weight.alias("weight"))
+        # apart, so that the shuffles which find them are gone when grams are shuffled again
+        contexts = staged(contexts, f"contexts{level}")
         seen = grams.select(F.col(context).alias("context"), "w", "n").join(contexts, "context").select("context", "w", (d / F.col("whole")).alias("p"))
         weights = contexts.select("context", F.lit(None).cast("long").alias("w"), F.col("weight").alias("p"))
         tables.append(staged(seen.unionByName(weights).withColumn("part", part(F.col("context"))), f"katz{level}", "part"))

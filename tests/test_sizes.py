@@ -118,3 +118,15 @@ def test_staged_tables_leave_no_shuffle_files(spark):
     assert staged(df.select("k").join(table, "k"), "left").count() == 977
     left = {p for p in set(folder.rglob("shuffle_*.data")) - known if p.stat().st_size > 3000}
     assert not left, left
+
+
+def test_katz_contexts_are_staged_apart(spark, monkeypatch):
+    """Disk then holds either the shuffles that find contexts or those that meet them with their grams, not both."""
+    from gridflume.llm import katz
+
+    plans, real = {}, katz.staged
+    monkeypatch.setattr(katz, "staged", lambda df, name, *by: plans.update({name: df._jdf.queryExecution().executedPlan().toString()}) or real(df, name, *by))
+    rows = [(i, f"a b c{i % 3} a b d{i % 2}") for i in range(12)]
+    out = katz.scored(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") == 1, 3).collect()
+    assert len(out) == 12 and all(r["score"] < 0 for r in out)
+    assert not any("SUM(" in plans[k].upper() for k in ("katz2", "katz3"))
