@@ -7,15 +7,26 @@ probabilities sum to one over the training words and one unknown word. A token i
 highest order; if it isn't there, its context's weight is applied and the next lower one is asked.
 
 Words are 64-bit hashes of their bytes, contexts hashes of their words' hashes.
+
+To score texts, no row per n-gram is shuffled. Texts are staged as chunks of numbered words. At each
+order a chunk asks the buckets, to which contexts are dealt, for its different n-grams, in one packed
+row a bucket; a bucket counts what all chunks hold and answers each with counts, which are small and
+pack well. A frequent context is dealt out by its words as well, and what its parts leave is summed
+apart. The next order asks with the counts of the order below, and texts meet all answers at last.
+Here words are numbered by falling counts, so that a context of two words is told exactly by its numbers.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import struct
+from collections.abc import Iterator, Sequence
+from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +37,11 @@ DISCOUNTED = 5
 #: Parts of a stored n-gram table.
 PARTS = 32
 #: Not words: they hold a space.
-START, END = xxhash.xxh64_intdigest(b" start"), xxhash.xxh64_intdigest(b" end")
+END_WORD = b" end"
+START, END = xxhash.xxh64_intdigest(b" start"), xxhash.xxh64_intdigest(END_WORD)
 CACHE = 500_000
+#: Tokens of a chunk, and of a bucket on average; buckets at least.
+CHUNK, BUCKET, LEAST_BUCKETS = 1 << 21, 2_000_000, 8
 
 
 class _WordHashes(dict):
@@ -146,6 +160,334 @@ def train(docs: DataFrame, order: int = 2) -> tuple[list[DataFrame], dict]:
     return tables, {"tokens": total, "words": kinds, "unknown": left}
 
 
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of whole numbers as planes of their bytes, compressed: planes of high bytes are nearly empty."""
+    out = []
+    for a in arrays:
+        bits = np.ascontiguousarray(a).astype(np.uint64, copy=False)
+        width = (int(bits.max(initial=0)).bit_length() + 7) // 8
+        planes = bits.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+        data = pa.compress(planes, "zstd", asbytes=True) if planes else b""
+        out += [struct.pack("<QQB", len(data), len(bits), width), data]
+    return b"".join(out)
+
+
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(data):
+        size, n, width = struct.unpack_from("<QQB", data, at)
+        at += 17
+        bits = np.zeros((n, 8), np.uint8)
+        if width:
+            planes = pa.decompress(data[at : at + size], n * width, "zstd", asbytes=True)
+            bits[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
+        out.append(bits.reshape(-1).view(np.int64))
+        at += size
+    return out
+
+
+class _Numbers(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self) + 1
+        return n
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``CHUNK`` tokens or a bit more: their documents, hashes of their words, and the texts in numbers of these.
+
+    Number 0 stands before each document, the others are the words from 1 as they come. The first 16 bits
+    of a hash, which choose its bucket, are kept apart: later orders need no more of it.
+    """
+    part, made = TaskContext.get().partitionId(), 0
+    for b in batches:
+        numbers, texts, size, begin = _Numbers(), [], 0, 0
+        for i, text in enumerate(utf8_texts(b.column("text")), 1):
+            words = text.lower().split()
+            texts.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+            size += len(words) + 1
+            if size >= CHUNK or i == b.num_rows:
+                end = [numbers[END_WORD]]
+                stream = np.concatenate([x for t in texts for x in ([0], t, end)])
+                hashes = np.fromiter(map(xxhash.xxh64_intdigest, numbers), np.uint64, len(numbers))
+                docs = [pa.ListArray.from_arrays(pa.array([0, i - begin], pa.int32()), b.column(c).slice(begin, i - begin)) for c in ("doc_id", "held_out")]
+                row = [pa.array([part << 32 | made], pa.int64()), *docs, pa.array([size], pa.int64()), *[pa.array([_packed(x)], pa.binary()) for x in (hashes >> np.uint64(48), hashes & np.uint64((1 << 48) - 1), stream)]]
+                yield pa.RecordBatch.from_arrays(row, names=["chunk", "doc_id", "held_out", "size", "deal", "words", "stream"])
+                numbers, texts, size, begin, made = _Numbers(), [], 0, i, made + 1
+
+
+def _factored(n: np.ndarray, factors: list[float]) -> np.ndarray:
+    """Discounted counts."""
+    low = np.array([0.0, *[r * d for r, d in enumerate(factors, 1)]])
+    return np.where(n <= DISCOUNTED, low[np.minimum(n, DISCOUNTED)], n)
+
+
+def _left(context: np.ndarray, n: int, count: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Of each of ``n`` contexts: the sum of its n-grams' counts and how many have a count of 1, 2, ...; the same of the counts one level below."""
+    out = []
+    for x in (count, lower):
+        out.append(np.bincount(context, x, n).astype(np.int64))
+        low = np.flatnonzero(x <= DISCOUNTED)
+        each = np.bincount(context[low] * DISCOUNTED + x[low] - 1, minlength=n * DISCOUNTED) if len(low) else np.zeros(n * DISCOUNTED, np.int64)
+        out.extend(each.reshape(n, DISCOUNTED).T)
+    return np.stack(out)
+
+
+def _totals(count: np.ndarray) -> np.ndarray:
+    """Of n-grams: how many there are, their counts' sum, and how many have a count of 1, 2, ... one more than are discounted."""
+    return np.r_[(count > 0).sum(), count.sum(), np.bincount(count[count <= DISCOUNTED + 1], minlength=DISCOUNTED + 2)[1:]]
+
+
+def _freed(low: np.ndarray, factors: list[float]) -> np.ndarray:
+    """What discounting takes, from how many counts are 1, 2, ..."""
+    return sum(r * (1 - d) * x for (r, d), x in zip(enumerate(factors, 1), low, strict=True))
+
+
+def _bucket(x: np.ndarray, buckets: int) -> np.ndarray:
+    x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((x ^ x >> np.uint64(32)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)) % np.uint64(buckets)
+
+
+def _slices(of: np.ndarray, buckets: int) -> list[int]:
+    return np.searchsorted(of, np.arange(buckets + 1)).tolist()
+
+
+class _Chunk:
+    """A chunk's n-grams, level by level, as far as they have been answered."""
+
+    def __init__(self, row: dict, model: dict) -> None:
+        self.model, self.level = model, 1
+        (deal,), (self.stream,) = _unpacked(row["deal"]), _unpacked(row["stream"])
+        self.hashes = deal << 48 | _unpacked(row["words"])[0] if "words" in row else None
+        self.start = self.stream == 0
+        self.doc = np.cumsum(self.start) - 1
+        learned = np.array([x is False for x in row["held_out"]], bool)
+        self.learned = learned[self.doc] & ~self.start
+        self.held = ~self.learned & ~self.start
+        # of the level reached: which n-gram each place has, how often the chunk's training texts have each, and its other texts
+        self.gram = self.stream
+        self.own, self.more = (np.bincount(self.stream[x], minlength=len(deal) + 1) for x in (self.learned, self.held))
+        self.order = np.argsort(bucket := _bucket(deal, model["buckets"]), kind="stable")
+        self.cuts = _slices(bucket[self.order], model["buckets"])
+
+    def asks(self) -> Iterator[tuple[int, bytes]]:
+        """What each bucket is asked at this level."""
+        if self.level == 1:
+            for k, (a, z) in enumerate(pairwise(self.cuts)):
+                if a < z:
+                    own = self.order[a:z]
+                    yield k, _packed(self.hashes[own], self.own[own + 1], self.more[own + 1])
+            return
+        ids, told = self.ids[self.word], _totals(self.own[self.alone])
+        for k, (a, z) in enumerate(pairwise(self.cuts)):
+            if a < z or k == self.first:
+                own = self.asked[self.at[a] : self.at[z]]
+                keys = self.keys[a:z]
+                yield k, _packed(np.diff(keys, prepend=np.int64(0)), self.sizes[a:z], self.hot[a:z], ids[own], self.own[own], self.more[own], self.lower[own], told * (k == self.first))
+
+    def up(self) -> None:
+        """Go to the next level's n-grams: a context, an n-gram of the level before, and a word."""
+        self.level += 1
+        before, n = self.gram, len(self.ids)
+        context = np.where(self.start, before, np.r_[before[:1], before[:-1]])
+        kinds, self.gram = np.unique(context * n + self.stream, return_inverse=True)
+        self.context, self.word = kinds // n, kinds % n
+        here = (self.count == self.own) & (self.rest == self.more)
+        self.own, self.more = (np.bincount(self.gram[x], minlength=len(kinds)) for x in (self.learned, self.held))
+        self.suffix = np.zeros(len(kinds), np.int64)
+        self.suffix[self.gram] = before
+        self.lower, first = self.count[self.suffix], before[0] if len(before) else 0
+        # contexts that no training text has tell nothing; those of a document's start are frequent
+        known, often = self.count > 0, self.count + self.rest >= self.model["often"]
+        known[first] = often[first] = True
+        # a context that no other chunk has is known here as a whole
+        alone = known & here
+        alone[first] = False
+        self.alone = np.flatnonzero(alone[self.context])
+        asked = np.flatnonzero((known & ~alone)[self.context] & (self.word > 0))
+        mine, frequent = self.context[asked], often[self.context[asked]]
+        # a part is a context with its words, or one word of a frequent context, whose words are dealt out over the buckets
+        begins = np.flatnonzero(frequent | (np.diff(mine, prepend=-1) != 0))
+        sizes, hot = np.diff(begins, append=len(asked)), frequent[begins]
+        keys = self.key[mine[begins]]
+        salt = np.where(hot, self.ids[self.word[asked[begins]]] + 1, 0) * 0x2545F4914F6CDD1D
+        bucket = _bucket(keys ^ salt, self.model["buckets"])
+        order = np.argsort(keys, kind="stable")
+        order = order[np.argsort(bucket[order], kind="stable")]
+        self.cuts = _slices(bucket[order], self.model["buckets"])
+        self.first = int(bucket[order[0]]) if len(order) else 0
+        self.keys, self.sizes, self.hot = keys[order], sizes[order], hot[order]
+        self.at = np.r_[0, np.cumsum(self.sizes)]
+        self.asked = asked[np.repeat(begins[order] - self.at[:-1], self.sizes) + np.arange(len(asked))]
+        self.parts = mine[begins][order]
+
+    def _joined(self, answers: dict[int, bytes]) -> list[np.ndarray]:
+        """Buckets in their order; one that was told the chunk's totals alone has nothing to add."""
+        found = [_unpacked(answers[k]) for k, (a, z) in enumerate(pairwise(self.cuts)) if a < z]
+        return [np.concatenate(x) for x in zip(*found, strict=True)]
+
+    def answered(self, answers: dict[int, bytes], left: dict[int, bytes] | None) -> None:
+        """Take the answers of this level's buckets: counts of n-grams and, where texts are scored, what contexts leave to the level below."""
+        m = self.model
+        if self.level == 1:
+            self.count, self.rest, self.ids = np.zeros((3, len(self.own)), np.int64)
+            for to, x in zip((self.count, self.rest, self.ids), self._joined(answers), strict=True):
+                to[self.order + 1] = x
+            self.key, self.known = self.ids, self.count
+            with np.errstate(divide="ignore"):
+                p = np.log10(_factored(self.count, m["factors"][0]) * m["share"])
+            self.done = np.where(self.count > 0, p, np.log10(m["unknown"]))
+            return
+        n = len(self.count)
+        self.count, self.rest = np.zeros((2, len(self.context)), np.int64)
+        self.count[self.alone], self.rest[self.alone] = self.own[self.alone], self.more[self.alone]
+        if len(self.asked):
+            self.count[self.asked], self.rest[self.asked] = self._joined(answers)
+        if left is not None:
+            self._weigh(n, left)
+        # n-grams are the next level's contexts
+        key, word = self.key[self.context], self.ids[self.word]
+        if self.level == 2:
+            self.key = key << 32 | word
+        else:
+            mixed = (key.astype(np.uint64) ^ word.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+            self.key = (mixed ^ mixed >> np.uint64(31)).view(np.int64)
+
+    def _weigh(self, n: int, left: dict[int, bytes]) -> None:
+        """The probabilities of this level's n-grams, from what their ``n`` contexts leave."""
+        m = self.model
+        seen = self.alone[self.own[self.alone] > 0]
+        stats = _left(self.context[seen], n, self.own[seen], self.lower[seen])
+        if len(self.asked):
+            stats[:, self.parts[~self.hot]] = self._joined(left)
+            keys, sums = m["frequent"][self.level - 2]
+            stats[:, self.parts[self.hot]] = sums[:, np.searchsorted(keys, self.keys[self.hot])]
+        # of each context: all counts, whole (a context that frees nothing leaves one count's share), and the backoff weight
+        every, low, covered, below = stats[0], stats[1 : DISCOUNTED + 1], stats[DISCOUNTED + 1], stats[DISCOUNTED + 2 :]
+        freed, covered = _freed(low, m["factors"][self.level - 1]), covered - _freed(below, m["factors"][self.level - 2])
+        whole = np.where(freed > 0, every, every + 1)
+        share = m["share"] if self.level == 2 else 1 / self.whole[self.behind]
+        weight = np.where(freed > 0, freed, 1) / whole / np.maximum(1 - covered * share, 1e-12)
+        weight = np.where(every > 0, np.log10(weight), 0.0)
+        with np.errstate(divide="ignore"):
+            seen = np.log10(_factored(self.count, m["factors"][self.level - 1]) / whole[self.context])
+        self.done = np.where(self.count > 0, seen, weight[self.context] + self.done[self.suffix])
+        # an n-gram's context at the next level becomes one of this level without its first word
+        self.whole, self.behind = whole, self.suffix
+
+    def rows(self) -> list[np.ndarray]:
+        """Of each document: n_tokens, n_known, base_score, score."""
+        m, n = self.model, int(self.start.sum())
+        told = ~self.start
+        doc, known = self.doc[told], self.known[self.stream[told]]
+        base = np.log10((known + 1) / float(m["tokens"] + m["words"] + 1))
+        done = self.done[self.gram[told]] if m["tokens"] else np.zeros(len(doc))
+        return [np.bincount(doc, minlength=n), np.bincount(doc[known > 0], minlength=n), np.bincount(doc, base, n), np.bincount(doc, done, n)]
+
+
+def _word_bucket(buckets: int):
+    def run(key: tuple, asked: pa.Table) -> pa.Table:
+        """Count a bucket's words and number them, the frequent ones low."""
+        bucket, blobs = key[0].as_py(), list(map(_unpacked, asked.column("ask").to_pylist()))
+        hashes, own, more = (np.concatenate(x) for x in zip(*blobs, strict=True))
+        _, inverse = np.unique(hashes, return_inverse=True)
+        count, rest = (np.bincount(inverse, x).astype(np.int64) for x in (own, more))
+        rank = np.zeros(len(count), np.int64)
+        rank[np.argsort(-count, kind="stable")] = np.arange(len(count))
+        ids = np.where(count > 0, 1 + rank * buckets + bucket, 0)
+        cuts = np.cumsum([0, *[len(b[0]) for b in blobs]])
+        answers = [_packed(count[inverse[a:z]], rest[inverse[a:z]], ids[inverse[a:z]]) for a, z in pairwise(cuts)]
+        return _answer_rows(bucket, asked.column("chunk").to_pylist(), answers, [None] * len(answers), _totals(count))
+
+    return run
+
+
+def _gram_bucket(key: tuple, asked: pa.Table) -> pa.Table:
+    """Count a bucket's n-grams, and what its contexts leave."""
+    bucket, blobs = key[0].as_py(), list(map(_unpacked, asked.column("ask").to_pylist()))
+    steps, sizes, hot, word, own, more, lower, told = zip(*blobs, strict=True)
+    del blobs
+    contexts, part = np.unique(np.concatenate([np.cumsum(x) for x in steps]), return_inverse=True)
+    at, to = np.cumsum([0, *map(len, steps)]), np.cumsum([0, *map(len, word)])
+    hot = np.concatenate(hot).astype(bool)
+    grams, inverse = np.unique(np.repeat(part, np.concatenate(sizes)) << 32 | np.concatenate(word), return_inverse=True)
+    count, rest = (np.bincount(inverse, np.concatenate(x), len(grams)).astype(np.int64) for x in (own, more))
+    below = np.zeros(len(grams), np.int64)
+    below[inverse] = np.concatenate(lower)
+    seen = np.flatnonzero(count)
+    stats = _left((grams >> 32)[seen], len(contexts), count[seen], below[seen])
+    answers = [_packed(count[inverse[b:y]], rest[inverse[b:y]]) for b, y in pairwise(to)]
+    left = [_packed(*stats[:, part[a:z][~hot[a:z]]]) for a, z in pairwise(at)]
+    frequent = np.unique(part[hot])
+    return _answer_rows(bucket, asked.column("chunk").to_pylist(), answers, left, _totals(count) + sum(told), contexts[frequent], stats[:, frequent])
+
+
+#: Sums over a bucket, or of a frequent context in it.
+_SUMS = [f"s{r}" for r in range(2 * DISCOUNTED + 2)]
+_ANSWERS = "chunk long, bucket int, answer binary, left binary, key long, " + ", ".join(f"{s} long" for s in _SUMS)
+
+
+def _answer_rows(bucket: int, chunks: list[int], answers: list[bytes], left: list[bytes | None], totals: np.ndarray, keys: Sequence[int] = (), stats: np.ndarray | None = None) -> pa.Table:
+    """Answers to chunks; chunk -1: the bucket's totals; chunk -2: what a frequent context leaves in this bucket."""
+    n, m = len(chunks), len(keys)
+    sums = np.zeros((len(_SUMS), n + 1 + m), np.int64)
+    sums[: len(totals), n] = totals
+    if m:
+        sums[:, n + 1 :] = stats
+    cols = [
+        pa.array([*chunks, -1, *[-2] * m], pa.int64()), pa.array([bucket] * (n + 1 + m), pa.int32()), *[pa.array([*x, *[None] * (1 + m)], pa.binary()) for x in (answers, left)],
+        pa.array([*[None] * (n + 1), *map(int, keys)], pa.int64()), *map(pa.array, sums),
+    ]
+    return pa.table(cols, names=["chunk", "bucket", "answer", "left", "key", *_SUMS])
+
+
+def _replayed(chunk: pa.Table, answers: pa.Table, model: dict, level: int) -> tuple[dict, _Chunk]:
+    """A chunk with its answers so far, at a level that is yet to be answered, or past the last one."""
+    row, told = chunk.to_pylist()[0], {}
+    for name in {"answer", "left"} & set(answers.column_names):
+        for k, bucket, x in zip(*(answers.column(c).to_pylist() for c in ("level", "bucket", name)), strict=True):
+            told.setdefault((name, k), {})[bucket] = x
+    found = _Chunk(row, model)
+    for k in range(1, level):
+        if k > 1:
+            found.up()
+        found.answered(told["answer", k], told.get(("left", k)))
+    return row, found
+
+
+def _first_asks(model: dict):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                row = b.slice(i, 1).to_pylist()[0]
+                yield from _ask_rows(row["chunk"], _Chunk(row, model)).to_batches()
+
+    return run
+
+
+def _ask_rows(chunk: int, found: _Chunk) -> pa.Table:
+    buckets, asks = zip(*found.asks(), strict=True)
+    return pa.table({"chunk": pa.array([chunk] * len(asks), pa.int64()), "bucket": pa.array(buckets, pa.int32()), "ask": pa.array(asks, pa.binary())})
+
+
+def _next_asks(model: dict, level: int):
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        row, found = _replayed(chunk, answers, model, level)
+        found.up()
+        return _ask_rows(row["chunk"], found)
+
+    return run
+
+
+def _sums(model: dict, order: int):
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        ids, held = (chunk.column(c).combine_chunks().flatten() for c in ("doc_id", "held_out"))
+        _, found = _replayed(chunk, answers, model, order + 1)
+        n, known, base, score = found.rows()
+        return pa.table({"doc_id": ids, "held_out": held, "n_tokens": n, "n_known": known, "train_tokens": np.full(len(n), model["tokens"]), "base_score": base, "score": score})
+
+    return run
+
+
 def scored(docs: DataFrame, held_out: Column, order: int = 2) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -153,26 +495,34 @@ def scored(docs: DataFrame, held_out: Column, order: int = 2) -> DataFrame:
     Repeated rows are each learned from and scored; null ids stay. With nothing to learn from, every
     token is unknown. An empty table gives no rows.
     """
-    given = docs.select("doc_id", held_out.alias("held_out"), text_or_empty().alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
-    tables, total = train(given.where("not held_out"), order)
-    rows = staged(given.groupBy("row", "doc_id", "held_out").agg(F.count("*").alias("times")), "scored_rows")
-    if total["tokens"]:
-        asked = _exploded(given, order, order, "row").join(tables[0].select("w", F.col("n").alias("known"), F.log10("p").alias("p1")), "w", "left")
-        asked = asked.withColumn("done", F.coalesce("p1", F.log10(F.lit(total["unknown"]))))
-        for level in range(2, order + 1):
-            t, context = tables[level - 1], f"c{level - 1}"
-            seen = t.where("w is not null").select(F.col("context").alias(context), "w", F.log10("p").alias("seen"))
-            weight = t.where("w is null").select(F.col("context").alias(context), F.log10("p").alias("weight"))
-            asked = asked.join(seen, [context, "w"], "left").join(weight, context, "left")
-            asked = asked.withColumn("done", F.coalesce("seen", F.col("done") + F.coalesce("weight", F.lit(0.0)))).drop("seen", "weight")
-    else:
-        asked = _exploded(given, order, order, "row").withColumns({"known": F.lit(None).cast("long"), "done": F.lit(0.0)})
-    known = F.coalesce("known", F.lit(0))
-    base = F.log10((known + 1) / F.lit(float(total["tokens"] + total["words"] + 1)))
-    sums = asked.groupBy("row").agg(F.sum("n").alias("n_tokens"), F.sum(F.when(known > 0, F.col("n")).otherwise(0)).alias("n_known"), F.sum(F.col("n") * base).alias("base_score"), F.sum(F.col("n") * F.col("done")).alias("score"))
-    each = rows.join(sums, "row").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
-    times = F.col("times")
-    return each.select(
-        "doc_id", "held_out", (F.col("n_tokens") / times).cast("long").alias("n_tokens"), (F.col("n_known") / times).cast("long").alias("n_known"),
-        F.lit(total["tokens"]).cast("long").alias("train_tokens"), (F.col("base_score") / times).alias("base_score"), (F.col("score") / times).alias("score"),
-    )
+    given = docs.select("doc_id", held_out.cast("boolean").alias("held_out"), text_or_empty().alias("text"))
+    kind = given.schema["doc_id"].dataType.simpleString()
+    chunks = staged(given.mapInArrow(_chunks, f"chunk long, doc_id array<{kind}>, held_out array<boolean>, size long, deal binary, words binary, stream binary"), "chunks")
+    size = chunks.agg(F.sum("size")).head()[0] or 0
+    buckets = max(LEAST_BUCKETS, -(-size // BUCKET))
+    model = {"buckets": buckets, "often": max(2, size // buckets), "factors": [], "frequent": []}
+    answers: list[DataFrame] = []
+
+    def met(run, schema: str, *more: str) -> DataFrame:
+        each = [a.where("chunk >= 0").select("chunk", F.lit(k).alias("level"), "bucket", "answer", *more) for k, a in enumerate(answers, 1)]
+        return chunks.drop("words").groupBy("chunk").cogroup(reduce(DataFrame.unionByName, each).groupBy("chunk")).applyInArrow(run, schema)
+
+    for level in range(1, order + 1):
+        schema = "chunk long, bucket int, ask binary"
+        asks = chunks.mapInArrow(_first_asks(model), schema) if level == 1 else met(_next_asks(model, level), schema)
+        count = _word_bucket(buckets) if level == 1 else _gram_bucket
+        answers.append(staged(asks.groupBy("bucket").applyInArrow(count, _ANSWERS), f"katz{level}"))
+        summed = [F.sum(s).alias(s) for s in _SUMS]
+        kinds, total, *low = (x or 0 for x in answers[-1].where("chunk = -1").agg(*summed).head()[: DISCOUNTED + 3])
+        model["factors"].append(discounts(dict(enumerate(low, 1))))
+        if level == 1:
+            left, share = (_freed(low[:-1], model["factors"][0]) / total, 1 / total) if total else (1.0, 1.0)
+            # an unknown word has what discounting leaves, or a part of one token's share where it leaves nothing
+            if left < 1e-12:
+                left = share = 1 / (total + 1)
+            model |= {"tokens": total, "words": kinds, "unknown": left, "share": share}
+        else:
+            # no more than a context for ``often`` training tokens, and the start
+            rows = answers[-1].where("chunk = -2").groupBy("key").agg(*summed).orderBy("key").collect()
+            model["frequent"].append((np.array([r["key"] for r in rows], np.int64), np.array([[r[s] for r in rows] for s in _SUMS], np.int64)))
+    return met(_sums(model, order), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double", "left")

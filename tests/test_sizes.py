@@ -130,3 +130,33 @@ def test_katz_contexts_are_staged_apart(spark, monkeypatch):
     out = katz.scored(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") == 1, 3).collect()
     assert len(out) == 12 and all(r["score"] < 0 for r in out)
     assert not any("SUM(" in plans[k].upper() for k in ("katz2", "katz3"))
+
+
+def test_katz_shuffles_no_row_per_ngram(spark, monkeypatch):
+    """Chunks ask buckets in packed rows; contexts may be frequent, in one chunk only, or held out in another one."""
+    import random
+
+    import numpy as np
+
+    from gridflume.llm import katz
+
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdef") if rng.random() < 0.8 else f"w{rng.randrange(90)}" for _ in range(rng.randrange(40))) for _ in range(120)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows, real = {}, katz.staged
+    monkeypatch.setattr(katz, "staged", lambda df, name, *by: rows.update({name: (out := real(df, name, *by)).count()}) or out)
+    got = {r["doc_id"]: r["score"] for r in katz.scored(df, F.col("doc_id") % 7 == 2, 3).collect()}
+    assert set(rows) == {"chunks", "katz1", "katz2", "katz3"}
+    tokens = sum(len(t.split()) + 1 for t in texts)
+    assert rows["chunks"] == 3 < tokens / 20 and rows["katz3"] <= katz.LEAST_BUCKETS * (rows["chunks"] + 1 + katz.LEAST_BUCKETS)
+    tables, total = katz.train(df.where("doc_id % 7 <> 2").select("text"), 3)
+    words = {r["w"]: r["p"] for r in tables[0].collect()}
+    grams = [{(r["context"], r["w"]): r["p"] for r in t.collect()} for t in tables[1:]]
+    for i, text in enumerate(texts):
+        want = 0.0
+        for w, *contexts in katz.tokens(text.encode(), 3).astype(np.uint64).view(np.int64).tolist():
+            p = words.get(w, total["unknown"])
+            for context, level in zip(contexts, grams, strict=True):
+                p = level.get((context, w), p * level.get((context, None), 1.0))
+            want += np.log10(p)
+        assert abs(got[i] - want) < 1e-9 * max(1, abs(want))
