@@ -42,6 +42,8 @@ START, END = xxhash.xxh64_intdigest(b" start"), xxhash.xxh64_intdigest(END_WORD)
 CACHE = 500_000
 #: Tokens of a chunk, and of a bucket on average; buckets at least.
 CHUNK, BUCKET, LEAST_BUCKETS = 1 << 21, 2_000_000, 8
+#: Shares of the chunks that are scored one after another.
+SHARES = 4
 
 
 class _WordHashes(dict):
@@ -503,9 +505,10 @@ def scored(docs: DataFrame, held_out: Column, order: int = 2) -> DataFrame:
     model = {"buckets": buckets, "often": max(2, size // buckets), "factors": [], "frequent": []}
     answers: list[DataFrame] = []
 
-    def met(run, schema: str, *more: str) -> DataFrame:
-        each = [a.where("chunk >= 0").select("chunk", F.lit(k).alias("level"), "bucket", "answer", *more) for k, a in enumerate(answers, 1)]
-        return chunks.drop("words").groupBy("chunk").cogroup(reduce(DataFrame.unionByName, each).groupBy("chunk")).applyInArrow(run, schema)
+    def met(run, schema: str, *more: str, which: Column | None = None) -> DataFrame:
+        which = F.lit(True) if which is None else which
+        each = [a.where("chunk >= 0").where(which).select("chunk", F.lit(k).alias("level"), "bucket", "answer", *more) for k, a in enumerate(answers, 1)]
+        return chunks.drop("words").where(which).groupBy("chunk").cogroup(reduce(DataFrame.unionByName, each).groupBy("chunk")).applyInArrow(run, schema)
 
     for level in range(1, order + 1):
         schema = "chunk long, bucket int, ask binary"
@@ -525,4 +528,7 @@ def scored(docs: DataFrame, held_out: Column, order: int = 2) -> DataFrame:
             # no more than a context for ``often`` training tokens, and the start
             rows = answers[-1].where("chunk = -2").groupBy("key").agg(*summed).orderBy("key").collect()
             model["frequent"].append((np.array([r["key"] for r in rows], np.int64), np.array([[r[s] for r in rows] for s in _SUMS], np.int64)))
-    return met(_sums(model, order), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double", "left")
+    # a share of the chunks after another, so that disk never holds all answers twice; their shuffles go when a share is written
+    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    shares = [F.pmod(F.xxhash64("chunk"), F.lit(SHARES)) == k for k in range(SHARES)]
+    return reduce(DataFrame.unionByName, [staged(met(_sums(model, order), schema, "left", which=x), "scores") for x in shares])

@@ -146,7 +146,7 @@ def test_katz_shuffles_no_row_per_ngram(spark, monkeypatch):
     rows, real = {}, katz.staged
     monkeypatch.setattr(katz, "staged", lambda df, name, *by: rows.update({name: (out := real(df, name, *by)).count()}) or out)
     got = {r["doc_id"]: r["score"] for r in katz.scored(df, F.col("doc_id") % 7 == 2, 3).collect()}
-    assert set(rows) == {"chunks", "katz1", "katz2", "katz3"}
+    assert set(rows) == {"chunks", "katz1", "katz2", "katz3", "scores"}
     tokens = sum(len(t.split()) + 1 for t in texts)
     assert rows["chunks"] == 3 < tokens / 20 and rows["katz3"] <= katz.LEAST_BUCKETS * (rows["chunks"] + 1 + katz.LEAST_BUCKETS)
     tables, total = katz.train(df.where("doc_id % 7 <> 2").select("text"), 3)
