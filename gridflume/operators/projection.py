@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..checkpoints import staged, staged_counted
-from . import reconcile, regrid
+from . import blocks, reconcile, regrid
 
 
 @dataclass(frozen=True)
@@ -52,82 +52,44 @@ def _not_negative(value: Column, what: str) -> Column:
     return F.when(value < 0, F.raise_error(F.lit(f"{what} must not be negative"))).otherwise(value)
 
 
+#: Links and cells of a block of the solver.
+ROWS_A_BLOCK, LEAST_BLOCKS = 400_000, 8
+
+
 def solve(base: DataFrame, targets: DataFrame, links: DataFrame, by: list[str] = (), bounds: Bounds = Bounds(), upper: str | None = None) -> Solution:
     """From depths (by, src, depth), totals (by, dst, total) and links (src, dst, weight).
 
     Each round remaps, divides total by estimate within bounds, takes the ratios back along the links and multiplies.
     A null depth counts as zero and stays zero; a null total constrains nothing. Totals beyond what the bounds allow,
     and wet ones over a dry base unless ``bounds.synthetic`` seeds them, take no part and are flagged. ``upper`` names a key
-    column that replaces the upper bounds. Links are dealt and sorted by source and by target once; a round writes the cells and the active targets.
-    Their files are small for their rows, so Spark would broadcast them, through the driver, in each round; joins are merge joins instead.
+    column that replaces the upper bounds. Cells and links are dealt by ranges of sources, totals by targets, and packed once; rounds pass
+    sums and ratios between these blocks, several rounds in a job (``blocks.rounds``).
     """
-    by, b = list(by), bounds
-    spark = base.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    usable = staged(regrid.usable_links(links).select("src", "dst", F.col("weight").cast("double").alias("weight")), "links")
-    from_src, from_dst = (usable.repartition(parts, k).sortWithinPartitions(k).persist() for k in ("src", "dst"))
-
-    def estimated(cells: DataFrame, *fields: str) -> DataFrame:
-        joined = cells.select(*by, "src", *fields).join(from_src.hint("merge"), "src")
-        return joined.groupBy(*by, "dst").agg(*((F.sum(F.col("weight") * F.col(f)) / F.sum("weight")).alias(f) for f in fields))
-
-    most = F.col(upper) if upper else F.lit(b.ratio[1])
-    cells = base.select(*by, "src", _not_negative(_known("depth"), "depths").cast("double").alias("base")).withColumn("corrected", F.coalesce("base", F.lit(0.0)))
-    cells = staged(cells.join(from_src.groupBy("src").agg(F.sum("weight").alias("links")).hint("merge"), "src", "left"), "cells")
-    total = F.col("total")
-    first = targets.select(*by, "dst", _not_negative(_known("total"), "totals").cast("double").alias("total")).join(estimated(cells, "corrected").hint("merge"), [*by, "dst"], "left")
-    wet = total.isNotNull() & (total > b.dry)
-    goals = staged(first.withColumn("dry_base", F.coalesce(wet & (F.col("corrected").isNull() | (F.col("corrected") <= b.dry)), F.lit(False))).drop("corrected"), "goals")
-    if b.synthetic:
-        back = goals.where("dry_base").join(from_dst, "dst").groupBy(*by, "src").agg((F.sum(F.col("weight") * total) / F.sum("weight")).alias("seed"))
-        seeded = F.when((F.col("corrected") <= b.dry) & (F.col("seed") > 0), F.col("seed")).otherwise(F.col("corrected"))
-        cells = cells.join(back.hint("merge"), [*by, "src"], "left").withColumn("corrected", seeded).drop("seed")
-    greatest = F.greatest("base", "corrected")
-    limit = lambda times: F.coalesce(F.least(greatest * times, F.lit(b.most_depth)), F.lit(0.0))
-    given = F.col("base").isNotNull()
-    cells = staged(cells.withColumns({"lo": F.when(given, limit(F.lit(b.cumulative[0]))).otherwise(0.0), "hi": F.when(given, limit(F.col(upper) if upper else F.lit(b.cumulative[1]))).otherwise(0.0)}), "cells")
-    goals = goals.join(estimated(cells, "hi").hint("merge"), [*by, "dst"], "left")
-    beyond = F.coalesce(wet & (F.col("hi").isNull() | (total > F.col("hi") * (1 + b.tolerance))), F.lit(False))
-    bit = lambda c, k: F.when(F.coalesce(c, F.lit(False)), k).otherwise(0)
-    known = bit(total.isNull(), reconcile.TARGET_MISSING) + bit(total <= b.dry, reconcile.TARGET_DRY) + bit(F.col("dry_base"), reconcile.BASE_DRY)
-    known = known + bit(F.col("dry_base") & b.synthetic, reconcile.SYNTHETIC) + bit(beyond, reconcile.RATIO_CAPPED)
-    takes_part = total.isNotNull() & ~beyond & (F.lit(True) if b.synthetic else ~F.col("dry_base"))
-    goals = staged(goals.withColumns({"flags": known, "eligible": takes_part}).drop("hi"), "goals")
-
-    off = F.abs(F.col("corrected") - total) / F.greatest(total, F.lit(1.0)) > b.tolerance
-    steps: list[DataFrame] = []
-    for _ in range(b.rounds):
-        wanted = total / F.col("corrected")
-        moves = F.coalesce(wet & (F.col("corrected") > b.dry), F.lit(False))
-        ratio = F.when(total <= b.dry, 0.0).when(moves, F.pow(F.least(F.greatest(wanted, F.lit(b.ratio[0])), most), F.lit(b.damping))).otherwise(1.0)
-        capped = moves & ((wanted < b.ratio[0]) | (wanted > most))
-        active = goals.where("eligible").join(estimated(cells, "corrected").hint("merge"), [*by, "dst"]).where(off)
-        step, n = staged_counted(active.select(*by, "dst", ratio.alias("ratio"), capped.alias("capped")), "ratios")
-        steps.append(step)
-        if not n:
-            break
-        # targets that are not active have the ratio one, so only active ones need be taken back
-        change = step.join(from_dst.hint("merge"), "dst").groupBy(*by, "src").agg(F.sum(F.col("weight") * (F.col("ratio") - 1)).alias("change"))
-        moved = F.least(F.greatest(F.col("corrected") * (1 + F.coalesce(F.col("change") / F.col("links"), F.lit(0.0))), F.col("lo")), F.col("hi"))
-        joined = cells.join(change.hint("merge"), [*by, "src"], "left")
-        if by:
-            joined = joined.join(step.select(*by, F.lit(True).alias("_on")).distinct(), by, "left")
-            moved = F.when(F.col("_on"), moved).otherwise(F.col("corrected"))
-        cells = staged(joined.withColumn("corrected", moved).select(*cells.columns), "cells")
-    out = goals.join(estimated(cells, "corrected").hint("merge"), [*by, "dst"], "left")
-    ran = steps[0].withColumn("_round", F.lit(1))
-    for k, step in enumerate(steps[1:], 2):
-        ran = ran.unionByName(step.withColumn("_round", F.lit(k)))
-    ran = staged(ran.groupBy(*by, "dst").agg(F.max("capped").alias("capped"), F.max("_round").alias("last")), "rounds")
-    out = out.join(ran.hint("merge"), [*by, "dst"], "left")
-    unmet = F.col("eligible") & F.coalesce(off, F.lit(False))
-    flags = F.col("flags").bitwiseOR(bit(F.col("capped"), reconcile.RATIO_CAPPED)).bitwiseOR(bit(unmet, reconcile.NOT_CONVERGED))
-    found = staged(out.select(*by, "dst", "total", (F.col("corrected") - total).alias("residual"), flags.alias("flags"), F.coalesce("last", F.lit(0)).alias("_last"), unmet.alias("_unmet")), "solved_targets")
-    runs = found.groupBy(*by).agg(F.least(F.max("_last") + 1, F.lit(b.rounds)).alias("iterations"), (~F.bool_or("_unmet")).alias("converged"))
-    factor = F.when(F.col("base") > b.dry, F.col("corrected") / F.col("base"))
-    from_src.unpersist()
-    from_dst.unpersist()
-    return Solution(cells.select(*by, "src", "base", "corrected", factor.alias("factor")), found.drop("_last", "_unmet"), runs)
+    by = list(by)
+    usable, n_links = staged_counted(regrid.usable_links(links).where("src is not null").select("src", "dst", F.col("weight").cast("double").alias("weight")), "links")
+    cells, n_cells = staged_counted(base.select(*by, "src", _not_negative(_known("depth"), "depths").cast("double").alias("base")), "cells")
+    n = max(LEAST_BLOCKS, -(-(n_links + n_cells) // ROWS_A_BLOCK))
+    # a target is met by its links under the type that a join would give both
+    kind = usable.select("dst").union(targets.select("dst")).schema["dst"].dataType
+    to = F.pmod(F.xxhash64(F.col("dst").cast(kind)), F.lit(n)).cast("int")
+    rows = usable.select(F.lit(blocks.LINK).alias("kind"), "src", F.col("dst").cast(kind).alias("dst"), F.col("weight").alias("value"), to.alias("to"))
+    rows = rows.unionByName(cells.select(F.lit(blocks.CELL).alias("kind"), *by, "src", F.col("base").alias("value")), allowMissingColumns=True)
+    goals = targets.select(*by, F.col("dst").cast(kind).alias("dst"), _not_negative(_known("total"), "totals").cast("double").alias("total"), to.alias("to"))
+    streams, kept = blocks.rounds(rows.repartitionByRange(n, "src"), goals.repartition(n, "to"), by, n, bounds, upper)
+    streams = streams.persist()
+    types = lambda df, *names: ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in names)
+    of = lambda kind: streams.filter(lambda x: x[0] == kind).map(lambda x: x[1])
+    solved = staged(blocks.unpacked(of("cells"), f"{types(rows, *by, 'src', 'value')}, corrected double", base), "cells")
+    found = staged(blocks.unpacked(of("goals"), f"{types(goals, *by, 'dst', 'total', 'to')}, residual double, flags int, last int, unmet boolean", base), "solved_targets")
+    for rdd in (streams, *kept):
+        rdd.unpersist()
+    same = lambda df, *names: [F.col(k).cast(df.schema[k].dataType).alias(k) for k in names]
+    runs = found.groupBy(*same(targets, *by)).agg(F.least(F.max("last") + 1, F.lit(bounds.rounds)).alias("iterations"), (~F.bool_or("unmet")).alias("converged"))
+    factor = F.when(F.col("value") > bounds.dry, F.col("corrected") / F.col("value"))
+    return Solution(
+        solved.select(*same(base, *by, "src"), F.col("value").alias("base"), "corrected", factor.alias("factor")),
+        found.select(*same(targets, *by, "dst"), "total", "residual", "flags"), runs,
+    )
 
 
 def hourly(hours: DataFrame, cells: DataFrame, by: list[str] = (), hour: str = "hour", dry: float = 1e-8) -> DataFrame:

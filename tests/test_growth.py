@@ -85,3 +85,19 @@ def test_nearest_donor_joins_tiles_not_donors(spark):
     plans = [runs.apply(k).physicalPlanDescription() for k in range(before, runs.size())]
     last = [p for p in plans if "donor_y" in p and "min(" in p]
     assert last and all("array_min" in p for p in last)
+
+
+def test_rounds_of_a_solve_share_jobs(spark):
+    """Rounds are many and small: a job for each of their steps is most of their time."""
+    base = _cells(spark, 60, "src", depth="1 + id % 3")
+    targets = _cells(spark, 20, "dst", total="if(id = 7, 0, 2 + id % 5)")
+    links = spark.range(180).selectExpr("id % 60 as src", "(id * 7 + id div 60) % 20 as dst", "1.0D + id % 4 as weight")
+    sc = spark.sparkContext
+    sc.setJobGroup("rounds", "rounds")
+    try:
+        out = projection.solve(base, targets, links, bounds=projection.Bounds(rounds=20, tolerance=1e-12))
+        assert out.runs.head()["iterations"] == 20
+        jobs = len(sc.statusTracker().getJobIdsForGroup("rounds"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 40, jobs
