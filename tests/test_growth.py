@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridflume.operators import coverage, fill, projection, repair
+from gridflume.operators import coverage, fill, hybrid, projection, repair
 
 
 def nodes(df: DataFrame) -> list:
@@ -101,3 +101,30 @@ def test_rounds_of_a_solve_share_jobs(spark):
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
     assert jobs <= 40, jobs
+
+
+def test_hybrid_components_join_once_and_broadcast_nothing(spark):
+    names = ["t", "p", "rh", "q", "lw", "sw", "u", "v"]
+    cells = spark.range(72).selectExpr("id div 36 as ts", "id % 36 div 6 as y", "id % 6 as x", "id").where("id not in (5, 40)")
+    value = {"t": "280 + {k}", "p": "90000 + 40 * {k}", "rh": "0.4 + {k} / 20", "q": "0.004 + {k} / 5000", "lw": "300 + {k}", "sw": "90 + {k}", "u": "{k} - 3", "v": "4 - {k}", "sun": "{k} / 8 - 0.2"}
+    side = lambda k: {n: F.expr(v.format(k=k)).cast("double") for n, v in value.items()}
+    base = cells.withColumns({**side("(id % 7)"), "thermo_qc": F.lit(3), "radiation_qc": F.lit(1)}).drop("id")
+    # a whole hour and some cells of the other one have no fine side
+    fine = cells.where("ts = 1 and id % 11 <> 4").withColumns(side("(id * 5 % 8)")).drop("id")
+    weights, caps = {"t": 0.5, "p": 0.3, "rh": 0.4, "lw": 0.2, "sw": 0.5, "u": 0.25, "v": 0.75}, {"t": 1.5, "p": 0.002, "rh": 0.1, "lw": 0.02, "sw": 0.1, "wind": 2.0}
+    box = (3, (0, 5), (0, 5))
+    out = hybrid.components(base, fine, weights, caps, *box)
+    got = {(r["ts"], r["y"], r["x"]): r for r in out.collect()}
+    # cells without a fine side stay in the grid: a box counts what has a value beside them
+    given = fine.select("ts", "y", "x", *(F.col(n).alias(f"fine_{n}") for n in value))
+    matched = base.where("ts = 1").join(given, ["ts", "y", "x"], "left")
+    there = {(r["ts"], r["y"], r["x"]) for r in fine.collect()}
+    warm = hybrid.thermodynamics(matched, {k: weights[k] for k in ("t", "p", "rh", "lw")}, caps, *box, ["ts"]).collect()
+    bright = hybrid.radiation_wind(matched, {k: weights[k] for k in ("sw", "u", "v")}, caps, *box, ["ts"]).collect()
+    want = {(r["ts"], r["y"], r["x"]): {**{n: r[n] for n in names}, "thermo_qc": 3, "radiation_qc": 1, "hybrid": False} for r in base.collect()}
+    for rows, qc, bits in ((warm, "thermo_qc", 3), (bright, "radiation_qc", 1)):
+        for r in (r for r in rows if (r["ts"], r["y"], r["x"]) in there):
+            want[r["ts"], r["y"], r["x"]] |= {k[4:]: v for k, v in r.asDict().items() if k.startswith("new_")} | {qc: r["qc"] | bits, "hybrid": True}
+    assert len(there) == 31 and {k: {n: r[n] for n in want[k]} for k, r in got.items()} == want
+    kinds = [kind for kind, _ in nodes(out)]
+    assert sum("Join" in kind for kind in kinds) == 1 and not broadcasts(out)
