@@ -360,11 +360,11 @@ def _block(key: int) -> int:
     return key
 
 
-def rounds(sources: DataFrame, goals: DataFrame, by: list[str], blocks: int, b, upper: str | None = None) -> tuple[RDD, list[RDD]]:
+def rounds(sources: DataFrame, goals: DataFrame, by: list[str], blocks: tuple[int, int], b, upper: str | None = None) -> tuple[RDD, list[RDD]]:
     """Streams of cells (by, src, value, corrected) and of goals (by, dst, total, residual, flags, last, unmet), each with its kind, and what to unpersist after use.
 
     ``sources`` has rows (kind, by, src, dst, value, to) of links and cells, a source's all in one partition; ``goals`` (by, dst, total, to) have in ``to``
-    the block that links to them have, its goals all in one partition. There are at most ``blocks`` of both.
+    the block that links to them have, its goals all in one partition. ``blocks`` tells how many of each there are at most.
     """
     kept: list[RDD] = []
 
@@ -372,21 +372,22 @@ def rounds(sources: DataFrame, goals: DataFrame, by: list[str], blocks: int, b,
         kept.append(rdd.persist(StorageLevel.MEMORY_AND_DISK))
         return rdd
 
-    dealt = lambda rdd: rdd.partitionBy(blocks, _block)
+    # what only passes goes along with a block whose number leaves the same rest
+    by_source, by_target = (lambda rdd, n=n: rdd.partitionBy(n, _block) for n in blocks)
     only = lambda rdd, *tags: rdd.filter(lambda x: x[1][0] in tags)
-    given = (b, by, blocks, upper)
+    given = (b, by, blocks[1], upper)
     first = keep(packed(sources, "sources").map(lambda x: (x[0], ("rows", x[1]))).mapPartitions(_by_block(_first, *given)))
     held = keep(packed(goals, "goals", "to").map(lambda x: (x[0], ("goals_table", x[1]))))
-    fixed = keep(dealt(only(first, "sources")))
-    tables = dealt(only(first, "cells_table").union(held))
-    met = keep(dealt(only(first, "first", "depths").union(held)).mapPartitions(_by_block(_meet, *given)))
-    asked = keep(dealt(only(met, "targets")))
+    fixed = keep(by_source(only(first, "sources")))
+    tables = by_source(only(first, "cells_table").union(held))
+    met = keep(by_target(only(first, "first", "depths").union(held)).mapPartitions(_by_block(_meet, *given)))
+    asked = keep(by_target(only(met, "targets")))
     now = only(met, "goals", "depths", "answer")
     for k in range(1, b.rounds + 2):
-        now = fixed.union(dealt(now)).mapPartitions(_by_block(_ask, b, k))
-        now = asked.union(dealt(now)).mapPartitions(_by_block(_answer, b, k))
+        now = fixed.union(by_source(now)).mapPartitions(_by_block(_ask, b, k))
+        now = asked.union(by_target(now)).mapPartitions(_by_block(_answer, b, k))
         if k % ROUNDS_A_JOB == 0 or k > b.rounds:
             now = keep(now)
             if not only(now, "goals").map(lambda x: x[1][1]["active"]).sum():
                 break
-    return tables.union(dealt(only(now, "goals", "depths"))).mapPartitions(_by_block(_ended, b)), kept
+    return tables.union(by_source(only(now, "goals", "depths"))).mapPartitions(_by_block(_ended, b)), kept

@@ -52,8 +52,8 @@ def _not_negative(value: Column, what: str) -> Column:
     return F.when(value < 0, F.raise_error(F.lit(f"{what} must not be negative"))).otherwise(value)
 
 
-#: Links and cells of a block of the solver.
-ROWS_A_BLOCK, LEAST_BLOCKS = 400_000, 8
+#: Links and cells, or targets, of a block of the solver.
+ROWS_A_BLOCK, LEAST_BLOCKS = 800_000, 8
 
 
 def solve(base: DataFrame, targets: DataFrame, links: DataFrame, by: list[str] = (), bounds: Bounds = Bounds(), upper: str | None = None) -> Solution:
@@ -68,14 +68,15 @@ def solve(base: DataFrame, targets: DataFrame, links: DataFrame, by: list[str] =
     by = list(by)
     usable, n_links = staged_counted(regrid.usable_links(links).where("src is not null").select("src", "dst", F.col("weight").cast("double").alias("weight")), "links")
     cells, n_cells = staged_counted(base.select(*by, "src", _not_negative(_known("depth"), "depths").cast("double").alias("base")), "cells")
-    n = max(LEAST_BLOCKS, -(-(n_links + n_cells) // ROWS_A_BLOCK))
+    goals, n_goals = staged_counted(targets.select(*by, "dst", _not_negative(_known("total"), "totals").cast("double").alias("total")), "goals")
+    n_sources, n_targets = (max(LEAST_BLOCKS, -(-n // ROWS_A_BLOCK)) for n in (n_links + n_cells, n_goals))
     # a target is met by its links under the type that a join would give both
     kind = usable.select("dst").union(targets.select("dst")).schema["dst"].dataType
-    to = F.pmod(F.xxhash64(F.col("dst").cast(kind)), F.lit(n)).cast("int")
+    to = F.pmod(F.xxhash64(F.col("dst").cast(kind)), F.lit(n_targets)).cast("int")
     rows = usable.select(F.lit(blocks.LINK).alias("kind"), "src", F.col("dst").cast(kind).alias("dst"), F.col("weight").alias("value"), to.alias("to"))
     rows = rows.unionByName(cells.select(F.lit(blocks.CELL).alias("kind"), *by, "src", F.col("base").alias("value")), allowMissingColumns=True)
-    goals = targets.select(*by, F.col("dst").cast(kind).alias("dst"), _not_negative(_known("total"), "totals").cast("double").alias("total"), to.alias("to"))
-    streams, kept = blocks.rounds(rows.repartitionByRange(n, "src"), goals.repartition(n, "to"), by, n, bounds, upper)
+    goals = goals.select(*by, F.col("dst").cast(kind).alias("dst"), "total", to.alias("to"))
+    streams, kept = blocks.rounds(rows.repartitionByRange(n_sources, "src"), goals.repartition(n_targets, "to"), by, (n_sources, n_targets), bounds, upper)
     streams = streams.persist()
     types = lambda df, *names: ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in names)
     of = lambda kind: streams.filter(lambda x: x[0] == kind).map(lambda x: x[1])

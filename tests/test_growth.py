@@ -128,3 +128,17 @@ def test_hybrid_components_join_once_and_broadcast_nothing(spark):
     assert len(there) == 31 and {k: {n: r[n] for n in want[k]} for k, r in got.items()} == want
     kinds = [kind for kind, _ in nodes(out)]
     assert sum("Join" in kind for kind in kinds) == 1 and not broadcasts(out)
+
+
+def test_targets_have_blocks_of_their_own_number(spark, monkeypatch):
+    """Blocks of both sides pass something to each other, so few targets must not be dealt over as many blocks as links are."""
+    base = _cells(spark, 60, "src", depth="1 + id % 3")
+    targets = _cells(spark, 20, "dst", total="if(id = 7, 0, 2 + id % 5)")
+    links = spark.range(180).selectExpr("id % 60 as src", "(id * 7 + id div 60) % 20 as dst", "1.0D + id % 4 as weight")
+    rows = lambda s: sorted((r["dst"], round(r["residual"], 9), r["flags"]) for r in s.targets.collect())
+    want = rows(projection.solve(base, targets, links))
+    seen, real = [], projection.blocks.rounds
+    monkeypatch.setattr(projection, "ROWS_A_BLOCK", 10)
+    monkeypatch.setattr(projection.blocks, "rounds", lambda sources, goals, by, n, *x: seen.append(n) or real(sources, goals, by, n, *x))
+    assert rows(projection.solve(base, targets, links)) == want
+    assert seen == [(24, 8)]
