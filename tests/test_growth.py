@@ -142,3 +142,28 @@ def test_targets_have_blocks_of_their_own_number(spark, monkeypatch):
     monkeypatch.setattr(projection.blocks, "rounds", lambda sources, goals, by, n, *x: seen.append(n) or real(sources, goals, by, n, *x))
     assert rows(projection.solve(base, targets, links)) == want
     assert seen == [(24, 8)]
+
+
+def _jobs_of(spark, group: str, job) -> int:
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        job()
+        return len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def _slow_month(spark) -> tuple[DataFrame, DataFrame, DataFrame, projection.Bounds]:
+    """A month that does not settle in its rounds."""
+    links = spark.range(180).selectExpr("id % 60 as src", "(id * 7 + id div 60) % 20 as dst", "1.0D + id % 4 as weight")
+    return _cells(spark, 60, "src", depth="1 + id % 3"), _cells(spark, 20, "dst", total="if(id = 7, 0, 2 + id % 5)"), links, projection.Bounds(rounds=30, most_depth=4000.0, tolerance=1e-13)
+
+
+def test_rounds_of_a_month_share_jobs(spark):
+    *given, bounds = _slow_month(spark)
+
+    def job():
+        assert projection.reconcile_month(*given, bounds=bounds).runs.head()["iterations"] == 30
+
+    assert _jobs_of(spark, "month", job) <= 50
