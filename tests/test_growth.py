@@ -167,3 +167,13 @@ def test_rounds_of_a_month_share_jobs(spark):
         assert projection.reconcile_month(*given, bounds=bounds).runs.head()["iterations"] == 30
 
     assert _jobs_of(spark, "month", job) <= 50
+
+
+def test_bounds_of_a_sweep_share_jobs(spark):
+    *given, bounds = _slow_month(spark)
+
+    def job():
+        rows = projection.bounds_sweep(*given, ratios=[1.5, 2.0, 10.0], bounds=bounds).collect()
+        assert sorted(r["bound"] for r in rows) == [1.5, 2.0, 10.0] and max(r["iterations"] for r in rows) == 30
+
+    assert _jobs_of(spark, "sweep", job) <= 60
